@@ -1,0 +1,99 @@
+"""Left or inner join against a lookup with unique keys, safe for hot keys.
+
+One key may hold a third of the rows of the big side. Hashing those rows to
+one task would stall the job, so keys that hold a large share are found with a
+mergeable sketch and joined on their own: the lookup has at most one row per
+key, so the hot part of it is no larger than the number of hot keys and can be
+broadcast. All other rows take the ordinary join.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Capacity of the sketch per task, and most hot keys handled apart. Any key
+# with more than 1/HOT_LIMIT of the rows is among the HOT_LIMIT most frequent.
+SKETCH_ITEMS = 8192
+HOT_LIMIT = 256
+# Below this many rows a single task is no bottleneck.
+SMALL_INPUT = 1_000_000
+
+
+def key_hash(columns: Sequence[Column]) -> Column:
+    return F.xxhash64(*columns)
+
+
+def hot_sketch(columns: Sequence[Column], keep: Column | None = None) -> Column:
+    """Aggregate giving the most frequent key hashes with their estimated counts.
+
+    Partial sketches merge, so nothing is shuffled but one small row per task.
+    """
+    hashed = key_hash(columns)
+    if keep is not None:
+        hashed = F.when(keep, hashed)
+    return F.call_function("approx_top_k", hashed, F.lit(HOT_LIMIT), F.lit(SKETCH_ITEMS))
+
+
+def hot_from(sketch: list, rows: int, small_input: int = SMALL_INPUT) -> list[int]:
+    """Hashes out of a sketch that hold more than 1/HOT_LIMIT of ``rows``."""
+    if rows <= small_input:
+        return []
+    return [
+        e["item"] for e in sketch if e["item"] is not None and e["count"] * HOT_LIMIT > rows
+    ]
+
+
+def hot_hashes(
+    df: DataFrame, columns: Sequence[Column], small_input: int = SMALL_INPUT
+) -> list[int]:
+    found = df.agg(hot_sketch(columns).alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return hot_from(found["top"], found["n"], small_input)
+
+
+def lookup_join(
+    left: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[tuple[str, str]],
+    *,
+    how: str = "left",
+    hot: Sequence[int] = (),
+    project: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+    left_alias: str = "target",
+    lookup_alias: str = "source",
+) -> DataFrame:
+    """Join ``left`` to ``lookup`` on (left column, lookup column) pairs.
+
+    ``lookup`` must hold each key at most once. ``hot`` lists the key hashes to
+    handle apart, see :func:`hot_hashes`; NULL keys are found like any other.
+    Both sides are split by the same hash, so every row takes exactly one of
+    the two paths. ``project`` is applied on each path, where the aliases of
+    the two sides are still known.
+    """
+    left = left.alias(left_alias)
+    lookup = lookup.alias(lookup_alias)
+    pairs = [(F.col(f"{left_alias}.`{a}`"), F.col(f"{lookup_alias}.`{b}`")) for a, b in on]
+    condition = None
+    for a, b in pairs:
+        condition = (a == b) if condition is None else condition & (a == b)
+    if not hot:
+        return project(left.join(lookup, condition, how))
+
+    for a, b in on:
+        if left.schema[a].dataType != lookup.schema[b].dataType:
+            raise ValueError(f"cast {a} and {b} to one type before joining on them")
+    left_hot = key_hash([a for a, _ in pairs]).isin(list(hot))
+    lookup_hot = key_hash([b for _, b in pairs]).isin(list(hot))
+    few = F.broadcast(lookup.where(lookup_hot))
+    apart = project(left.where(left_hot).join(few, condition, how))
+    rest = project(left.where(~left_hot).join(lookup.where(~lookup_hot), condition, how))
+    return apart.unionAll(rest)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's own size estimate allows it to broadcast ``df``."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size <= limit
