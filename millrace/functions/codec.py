@@ -31,7 +31,8 @@ def base64_text(token: Column) -> Column:
 
 def base64_token(text: Column) -> Column:
     """Unbroken Base64 token of a text (Spark's ``base64`` wraps at 76 characters)."""
-    return F.translate(F.base64(text.cast("string").cast("binary")), "\r\n", "")
+    wrapped = F.base64(text.cast("string").cast("binary"))
+    return F.replace(wrapped, F.lit("\r\n"), F.lit(""))
 
 
 def register_converter(spark: SparkSession, name: str = "converter") -> None:

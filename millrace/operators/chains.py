@@ -14,11 +14,12 @@ edges and are left out.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import SMALL_INPUT, hot_from, hot_hashes, hot_sketch, lookup_join
+from millrace.operators.skew import SMALL_INPUT, fits_broadcast, hot_hashes, lookup_join
 from millrace.session import Workspace
 
 # What a lookup answers for a node no edge mentions.
@@ -27,6 +28,13 @@ NO_DESTINATION = "No Destination Found"
 CYCLE = "CYCLE"
 
 
+def keep(df: DataFrame, work: Workspace, name: str, *by: str) -> DataFrame:
+    """Write to the shared folder and read back, which cuts the lineage."""
+    path = work.path(name)
+    df.write.partitionBy(*by).parquet(path)
+    return work.spark.read.schema(df.schema).parquet(path)
+
+
 def chain_endpoints(
     edges: DataFrame,
     work: Workspace,
@@ -43,26 +51,28 @@ def chain_endpoints(
     """
     ends = edges.select(F.col(src).alias("n"), F.col(dst).alias("p"))
     ends = ends.where("n IS NOT NULL AND p IS NOT NULL")
-    forward = _keep(ends.groupBy("n").agg(F.min("p").alias("p")), work, "forward")
-    backward = forward.select(F.col("p").alias("n"), F.col("n").alias("p"))
-    backward = _keep(backward.groupBy("n").agg(F.min("p").alias("p")), work, "backward")
+    onward = ends.groupBy("n").agg(F.min("p").alias("p"))
+    back = onward.groupBy(F.col("p").alias("n")).agg(F.min("n").alias("p"))
+    # Both directions are followed in the same rounds.
+    pointers = onward.select(F.lit(True).alias("onward"), "n", "p").unionAll(
+        back.select(F.lit(False).alias("onward"), "n", "p")
+    )
+    found = _follow(keep(pointers, work, "pointers"), work, small_input)
 
-    last = _follow(forward, work, "forward", small_input)
-    first = _follow(backward, work, "backward", small_input)
+    last = found.where("onward").alias("last")
+    first = found.where("NOT onward").alias("first")
+    both = last.join(first, F.col("last.n") == F.col("first.n"), "full")
     node = F.coalesce("last.n", "first.n")
-    both = last.alias("last").join(
-        first.alias("first"), F.col("last.n") == F.col("first.n"), "full"
-    )
     # A side without a row has no pointer at all: the node is its own end there.
     ended = F.col("last.n").isNull()
     begun = F.col("first.n").isNull()
+    origin = F.when(begun, node).otherwise(F.col("first.p"))
+    terminal = F.when(ended, node).otherwise(F.col("last.p"))
     return both.select(
         node.alias("node"),
-        F.when(begun, node).otherwise(F.col("first.p")).alias("origin"),
-        F.when(ended, node).otherwise(F.col("last.p")).alias("terminal"),
-        (
-            (~begun & F.col("first.p").isNull()) | (~ended & F.col("last.p").isNull())
-        ).alias("in_cycle"),
+        origin.alias("origin"),
+        terminal.alias("terminal"),
+        (origin.isNull() | terminal.isNull()).alias("in_cycle"),
     )
 
 
@@ -77,6 +87,7 @@ def chain_lookup(
     """Adds ``final_source`` and ``final_destination`` to every request.
 
     Unknown nodes and cycles are answered with their labels, so both are text.
+    ``endpoints`` is read once per question; hand in a kept result.
     """
     answers = endpoints.select(
         "node",
@@ -84,14 +95,19 @@ def chain_lookup(
         F.coalesce(F.col("terminal").cast("string"), F.lit(CYCLE)).alias("_terminal"),
     )
 
+    rows = None if fits_broadcast(answers) else requests.count()
+
     def add(df: DataFrame, asked: str, found: str, label: str, out: str) -> DataFrame:
         kept = [F.col(f"target.`{c}`") for c in df.columns]
         answer = F.coalesce(F.col(f"source.{found}"), F.lit(label)).alias(out)
+        hot = []
+        if rows is not None:
+            hot = hot_hashes(requests, [requests[f"`{asked}`"]], small_input, rows)
         return lookup_join(
             df,
-            answers,
+            answers.select("node", found),
             [(asked, "node")],
-            hot=hot_hashes(requests, [requests[f"`{asked}`"]], small_input),
+            hot=hot,
             project=lambda joined: joined.select(*kept, answer),
         )
 
@@ -99,57 +115,52 @@ def chain_lookup(
     return add(with_source, destination, "_terminal", NO_DESTINATION, "final_destination")
 
 
-def _keep(df: DataFrame, work: Workspace, name: str) -> DataFrame:
-    table = work.table(name)
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
-    return work.spark.table(table)
+KEY = [("onward", "onward"), ("p", "n")]
+
 
+def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame:
+    """(onward, n, p): the end of each pointer chain, NULL where it meets a cycle."""
 
-def _follow(pointers: DataFrame, work: Workspace, label: str, small_input: int) -> DataFrame:
-    """(n, p): the end of each pointer chain, NULL where it runs into a cycle."""
-    hot = hot_hashes(pointers, [F.col("p")], small_input)
-    # A pointer has arrived when the node it points at has none itself.
+    def hot(rows: DataFrame, number: int | None = None) -> list[int]:
+        return hot_hashes(rows, [F.col("onward"), F.col("p")], small_input, number)
+
+    # A pointer has arrived when the node it points at has none itself. Rounds
+    # are stored by arrival, so that each part is found without reading the other.
     state = lookup_join(
         pointers,
-        pointers,
-        [("p", "n")],
-        hot=hot,
+        pointers.select("onward", "n"),
+        KEY,
+        hot=hot(pointers),
         project=lambda joined: joined.select(
-            "target.n", "target.p", F.col("source.n").isNull().alias("arrived")
+            "target.onward", "target.n", "target.p", F.col("source.n").isNull().alias("arrived")
         ),
     )
-    state = _keep(state, work, f"{label}_0")
+    state = keep(state, work, "round_0", "arrived")
     arrived = [state.where("arrived")]
     moving = state.where("NOT arrived")
-    round_no = 0
-    left, hot = _progress(moving, small_input)
-    while left:
-        round_no += 1
+    left = moving.count()
+    for round_no in count(1):
+        if not left:
+            break
         # Nodes that move point at nodes with a pointer: the join always matches.
         jumped = lookup_join(
             moving,
             reduce(DataFrame.unionAll, [*arrived, moving]),
-            [("p", "n")],
+            KEY,
             how="inner",
-            hot=hot,
-            project=lambda joined: joined.select("target.n", "source.p", "source.arrived"),
+            hot=hot(moving, left),
+            project=lambda joined: joined.select(
+                "target.onward", "target.n", "source.p", "source.arrived"
+            ),
         )
-        state = _keep(jumped, work, f"{label}_{round_no}")
+        state = keep(jumped, work, f"round_{round_no}", "arrived")
         arrived.append(state.where("arrived"))
         moving = state.where("NOT arrived")
-        before, (left, hot) = left, _progress(moving, small_input)
+        before, left = left, moving.count()
         if left == before:
             # Depths have no gaps, so a round that resolves none leaves only
             # nodes in a cycle or on the way into one.
             break
-    ends = [part.select("n", "p") for part in arrived]
-    ends.append(moving.select("n", F.lit(None).cast(pointers.schema["p"].dataType).alias("p")))
-    return reduce(DataFrame.unionAll, ends)
-
-
-def _progress(moving: DataFrame, small_input: int) -> tuple[int, list[int]]:
-    """Number of moving nodes and the hot pointers among them, in one pass."""
-    found = moving.agg(
-        hot_sketch([F.col("p")]).alias("top"), F.count(F.lit(1)).alias("n")
-    ).first()
-    return found["n"], hot_from(found["top"], found["n"], small_input)
+    lost = F.lit(None).cast(pointers.schema["p"].dataType).alias("p")
+    ends = [part.select("onward", "n", "p") for part in arrived]
+    return reduce(DataFrame.unionAll, [*ends, moving.select("onward", "n", lost)])

@@ -26,31 +26,27 @@ def key_hash(columns: Sequence[Column]) -> Column:
     return F.xxhash64(*columns)
 
 
-def hot_sketch(columns: Sequence[Column], keep: Column | None = None) -> Column:
-    """Aggregate giving the most frequent key hashes with their estimated counts.
+def hot_hashes(
+    df: DataFrame,
+    columns: Sequence[Column],
+    small_input: int = SMALL_INPUT,
+    rows: int | None = None,
+) -> list[int]:
+    """Hashes of the keys that hold more than 1/HOT_LIMIT of the rows of ``df``.
 
-    Partial sketches merge, so nothing is shuffled but one small row per task.
+    Partial sketches merge, so a big input costs one pass over the key columns
+    and one small row per task. A small one costs only the count, or nothing
+    when the caller knows the number of ``rows``.
     """
-    hashed = key_hash(columns)
-    if keep is not None:
-        hashed = F.when(keep, hashed)
-    return F.call_function("approx_top_k", hashed, F.lit(HOT_LIMIT), F.lit(SKETCH_ITEMS))
-
-
-def hot_from(sketch: list, rows: int, small_input: int = SMALL_INPUT) -> list[int]:
-    """Hashes out of a sketch that hold more than 1/HOT_LIMIT of ``rows``."""
+    if rows is None:
+        rows = df.count()
     if rows <= small_input:
         return []
-    return [
-        e["item"] for e in sketch if e["item"] is not None and e["count"] * HOT_LIMIT > rows
-    ]
-
-
-def hot_hashes(
-    df: DataFrame, columns: Sequence[Column], small_input: int = SMALL_INPUT
-) -> list[int]:
-    found = df.agg(hot_sketch(columns).alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return hot_from(found["top"], found["n"], small_input)
+    sketch = F.call_function(
+        "approx_top_k", key_hash(columns), F.lit(HOT_LIMIT), F.lit(SKETCH_ITEMS)
+    )
+    top = df.agg(sketch.alias("top")).first()["top"]
+    return [e["item"] for e in top if e["count"] * HOT_LIMIT > rows]
 
 
 def lookup_join(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import equals_ignoring_quotes, without_quotes
+from millrace.functions.text import equals_ignoring_quotes
 
 # Columns of the rule table, by name.
 RULE_SCHEMA = T.StructType(
@@ -21,7 +21,7 @@ RULE_SCHEMA = T.StructType(
         T.StructField("enabled_flag", T.StringType()),
     ]
 )
-JOB_COLUMNS = ["table_name", "batch_number", "partition_column", "temporary_partition"]
+JOB_KEY = ["table_name", "batch_number", "partition_column"]
 ENABLED = "Y"
 
 
@@ -36,18 +36,24 @@ def update_worklist(rules: DataFrame, only: Column | None = None) -> DataFrame:
     Without a from-clause the job reads its own table. Batches sort as numbers,
     since later batches see the results of earlier ones.
     """
+    return _with_source(enabled_rules(rules, only), []).distinct().orderBy(*JOB_KEY)
+
+
+def job_rules(rules: DataFrame, only: Column | None = None) -> DataFrame:
+    """The rules behind the work list, in its order, one row per updated column."""
+    columns = [F.lower("update_column").alias("update_column"), F.col("case_when")]
+    return _with_source(enabled_rules(rules, only), columns).orderBy(*JOB_KEY)
+
+
+def _with_source(rules: DataFrame, more: list[Column]) -> DataFrame:
     source = F.coalesce(F.nullif(F.col("from_clause"), F.lit("")), F.col("table_name"))
-    return (
-        enabled_rules(rules, only)
-        .select(
-            "table_name",
-            F.col("batch_number").cast("bigint").alias("batch_number"),
-            "partition_column",
-            "temporary_partition",
-            source.alias("from_clause"),
-        )
-        .distinct()
-        .orderBy("table_name", "batch_number", "partition_column")
+    return rules.select(
+        "table_name",
+        F.col("batch_number").cast("bigint").alias("batch_number"),
+        "partition_column",
+        "temporary_partition",
+        source.alias("from_clause"),
+        *more,
     )
 
 
@@ -60,8 +66,3 @@ def rules_of_job(rules: DataFrame, table: str, batch: int, partition: str) -> Da
         .where(equals_ignoring_quotes(F.col("partition_column"), F.lit(partition)))
         .select(F.lower("update_column").alias("update_column"), "case_when")
     )
-
-
-def partition_key(partition: Column) -> Column:
-    """Spelling of a partition under which jobs are recognised."""
-    return without_quotes(partition)

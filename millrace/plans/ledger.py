@@ -1,15 +1,13 @@
-"""Ledger of update jobs: each fires once, and an interrupted one is resumed."""
+"""Ledger of finished update jobs, so that each fires once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.text import without_quotes
 from millrace.operators.tables import append_by_position
-from millrace.operators.worklist import partition_key
 
-STAGED = "STAGED"
-APPENDED = "APPENDED"
 DONE = "SUCCESS"
 
 
@@ -21,40 +19,27 @@ def create_ledger(spark: SparkSession, table: str) -> None:
     )
 
 
-def record(
-    spark: SparkSession, ledger: str, table: str, batch: int, partition: str, status: str
+def record_done(
+    spark: SparkSession, ledger: str, table: str, batch: int, partition: str
 ) -> None:
-    one = spark.range(1).select(
+    one = spark.range(0, 1, 1, 1).select(
         F.lit(table),
         F.lit(batch).cast("bigint"),
-        partition_key(F.lit(partition)),
-        F.lit(status),
+        without_quotes(F.lit(partition)),
+        F.lit(DONE),
         F.lit(spark.sparkContext.applicationId),
         F.current_timestamp(),
     )
     append_by_position(one, ledger)
 
 
-def pending_jobs(worklist: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Jobs without a finished run, in the work list's order."""
-    done = ledger.where(F.col("status") == DONE).select(
-        "table_name", "batch_number", "partition_key"
+def pending(rules: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Rules whose (table, batch, partition) has not been finished yet."""
+    done = ledger.where(F.col("status") == DONE)
+    return rules.alias("r").join(
+        done.alias("d"),
+        (F.col("r.table_name") == F.col("d.table_name"))
+        & (F.col("r.batch_number") == F.col("d.batch_number"))
+        & (without_quotes(F.col("r.partition_column")) == F.col("d.partition_key")),
+        "left_anti",
     )
-    keyed = worklist.withColumn("partition_key", partition_key(F.col("partition_column")))
-    return (
-        keyed.join(done, ["table_name", "batch_number", "partition_key"], "left_anti")
-        .select(*worklist.columns)
-        .orderBy("table_name", "batch_number", "partition_column")
-    )
-
-
-def is_recorded(
-    spark: SparkSession, ledger: str, table: str, batch: int, partition: str, status: str
-) -> bool:
-    hits = (
-        spark.table(ledger)
-        .where((F.col("table_name") == table) & (F.col("batch_number") == batch))
-        .where(F.col("partition_key") == partition_key(F.lit(partition)))
-        .where(F.col("status") == status)
-    )
-    return not hits.isEmpty()

@@ -24,9 +24,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.errors import ConflictingRulesError, DuplicateColumnError
-from millrace.functions.text import digits_grouped
-from millrace.operators.guards import duplicate_update_columns, require_equal_counts
+from millrace.errors import ConflictingRulesError
+from millrace.operators.guards import require_equal_counts, row_count_guard
 from millrace.operators.rewrite import Rule, rewrite_expressions
 from millrace.operators.tables import (
     STAGE_FORMAT,
@@ -37,7 +36,7 @@ from millrace.operators.tables import (
     rename_partition,
     session_setting,
 )
-from millrace.operators.worklist import rules_of_job, update_worklist
+from millrace.operators.worklist import JOB_KEY, job_rules
 from millrace.plans import ledger as ledgers
 from millrace.plans.audit import Run, audited
 from millrace.sources.catalog import read_partition
@@ -53,9 +52,14 @@ TEMP_DROPPED = "DROP_TEMP_PARTITION"
 OVERWRITE = "overwrite"
 RENAME = "rename"
 
+# States of a stage, kept as a property of the stage table itself.
+STATE_PROPERTY = "millrace.state"
+CHECKED = "CHECKED"
+APPENDED = "APPENDED"
+
 STEP_SCHEMA = (
     "table_name string, batch_number bigint, partition_column string, step_no int, "
-    "step string, statement string, original_count bigint, new_count bigint"
+    "step string, statement string, row_count bigint"
 )
 
 
@@ -164,66 +168,52 @@ def _qualifier(spark: SparkSession, job: UpdateJob, names: Sequence[str]) -> str
     return f"`{short}`"
 
 
-def jobs_of(spark: SparkSession, worklist: DataFrame, rules: DataFrame) -> list[UpdateJob]:
-    """Jobs in order, each with its rules.
+def pending_jobs(
+    spark: SparkSession,
+    rules: DataFrame,
+    ledger: str | None = None,
+    only: Column | None = None,
+) -> list[UpdateJob]:
+    """Jobs in the order they apply, each with its rules.
 
-    The work list steers the driver's loop, one Spark write per row; it and the
-    rules (at most one per table column) are control data, not table data.
+    The rules steer the driver's loop, one Spark write per job. They are control
+    data, at most one row per table column and batch, and read in one go.
     """
-    jobs = []
-    seen: dict[tuple, tuple] = {}
-    for row in worklist.toLocalIterator():
-        needed = ("table_name", "batch_number", "partition_column")
-        empty = [name for name in needed if row[name] is None]
+    if ledger is not None:
+        ledgers.create_ledger(spark, ledger)
+        rules = ledgers.pending(rules, spark.table(ledger))
+    found: dict[tuple, list] = {}
+    for row in job_rules(rules, only).collect():
+        empty = [name for name in JOB_KEY if row[name] is None]
         if empty:
             raise ConflictingRulesError(f"rule without {', '.join(empty)}: {row}")
         key = (row.table_name, row.batch_number, row.partition_column.replace("'", ""))
-        how = (row.temporary_partition, row.from_clause)
-        if key in seen:
-            if seen[key] != how:
-                raise ConflictingRulesError(
-                    f"rules of {key} disagree on from-clause or temporary partition"
-                )
-            continue
-        seen[key] = how
-        found = rules_of_job(rules, row.table_name, row.batch_number, row.partition_column)
-        jobs.append(
-            UpdateJob(
-                row.table_name,
-                row.batch_number,
-                row.partition_column,
-                row.temporary_partition,
-                row.from_clause,
-                tuple(Rule(r.update_column, r.case_when) for r in found.collect()),
-            )
+        found.setdefault(key, []).append(row)
+    jobs = []
+    for rows in found.values():
+        first = rows[0]
+        job = UpdateJob(
+            first.table_name,
+            first.batch_number,
+            first.partition_column,
+            first.temporary_partition,
+            first.from_clause,
+            tuple(Rule(r.update_column, r.case_when) for r in rows),
         )
-    return jobs
-
-
-def _prepared(
-    spark: SparkSession, rules: DataFrame, ledger: str | None, only: Column | None
-) -> list[UpdateJob]:
-    worklist = update_worklist(rules, only)
-    if ledger is not None:
-        ledgers.create_ledger(spark, ledger)
-        worklist = ledgers.pending_jobs(worklist, spark.table(ledger))
-    wanted = worklist.select("table_name", "batch_number").distinct()
-    pending = rules.join(wanted, ["table_name", "batch_number"], "left_semi")
-    clash = duplicate_update_columns(pending).head(3)
-    if clash:
-        raise DuplicateColumnError(
-            "columns updated twice in one batch: "
-            + "; ".join(
-                f"{c.table_name} batch {c.batch_number} {c.partition_key}: {c.update_column}"
-                for c in clash
+        if len({(r.temporary_partition, r.from_clause) for r in rows}) > 1:
+            raise ConflictingRulesError(
+                f"{job.title}: rules disagree on from-clause or temporary partition"
             )
-        )
-    return jobs_of(spark, worklist, rules)
+        jobs.append(job)
+    return jobs
 
 
-def _counts(spark: SparkSession, plan: JobPlan, rewritten: DataFrame) -> tuple[int, int]:
-    before = read_partition(spark, plan.job.table, plan.spec.sql).count()
-    return before, rewritten.count()
+def _checked_count(spark: SparkSession, plan: JobPlan, rewritten: DataFrame) -> int:
+    """Rows of the partition, provided the rewrite has as many."""
+    before = read_partition(spark, plan.job.table, plan.spec.sql)
+    counts = row_count_guard(before, rewritten).first()
+    require_equal_counts(counts.original_count, counts.new_count, plan.job.title)
+    return counts.new_count
 
 
 def dry_run(
@@ -234,20 +224,17 @@ def dry_run(
     ledger: str | None = None,
     only: Column | None = None,
 ) -> DataFrame:
-    """Ordered statements of all pending jobs, with both row counts of each job.
+    """Ordered statements of all pending jobs, with the checked row count of each job.
 
     Reads and rewrites for the counts but changes nothing. Every job is judged
     on the tables as they are, not as earlier jobs would leave them.
     """
     rows = []
-    for job in _prepared(spark, rules, ledger, only):
+    for job in pending_jobs(spark, rules, ledger, only):
         plan = plan_job(spark, job, mode)
-        before, after = _counts(spark, plan, spark.sql(plan.select))
-        require_equal_counts(before, after, job.title)
+        n = _checked_count(spark, plan, spark.sql(plan.select))
         for number, (step, statement) in enumerate(plan.statements, 1):
-            rows.append(
-                (job.table, job.batch, job.partition, number, step, statement, before, after)
-            )
+            rows.append((job.table, job.batch, job.partition, number, step, statement, n))
     return spark.createDataFrame(rows, STEP_SCHEMA)
 
 
@@ -268,75 +255,70 @@ def run_updates(
     stay applied and the audit row names the last step reached.
     """
     with audited(spark, job_name, audit_table) as run:
-        jobs = _prepared(spark, rules, ledger, only)
-        for job in jobs:
-            run_job(spark, job, run, mode=mode, ledger=ledger)
+        jobs = pending_jobs(spark, rules, ledger, only)
+        # Planning all jobs first finds bad rules before anything has changed.
+        plans = [plan_job(spark, job, mode) for job in jobs]
+        for plan in plans:
+            run_job(spark, plan, run, ledger)
         return jobs
 
 
-def run_job(
-    spark: SparkSession,
-    job: UpdateJob,
-    run: Run,
-    *,
-    mode: str = OVERWRITE,
-    ledger: str | None = None,
-) -> None:
+def run_job(spark: SparkSession, plan: JobPlan, run: Run, ledger: str | None = None) -> None:
     """Stage, check and commit one job.
 
-    A stage that an earlier, interrupted run has checked is committed as it is.
+    With a ledger, a stage that an earlier, interrupted run has checked is
+    committed as it is. The stage goes last, since until the ledger knows the
+    job it is the way back.
     """
-
-    def note(status: str) -> None:
-        if ledger is not None:
-            ledgers.record(spark, ledger, job.table, job.batch, job.partition, status)
-
-    def reached(status: str) -> bool:
-        return ledger is not None and ledgers.is_recorded(
-            spark, ledger, job.table, job.batch, job.partition, status
-        )
-
-    run.message = f"{job.title}: {CONFIGURED}"
-    plan = plan_job(spark, job, mode)
-    run.message = f"{job.title}: {COLUMNS_FOUND}"
-    resumed = spark.catalog.tableExists(job.stage) and reached(ledgers.STAGED)
-    if not resumed:
+    job = plan.job
+    run.message = f"{job.title}: {CONFIGURED}, {COLUMNS_FOUND}"
+    state = _stage_state(spark, job.stage) if ledger is not None else None
+    if state is None:
         drop_table(spark, job.stage)
         spark.sql(plan.stage_statement)
-        # Counted from the files that were written, not by evaluating again.
-        before, after = _counts(spark, plan, spark.table(job.stage))
         try:
-            require_equal_counts(before, after, job.title)
+            # Counted from the files that were written, not by evaluating again.
+            rows = _checked_count(spark, plan, spark.table(job.stage))
         except Exception:
             drop_table(spark, job.stage)
             raise
-        note(ledgers.STAGED)
-    staged = spark.table(job.stage).agg(digits_grouped(F.count(F.lit(1)))).first()[0]
-    run.message = f"{job.title}: {TRANSFORMED} ({staged} rows)"
+        _set_stage_state(spark, job.stage, CHECKED)
+        run.message = f"{job.title}: {TRANSFORMED} ({rows:,} rows)"
+    else:
+        run.message = f"{job.title}: {TRANSFORMED} (in an earlier run)"
+
     if plan.mode == OVERWRITE:
-        _commit(spark, plan, run, note)
+        spark.sql(plan.commit[0][1])
+        run.message = f"{job.title}: {INSERTED}"
     else:
-        appended = resumed and reached(ledgers.APPENDED)
-        _commit_by_rename(spark, plan, run, note, resumed, appended)
+        _commit_by_rename(spark, plan, run, state)
+        run.message = f"{job.title}: {TEMP_DROPPED}"
+    if ledger is not None:
+        ledgers.record_done(spark, ledger, job.table, job.batch, job.partition)
+    spark.sql(plan.commit[-1][1])
+
+
+def _stage_state(spark: SparkSession, stage: str) -> str | None:
+    """How far an earlier run got with this stage, or None if it must be redone."""
+    if not spark.catalog.tableExists(stage):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {stage}").where(F.col("key") == STATE_PROPERTY)
+    row = found.first()
+    return row.value if row is not None else None
 
 
-def _commit(spark: SparkSession, plan: JobPlan, run: Run, note) -> None:
-    (_, replace), (_, drop_stage) = plan.commit
-    spark.sql(replace)
-    run.message = f"{plan.job.title}: {INSERTED}"
-    # Only then may the stage go: until the ledger says so, it is the way back.
-    note(ledgers.DONE)
-    spark.sql(drop_stage)
+def _set_stage_state(spark: SparkSession, stage: str, state: str) -> None:
+    spark.sql(f"ALTER TABLE {stage} SET TBLPROPERTIES ('{STATE_PROPERTY}' = '{state}')")
 
 
 def _commit_by_rename(
-    spark: SparkSession, plan: JobPlan, run: Run, note, resumed: bool, appended: bool
+    spark: SparkSession, plan: JobPlan, run: Run, state: str | None
 ) -> None:
     job = plan.job
     aside = PartitionSpec.parse(job.temporary_partition)
-    (_, rename), (_, insert), (_, drop_old), (_, drop_stage) = plan.commit
-    if not appended:
-        if resumed and partition_exists(spark, job.table, aside):
+    (_, rename), (_, insert), (_, drop_old), _ = plan.commit
+    if state != APPENDED:
+        if state == CHECKED and partition_exists(spark, job.table, aside):
             if plan.moves_rows:
                 # Moved rows may already sit in other partitions, among theirs.
                 raise ConflictingRulesError(
@@ -356,12 +338,9 @@ def _commit_by_rename(
             # A failed insert commits no files, so nothing has moved yet.
             _restore(spark, plan, aside)
             raise
-        note(ledgers.APPENDED)
+        _set_stage_state(spark, job.stage, APPENDED)
     run.message = f"{job.title}: {INSERTED}"
     spark.sql(drop_old)
-    note(ledgers.DONE)
-    spark.sql(drop_stage)
-    run.message = f"{job.title}: {TEMP_DROPPED}"
 
 
 def _restore(spark: SparkSession, plan: JobPlan, aside: PartitionSpec) -> None:

@@ -81,7 +81,8 @@ FROM requests LEFT JOIN endpoints s ON s.node = source
 def chain_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per event; many ask for nodes no edge mentions."""
     work = Workspace(spark, "chain_lookup")
-    endpoints = chains.chain_endpoints(event_edges(spark, sf_dir), work)
+    found = chains.chain_endpoints(event_edges(spark, sf_dir), work)
+    endpoints = chains.keep(found, work, "endpoints")
     requests = load(spark, sf_dir, "events").selectExpr(
         "event_id as request_id", "event_id * 2 as source", "event_id + user_id as destination"
     )

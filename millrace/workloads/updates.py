@@ -166,7 +166,7 @@ steps(batch_number, step_no, step, statement) AS (VALUES
   (2, 4, 'DROP_TEMP_PARTITION', 'ALTER TABLE'),
   (2, 5, 'DROP_TEMP_PARTITION', 'DROP TABLE'))
 SELECT CAST(batch_number AS BIGINT) AS batch_number, step_no, step, statement,
-       n AS original_count, n AS new_count
+       n AS row_count
 FROM steps, counts
 """)
 def update_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def update_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.substring_index("statement", " ", 2)
     return update.dry_run(spark, rules).select(
         "batch_number", "step_no", "step", words.alias("statement"),
-        "original_count", "new_count",
+        "row_count",
     )
 
 

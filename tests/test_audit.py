@@ -1,0 +1,57 @@
+import pytest
+
+from millrace.plans import audit
+from millrace.session import Workspace, build_session, shared_dir
+
+
+def test_clock_has_twelve_hours_and_seconds_are_cut(spark):
+    day = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC
+    runs = spark.createDataFrame(
+        [
+            ("b", "job", day + 5 * 60_000, day + 13 * 3_600_000 + 5 * 60_000 + 999, "SUCCESS", "m"),
+            ("b", "job", day + 1_999, day, "FAILED", None),
+        ],
+        audit.RUN_SCHEMA,
+    )
+    first, second = audit.audit_rows(runs).collect()
+    assert first.refresh_start_time == "2024-01-01 12:05:00"
+    assert first.refresh_end_time == "2024-01-01 01:05:00"
+    assert first.refresh_runtime == 13 * 3600
+    assert second.refresh_runtime == -1
+    assert (first.refresh_mode, first.refresh_rec_count) == ("NA", 0)
+    assert audit.audit_rows(runs).schema.names == audit.AUDIT_SCHEMA.names
+    assert [f.dataType for f in audit.audit_rows(runs).schema] == [
+        f.dataType for f in audit.AUDIT_SCHEMA
+    ]
+
+
+def test_audited_block_writes_one_row_either_way(spark, work):
+    table = work.table("audit")
+    audit.create_audit_table(spark, table)
+    with audit.audited(spark, "good", table) as run:
+        run.message = "done"
+    with pytest.raises(KeyError):
+        with audit.audited(spark, "bad", table) as run:
+            run.message = "step"
+            raise KeyError("gone")
+    rows = {r.source_tbl_name: r for r in spark.table(table).collect()}
+    assert (rows["good"].refresh_status, rows["good"].message) == ("SUCCESS", "done")
+    assert (rows["bad"].refresh_status, rows["bad"].message) == ("FAILED", "step: 'gone'")
+    with audit.audited(spark, "silent", None):
+        pass
+    assert spark.table(table).count() == 2
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    workspace = Workspace(spark, "x")
+    spark.range(3).write.saveAsTable(workspace.table("t"))
+    assert workspace.location.startswith(shared_dir(spark))
+    workspace.drop()
+    assert not spark.catalog.databaseExists(workspace.database)
+
+
+def test_build_session_reuses_the_running_one(spark):
+    again = build_session("x", dynamic_partitions=True)
+    assert again.sparkContext is spark.sparkContext
+    assert again.conf.get("hive.exec.dynamic.partition.mode") == "nonstrict"

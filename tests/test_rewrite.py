@@ -1,0 +1,114 @@
+import pytest
+from conftest import plan_of
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
+
+from millrace.errors import DuplicateColumnError, FanOutError, UnknownColumnError
+from millrace.operators import guards, skew
+from millrace.operators.rewrite import Rule, conditional_update, update_from_join
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.createDataFrame(
+        [(1, 10, "a"), (2, None, "b"), (3, 30, None)], "Id int, v int, s string"
+    )
+
+
+def test_rules_read_old_values_and_keep_types(rows):
+    out = conditional_update(
+        rows,
+        [
+            Rule("V", "when s = 'a' then id * 1.0D when s is null then 7"),
+            Rule("id", "when v > 5 then v"),
+        ],
+    )
+    assert out.dtypes == rows.dtypes
+    assert [tuple(r) for r in out.collect()] == [(10, 1, "a"), (2, None, "b"), (30, 7, None)]
+
+
+def test_first_matching_branch_wins_and_null_condition_keeps(rows):
+    out = conditional_update(rows, [Rule("v", "when v > 5 then 1 when v > 20 then 2")])
+    assert [r.v for r in out.collect()] == [1, None, 1]
+
+
+def test_bad_rules_are_refused(rows):
+    with pytest.raises(UnknownColumnError):
+        conditional_update(rows, [Rule("nope", "when true then 1")])
+    with pytest.raises(DuplicateColumnError):
+        conditional_update(rows, [Rule("v", "when true then 1"), Rule("V", "when true then 2")])
+    with pytest.raises(ArithmeticException):
+        conditional_update(rows, [Rule("v", "when true then 3000000000")]).collect()
+
+
+def test_many_rules_are_one_projection(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    out = conditional_update(df, [Rule("l_tax", "when l_quantity > 3 then 0.0")])
+    plan = plan_of(out.select("l_tax"))
+    assert "Exchange" not in plan and "Python" not in plan
+    schema = plan[plan.index("ReadSchema"):]
+    assert "l_quantity" in schema and "l_orderkey" not in schema
+
+
+def lookup(spark, pairs):
+    return spark.createDataFrame(pairs, "k int, w int")
+
+
+def test_join_update_keeps_unmatched_rows(spark):
+    target = spark.createDataFrame([(1, 5), (2, 6), (None, 7)], "k int, v int")
+    source = lookup(spark, [(1, 50), (9, 90), (9, 91)])
+    out = update_from_join(target, source, [("k", "k")], [Rule("v", "when w > 0 then w")])
+    assert sorted(r.v for r in out.collect()) == [6, 7, 50]
+    assert out.columns == ["k", "v"]
+
+
+def test_matched_duplicate_is_refused(spark):
+    target = spark.createDataFrame([(1, 5)], "k int, v int")
+    with pytest.raises(FanOutError):
+        update_from_join(
+            target, lookup(spark, [(1, 1), (1, 2)]), [("k", "k")], [Rule("v", "when w=1 then w")]
+        )
+
+
+def test_hot_and_null_keys_give_the_plain_join(spark):
+    target = spark.range(30_000).selectExpr(
+        "case when id % 3 = 0 then 1 when id % 3 = 1 then null else cast(id as int) end as k",
+        "cast(id as int) as v",
+    )
+    source = spark.range(0, 40_000, 1, 4).selectExpr("cast(id as int) as k", "cast(id * 2 as int) as w")
+    key = [target["k"]]
+    hot = skew.hot_hashes(target, key, small_input=0)
+    assert len(hot) == 2
+    assert skew.hot_hashes(target, key) == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rule = [Rule("v", "when source.w is not null then source.w")]
+        plain = update_from_join(target, source, [("k", "k")], rule)
+        split = update_from_join(target, source, [("k", "k")], rule, small_input=0)
+        plan = plan_of(split)
+        assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        assert "Union" not in plan_of(plain)
+        assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+        assert split.count() == 30_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_split_needs_equal_types(spark):
+    a = spark.range(10).selectExpr("id as k")
+    b = spark.range(10).selectExpr("cast(id as int) as k")
+    with pytest.raises(ValueError):
+        skew.lookup_join(a, b, [("k", "k")], hot=[1])
+
+
+def test_count_guards(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    right = spark.createDataFrame([(1, 0), (1, 0), (3, 0), (None, 0)], "k int, x int")
+    got = guards.join_count_guard(left, right, [("k", "k")]).first()
+    assert tuple(got) == (4, left.join(right, "k", "left").count(), False)
+    assert tuple(guards.row_count_guard(left, left.select(F.lit(1))).first()) == (4, 4, True)
+    assert tuple(guards.row_count_guard(left, left.limit(0)).first()) == (4, 0, False)
+    empty = left.limit(0)
+    assert tuple(guards.join_count_guard(empty, right, [("k", "k")]).first()) == (0, 0, True)
+    many = spark.range(1_234_567)
+    assert guards.count_message(many).first()[0] == "1,234,567"
