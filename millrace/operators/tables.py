@@ -96,7 +96,48 @@ def drop_partition_if_exists(spark: SparkSession, table: str, spec: PartitionSpe
 
 
 def partition_exists(spark: SparkSession, table: str, spec: PartitionSpec) -> bool:
-    return not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec.sql})").isEmpty()
+    return bool(spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec.sql})").collect())
+
+
+def _described(spark: SparkSession, statement: str, name: str) -> str | None:
+    # Collecting a catalog command as it is runs no job.
+    for row in spark.sql(statement).collect():
+        if row.col_name == name:
+            return row.data_type
+    return None
+
+
+def table_provider(spark: SparkSession, table: str) -> str:
+    return (_described(spark, f"DESCRIBE TABLE EXTENDED {table}", "Provider") or "").lower()
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return _described(spark, f"DESCRIBE TABLE EXTENDED {table}", "Location")
+
+
+def partition_location(spark: SparkSession, table: str, spec: PartitionSpec) -> str:
+    return _described(
+        spark, f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec.sql})", "Location"
+    )
+
+
+def purge_statements(helper: str, location: str) -> list[str]:
+    """Delete a folder no table uses any more, by SQL alone.
+
+    A helper table adopts the folder as a partition and drops it with its files.
+    """
+    return [
+        f"CREATE TABLE {helper} (x int, p string) USING parquet PARTITIONED BY (p)",
+        f"ALTER TABLE {helper} ADD PARTITION (p='0') LOCATION '{location}'",
+        f"ALTER TABLE {helper} DROP PARTITION (p='0')",
+        f"DROP TABLE {helper}",
+    ]
+
+
+def purge_location(spark: SparkSession, helper: str, location: str) -> None:
+    drop_table(spark, helper)
+    for statement in purge_statements(helper, location):
+        spark.sql(statement)
 
 
 def rename_chain(spark: SparkSession, renames: list[tuple[str, str]]) -> None:

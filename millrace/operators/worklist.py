@@ -40,9 +40,9 @@ def update_worklist(rules: DataFrame, only: Column | None = None) -> DataFrame:
 
 
 def job_rules(rules: DataFrame, only: Column | None = None) -> DataFrame:
-    """The rules behind the work list, in its order, one row per updated column."""
+    """The rules behind the work list, one row per updated column."""
     columns = [F.lower("update_column").alias("update_column"), F.col("case_when")]
-    return _with_source(enabled_rules(rules, only), columns).orderBy(*JOB_KEY)
+    return _with_source(enabled_rules(rules, only), columns)
 
 
 def _with_source(rules: DataFrame, more: list[Column]) -> DataFrame:

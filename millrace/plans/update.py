@@ -4,7 +4,7 @@ A table of rules says which columns of which partition take which values. Each
 job becomes an ordered list of SQL statements; running the job executes them
 and a dry run returns them, so what is shown is what would happen.
 
-Two ways to commit a rewritten partition:
+Three ways to commit a rewritten partition:
 
 ``overwrite``  stage the rewritten rows, check them, replace the partition from
                the stage. Readers never see it missing or twice, and an
@@ -12,20 +12,25 @@ Two ways to commit a rewritten partition:
 ``rename``     stage, move the old partition aside under its recovery name,
                append the stage, drop the old rows. Used for rules that rewrite
                the partition column itself, since such rows change partition.
+``relocate``   write the rewritten rows to a folder of their own, check them,
+               point the partition there and delete the old files. The rows
+               are written once instead of twice and the switch is a single
+               catalog operation, at the price of partitions that do not sit
+               in the table's default folders. Parquet and ORC tables only.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.errors import ConflictingRulesError
-from millrace.operators.guards import require_equal_counts, row_count_guard
+from millrace.operators.guards import require_equal_counts
 from millrace.operators.rewrite import Rule, rewrite_expressions
 from millrace.operators.tables import (
     STAGE_FORMAT,
@@ -33,8 +38,13 @@ from millrace.operators.tables import (
     drop_partition_if_exists,
     drop_table,
     partition_exists,
+    partition_location,
+    purge_location,
+    purge_statements,
     rename_partition,
     session_setting,
+    table_location,
+    table_provider,
 )
 from millrace.operators.worklist import JOB_KEY, job_rules
 from millrace.plans import ledger as ledgers
@@ -51,9 +61,15 @@ TEMP_DROPPED = "DROP_TEMP_PARTITION"
 
 OVERWRITE = "overwrite"
 RENAME = "rename"
+RELOCATE = "relocate"
+MODES = (OVERWRITE, RENAME, RELOCATE)
+SELF_DESCRIBING = ("parquet", "orc")
+# Folder below the table's own that path listings skip.
+RELOCATED = "_rewritten"
 
 # States of a stage, kept as a property of the stage table itself.
 STATE_PROPERTY = "millrace.state"
+REPLACED_PROPERTY = "millrace.replaced_location"
 CHECKED = "CHECKED"
 APPENDED = "APPENDED"
 
@@ -84,6 +100,10 @@ class UpdateJob:
         mark = zlib.crc32(self.partition.replace("'", "").encode())
         return f"{self.table}_tmp_{self.batch}_{mark:08x}"
 
+    @property
+    def helper(self) -> str:
+        return f"{self.stage}_old"
+
 
 @dataclass
 class JobPlan:
@@ -93,6 +113,8 @@ class JobPlan:
     mode: str
     spec: PartitionSpec
     select: str
+    provider: str = STAGE_FORMAT
+    location: str | None = None
     commit: list[tuple[str, str]] = field(default_factory=list)
 
     @property
@@ -102,7 +124,8 @@ class JobPlan:
 
     @property
     def stage_statement(self) -> str:
-        return f"CREATE TABLE {self.job.stage} USING {STAGE_FORMAT} AS {self.select}"
+        place = f" LOCATION '{self.location}'" if self.location else ""
+        return f"CREATE TABLE {self.job.stage} USING {self.provider}{place} AS {self.select}"
 
     @property
     def statements(self) -> list[tuple[str, str]]:
@@ -111,7 +134,7 @@ class JobPlan:
 
 def plan_job(spark: SparkSession, job: UpdateJob, mode: str = OVERWRITE) -> JobPlan:
     """Turn a job into statements; nothing is read but the catalog."""
-    if mode not in (OVERWRITE, RENAME):
+    if mode not in MODES:
         raise ValueError(f"unknown mode: {mode!r}")
     schema = spark.table(job.table).schema
     spec = PartitionSpec.parse(job.partition)
@@ -123,8 +146,27 @@ def plan_job(spark: SparkSession, job: UpdateJob, mode: str = OVERWRITE) -> JobP
     if plan.moves_rows:
         plan.mode = RENAME
     drop_stage = f"DROP TABLE {job.stage}"
+    kept = ", ".join(f"`{c}`" for c in schema.names if c.lower() != spec.column.lower())
+    if plan.mode == RELOCATE:
+        plan.provider = table_provider(spark, job.table)
+        if plan.provider not in SELF_DESCRIBING:
+            raise ValueError(f"{job.title}: cannot relocate {plan.provider} partitions")
+        # A folder is never used twice, so a lost writer cannot spoil a later one.
+        root = table_location(spark, job.table)
+        plan.location = f"{root}/{RELOCATED}/{job.batch}-{uuid.uuid4().hex}"
+        plan.select = f"SELECT {kept} FROM ({select})"
+        old = partition_location(spark, job.table, spec)
+        plan.commit = [
+            (
+                INSERTED,
+                f"ALTER TABLE {job.table} PARTITION ({spec.sql}) "
+                f"SET LOCATION '{plan.location}'",
+            ),
+            *[(TEMP_DROPPED, text) for text in purge_statements(job.helper, old)],
+            (TEMP_DROPPED, drop_stage),
+        ]
+        return plan
     if plan.mode == OVERWRITE:
-        kept = ", ".join(f"`{c}`" for c in schema.names if c.lower() != spec.column.lower())
         plan.commit = [
             (
                 INSERTED,
@@ -183,24 +225,26 @@ def pending_jobs(
         ledgers.create_ledger(spark, ledger)
         rules = ledgers.pending(rules, spark.table(ledger))
     found: dict[tuple, list] = {}
-    for row in job_rules(rules, only).collect():
+    rows = job_rules(rules, only).collect()
+    for row in rows:
         empty = [name for name in JOB_KEY if row[name] is None]
         if empty:
             raise ConflictingRulesError(f"rule without {', '.join(empty)}: {row}")
+    for row in sorted(rows, key=lambda r: [r[name] for name in JOB_KEY]):
         key = (row.table_name, row.batch_number, row.partition_column.replace("'", ""))
         found.setdefault(key, []).append(row)
     jobs = []
-    for rows in found.values():
-        first = rows[0]
+    for same in found.values():
+        first = same[0]
         job = UpdateJob(
             first.table_name,
             first.batch_number,
             first.partition_column,
             first.temporary_partition,
             first.from_clause,
-            tuple(Rule(r.update_column, r.case_when) for r in rows),
+            tuple(Rule(r.update_column, r.case_when) for r in same),
         )
-        if len({(r.temporary_partition, r.from_clause) for r in rows}) > 1:
+        if len({(r.temporary_partition, r.from_clause) for r in same}) > 1:
             raise ConflictingRulesError(
                 f"{job.title}: rules disagree on from-clause or temporary partition"
             )
@@ -211,9 +255,9 @@ def pending_jobs(
 def _checked_count(spark: SparkSession, plan: JobPlan, rewritten: DataFrame) -> int:
     """Rows of the partition, provided the rewrite has as many."""
     before = read_partition(spark, plan.job.table, plan.spec.sql)
-    counts = row_count_guard(before, rewritten).first()
-    require_equal_counts(counts.original_count, counts.new_count, plan.job.title)
-    return counts.new_count
+    original, new = before.count(), rewritten.count()
+    require_equal_counts(original, new, plan.job.title)
+    return new
 
 
 def dry_run(
@@ -281,8 +325,13 @@ def run_job(spark: SparkSession, plan: JobPlan, run: Run, ledger: str | None = N
             rows = _checked_count(spark, plan, spark.table(job.stage))
         except Exception:
             drop_table(spark, job.stage)
+            if plan.location:
+                purge_location(spark, job.helper, plan.location)
             raise
-        _set_stage_state(spark, job.stage, CHECKED)
+        if plan.mode == RELOCATE:
+            old = partition_location(spark, job.table, plan.spec)
+            _set_stage_property(spark, job.stage, REPLACED_PROPERTY, old)
+        _set_stage_property(spark, job.stage, STATE_PROPERTY, CHECKED)
         run.message = f"{job.title}: {TRANSFORMED} ({rows:,} rows)"
     else:
         run.message = f"{job.title}: {TRANSFORMED} (in an earlier run)"
@@ -290,9 +339,10 @@ def run_job(spark: SparkSession, plan: JobPlan, run: Run, ledger: str | None = N
     if plan.mode == OVERWRITE:
         spark.sql(plan.commit[0][1])
         run.message = f"{job.title}: {INSERTED}"
+    elif plan.mode == RELOCATE:
+        _commit_by_relocation(spark, plan, run)
     else:
         _commit_by_rename(spark, plan, run, state)
-        run.message = f"{job.title}: {TEMP_DROPPED}"
     if ledger is not None:
         ledgers.record_done(spark, ledger, job.table, job.batch, job.partition)
     spark.sql(plan.commit[-1][1])
@@ -302,13 +352,27 @@ def _stage_state(spark: SparkSession, stage: str) -> str | None:
     """How far an earlier run got with this stage, or None if it must be redone."""
     if not spark.catalog.tableExists(stage):
         return None
-    found = spark.sql(f"SHOW TBLPROPERTIES {stage}").where(F.col("key") == STATE_PROPERTY)
-    row = found.first()
-    return row.value if row is not None else None
+    return _stage_property(spark, stage, STATE_PROPERTY)
+
+
+def _stage_property(spark: SparkSession, stage: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {stage}").collect()
+    return {row.key: row.value for row in rows}.get(key)
+
 
+def _set_stage_property(spark: SparkSession, stage: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {stage} SET TBLPROPERTIES ('{key}' = '{value}')")
 
-def _set_stage_state(spark: SparkSession, stage: str, state: str) -> None:
-    spark.sql(f"ALTER TABLE {stage} SET TBLPROPERTIES ('{STATE_PROPERTY}' = '{state}')")
+
+def _commit_by_relocation(spark: SparkSession, plan: JobPlan, run: Run) -> None:
+    """Point the partition at the stage's files, which may stem from an earlier run."""
+    job = plan.job
+    new = table_location(spark, job.stage)
+    spark.sql(f"ALTER TABLE {job.table} PARTITION ({plan.spec.sql}) SET LOCATION '{new}'")
+    run.message = f"{job.title}: {INSERTED}"
+    old = _stage_property(spark, job.stage, REPLACED_PROPERTY)
+    purge_location(spark, job.helper, old)
+    run.message = f"{job.title}: {TEMP_DROPPED}"
 
 
 def _commit_by_rename(
@@ -338,9 +402,10 @@ def _commit_by_rename(
             # A failed insert commits no files, so nothing has moved yet.
             _restore(spark, plan, aside)
             raise
-        _set_stage_state(spark, job.stage, APPENDED)
+        _set_stage_property(spark, job.stage, STATE_PROPERTY, APPENDED)
     run.message = f"{job.title}: {INSERTED}"
     spark.sql(drop_old)
+    run.message = f"{job.title}: {TEMP_DROPPED}"
 
 
 def _restore(spark: SparkSession, plan: JobPlan, aside: PartitionSpec) -> None:

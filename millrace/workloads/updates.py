@@ -108,6 +108,14 @@ def partition_update_by_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+@query(TWO_BATCHES)
+def partition_update_by_relocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "update_by_relocation")
+    table = partitioned_lineitem(spark, sf_dir, work)
+    two_batches(spark, table, update.RELOCATE, work)
+    return spark.table(table)
+
+
 @query("""
 SELECT * REPLACE (
   CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'A' ELSE l_returnflag END

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from millrace.errors import (
     RowCountMismatchError,
     UnknownColumnError,
 )
-from millrace.operators import worklist
+from millrace.operators import tables, worklist
 from millrace.plans import audit, update
 
 
@@ -50,7 +52,7 @@ def t(spark, work):
     return Setup(spark, work)
 
 
-MODES = pytest.mark.parametrize("mode", [update.OVERWRITE, update.RENAME])
+MODES = pytest.mark.parametrize("mode", update.MODES)
 
 
 @MODES
@@ -114,40 +116,72 @@ def lose(monkeypatch, module, name):
 
 def lose_append_mark(monkeypatch):
     """The driver dies after the rows were appended, before the stage says so."""
-    real = update._set_stage_state
+    real = update._set_stage_property
 
-    def mark(spark, stage, state):
-        if state == update.APPENDED:
+    def mark(spark, stage, key, value):
+        if value == update.APPENDED:
             raise RuntimeError("lost driver")
-        real(spark, stage, state)
+        real(spark, stage, key, value)
 
-    monkeypatch.setattr(update, "_set_stage_state", mark)
+    monkeypatch.setattr(update, "_set_stage_property", mark)
 
 
-def test_failed_commit_leaves_target_and_resumes(t, monkeypatch):
+@pytest.mark.parametrize(
+    "mode, commit",
+    [(update.OVERWRITE, "INSERT OVERWRITE"), (update.RELOCATE, "ALTER TABLE {t} PARTITION")],
+)
+def test_failed_commit_leaves_target_and_resumes(t, monkeypatch, mode, commit):
     before = t.rows()
     rule = t.rule("v", "when true then v + 1")
-    break_statement(monkeypatch, "INSERT OVERWRITE")
+    break_statement(monkeypatch, commit.format(t=t.table))
     with pytest.raises(RuntimeError):
-        t.run(rule, ledger=t.ledger)
+        t.run(rule, ledger=t.ledger, mode=mode)
     assert t.rows() == before
     assert t.statuses() == ["FAILED"]
     message = t.spark.table(t.audit).first().message
     assert update.TRANSFORMED in message and "(2 rows)" in message and "lost" in message
-    t.run(rule, ledger=t.ledger)
-    assert (1, 2.0, "a") in t.rows()
+    t.run(rule, ledger=t.ledger, mode=mode)
+    assert (1, 2.0, "a") in t.rows() and len(t.rows()) == 4
     assert t.tables() == {"t", "audit", "ledger"}
 
 
-def test_crash_after_commit_does_not_apply_twice(t, monkeypatch):
+@pytest.mark.parametrize("mode", [update.OVERWRITE, update.RELOCATE])
+def test_crash_after_commit_does_not_apply_twice(t, monkeypatch, mode):
     rule = t.rule("v", "when true then v + 1")
     lose(monkeypatch, update.ledgers, "record_done")
     with pytest.raises(RuntimeError):
-        t.run(rule, ledger=t.ledger)
+        t.run(rule, ledger=t.ledger, mode=mode)
     monkeypatch.undo()
     assert (1, 2.0, "a") in t.rows()
-    t.run(rule, ledger=t.ledger)
+    t.run(rule, ledger=t.ledger, mode=mode)
     assert (1, 2.0, "a") in t.rows() and (2, 3.0, "a") in t.rows()
+    assert t.tables() == {"t", "audit", "ledger"}
+
+
+def test_relocation_deletes_what_it_replaces(t):
+    spec = tables.PartitionSpec("p", "a")
+    first = tables.partition_location(t.spark, t.table, spec)
+    for batch in (1, 2):
+        t.run(t.rule("v", "when true then v + 1", batch=batch), mode=update.RELOCATE)
+        now = tables.partition_location(t.spark, t.table, spec)
+        assert update.RELOCATED in now and now != first
+        assert not Path(first.removeprefix("file:")).exists()
+        first = now
+    assert (1, 3.0, "a") in t.rows() and (2, 4.0, "a") in t.rows()
+    rows = t.spark.createDataFrame([(9, 9.0)], "id int, v double")
+    tables.overwrite_partition(t.spark, t.table, rows, spec)
+    assert t.rows() == [(3, 3.0, "b"), (4, None, "b"), (9, 9.0, "a")]
+
+
+def test_refused_relocation_leaves_no_files(t):
+    t.spark.createDataFrame([(1, 5), (1, 6)], "k int, w int").write.saveAsTable(t.work.table("s"))
+    source = f"{t.table} left join {t.work.table('s')} on id = k"
+    before = t.rows()
+    with pytest.raises(RowCountMismatchError):
+        t.run(t.rule("v", "when w > 0 then w", source=source), mode=update.RELOCATE)
+    assert t.rows() == before
+    root = Path(tables.table_location(t.spark, t.table).removeprefix("file:"))
+    assert list((root / update.RELOCATED).iterdir()) == []
 
 
 def test_rename_restores_when_the_insert_fails(t, monkeypatch):
