@@ -19,7 +19,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import SMALL_INPUT, fits_broadcast, hot_hashes, lookup_join
+from millrace.operators.skew import SMALL_INPUT, lookup_join
 from millrace.session import Workspace
 
 # What a lookup answers for a node no edge mentions.
@@ -95,20 +95,15 @@ def chain_lookup(
         F.coalesce(F.col("terminal").cast("string"), F.lit(CYCLE)).alias("_terminal"),
     )
 
-    rows = None if fits_broadcast(answers) else requests.count()
-
     def add(df: DataFrame, asked: str, found: str, label: str, out: str) -> DataFrame:
         kept = [F.col(f"target.`{c}`") for c in df.columns]
         answer = F.coalesce(F.col(f"source.{found}"), F.lit(label)).alias(out)
-        hot = []
-        if rows is not None:
-            hot = hot_hashes(requests, [requests[f"`{asked}`"]], small_input, rows)
         return lookup_join(
             df,
             answers.select("node", found),
             [(asked, "node")],
-            hot=hot,
             project=lambda joined: joined.select(*kept, answer),
+            small_input=small_input,
         )
 
     with_source = add(requests, source, "_origin", NO_SOURCE, "final_source")
@@ -120,20 +115,16 @@ KEY = [("onward", "onward"), ("p", "n")]
 
 def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame:
     """(onward, n, p): the end of each pointer chain, NULL where it meets a cycle."""
-
-    def hot(rows: DataFrame, number: int | None = None) -> list[int]:
-        return hot_hashes(rows, [F.col("onward"), F.col("p")], small_input, number)
-
     # A pointer has arrived when the node it points at has none itself. Rounds
     # are stored by arrival, so that each part is found without reading the other.
     state = lookup_join(
         pointers,
         pointers.select("onward", "n"),
         KEY,
-        hot=hot(pointers),
         project=lambda joined: joined.select(
             "target.onward", "target.n", "target.p", F.col("source.n").isNull().alias("arrived")
         ),
+        small_input=small_input,
     )
     state = keep(state, work, "round_0", "arrived")
     arrived = [state.where("arrived")]
@@ -148,10 +139,10 @@ def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame
             reduce(DataFrame.unionAll, [*arrived, moving]),
             KEY,
             how="inner",
-            hot=hot(moving, left),
             project=lambda joined: joined.select(
                 "target.onward", "target.n", "source.p", "source.arrived"
             ),
+            small_input=small_input,
         )
         state = keep(jumped, work, f"round_{round_no}", "arrived")
         arrived.append(state.where("arrived"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import DuplicateColumnError, UnknownColumnError
 from millrace.operators.guards import require_no_fan_out
-from millrace.operators.skew import SMALL_INPUT, fits_broadcast, hot_hashes, lookup_join
+from millrace.operators.skew import SMALL_INPUT, lookup_join
 
 
 @dataclass(frozen=True)
@@ -80,10 +80,11 @@ def update_from_join(
     rewritten_names(target.columns, rules)
     if check:
         require_no_fan_out(target, source, on)
-    hot: list[int] = []
-    if not fits_broadcast(source):
-        hot = hot_hashes(target, [target[f"`{a}`"] for a, _ in on], small_input)
     items = rewrite_expressions(target.schema, rules, "target")
     return lookup_join(
-        target, source, on, hot=hot, project=lambda joined: joined.selectExpr(*items)
+        target,
+        source,
+        on,
+        project=lambda joined: joined.selectExpr(*items),
+        small_input=small_input,
     )

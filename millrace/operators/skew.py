@@ -1,10 +1,11 @@
-"""Left or inner join against a lookup with unique keys, safe for hot keys.
+"""Join to a lookup with unique keys, safe for hot keys.
 
 One key may hold a third of the rows of the big side. Hashing those rows to
 one task would stall the job, so keys that hold a large share are found with a
 mergeable sketch and joined on their own: the lookup has at most one row per
 key, so the hot part of it is no larger than the number of hot keys and can be
-broadcast. All other rows take the ordinary join.
+broadcast. All other rows take the ordinary join. A lookup the optimizer
+broadcasts as a whole needs none of this.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Capacity of the sketch per task, and most hot keys handled apart. Any key
-# with more than 1/HOT_LIMIT of the rows is among the HOT_LIMIT most frequent.
-SKETCH_ITEMS = 8192
+# Most hot keys handled apart; any key with more than 1/HOT_LIMIT of the rows
+# is one of them. The sketch tracks enough items to find them for certain.
 HOT_LIMIT = 256
-# Below this many rows a single task is no bottleneck.
+SKETCH_ITEMS = 8192
+# Up to this many rows a single task is no bottleneck.
 SMALL_INPUT = 1_000_000
 
 
@@ -27,19 +28,15 @@ def key_hash(columns: Sequence[Column]) -> Column:
 
 
 def hot_hashes(
-    df: DataFrame,
-    columns: Sequence[Column],
-    small_input: int = SMALL_INPUT,
-    rows: int | None = None,
+    df: DataFrame, columns: Sequence[Column], small_input: int = SMALL_INPUT
 ) -> list[int]:
     """Hashes of the keys that hold more than 1/HOT_LIMIT of the rows of ``df``.
 
-    Partial sketches merge, so a big input costs one pass over the key columns
-    and one small row per task. A small one costs only the count, or nothing
-    when the caller knows the number of ``rows``.
+    NULL keys are found like any other. Partial sketches merge, so a big input
+    costs one pass over the key columns and one small row per task, and a small
+    one only the count.
     """
-    if rows is None:
-        rows = df.count()
+    rows = df.count()
     if rows <= small_input:
         return []
     sketch = F.call_function(
@@ -55,41 +52,39 @@ def lookup_join(
     on: Sequence[tuple[str, str]],
     *,
     how: str = "left",
-    hot: Sequence[int] = (),
     project: Callable[[DataFrame], DataFrame] = lambda joined: joined,
-    left_alias: str = "target",
-    lookup_alias: str = "source",
+    small_input: int = SMALL_INPUT,
 ) -> DataFrame:
-    """Join ``left`` to ``lookup`` on (left column, lookup column) pairs.
+    """Left or inner join on (left column, lookup column) pairs.
 
-    ``lookup`` must hold each key at most once. ``hot`` lists the key hashes to
-    handle apart, see :func:`hot_hashes`; NULL keys are found like any other.
-    Both sides are split by the same hash, so every row takes exactly one of
-    the two paths. ``project`` is applied on each path, where the aliases of
-    the two sides are still known.
+    ``lookup`` must hold each key that matches at most once. ``project`` picks
+    the result's columns; in it the sides are called ``target`` and ``source``.
     """
-    left = left.alias(left_alias)
-    lookup = lookup.alias(lookup_alias)
-    pairs = [(F.col(f"{left_alias}.`{a}`"), F.col(f"{lookup_alias}.`{b}`")) for a, b in on]
-    condition = None
-    for a, b in pairs:
-        condition = (a == b) if condition is None else condition & (a == b)
-    if not hot:
-        return project(left.join(lookup, condition, how))
-
+    left = left.alias("target")
+    lookup = lookup.alias("source")
+    condition = F.lit(True)
     for a, b in on:
         if left.schema[a].dataType != lookup.schema[b].dataType:
             raise ValueError(f"cast {a} and {b} to one type before joining on them")
-    left_hot = key_hash([a for a, _ in pairs]).isin(list(hot))
-    lookup_hot = key_hash([b for _, b in pairs]).isin(list(hot))
-    few = F.broadcast(lookup.where(lookup_hot))
-    apart = project(left.where(left_hot).join(few, condition, how))
-    rest = project(left.where(~left_hot).join(lookup.where(~lookup_hot), condition, how))
-    return apart.unionAll(rest)
+        condition = condition & (F.col(f"target.`{a}`") == F.col(f"source.`{b}`"))
+    plain = project(left.join(lookup, condition, how))
+    if _broadcasts(plain) > _broadcasts(left) + _broadcasts(lookup):
+        return plain
+    left_key = key_hash([F.col(f"target.`{a}`") for a, _ in on])
+    lookup_key = key_hash([F.col(f"source.`{b}`") for _, b in on])
+    hot = hot_hashes(left, [F.col(f"target.`{a}`") for a, _ in on], small_input)
+    if not hot:
+        return plain
+    # Both sides are split by one hash, so every row takes exactly one path.
+    few = F.broadcast(lookup.where(lookup_key.isin(hot)))
+    apart = left.where(left_key.isin(hot)).join(few, condition, how)
+    rest = left.where(~left_key.isin(hot)).join(
+        lookup.where(~lookup_key.isin(hot)), condition, how
+    )
+    return project(apart).unionAll(project(rest))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's own size estimate allows it to broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size <= limit
+def _broadcasts(df: DataFrame) -> int:
+    """Number of broadcast joins in the plan the optimizer chose."""
+    plan = df.sparkSession.sql("EXPLAIN SELECT * FROM {df}", df=df).first()[0]
+    return plan.count("BroadcastHashJoin")

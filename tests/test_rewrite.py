@@ -94,11 +94,18 @@ def test_hot_and_null_keys_give_the_plain_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_split_needs_equal_types(spark):
+def test_broadcast_lookup_is_left_alone(spark):
+    target = spark.range(1000).selectExpr("id % 3 as k")
+    out = skew.lookup_join(target, spark.range(3).toDF("k"), [("k", "k")], small_input=0)
+    plan = plan_of(out)
+    assert "BroadcastHashJoin" in plan and "Union" not in plan
+
+
+def test_keys_need_equal_types(spark):
     a = spark.range(10).selectExpr("id as k")
     b = spark.range(10).selectExpr("cast(id as int) as k")
     with pytest.raises(ValueError):
-        skew.lookup_join(a, b, [("k", "k")], hot=[1])
+        skew.lookup_join(a, b, [("k", "k")])
 
 
 def test_count_guards(spark):
