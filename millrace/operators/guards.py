@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.errors import FanOutError, RowCountMismatchError
-from millrace.functions.text import digits_grouped, without_quotes
+from millrace.functions.text import without_quotes
 
 
 def row_count_guard(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -21,7 +21,12 @@ def row_count_guard(before: DataFrame, after: DataFrame) -> DataFrame:
     counts = counts.unionAll(
         after.agg(one.alias("new_count")).select(zero.alias("original_count"), "new_count")
     )
-    return _verdict(counts)
+    return _with_verdict(
+        counts.agg(
+            F.sum("original_count").alias("original_count"),
+            F.sum("new_count").alias("new_count"),
+        )
+    )
 
 
 def join_count_guard(
@@ -44,14 +49,11 @@ def join_count_guard(
             "new_count"
         ),
     )
-    return _verdict(counts)
+    return _with_verdict(counts)
 
 
-def _verdict(counts: DataFrame) -> DataFrame:
-    totals = counts.agg(
-        F.sum("original_count").alias("original_count"), F.sum("new_count").alias("new_count")
-    )
-    return totals.withColumn("matches", F.col("original_count") == F.col("new_count"))
+def _with_verdict(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("matches", F.col("original_count") == F.col("new_count"))
 
 
 def require_equal_counts(original: int, new: int, what: str) -> None:
@@ -98,8 +100,3 @@ def duplicate_update_columns(rules: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("times"))
         .where("times > 1")
     )
-
-
-def count_message(rows: DataFrame) -> DataFrame:
-    """The row count as text with thousands separators, for the log."""
-    return rows.agg(digits_grouped(F.count(F.lit(1))).alias("row_count"))

@@ -67,6 +67,8 @@ SELF_DESCRIBING = ("parquet", "orc")
 # Folder below the table's own that path listings skip.
 RELOCATED = "_rewritten"
 
+NEEDED = [*JOB_KEY, "update_column", "case_when"]
+
 # States of a stage, kept as a property of the stage table itself.
 STATE_PROPERTY = "millrace.state"
 REPLACED_PROPERTY = "millrace.replaced_location"
@@ -227,7 +229,7 @@ def pending_jobs(
     found: dict[tuple, list] = {}
     rows = job_rules(rules, only).collect()
     for row in rows:
-        empty = [name for name in JOB_KEY if row[name] is None]
+        empty = [name for name in NEEDED if row[name] is None]
         if empty:
             raise ConflictingRulesError(f"rule without {', '.join(empty)}: {row}")
     for row in sorted(rows, key=lambda r: [r[name] for name in JOB_KEY]):

@@ -21,6 +21,7 @@ DYNAMIC_PARTITION_PROFILE = {
 }
 
 _local_dirs: list[tempfile.TemporaryDirectory] = []
+_open: list[Workspace] = []
 
 
 def build_session(
@@ -72,6 +73,7 @@ class Workspace:
         self.database = f"millrace_{label}_{uuid.uuid4().hex[:12]}"
         self.location = f"{shared_dir(spark)}/{self.database}"
         spark.sql(f"CREATE DATABASE {self.database} LOCATION '{self.location}'")
+        _open.append(self)
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -81,9 +83,16 @@ class Workspace:
 
     def drop(self) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+        _open[:] = [other for other in _open if other is not self]
 
     def __enter__(self) -> Workspace:
         return self
 
     def __exit__(self, *exc) -> None:
         self.drop()
+
+
+def drop_workspaces() -> None:
+    """Drop every workspace of this process, once no result reads them any more."""
+    for workspace in list(_open):
+        workspace.drop()

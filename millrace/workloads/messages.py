@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import codec
 from millrace.functions.params import extract_params
+from millrace.plans.publish import publish_csv
 from millrace.session import Workspace
 from millrace.sources.messages import message_stream, publish_rows
 from millrace.streaming import decode
@@ -35,8 +36,8 @@ def row_to_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT doc_id,
-       CASE WHEN lang = 'de' THEN NULL ELSE text END AS text,
-       CASE WHEN lang = 'de' THEN NULL ELSE text END AS text_by_sql,
+       CASE WHEN lang = 'de' THEN '(invalid)' ELSE text END AS text,
+       CASE WHEN lang = 'de' THEN '(invalid)' ELSE text END AS text_by_sql,
        lang <> 'de' AS is_valid
 FROM documents
 """)
@@ -48,12 +49,16 @@ def base64_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = load(spark, sf_dir, "documents").select(
         "doc_id", F.when(F.col("lang") == "de", damaged).otherwise(token).alias("token")
     )
-    decoded = codec.base64_text(F.col("token"))
-    return tokens.select(
+    decoded = tokens.select(
         "doc_id",
-        decoded.alias("text"),
+        codec.base64_text(F.col("token")).alias("text"),
         F.expr("converter(token)").alias("text_by_sql"),
-        decoded.isNotNull().alias("is_valid"),
+    )
+    return decoded.select(
+        "doc_id",
+        F.coalesce("text", F.lit("(invalid)")).alias("text"),
+        F.coalesce("text_by_sql", F.lit("(invalid)")).alias("text_by_sql"),
+        F.col("text").isNotNull().alias("is_valid"),
     )
 
 
@@ -114,11 +119,11 @@ def event_tokens(type_token: Column) -> list[Column]:
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events published as encoded messages, streamed into a table."""
+    """A file of encoded events, published as messages and streamed into a table."""
     work = Workspace(spark, "stream_decode")
     tokens = event_tokens(codec.base64_token(F.col("event_type")))
-    rows = load(spark, sf_dir, "events").select(*tokens)
-    publish_rows(rows, {"path": work.path("topic")}, fmt="text")
+    load(spark, sf_dir, "events").select(*tokens).write.csv(work.path("file"), header=True)
+    publish_csv(spark, work.path("file"), {"path": work.path("topic")}, fmt="text")
     stream = message_stream(spark, {"path": work.path("topic")}, fmt="text")
     table = work.table("events")
     decode.decode_to_table(

@@ -1,7 +1,12 @@
+from pathlib import Path
+
 import pytest
 
+from pyspark.sql import functions as F
+
+from millrace.functions.text import digits_grouped
 from millrace.plans import audit
-from millrace.session import Workspace, build_session, shared_dir
+from millrace.session import Workspace, build_session, drop_workspaces, shared_dir
 
 
 def test_clock_has_twelve_hours_and_seconds_are_cut(spark):
@@ -51,6 +56,21 @@ def test_shared_folder_comes_from_the_session(spark):
     assert not spark.catalog.databaseExists(workspace.database)
 
 
+def test_workspaces_of_the_process_can_be_dropped_together(spark):
+    made = [Workspace(spark, "y") for _ in range(2)]
+    spark.range(3).write.saveAsTable(made[0].table("t"))
+    spark.range(3).write.parquet(made[1].path("f"))
+    drop_workspaces()
+    for workspace in made:
+        assert not spark.catalog.databaseExists(workspace.database)
+        assert not Path(workspace.location).exists()
+
+
+def test_digits_are_grouped(spark):
+    row = spark.range(1234567, 1234568).select(digits_grouped(F.col("id")))
+    assert row.first()[0] == "1,234,567"
+
+
 def test_build_session_reuses_the_running_one(spark):
     again = build_session("x", dynamic_partitions=True)
     assert again.sparkContext is spark.sparkContext
