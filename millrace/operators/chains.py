@@ -13,11 +13,11 @@ edges and are left out.
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.skew import SMALL_INPUT, lookup_join
 from millrace.session import Workspace
@@ -28,10 +28,10 @@ NO_DESTINATION = "No Destination Found"
 CYCLE = "CYCLE"
 
 
-def keep(df: DataFrame, work: Workspace, name: str, *by: str) -> DataFrame:
+def keep(df: DataFrame, work: Workspace, name: str) -> DataFrame:
     """Write to the shared folder and read back, which cuts the lineage."""
     path = work.path(name)
-    df.write.partitionBy(*by).parquet(path)
+    df.write.parquet(path)
     return work.spark.read.schema(df.schema).parquet(path)
 
 
@@ -110,48 +110,50 @@ def chain_lookup(
     return add(with_source, destination, "_terminal", NO_DESTINATION, "final_destination")
 
 
-KEY = [("onward", "onward"), ("p", "n")]
-
-
 def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame:
     """(onward, n, p): the end of each pointer chain, NULL where it meets a cycle."""
-    # A pointer has arrived when the node it points at has none itself. Rounds
-    # are stored by arrival, so that each part is found without reading the other.
-    state = lookup_join(
-        pointers,
-        pointers.select("onward", "n"),
-        KEY,
-        project=lambda joined: joined.select(
-            "target.onward", "target.n", "target.p", F.col("source.n").isNull().alias("arrived")
-        ),
-        small_input=small_input,
-    )
-    state = keep(state, work, "round_0", "arrived")
-    arrived = [state.where("arrived")]
-    moving = state.where("NOT arrived")
-    left = moving.count()
-    for round_no in count(1):
-        if not left:
-            break
-        # Nodes that move point at nodes with a pointer: the join always matches.
-        jumped = lookup_join(
-            moving,
-            reduce(DataFrame.unionAll, [*arrived, moving]),
-            KEY,
-            how="inner",
+    spark, folder = work.spark, work.path("rounds")
+    plain = pointers.schema
+    added = [T.StructField("round", T.IntegerType()), T.StructField("arrived", T.BooleanType())]
+    stored = T.StructType([*plain.fields, *added])
+
+    def jump(rows: DataFrame, lookup: DataFrame, how: str, number: int) -> DataFrame:
+        # Whoever points at a node without a pointer has arrived.
+        return lookup_join(
+            rows,
+            lookup,
+            [("onward", "onward"), ("p", "n")],
+            how=how,
             project=lambda joined: joined.select(
-                "target.onward", "target.n", "source.p", "source.arrived"
+                "target.onward",
+                "target.n",
+                F.coalesce("source.p", "target.p").alias("p"),
+                F.coalesce("source.arrived", F.lit(True)).alias("arrived"),
             ),
             small_input=small_input,
+            rows=number,
         )
-        state = keep(jumped, work, f"round_{round_no}", "arrived")
-        arrived.append(state.where("arrived"))
-        moving = state.where("NOT arrived")
-        before, left = left, moving.count()
+
+    def store(state: DataFrame, number: int) -> tuple[DataFrame, DataFrame, int]:
+        """Keep a round; gives all that later rounds look up, who moves, how many."""
+        state.write.partitionBy("arrived").parquet(f"{folder}/round={number}")
+        rounds = spark.read.schema(stored).parquet(folder)
+        moving = rounds.where(f"round = {number} AND NOT arrived").select(*plain.names)
+        return rounds.where(f"arrived OR round = {number}"), moving, moving.count()
+
+    # The first round only finds who has arrived already.
+    nowhere = F.lit(None).cast(plain["p"].dataType).alias("p")
+    start = pointers.select("onward", "n", nowhere, F.lit(False).alias("arrived"))
+    lookup, moving, left = store(jump(pointers, start, "left", pointers.count()), 0)
+    for number in count(1):
+        if not left:
+            break
+        # Nodes that move point at nodes with a pointer: an inner join matches
+        # all, and lets Spark broadcast the moving side once few are left.
+        before = left
+        lookup, moving, left = store(jump(moving, lookup, "inner", left), number)
         if left == before:
             # Depths have no gaps, so a round that resolves none leaves only
             # nodes in a cycle or on the way into one.
             break
-    lost = F.lit(None).cast(pointers.schema["p"].dataType).alias("p")
-    ends = [part.select("onward", "n", "p") for part in arrived]
-    return reduce(DataFrame.unionAll, [*ends, moving.select("onward", "n", lost)])
+    return lookup.select("onward", "n", F.when(F.col("arrived"), F.col("p")).alias("p"))

@@ -54,11 +54,13 @@ def lookup_join(
     how: str = "left",
     project: Callable[[DataFrame], DataFrame] = lambda joined: joined,
     small_input: int = SMALL_INPUT,
+    rows: int | None = None,
 ) -> DataFrame:
     """Left or inner join on (left column, lookup column) pairs.
 
     ``lookup`` must hold each key that matches at most once. ``project`` picks
     the result's columns; in it the sides are called ``target`` and ``source``.
+    ``rows`` is the number of left rows, where the caller knows it.
     """
     left = left.alias("target")
     lookup = lookup.alias("source")
@@ -68,6 +70,8 @@ def lookup_join(
             raise ValueError(f"cast {a} and {b} to one type before joining on them")
         condition = condition & (F.col(f"target.`{a}`") == F.col(f"source.`{b}`"))
     plain = project(left.join(lookup, condition, how))
+    if rows is not None and rows <= small_input:
+        return plain
     if _broadcasts(plain) > _broadcasts(left) + _broadcasts(lookup):
         return plain
     left_key = key_hash([F.col(f"target.`{a}`") for a, _ in on])
