@@ -83,7 +83,7 @@ def run_publish(spark: SparkSession, options: dict[str, str]) -> None:
 
 def run_consume(spark: SparkSession, options: dict[str, str]) -> None:
     source = kafka_source_options(options["servers"], options.get("topic", TOPIC))
-    with audited(spark, "kafka_consumer", options.get("audit")):
+    with audited(spark, "message_consume", options.get("audit")):
         decode_to_table(
             message_stream(spark, source),
             schema_of(columns_of(options["columns"]), strict=True),

@@ -29,7 +29,7 @@ def load_listed_files(
     *,
     spec: Sequence[tuple[str, str]] = ADJUSTMENT_SPEC,
     audit_table: str | None = None,
-    job_name: str = "manual_adjustment_flat_to_stg",
+    job_name: str = "flat_file_load",
 ) -> None:
     """One append for all files: either every listed file is loaded or none is."""
     with audited(spark, job_name, audit_table) as run:

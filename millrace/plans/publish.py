@@ -17,7 +17,7 @@ def publish_csv(
     fmt: str = "kafka",
     infer: bool = False,
     audit_table: str | None = None,
-    job_name: str = "kafka_producer",
+    job_name: str = "message_publish",
 ) -> None:
     """Send every row of the files as one message.
 

@@ -292,7 +292,7 @@ def run_updates(
     ledger: str | None = None,
     audit_table: str | None = None,
     only: Column | None = None,
-    job_name: str = "update_definitions",
+    job_name: str = "table_update",
 ) -> list[UpdateJob]:
     """Apply all enabled rules, job after job, and audit the run.
 
