@@ -77,11 +77,12 @@ def require_no_fan_out(
         repeated = repeated.where(F.col(f"`{b}`").isNotNull())
     if repeated.isEmpty():
         return
-    condition = None
-    for a, b in on:
-        pair = F.col(f"t.`{a}`") == F.col(f"s.`{b}`")
-        condition = pair if condition is None else condition & pair
-    hits = repeated.alias("s").join(target.alias("t"), condition, "left_semi").head(3)
+    # Distinct first, so that a hot key reaches the join as one row.
+    asked = target.select(*[F.col(f"`{a}`").alias(f"_k{i}") for i, (a, _) in enumerate(on)])
+    condition = F.lit(True)
+    for i, (_, b) in enumerate(on):
+        condition = condition & (F.col(f"t._k{i}") == F.col(f"s.`{b}`"))
+    hits = repeated.alias("s").join(asked.distinct().alias("t"), condition, "left_semi").head(3)
     if hits:
         found = [tuple(h[b] for _, b in on) for h in hits]
         raise FanOutError(f"lookup keys matched more than once, such as {found}")

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from millrace.errors import SchemaMismatchError
 STAGE_FORMAT = "orc"
 BACKUP_SUFFIX = "_temp"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# Fixed value: how a catalog names the partition of NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -140,16 +143,58 @@ def purge_location(spark: SparkSession, helper: str, location: str) -> None:
         spark.sql(statement)
 
 
+def rename_table(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a table, and see to it that its partitions follow its files.
+
+    A metastore moves partition locations along with the table. The in-memory
+    catalog leaves them behind, where another table's files may come to lie.
+    """
+    root = table_location(spark, old)
+    places = {}
+    if spark.conf.get("spark.sql.catalogImplementation") == "in-memory":
+        places = _partition_places(spark, old)
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    for spec, place in places.items():
+        if place.startswith(root + "/"):
+            place = table_location(spark, new) + place.removeprefix(root)
+        spark.sql(f"ALTER TABLE {new} PARTITION ({spec}) SET LOCATION '{place}'")
+
+
+def _partition_places(spark: SparkSession, table: str) -> dict[str, str]:
+    """Location of every partition, by its PARTITION (...) text."""
+    if not any(column.isPartition for column in spark.catalog.listColumns(table)):
+        return {}
+    specs = [_spec_of(r.partition) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {
+        spec: _described(
+            spark, f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})", "Location"
+        )
+        for spec in specs
+    }
+
+
+def _spec_of(name: str) -> str:
+    """PARTITION (...) text of a partition named ``a=x/b=y``."""
+    parts = []
+    for part in name.split("/"):
+        column, _, value = part.partition("=")
+        if value == NULL_PARTITION:
+            parts.append(f"`{unquote(column)}`=null")
+        else:
+            parts.append(PartitionSpec(unquote(column), unquote(value)).sql)
+    return ", ".join(parts)
+
+
 def rename_chain(spark: SparkSession, renames: list[tuple[str, str]]) -> None:
     """Rename tables one after the other; a failure undoes the finished steps."""
     done: list[tuple[str, str]] = []
     try:
         for old, new in renames:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+            rename_table(spark, old, new)
             done.append((old, new))
     except Exception:
         for old, new in reversed(done):
-            spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+            rename_table(spark, new, old)
         raise
 
 

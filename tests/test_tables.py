@@ -120,3 +120,30 @@ def test_stage_truncate_append(spark, work):
     assert spark.table(table).count() == 0
     tables.append_by_position(spark.range(2).withColumnRenamed("id", "any"), table)
     assert spark.table(table).count() == 2
+
+
+def test_refresh_of_a_partitioned_table(spark, work, parted):
+    rows = spark.table(parted).selectExpr("x + 1 as x", "if(x = 1, 'z', p) as p")
+    tables.refresh_by_swap(spark, parted, rows)
+    assert values(spark, parted) == [(2, "z"), (3, "a"), (4, "b")]
+    assert values(spark, parted + "_temp") == [(1, "a"), (2, "a"), (3, "b")]
+    spec = PartitionSpec("p", "z")
+    tables.overwrite_partition(spark, parted, spark.createDataFrame([(0,)], "x int"), spec)
+    assert values(spark, parted) == [(0, "z"), (3, "a"), (4, "b")]
+
+
+def test_swap_of_partitioned_tables(spark, work, parted):
+    rows = [(9, "a/b c"), (8, None), (7, "a")]
+    spark.createDataFrame(rows, "x int, p string").write.partitionBy("p").saveAsTable(
+        parted + "_temp"
+    )
+    before = None
+    for _ in range(3):
+        pair = (spark.table(parted).collect(), spark.table(parted + "_temp").collect())
+        now = tuple(sorted(map(tuple, side), key=str) for side in pair)
+        if before is not None:
+            assert now == (before[1], before[0])
+        before = now
+        tables.swap_tables(spark, parted)
+    assert before[0] == [(1, "a"), (2, "a"), (3, "b")]
+    assert before[1] == [(7, "a"), (8, None), (9, "a/b c")]

@@ -69,6 +69,22 @@ def test_batches_apply_in_numeric_order(t, mode):
     assert t.tables() == {"t", "audit"}
 
 
+@MODES
+@pytest.mark.parametrize("part", ["d = 20240102", "D='20240102'"])
+def test_partition_column_may_be_a_number(t, mode, part):
+    table = t.work.table("numbers")
+    t.spark.createDataFrame([(1, 20240101), (2, 20240102)], "x int, d int").write.partitionBy(
+        "d"
+    ).saveAsTable(table)
+    t.run(
+        t.rule("x", "when d > 20240101 then x * 10", part=part, aside="d=0", table=table),
+        mode=mode,
+    )
+    assert sorted(tuple(r) for r in t.spark.table(table).collect()) == [
+        (1, 20240101), (20, 20240102),
+    ]
+
+
 def test_only_filters_the_worklist(t):
     done = t.run(
         t.rule("v", "when true then 0", batch=1),
