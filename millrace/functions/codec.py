@@ -81,39 +81,36 @@ def decode_records(
 ) -> DataFrame:
     """Fixed-width messages as typed columns plus ``quarantined``.
 
-    Every field is decoded by position and cast to its declared type. A message
-    with the wrong number of fields, an invalid token or an uncastable field
-    keeps its text in ``quarantined`` and NULL in every column; good messages
-    have NULL there. Fields are addressed one by one rather than through a
-    lambda over the array, so the whole projection stays in generated code.
+    Every field is decoded by position and cast to its declared type; a field
+    spelled ``null`` and an empty number, date or the like are NULL. A message
+    with the wrong number of fields, an invalid token or a text that does not
+    fit its type keeps its text in ``quarantined`` and has NULL in every column;
+    good messages have NULL there. A missing message counts as empty. Fields are addressed one by one rather than
+    through a lambda over the array, so the projection stays in generated code.
     """
-    width = len(schema.fields)
-    parts = messages.select(
-        F.col(value).cast("string").alias("_message"),
-        F.split(F.col(value).cast("string"), SEPARATOR, -1).alias("_fields"),
+    message = F.col(value).cast("string")
+    fields = messages.select(
+        message.alias("_message"), F.split(message, SEPARATOR, -1).alias("_fields")
     )
-    texts = parts.select(
-        "_message",
-        F.size("_fields").alias("_width"),
-        *[base64_text(F.get("_fields", F.lit(i))).alias(f"_t{i}") for i in range(width)],
-    )
-    typed = texts.select(
-        "_message",
-        "_width",
-        *[f"_t{i}" for i in range(width)],
-        *[
-            F.col(f"_t{i}").try_cast(field.dataType).alias(f"_v{i}")
-            for i, field in enumerate(schema.fields)
-        ],
-    )
-    good = F.col("_width") == width
-    for i in range(width):
-        good = good & F.col(f"_t{i}").isNotNull() & F.col(f"_v{i}").isNotNull()
+    decoded = [F.col("_message"), F.size("_fields").alias("_width")]
+    for i in range(len(schema)):
+        token = F.get("_fields", F.lit(i))
+        decoded.append((token == NULL_TEXT).alias(f"_null{i}"))
+        decoded.append(base64_text(token).alias(f"_text{i}"))
+    texts = fields.select(*decoded)
+
+    good = F.col("_width") == len(schema)
+    values = []
+    for i, field in enumerate(schema):
+        text = F.col(f"_text{i}")
+        if not isinstance(field.dataType, T.StringType):
+            text = F.nullif(text, F.lit(""))
+        typed = text.try_cast(field.dataType)
+        fits = F.col(f"_text{i}").isNotNull() & (text.isNull() | typed.isNotNull())
+        good = good & (F.col(f"_null{i}") | fits)
+        values.append((field.name, F.when(~F.col(f"_null{i}"), typed)))
     good = F.coalesce(good, F.lit(False))
-    return typed.select(
-        *[
-            F.when(good, F.col(f"_v{i}")).alias(field.name)
-            for i, field in enumerate(schema.fields)
-        ],
-        F.when(~good, F.col("_message")).alias("quarantined"),
+    return texts.select(
+        *[F.when(good, typed).alias(name) for name, typed in values],
+        F.when(~good, F.coalesce("_message", F.lit(""))).alias("quarantined"),
     )
