@@ -34,5 +34,5 @@ def work(spark):
 
 
 def plan_of(df) -> str:
-    """Physical plan as text, after adaptive planning has not yet run."""
+    """Physical plan as text, before adaptive execution changes it."""
     return df._jdf.queryExecution().executedPlan().toString()

@@ -1,4 +1,5 @@
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -56,6 +57,19 @@ def test_shared_folder_comes_from_the_session(spark):
     assert not spark.catalog.databaseExists(workspace.database)
 
 
+@pytest.mark.parametrize("master", ["local[2]", "yarn"])
+def test_only_local_sessions_go_without_a_shared_folder(master):
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+    if master == "yarn":
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(bare)
+    else:
+        assert Path(shared_dir(bare)).is_dir()
+
+
 def test_workspaces_of_the_process_can_be_dropped_together(spark):
     made = [Workspace(spark, "y") for _ in range(2)]
     spark.range(3).write.saveAsTable(made[0].table("t"))
