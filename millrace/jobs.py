@@ -1,7 +1,7 @@
 """Jobs to submit, configured by key=value arguments.
 
     spark-submit jobs.py update rules=db.update_definitions audit=db.audit
-        [ledger=db.ledger] [mode=overwrite|rename|relocate]
+        [ledger=db.ledger] [mode=overwrite|rename|relocate] [files=10]
         [table_name=db.t] [batch_number=3] [displayonly=true]
     spark-submit jobs.py load list=/in/Indirect.txt base=/in/CSVFiles target=db.flat_file
         [audit=db.audit] [columns=field1:string,field2:long]
@@ -55,7 +55,11 @@ def only(options: dict[str, str]) -> Column | None:
 
 def run_update(spark: SparkSession, options: dict[str, str]) -> None:
     rules = spark.table(options["rules"])
-    how = {"mode": options.get("mode", update.OVERWRITE), "ledger": options.get("ledger")}
+    how = {
+        "mode": options.get("mode", update.OVERWRITE),
+        "files": int(options["files"]) if "files" in options else None,
+        "ledger": options.get("ledger"),
+    }
     if options.get("displayonly", "").lower() == "true":
         update.dry_run(spark, rules, only=only(options), **how).show(1000, truncate=False)
         return

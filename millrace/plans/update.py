@@ -134,8 +134,14 @@ class JobPlan:
         return [(TRANSFORMED, self.stage_statement), *self.commit]
 
 
-def plan_job(spark: SparkSession, job: UpdateJob, mode: str = OVERWRITE) -> JobPlan:
-    """Turn a job into statements; nothing is read but the catalog."""
+def plan_job(
+    spark: SparkSession, job: UpdateJob, mode: str = OVERWRITE, files: int | None = None
+) -> JobPlan:
+    """Turn a job into statements; nothing is read but the catalog.
+
+    The stage has as many files as the rewrite has tasks, unless ``files`` asks
+    for a number at the price of a shuffle.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode!r}")
     schema = spark.table(job.table).schema
@@ -143,7 +149,8 @@ def plan_job(spark: SparkSession, job: UpdateJob, mode: str = OVERWRITE) -> JobP
     qualifier = _qualifier(spark, job, schema.names)
     items = rewrite_expressions(schema, job.rules, qualifier)
     where = f"{qualifier}.{spec.sql}" if qualifier else spec.sql
-    select = f"SELECT {', '.join(items)} FROM {job.from_clause} WHERE {where}"
+    hint = f"/*+ REPARTITION({files}) */ " if files else ""
+    select = f"SELECT {hint}{', '.join(items)} FROM {job.from_clause} WHERE {where}"
     plan = JobPlan(job, mode, spec, select)
     if plan.moves_rows:
         plan.mode = RENAME
@@ -267,6 +274,7 @@ def dry_run(
     rules: DataFrame,
     *,
     mode: str = OVERWRITE,
+    files: int | None = None,
     ledger: str | None = None,
     only: Column | None = None,
 ) -> DataFrame:
@@ -277,7 +285,7 @@ def dry_run(
     """
     rows = []
     for job in pending_jobs(spark, rules, ledger, only):
-        plan = plan_job(spark, job, mode)
+        plan = plan_job(spark, job, mode, files)
         n = _checked_count(spark, plan, spark.sql(plan.select))
         for number, (step, statement) in enumerate(plan.statements, 1):
             rows.append((job.table, job.batch, job.partition, number, step, statement, n))
@@ -289,6 +297,7 @@ def run_updates(
     rules: DataFrame,
     *,
     mode: str = OVERWRITE,
+    files: int | None = None,
     ledger: str | None = None,
     audit_table: str | None = None,
     only: Column | None = None,
@@ -303,7 +312,7 @@ def run_updates(
     with audited(spark, job_name, audit_table) as run:
         jobs = pending_jobs(spark, rules, ledger, only)
         # Planning all jobs first finds bad rules before anything has changed.
-        plans = [plan_job(spark, job, mode) for job in jobs]
+        plans = [plan_job(spark, job, mode, files) for job in jobs]
         for plan in plans:
             run_job(spark, plan, run, ledger)
         return jobs

@@ -85,6 +85,15 @@ def test_partition_column_may_be_a_number(t, mode, part):
     ]
 
 
+def test_number_of_files_can_be_asked_for(t):
+    t.spark.range(1000).selectExpr("id", "'x' as p").write.partitionBy("p").saveAsTable(
+        t.work.table("big")
+    )
+    rule = t.rule("id", "when true then id", part="p='x'", table=t.work.table("big"))
+    t.run(rule, mode=update.RELOCATE, files=3)
+    assert len(t.spark.table(t.work.table("big")).inputFiles()) == 3
+
+
 def test_only_filters_the_worklist(t):
     done = t.run(
         t.rule("v", "when true then 0", batch=1),
