@@ -134,12 +134,16 @@ def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame
             rows=number,
         )
 
-    def store(state: DataFrame, number: int) -> tuple[DataFrame, DataFrame, int]:
+    def store(state: DataFrame, number: int) -> tuple[DataFrame, DataFrame | None, int]:
         """Keep a round; gives all that later rounds look up, who moves, how many."""
-        state.write.partitionBy("arrived").parquet(f"{folder}/round={number}")
+        path = f"{folder}/round={number}"
+        state.write.partitionBy("arrived").parquet(path)
         rounds = spark.read.schema(stored).parquet(folder)
-        moving = rounds.where(f"round = {number} AND NOT arrived").select(*plain.names)
-        return rounds.where(f"arrived OR round = {number}"), moving, moving.count()
+        lookup = rounds.where(f"arrived OR round = {number}")
+        left = lookup.where("NOT arrived").count()
+        # Read from its own folder, the moving part shows Spark its true size.
+        moving = spark.read.schema(plain).parquet(f"{path}/arrived=false") if left else None
+        return lookup, moving, left
 
     # The first round only finds who has arrived already.
     nowhere = F.lit(None).cast(plain["p"].dataType).alias("p")
@@ -149,7 +153,8 @@ def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame
         if not left:
             break
         # Nodes that move point at nodes with a pointer: an inner join matches
-        # all, and lets Spark broadcast the moving side once few are left.
+        # all, and lets Spark broadcast the moving side once few are left, so
+        # that late rounds shuffle nothing.
         before = left
         lookup, moving, left = store(jump(moving, lookup, "inner", left), number)
         if left == before:
