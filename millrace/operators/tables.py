@@ -162,7 +162,7 @@ def rename_table(spark: SparkSession, old: str, new: str) -> None:
 
 def _partition_places(spark: SparkSession, table: str) -> dict[str, str]:
     """Location of every partition, by its PARTITION (...) text."""
-    if not any(column.isPartition for column in spark.catalog.listColumns(table)):
+    if _described(spark, f"DESCRIBE TABLE EXTENDED {table}", "# Partition Information") is None:
         return {}
     specs = [_spec_of(r.partition) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     return {
