@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, sharding, tokens
+from millrace.llm import minhash, mixing, packing, sharding, tokens
 from millrace.llm.common import load
 from millrace.session import Workspace
 
@@ -23,6 +23,12 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, Workspace(spark, "op1"), percent=85)
+
+
 @query
 def op2_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
