@@ -81,10 +81,14 @@ def shard_column(groups: DataFrame, shards: int) -> Column:
     others = groups.where(~F.col("key").isin(alone)) if alone else groups
     shared = shards - len(alone)
     cuts = minimax_cuts(others, shared)
-    column = sum((F.col("key") >= F.lit(cut)).cast("int") for cut in cuts) + F.lit(0)
-    for number, key in enumerate(alone):
-        column = F.when(F.col("key") == F.lit(key), shared + number).otherwise(column)
-    return column.cast("int")
+    # Literal arrays keep the plan small: each is one value in it.
+    begun = F.filter(_longs(cuts), lambda cut: cut <= F.col("key"))
+    own = F.array_position(_longs(alone), F.col("key"))
+    return F.when(own > 0, own - 1 + shared).otherwise(F.size(begun)).cast("int")
+
+
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values]).cast("array<long>")
 
 
 def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
@@ -177,9 +181,8 @@ def _undecided(cells: np.ndarray, shards: int, lower: int, upper: int) -> np.nda
 def _with_slots(placed: DataFrame, shards: int) -> DataFrame:
     """Gapless numbers from 0 in each shard, given in parts of a few thousand rows."""
     counts = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    parts = F.lit(1)
-    for shard, n in counts.items():
-        parts = F.when(F.col("shard") == shard, max(1, n // SLOT_ROWS)).otherwise(parts)
+    sizes = _longs([max(1, counts.get(shard, 0) // SLOT_ROWS) for shard in range(shards)])
+    parts = F.element_at(sizes, F.col("shard") + 1)
     dealt = placed.withColumn("part", F.pmod(hash63("key", "doc_id"), parts))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
