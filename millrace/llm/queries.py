@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import minhash, mixing, packing, sharding, tokens
+from millrace.llm import (
+    collision,
+    extraction,
+    langid,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    tokens,
+    vafile,
+)
 from millrace.llm.common import load
 from millrace.session import Workspace
 
@@ -60,3 +71,31 @@ def op4_pack_first_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op5_nearest_by_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision.nearest(load(spark, sf_dir, "embeddings"), Workspace(spark, "op5"), every=20, k=20)
+
+
+@query
+def op6_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(load(spark, sf_dir, "pages"))
+
+
+@query
+def op7_quality_by_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = quality.train(docs, load(spark, sf_dir, "labels"))
+    return quality.classify(docs, model)
+
+
+@query
+def op8_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return langid.classify(docs, langid.train(docs))
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.exact_top_k(load(spark, sf_dir, "embeddings"), Workspace(spark, "op9"), every=100, k=10)
