@@ -21,13 +21,15 @@ from millrace.llm.blocks import best_of, search_in_blocks, usable_vectors
 from millrace.session import Workspace
 
 # Lines, the half width of the first windows, their growth, the share of the
-# lines on which a verified vector collides, and the share of a block that is
-# verified before a query ends. They hold for vectors scaled to length 1.
+# lines on which a verified vector collides, and the share of a block, and the
+# number, that is verified before a query ends. They hold for vectors scaled to
+# length 1.
 LINES = 96
 FIRST_HALF = 0.5
 GROWTH = 1.25
 COLLISIONS = 0.6
 VERIFIED = 0.15
+LEAST_VERIFIED = 250
 
 
 def nearest(
@@ -71,7 +73,7 @@ def collide(query_ids, queries, ids, vectors, k, **options):
     half, growth = options.get("half", FIRST_HALF), options.get("growth", GROWTH)
     needed = max(1, round(options.get("collisions", COLLISIONS) * lines))
     n, dims = vectors.shape
-    enough = min(n, k + 1 + int(options.get("verified", VERIFIED) * n))
+    enough = min(n, k + 1 + max(LEAST_VERIFIED, int(options.get("verified", VERIFIED) * n)))
     directions = np.random.default_rng(5).standard_normal((dims + 1, lines))
     projected = to_sphere(vectors) @ directions
     lengths = np.abs(queries).max(axis=1, keepdims=True)

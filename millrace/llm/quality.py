@@ -95,26 +95,27 @@ def features(texts: list[bytes], good, bad) -> np.ndarray:
     return out
 
 
-def fit(good: list[bytes], bad: list[bytes]) -> Model:
-    """Half of each list builds the dictionaries, the other half the curve."""
+def fit(good: list[bytes], bad: list[bytes], good_share: float = 0.5) -> Model:
+    """Half of each list builds the dictionaries, the other half the curve.
+
+    ``good_share`` is the share of good ones among all labelled documents.
+    """
     texts = [t for t in good if t], [t for t in bad if t]
-    n = len(texts[0]) + len(texts[1])
-    prior = len(texts[0]) / n if n else 0.5
     empty = np.empty(0)
     if min(map(len, texts)) < 2:
-        return Model(b"", b"", empty, empty, empty, prior, trained=False)
+        return Model(b"", b"", empty, empty, empty, good_share, trained=False)
     dictionaries = [_dictionary(t[::2]) for t in texts]
     rest = [t[1::2] for t in texts]
     x = features(rest[0] + rest[1], *map(_compressor, dictionaries))
     y = np.repeat([1.0, 0.0], [len(rest[0]), len(rest[1])])
     middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Model(*dictionaries, middle, spread, _logistic((x - middle) / spread, y), prior)
+    share = np.where(y == 1, good_share / len(rest[0]), (1 - good_share) / len(rest[1])) * len(y)
+    return Model(*dictionaries, middle, spread, _logistic((x - middle) / spread, y, share), good_share)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Weights by Newton's method, both labels with the same weight in all."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """Weights by Newton's method; ``share`` says how much each row counts."""
     x = np.column_stack([x, np.ones(len(x))])
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
     weights = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -40, 40)))
@@ -147,6 +148,7 @@ def train(
         .agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .where(label == F.col("other"))
     )
+    good_share = known.agg(F.avg("label")).first()[0]
     chosen = None
     for value in (0, 1):
         part = known.where(label == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs_per_label)
@@ -164,7 +166,7 @@ def train(
     by_label = {0: [], 1: []}
     for row in sample:
         by_label[row["label"]].append(row["text"].encode("utf-8", "replace"))
-    return fit(by_label[1], by_label[0])
+    return fit(by_label[1], by_label[0], 0.5 if good_share is None else good_share)
 
 
 def score(text: Column, model: Model) -> Column:

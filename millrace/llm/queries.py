@@ -17,6 +17,7 @@ from millrace.llm import (
     packing,
     quality,
     sharding,
+    tokenfiles,
     tokens,
     vafile,
 )
@@ -99,3 +100,13 @@ def op8_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.exact_top_k(load(spark, sf_dir, "embeddings"), Workspace(spark, "op9"), every=100, k=10)
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    work = Workspace(spark, "op10")
+    definition = tokens.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    tokenfiles.write_tokens(docs, work.path("tokens"), definition, work, end_id=1)
+    found = tokenfiles.read_tokens(spark, work.path("tokens"), with_ids=False)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
