@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import hash63
-from millrace.llm.tokens import Encoder
+from millrace.llm.tokens import worker_encoder
 
 SEQUENCE = 1024
 GROUP_DOCS = 2048
@@ -52,7 +52,7 @@ def cut_documents(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition)
+        encoder = worker_encoder(definition)
         for batch in batches:
             rows = []
             encoded = encoder.encode(batch.column("text").to_pylist())

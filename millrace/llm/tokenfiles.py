@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import keep
-from millrace.llm.tokens import Encoder
+from millrace.llm.tokens import worker_encoder
 from millrace.session import Workspace
 
 BLOCK_IDS = 262_144
@@ -99,7 +99,7 @@ def _encoded(docs: DataFrame, definition: str, id_col: str, text_col: str, end_i
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, squeeze = Encoder(definition), zstandard.ZstdCompressor(level=1)
+        encoder, squeeze = worker_encoder(definition), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)

@@ -13,7 +13,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import zlib
 from array import array
+from types import ModuleType
 
 # The pre-tokenizer patterns of the two kinds, for texts of ASCII
 # and Latin-1 letters. Other texts never meet them.
@@ -21,8 +24,9 @@ LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 BYTE_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
 WORD_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+"
 SIMPLE = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-KEPT_PIECES = 400_000
-CHARS_TOGETHER = 2_000_000
+# Pieces kept, some 200 bytes each, and characters encoded at a time.
+KEPT_PIECES = 800_000
+CHARS_TOGETHER = 1_000_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -31,6 +35,20 @@ def read_tokenizer(path: str) -> str:
         return file.read()
 
 
+def worker_encoder(definition: str) -> Encoder:
+    """The encoder of this Python worker, which lives on from task to task.
+
+    What a task learnt is so of use to the next one; a new worker starts anew.
+    """
+    module = sys.modules.setdefault("millrace_worker", ModuleType("millrace_worker"))
+    kept = module.__dict__.setdefault("encoders", {})
+    key = (len(definition), zlib.crc32(definition.encode()))
+    if key not in kept:
+        kept.clear()  # of another tokenizer
+        kept[key] = Encoder(definition)
+    return kept[key]
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, without special tokens.
 
