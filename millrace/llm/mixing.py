@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORDS, hash63, keep, with_position
+from millrace.llm.common import WORDS, keep, with_position
 from millrace.session import Workspace
 
-HASH_BITS = 63
+HASH_BITS = 60
 BUCKET_BITS = 10
 
 
@@ -23,6 +23,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
+def document_hash(doc_id: Column, text: Column) -> Column:
+    """The first ``HASH_BITS`` bits of a digest that any engine can compute."""
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(whole), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def mix(
     docs: DataFrame,
     work: Workspace,
@@ -52,7 +58,7 @@ def mix(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{source_col}`").alias("source"),
         word_count(text).alias("size"),
-        hash63(F.col(f"`{id_col}`"), text).alias("hash"),
+        document_hash(F.col(f"`{id_col}`"), text).alias("hash"),
     ]
     if carry is not None:
         columns.append(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"))

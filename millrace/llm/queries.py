@@ -14,6 +14,7 @@ from millrace.llm import (
     langid,
     minhash,
     mixing,
+    oracles,
     packing,
     quality,
     sharding,
@@ -110,3 +111,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenfiles.write_tokens(docs, work.path("tokens"), definition, work, end_id=1)
     found = tokenfiles.read_tokens(spark, work.path("tokens"), with_ids=False)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+ORACLES |= {
+    "op1_minhash_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op3_mix_sources": oracles.MIXTURE,
+    "op6_extract_main_text": oracles.MAIN_TEXT,
+    "op9_exact_top_k": oracles.EXACT_TOP_K,
+}
