@@ -10,9 +10,11 @@
    hub. Pairs whose estimate comes within ``SLACK`` of the threshold are
    confirmed on the full sets, and confirmed links are joined to components.
 4. Members of one bucket that are still in different components are compared
-   with each other, in blocks: per node and other component the best estimates
-   first, then ever more, until no pair is left out. Pairs inside a component
-   are never made, so a large group of copies costs its size, not its square.
+   with each other, in blocks: first the signatures, which leave out members
+   near no other component, then the full sets of the rest. A block gives the
+   links that join components, fewer than it has members.
+
+No step makes the pairs of a group: a group of copies costs rows by its size.
 
 A pair at the threshold shares no band with a probability of (1 - s^4)^28, 5e-10
 at a similarity of 0.85 and 4e-7 at 0.8, and is lost to the estimate with about
@@ -41,11 +43,11 @@ BITS = 4
 MINIMA = BANDS * ROWS
 LONGS = MINIMA * BITS // 64
 SLACK = 0.17
-# Members compared in one block, and pairs confirmed with one copy of the hub.
-BLOCK = 1024
+# Members, and their shingles, in one of the two blocks that are compared, and
+# pairs confirmed with one copy of the hub.
+BLOCK = 512
+BLOCK_SHINGLES = 1_000_000
 CONFIRMED_TOGETHER = 256
-# Best pairs for each node and other component in the first round of step 4.
-FIRST_BEST = 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**31, MINIMA, dtype=np.uint32) * 2 + 1)[:, None]
@@ -166,7 +168,7 @@ def near_duplicates(
     nodes = keep(
         linkable.groupBy("node").agg(
             F.min("doc_id").alias("least_id"),
-            F.min_by(F.struct("bands", "signature"), "doc_id").alias("kept"),
+            F.min_by(F.struct("bands", "signature", "n_shingles"), "doc_id").alias("kept"),
         ),
         work,
         "nodes",
@@ -189,9 +191,16 @@ def near_duplicates(
 
 def _buckets(nodes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """Members of buckets with several nodes, and the pairs of a hub and a member."""
-    banded = nodes.select(F.explode("kept.bands").alias("band"), "node")
-    shared = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    buckets = keep(banded.join(shared, "band"), work, "buckets")
+    banded = nodes.select(F.explode("kept.bands").alias("band"), "node", F.col("kept.n_shingles").alias("size"))
+    shared = (
+        banded.groupBy("band")
+        .agg(F.min("node").alias("hub"), F.count("*").alias("n"), F.sum("size").alias("sizes"))
+        .where("n > 1")
+        .withColumn("blocks", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("sizes") / BLOCK_SHINGLES)).cast("int"))
+    )
+    buckets = keep(
+        banded.join(shared, "band").select("band", "node", "hub", "n", "blocks"), work, "buckets"
+    )
     pairs = buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     return buckets, pairs
 
@@ -203,8 +212,6 @@ def _link(docs, nodes, buckets, hubs, work, percent, id_col, text_col) -> DataFr
     left = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     right = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
     near = hubs.join(left, "a").join(right, "b").where(estimate(F.col("sa"), F.col("sb")) >= floor)
-    tried = keep(near.select("a", "b"), work, "tried_0")
-
     # The text of one document of every node that may be compared.
     active = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node")
     texts = keep(
@@ -214,28 +221,23 @@ def _link(docs, nodes, buckets, hubs, work, percent, id_col, text_col) -> DataFr
         work,
         "texts",
     )
-    links = keep(_confirm(tried, texts, percent), work, "links_0")
-    labels = connected_components(links, work, "components_0")
-    best, turn = FIRST_BEST, 1
-    while True:
-        across = keep(_across(buckets, labels, signatures, floor, best), work, f"across_{turn}")
-        new = across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        new = keep(new, work, f"tried_{turn}")
-        more = across.where("more").limit(1).count() > 0
-        if new.limit(1).count():
-            tried = tried.unionAll(new)
-            links = links.unionAll(keep(_confirm(new, texts, percent), work, f"links_{turn}"))
-            labels = connected_components(links, work, f"components_{turn}")
-        if not more:
-            return labels
-        best, turn = best * 8, turn + 1
-
-
-def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, floor: float, best: int) -> DataFrame:
-    """Pairs in one bucket and different components with a high enough estimate.
-
-    At most ``best`` for each node and other component; ``more`` tells that
-    some were left out.
+    links = keep(_confirm(near.select("a", "b"), texts, percent), work, "links")
+    labels = connected_components(links, work, "components")
+    open_members = keep(_across(buckets, labels, signatures, floor), work, "open_members")
+    if not open_members.limit(1).count():
+        return labels
+    joining = keep(_join_within(open_members, texts, percent), work, "joining")
+    return connected_components(links.unionAll(joining), work, "all_components")
+
+
+PLACE = ["band", "i", "j"]
+
+
+def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, floor: float) -> DataFrame:
+    """Members of a bucket that may be linked to a member of another component.
+
+    A bucket's members are dealt into blocks, and every pair of blocks (``i``,
+    ``j``) is one group.
     """
     rooted = buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The pairs with the hub are known, so two other members must differ.
@@ -246,69 +248,119 @@ def _across(buckets: DataFrame, labels: DataFrame, signatures: DataFrame, floor:
         .where("r1 <> r2")
         .select("band")
     )
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = (
         others.join(mixed, "band")
         .join(signatures, "node")
-        .select("band", "node", "root", "signature", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "signature")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "signature")
     )
-    place = ["band", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
-        out = []
-        for (_, i, j), group in groupby(rows, key=lambda row: row[:3]):
-            members = list(group)
-            if i == j:
-                one = other = members
-            else:
-                one = [m for m in members if m[3] == i]
-                other = [m for m in members if m[3] == j]
-            out += _best_pairs(one, other, floor, best)
-            if len(out) > 20_000:
-                yield _pair_batch(out)
-                out = []
-        yield _pair_batch(out)
-
-    dealt = spread.repartition(*place).sortWithinPartitions(*place)
-    return dealt.mapInArrow(compare, "a binary, b binary, more boolean")
-
-
-def _best_pairs(one: list[tuple], other: list[tuple], floor: float, best: int) -> list[tuple]:
-    """For each of ``one`` its best partners in each other component among ``other``."""
-    if not one or not other:
-        return []
-    x = np.array([m[6] for m in one], dtype=np.int64).view(np.uint64)
-    y = np.array([m[6] for m in other], dtype=np.int64).view(np.uint64)
-    names = {root: k for k, root in enumerate({m[5] for m in one} | {m[5] for m in other})}
-    rx = np.array([names[m[5]] for m in one])
-    ry = np.array([names[m[5]] for m in other])
-    found = []
-    for k in range(len(one)):
-        d = x[k] ^ y
+        for place, members in _groups(batches):
+            yield _record_batch([(*place, *m[:2]) for m in _near_others(members, floor)], OPEN)
+
+    dealt = spread.repartition(*PLACE).sortWithinPartitions(*PLACE)
+    return dealt.mapInArrow(compare, OPEN)
+
+
+OPEN = "band long, i int, j int, node binary, root binary"
+LINKS = "a binary, b binary"
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Runs of rows with equal first three columns, and the other columns of each."""
+    rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+    for place, group in groupby(rows, key=lambda row: row[:3]):
+        yield place, [row[3:] for row in group]
+
+
+def _record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    names, types = zip(*[part.split() for part in schema.split(", ")], strict=True)
+    columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.record_batch([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
+
+
+def _root_numbers(roots: list[bytes]) -> np.ndarray:
+    numbers: dict[bytes, int] = {}
+    return np.array([numbers.setdefault(root, len(numbers)) for root in roots])
+
+
+def _near_others(members: list[tuple], floor: float) -> list[tuple]:
+    """Members (node, root, signature) whose estimate with another component's is high enough."""
+    packed = np.array([m[2] for m in members], dtype=np.int64).view(np.uint64)
+    roots = _root_numbers([m[1] for m in members])
+    chosen = []
+    for k, member in enumerate(members):
+        d = packed[k] ^ packed
         d |= d >> np.uint64(1)
         d |= d >> np.uint64(2)
         apart = np.bitwise_count(d & np.uint64(_LOWEST_BITS)).sum(axis=1)
         similar = (1 - apart / MINIMA - 2.0**-BITS) / (1 - 2.0**-BITS)
-        chosen = np.flatnonzero((similar >= floor) & (ry != rx[k]))
-        chosen = chosen[np.argsort(-similar[chosen], kind="stable")]
-        seen: dict[int, int] = {}
-        for c in chosen:
-            seen[ry[c]] = seen.get(ry[c], 0) + 1
-            a, b = sorted((one[k][4], other[c][4]))
-            if seen[ry[c]] <= best:
-                found.append((a, b, False))
-            elif seen[ry[c]] == best + 1:
-                found[-1] = (*found[-1][:2], True)
+        if np.any((similar >= floor) & (roots != roots[k])):
+            chosen.append(member)
+    return chosen
+
+
+def _join_within(open_members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between components, confirmed on the full sets of a group's members."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, members in _groups(batches):
+            yield _record_batch(_joining_links(members, percent), LINKS)
+
+    rows = open_members.join(texts, "node").select(*PLACE, "node", "root", "text")
+    dealt = rows.repartition(*PLACE).sortWithinPartitions(*PLACE)
+    return dealt.mapInArrow(join, LINKS).distinct()
+
+
+def _joining_links(members: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
+    """Links that join the components of members (node, root, text), no more than needed."""
+    sets = [(node, root, shingles(text)) for node, root, text in members]
+    # An id may stand for several texts: only the node's own counts.
+    sets = [s for s in sets if xxhash.xxh3_128_digest(s[2].tobytes()) == s[0]]
+    if len(sets) < 2:
+        return []
+    sizes = np.array([len(s[2]) for s in sets])
+    common = _common(sets, sizes)
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    roots = _root_numbers([s[1] for s in sets])
+    above = list(range(len(sets)))
+
+    def top(k: int) -> int:
+        while above[k] != k:
+            above[k] = k = above[above[k]]
+        return k
+
+    found = []
+    for x, y in np.argwhere(np.triu(linked & (roots[:, None] != roots[None, :]), 1)):
+        rx, ry = top(roots[x]), top(roots[y])
+        if rx != ry:
+            above[rx] = ry
+            found.append((sets[x][0], sets[y][0]))
     return found
 
 
-def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[]] * 3
-    kinds = [pa.binary(), pa.binary(), pa.bool_()]
-    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["a", "b", "more"])
+def _common(sets: list[tuple], sizes: np.ndarray) -> np.ndarray:
+    """How many shingles each two sets share."""
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, number, times = np.unique(np.concatenate([s[2] for s in sets]), return_inverse=True, return_counts=True)
+    # A shingle of one set only is shared by no two.
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    used = shared[number]
+    owner, column = owner[used], place[number[used]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for first in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, [first, first + 4096])
+        has = np.zeros((len(sets), 4096), dtype=np.float32)
+        has[owner[a:b], column[a:b] - first] = 1
+        common += has @ has.T
+    return common
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
