@@ -25,6 +25,9 @@ from millrace.llm.common import hash63
 from millrace.llm.tokens import worker_encoder
 
 SEQUENCE = 1024
+# A document's tail is cut at the sequence's half and quarter: pieces of up to
+# a quarter find room where larger ones, all of one size perhaps, would not.
+HALVINGS = 2
 GROUP_DOCS = 2048
 BINS_BITS = 32
 
@@ -43,8 +46,9 @@ def cut_documents(
 ) -> DataFrame:
     """Pieces of at most ``sequence`` ids of every whole document.
 
-    A document's ids are those of its text (NULL: empty) and ``end_id``; every
-    piece but its last is full. Gives ``key`` (a hash of id and text, which
+    A document's ids are those of its text (NULL: empty) and ``end_id``. Pieces
+    are full, then half and a quarter of a sequence as far as the ids go, and
+    the rest. Gives ``key`` (a hash of id and text, which
     deals documents into groups), ``doc_id, start, length, ids_crc32,
     doc_tokens`` and ``ids``, little-endian unsigned 32-bit, NULL unless
     ``with_ids``. Repeated rows give pieces each; an empty table gives none.
@@ -59,10 +63,10 @@ def cut_documents(
             ids_of = zip(batch.column("key").to_pylist(), batch.column("doc_id").to_pylist(), encoded, strict=True)
             for key, doc_id, ids in ids_of:
                 ids += end
-                for at in range(0, len(ids), 4 * sequence):
-                    piece = ids[at : at + 4 * sequence]
+                for start, length in cuts(len(ids) // 4, sequence):
+                    piece = ids[4 * start : 4 * (start + length)]
                     kept = piece if with_ids else None
-                    rows.append((key, doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, kept))
+                    rows.append((key, doc_id, start, length, zlib.crc32(piece), len(ids) // 4, kept))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
@@ -76,6 +80,16 @@ def cut_documents(
     return chosen.mapInArrow(cut, PIECES)
 
 
+def cuts(length: int, sequence: int, halvings: int = HALVINGS) -> list[tuple[int, int]]:
+    """Start and length of the pieces of a document of so many ids."""
+    found, start = [], 0
+    for size in [sequence] * (length // sequence) + [sequence >> k for k in range(1, halvings + 1)]:
+        if 0 < size <= length - start:
+            found.append((start, size))
+            start += size
+    return [*found, (start, length - start)] if start < length else found
+
+
 def pack(
     pieces: DataFrame,
     *,
