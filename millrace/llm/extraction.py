@@ -173,10 +173,17 @@ def main_text(page: str | None) -> str:
 
 
 def _settle(root: Node) -> None:
-    """Takes back what a name or a place wrongly calls noise."""
+    """Takes back what a name or a place wrongly calls noise.
+
+    An element that holds all the page's articles, or all its main headings, is
+    the page's frame, whatever its name.
+    """
+    marks = [_marks(root, ARTICLE), _marks(root, {"h1"})]
     for node in _walk(root, noise=True):
-        if node.noise == "name" and any(n.tag in ARTICLE or n.tag == "h1" for n in _walk(node)):
-            node.noise = ""
+        if node.noise == "name":
+            own = [_marks(node, ARTICLE), _marks(node, {"h1"})]
+            if any(n and n == all_of_it for n, all_of_it in zip(own, marks, strict=True)):
+                node.noise = ""
         elif node.noise == "header":
             above = node.parent
             while above and above.tag not in ARTICLE:
@@ -185,6 +192,10 @@ def _settle(root: Node) -> None:
                 node.noise = ""
 
 
+def _marks(node: Node, tags: set[str]) -> int:
+    return sum(n.tag in tags for n in _walk(node, noise=True))
+
+
 def _walk(node: Node, noise: bool = False) -> Iterator[Node]:
     """The node and all below it in page order."""
     stack = [node]

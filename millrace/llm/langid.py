@@ -243,12 +243,13 @@ class Reader:
 
     def classify(self, texts: list[str | None]) -> pd.DataFrame:
         """``lang_pred``, ``score`` and ``rejected`` of each text."""
+        n = len(texts)
+        if not n or not self.models.languages:
+            blank = {"lang_pred": np.full(n, UNKNOWN, object), "score": np.zeros(n), "rejected": np.ones(n, bool)}
+            return pd.DataFrame(blank)
         entropies, length = self.entropies(texts)
-        known = (length > 0) & bool(self.models.languages)
-        if not self.models.languages:
-            blank = pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": 0.0, "rejected": True})
-            return blank.astype({"lang_pred": object, "score": float, "rejected": bool})
-        best = entropies.argmin(axis=1) if len(texts) else np.empty(0, np.int64)
+        known = length > 0
+        best = entropies.argmin(axis=1)
         names = np.array([*self.models.languages, UNKNOWN], dtype=object)
         # The share of the best language's probability, for a text of this many characters.
         ahead = np.exp(-(entropies - entropies.min(axis=1, keepdims=True)) * np.minimum(length, 100)[:, None])
