@@ -52,14 +52,10 @@ def code(numbers: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), data.tobytes()
 
 
-def decode(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
-    """The numbers of runs coded one after the other, ``counts`` of them each."""
-    slots = -(-counts // 4) * 4
-    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()
-    ends = np.cumsum(slots)
-    used = np.arange(len(lengths)) < np.repeat(ends - slots + counts, slots)
-    lengths = lengths[used]
-    out = np.zeros((len(lengths), 4), dtype=np.uint8)
+def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of a block."""
+    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:n]
+    out = np.zeros((n, 4), dtype=np.uint8)
     out[_PLACES < lengths[:, None]] = np.frombuffer(data, dtype=np.uint8)
     return out.view("<u4").ravel()
 
@@ -81,8 +77,10 @@ def write_tokens(
     depends on their ids only. An empty table gives a file without blocks.
     Other columns of the input are not looked at, whatever their names.
     """
-    encoded = keep(_encoded(docs, definition, id_col, text_col, end_id), work, "encoded")
-    counts = encoded.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    made = keep(_encoded(docs, definition, id_col, text_col, end_id), work, "encoded")
+    encoded = made.where("counts IS NULL")
+    each = made.where("counts IS NOT NULL").select("counts").mapInArrow(_unpack_counts, "id long, n long")
+    counts = each.groupBy("id").agg(F.sum("n").alias("n"))
     counts.coalesce(1).write.parquet(f"{path}/vocabulary")
     by_rank = _by_rank(docs.sparkSession, path)
     ranks = np.zeros(int(by_rank.max(initial=0)) + 1, dtype="<u4")
@@ -95,26 +93,38 @@ def write_tokens(
 
 
 def _encoded(docs: DataFrame, definition: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
-    """``doc_id, row_no, ids_crc32, ids`` with the ids' bytes by place, compressed."""
+    """``doc_id, row_no, ids_crc32, ids`` with the ids' bytes by place, compressed.
+
+    A task's last row has in ``counts`` how often the task met each id, so that
+    nobody reads the ids again to count them.
+    """
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, squeeze = worker_encoder(definition), zstandard.ZstdCompressor(level=1)
+        counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
                 ids = [i + end for i in encoder.encode(some.column("text").to_pylist())]
+                found = np.bincount(np.frombuffer(b"".join(ids), dtype="<u4"), minlength=len(counts))
+                found[: len(counts)] += counts
+                counts = found
                 crcs = pa.array([zlib.crc32(i) for i in ids], pa.int64())
                 packed = pa.array([squeeze.compress(_by_place(i)) for i in ids], pa.binary())
-                yield pa.record_batch([some.column("doc_id"), some.column("row_no"), crcs, packed], names)
+                columns = [some.column("doc_id"), some.column("row_no"), crcs, packed]
+                yield pa.record_batch([*columns, pa.nulls(len(ids), pa.binary())], names)
+        whole = pa.array([squeeze.compress(counts.tobytes())], pa.binary())
+        nothing = [pa.nulls(1, kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        yield pa.record_batch([*nothing, whole], names)
 
-    names = ["doc_id", "row_no", "ids_crc32", "ids"]
+    names = ["doc_id", "row_no", "ids_crc32", "ids", "counts"]
     chosen = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
         F.monotonically_increasing_id().alias("row_no"),
     )
-    return chosen.mapInArrow(encode, "doc_id long, row_no long, ids_crc32 long, ids binary")
+    return chosen.mapInArrow(encode, "doc_id long, row_no long, ids_crc32 long, ids binary, counts binary")
 
 
 def _by_place(ids: bytes) -> bytes:
@@ -126,16 +136,13 @@ def _from_places(places: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(places, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    opener, counts = zstandard.ZstdDecompressor(), np.zeros(0, dtype=np.int64)
+def _unpack_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    opener = zstandard.ZstdDecompressor()
     for batch in batches:
-        for packed in batch.column("ids"):
-            found = np.bincount(_from_places(opener.decompress(packed.as_py())))
-            if len(found) > len(counts):
-                counts = np.pad(counts, (0, len(found) - len(counts)))
-            counts[: len(found)] += found
-    seen = np.flatnonzero(counts)
-    yield pa.record_batch([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
+        for packed in batch.column("counts"):
+            counts = np.frombuffer(opener.decompress(packed.as_py()), dtype=np.int64)
+            seen = np.flatnonzero(counts)
+            yield pa.record_batch([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
 
 
 def _writer(ranks: np.ndarray):
@@ -145,23 +152,22 @@ def _writer(ranks: np.ndarray):
         for batch in batches:
             for doc_id, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 doc_ids.append(doc_id)
-                runs.append(ranks[_from_places(opener.decompress(packed))])
+                runs.append(_from_places(opener.decompress(packed)))
                 size += len(runs[-1])
                 if size >= BLOCK_IDS:
-                    yield _block(part, block, doc_ids, runs)
+                    yield _block(part, block, doc_ids, runs, ranks)
                     doc_ids, runs, size, block = [], [], 0, block + 1
         if doc_ids:
-            yield _block(part, block, doc_ids, runs)
+            yield _block(part, block, doc_ids, runs, ranks)
 
     return write
 
 
-def _block(part: int, block: int, doc_ids: list[int | None], runs: list[np.ndarray]) -> pa.RecordBatch:
+def _block(part: int, block: int, doc_ids: list, runs: list[np.ndarray], ranks: np.ndarray) -> pa.RecordBatch:
     known = np.array([d is not None for d in doc_ids], dtype=np.uint8)
     numbers = np.array([d or 0 for d in doc_ids], dtype="<i8")
     counts = np.array([len(r) for r in runs], dtype="<u4")
-    coded = [code(r) for r in runs]
-    control, data = (b"".join(c) for c in zip(*coded, strict=True))
+    control, data = code(ranks[np.concatenate(runs)])
     row = [part, block, len(runs), int(counts.sum()), numbers.tobytes(), known.tobytes(), counts.tobytes(), control, data]
     names = [p.split()[0] for p in BLOCKS.split(", ")]
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
@@ -206,7 +212,7 @@ def read_tokens(spark: SparkSession, path: str, *, with_ids: bool = True) -> Dat
 
 def _documents(row: dict, by_rank: np.ndarray, with_ids: bool) -> pa.RecordBatch:
     counts = np.frombuffer(row["counts"], dtype="<u4").astype(np.int64)
-    ids = by_rank[decode(row["control"], row["data"], counts)]
+    ids = by_rank[decode(row["control"], row["data"], int(counts.sum()))]
     ends = np.cumsum(counts)
     runs = [ids[a:b].tobytes() for a, b in zip(ends - counts, ends, strict=True)]
     n = len(counts)

@@ -3,9 +3,10 @@
 Encoding a word costs far more than looking it up, and words repeat. Texts are
 cut where the two supported kinds of tokenizer cut them before they merge: by
 the pre-tokenizer's pattern in texts of simple characters, else at single
-spaces. The ids of a piece, always the library's own, are kept for its next
-occurrence, so a text's ids are what the library gives for the whole text. A
-tokenizer of another kind gets whole texts.
+spaces. The ids of a piece come from the library, from its model alone where
+the steps before it change nothing more, and are kept for the next occurrence.
+So a text's ids are what the library gives for the whole text. A tokenizer of
+another kind gets whole texts.
 """
 
 from __future__ import annotations
@@ -59,6 +60,7 @@ class Encoder:
     def __init__(self, definition: str, kept_pieces: int = KEPT_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
@@ -66,6 +68,10 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.kind = _kind(json.loads(definition))
         self.pattern = re.compile(BYTE_LEVEL if self.kind == "byte" else WORD_LEVEL)
+        # How the model spells the bytes of a character, as the library has it.
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {ord(c): spell(c)[0][0] for c in map(chr, range(256)) if SIMPLE.fullmatch(c)}
+        self.space = self.spelling[ord(" ")]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
@@ -79,24 +85,40 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         if self.kind == "other":
-            return self._plain(texts)
+            return self._whole(texts)
         if len(self.pieces) > self.kept_pieces:
             self.pieces.clear()
-        cut = [self._cut(text) for text in texts]
-        unseen = list(set().union(*cut).difference(self.pieces))
-        self.pieces.update(zip(unseen, self._plain(unseen), strict=True))
+        simple = [SIMPLE.fullmatch(text) is not None for text in texts]
+        cut = [self._pieces(t) if s else self._words(t) for s, t in zip(simple, texts, strict=True)]
+        for which, learn in ((True, self._merge), (False, self._whole)):
+            own = [c for s, c in zip(simple, cut, strict=True) if s is which]
+            unseen = list(set().union(*own).difference(self.pieces))
+            self.pieces.update(zip(unseen, learn(unseen), strict=True))
         found = self.pieces.__getitem__
         return [b"".join(map(found, pieces)) for pieces in cut]
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """Ids by all steps of the tokenizer."""
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in made]
 
-    def _cut(self, text: str) -> list[str]:
-        """Pieces whose ids, one after the other, are those of the text."""
-        if SIMPLE.fullmatch(text):
-            # The second kind puts texts in lower case before it cuts them.
-            return self.pattern.findall(text if self.kind == "byte" else text.lower())
+    def _merge(self, pieces: list[str]) -> list[bytes]:
+        """Ids by the tokenizer's model alone, for pieces its other steps leave whole."""
+        tokenize, spelling, space = self.tokenizer.model.tokenize, self.spelling, self.space
+        made = []
+        for piece in pieces:
+            plain = piece.isascii() and piece.isprintable()
+            spelt = piece.replace(" ", space) if plain else piece.translate(spelling)
+            made.append(array("I", [token.id for token in tokenize(spelt)]).tobytes())
+        return made
+
+    def _pieces(self, text: str) -> list[str]:
+        """The pre-tokenizer's pieces of a simple text."""
+        # The second kind puts texts in lower case before it cuts them.
+        return self.pattern.findall(text if self.kind == "byte" else text.lower())
+
+    def _words(self, text: str) -> list[str]:
+        """Words of any text, each with all that the cuts at spaces leave to it."""
         if self.kind == "word":
             return text.split(" ")
         # Next to other white space a space may belong to it: no cut there.
