@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import __spark_entry__ as entry_points  # noqa: E402
 import compare  # noqa: E402
 from millrace.session import drop_workspaces  # noqa: E402
+from millrace.workloads import ORACLES, QUERIES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,16 +21,18 @@ def connection():
     return compare.views(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    frame = entry_points.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     plan = plan_of(frame)
     for slow in ["EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin"]:
         assert slow not in plan
-    assert compare.differences(frame, connection.sql(entry_points.oracle_sql()[name])) == []
+    assert compare.differences(frame, connection.sql(ORACLES[name])) == []
     drop_workspaces()
 
 
 def test_entry_points_agree(spark):
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
     assert entry_points.entry(spark).count() > 0
