@@ -21,6 +21,11 @@ TOKENS = {
     "QU JD": None,
     "QUJ\nD": None,
     "QUI=\n": None,
+    "QUJD\n": None,
+    "QUJD\r\n": None,
+    "QUJD\u2028": None,
+    "QUJD ": None,
+    "\n": None,
     "####": None,
     "_-8=": None,
     "=": None,
