@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-from itertools import batched
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,23 +10,36 @@ from pyspark.sql import types as T
 
 from millrace.sources.csv import read_file_list, read_typed_csv
 
-# Names handed to one reader. Longer lists become a union of several readers,
-# so that the Python driver never holds more than this many at a time.
-PATHS_PER_READER = 10_000
-
 FILE_NAME = "file_name"
+# Signs with a meaning of their own in a path that Spark reads.
+GLOB_SIGNS = re.compile(r"[\\*?\[\]{}]")
+
+
+def literal_path(path: str) -> str:
+    """The path, its signs taken as they are."""
+    return GLOB_SIGNS.sub(lambda sign: "\\" + sign[0], path)
 
 
-def relative_name(base: str) -> Column:
+def qualified(spark: SparkSession, path: str) -> str:
+    """The folder as its file system spells it, without scheme and host."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(folder).toUri().getPath().rstrip("/")
+
+
+def relative_name(spark: SparkSession, base: str) -> Column:
     """Path of the row's file below ``base``, as a list file spells it.
 
     The metadata path is percent-encoded. ``url_decode`` would also turn a plus
-    sign into a space, so plus signs are encoded first.
+    sign into a space, so plus signs are encoded first. A file that does not lie
+    below ``base`` ends the query.
     """
     plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    root = base.split("://", 1)[1] if "://" in base else base.removeprefix("file:")
-    root = root.rstrip("/") + "/"
-    return F.substr(plain, F.instr(plain, root) + len(root))
+    # file:///a, file:/a and hdfs://host/a: all begin a path at the same slash.
+    path = F.regexp_replace(plain, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    root = qualified(spark, base) + "/"
+    outside = F.raise_error(F.concat(F.lit(f"not below {root}: "), path)).cast("string")
+    return F.when(F.startswith(path, F.lit(root)), F.substr(path, F.lit(len(root) + 1))).otherwise(outside)
 
 
 def read_listed(
@@ -38,30 +49,19 @@ def read_listed(
     schema: T.StructType,
     *,
     header: bool = True,
-    paths_per_reader: int = PATHS_PER_READER,
 ) -> DataFrame:
     """Rows of every listed file, with the listed name as last column.
 
-    Files that are not listed are never opened, a file listed twice counts
-    twice, and a listed file that does not exist fails the read. All files of a
-    reader are planned together, so small files share tasks and large ones are
-    split.
+    Names are taken literally: files that are not listed are never opened, a
+    file listed twice counts twice, and a listed file that does not exist fails
+    the read. One plan reads all files, so small ones share tasks and large ones
+    are split; the driver holds all names, as Spark does for any set of files.
     """
-    root = base.rstrip("/")
-    columns = [f"`{name}`" for name in schema.names]
-
-    def read(names: tuple[str, ...]) -> DataFrame:
-        paths = [f"{root}/{name}" for name in names]
-        rows = read_typed_csv(spark, paths, schema, header=header)
-        return rows.select(*columns, relative_name(base).alias(FILE_NAME))
-
-    readers = [read(b) for b in batched(_names(spark, list_path), paths_per_reader)]
-    if not readers:
+    root = literal_path(base.rstrip("/"))
+    names = read_file_list(spark, list_path).where("filename IS NOT NULL")
+    paths = [f"{root}/{literal_path(row.filename)}" for row in names.toLocalIterator()]
+    if not paths:
         lineage = T.StructField(FILE_NAME, T.StringType(), True)
         return spark.createDataFrame([], T.StructType([*schema.fields, lineage]))
-    return reduce(DataFrame.unionAll, readers)
-
-
-def _names(spark: SparkSession, list_path: str) -> Iterator[str]:
-    names = read_file_list(spark, list_path).where("filename IS NOT NULL")
-    return (row.filename for row in names.toLocalIterator())
+    rows = read_typed_csv(spark, paths, schema, header=header)
+    return rows.select(*[f"`{name}`" for name in schema.names], relative_name(spark, base).alias(FILE_NAME))

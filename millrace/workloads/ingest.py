@@ -9,7 +9,6 @@ from millrace.functions.codec import base64_token
 from millrace.plans.load import load_listed_files
 from millrace.session import Workspace
 from millrace.sources import csv
-from millrace.sources.indirect import relative_name
 from millrace.sources.schema import schema_of
 from millrace.workloads.data import load, query
 
@@ -88,30 +87,31 @@ def file_list_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'c_mktsegment=' || c_mktsegment AS folder
-FROM customer
+WITH listed AS (
+  SELECT *, 'c_mktsegment=' || c_mktsegment || '/customers[1] {a}*.csv' AS file_name FROM customer)
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, file_name FROM listed
 UNION ALL
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'c_mktsegment=' || c_mktsegment
-FROM customer WHERE c_mktsegment = 'MACHINERY'
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, file_name FROM listed
+WHERE c_mktsegment = 'MACHINERY'
 """)
 def indirect_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customer files are listed, those of one segment twice; others are not."""
+    """All customer files are listed, those of one segment twice; others are not.
+
+    The names hold signs that mean something else in a pattern, files that such
+    a pattern would match lie beside them, and the base is spelled with a
+    doubled slash.
+    """
     work = Workspace(spark, "indirect_load")
     base = work.path("csv")
     customer = load(spark, sf_dir, "customer")
-    customer.write.partitionBy("c_mktsegment").csv(base, header=True)
-    load(spark, sf_dir, "supplier").write.csv(f"{base}/unlisted", header=True)
-
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(base)
-        .select(relative_name(base).alias("filename"))
-        .where(~F.col("filename").startswith("unlisted/"))
-    )
-    twice = files.where(F.col("filename").startswith("c_mktsegment=MACHINERY/"))
-    files.unionAll(twice).write.text(work.path("indirect"))
+    customer.repartition("c_mktsegment").write.partitionBy("c_mktsegment").csv(base, header=True)
+    names = _rename_parts(spark, base, "customers[1] {a}*.csv")
+    load(spark, sf_dir, "supplier").coalesce(1).write.csv(f"{base}/beside", header=True)
+    _rename_parts(spark, base, "customers1 aX.csv", folders="beside")
+
+    twice = [name for name in names if name.startswith("c_mktsegment=MACHINERY/")]
+    lines = spark.createDataFrame([(name,) for name in names + twice], "filename string")
+    lines.write.text(work.path("indirect"))
 
     target = work.table("flat_file")
     spark.sql(
@@ -124,11 +124,26 @@ def indirect_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("c_nationkey", "Integer"),
         ("c_acctbal", "double"),
     ]
-    load_listed_files(spark, work.path("indirect"), base, target, spec=spec)
+    folder, _, last = base.rpartition("/")
+    load_listed_files(spark, work.path("indirect"), f"{folder}//{last}", target, spec=spec)
     return spark.table(target).select(
         "c_custkey",
         "c_name",
         "c_nationkey",
         F.col("c_acctbal").cast("double").alias("c_acctbal"),
-        F.split_part("file_name", F.lit("/"), F.lit(1)).alias("folder"),
+        "file_name",
     )
+
+
+def _rename_parts(spark: SparkSession, base: str, name: str, folders: str = "c_mktsegment=") -> list[str]:
+    """Give the one file in each folder below ``base`` a name; tells the names from ``base``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for folder in system.listStatus(path(base)):
+        if folder.getPath().getName().startswith(folders):
+            for file in system.listStatus(folder.getPath()):
+                if file.getPath().getName().startswith("part-"):
+                    system.rename(file.getPath(), path(folder.getPath(), name))
+                    found.append(f"{folder.getPath().getName()}/{name}")
+    return found

@@ -77,13 +77,10 @@ def listing(base: Path, names: list[str]) -> str:
     return str(path)
 
 
-@pytest.mark.parametrize("per_reader", [2, 100])
-def test_listed_files_with_lineage(spark, files, per_reader):
+def test_listed_files_with_lineage(spark, files):
     base, names = files
     listed = listing(base, [*names, names[1]])
-    out = read_listed(
-        spark, listed, str(base), schema_of(SPEC), paths_per_reader=per_reader
-    )
+    out = read_listed(spark, listed, str(base), schema_of(SPEC))
     got = sorted((r.a, r.file_name) for r in out.collect())
     want = [(i, n) for i, n in enumerate(names[:-1])] + [
         (i + 10, n) for i, n in enumerate(names[:-1])
@@ -99,6 +96,19 @@ def test_base_may_be_a_uri(spark, files):
     assert {r.file_name for r in out.collect()} == set(names[:2])
 
 
+@pytest.mark.parametrize("spelling", ["{b}", "{b}/", "file:{b}", "{p}//{n}", "{p}/./{n}"])
+def test_names_are_literal_and_lineage_is_true(spark, files, spelling):
+    base, _ = files
+    odd = ["a[1].csv", "*.csv", "x{a,b}.csv", "q?.csv", "back\\slash.csv"]
+    for name in [*odd, "a1.csv", "xa.csv", "q1.csv"]:
+        (base / name).write_text(f'a,b\n1,"{name}"\n')
+    listed = base.parent / "odd.txt"
+    listed.write_text("".join(f'"{n}"\n' for n in odd if "\\" not in n) + "back\\slash.csv\n")
+    root = spelling.format(b=base, p=base.parent, n=base.name)
+    out = read_listed(spark, str(listed), root, schema_of(SPEC)).collect()
+    assert sorted(r.file_name for r in out) == sorted(odd)
+
+
 def test_empty_list(spark, files):
     base, _ = files
     out = read_listed(spark, listing(base, []), str(base), schema_of(SPEC))
