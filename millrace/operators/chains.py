@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.skew import SMALL_INPUT, lookup_join
+from millrace.operators.lookup import lookup_join
 from millrace.session import Workspace
 
 # What a lookup answers for a node no edge mentions.
@@ -41,7 +41,6 @@ def chain_endpoints(
     *,
     src: str = "src",
     dst: str = "dst",
-    small_input: int = SMALL_INPUT,
 ) -> DataFrame:
     """First and last node of the chain through every node of the edge table.
 
@@ -57,7 +56,7 @@ def chain_endpoints(
     pointers = onward.select(F.lit(True).alias("onward"), "n", "p").unionAll(
         back.select(F.lit(False).alias("onward"), "n", "p")
     )
-    found = _follow(keep(pointers, work, "pointers"), work, small_input)
+    found = _follow(keep(pointers, work, "pointers"), work)
 
     last = found.where("onward").alias("last")
     first = found.where("NOT onward").alias("first")
@@ -82,7 +81,6 @@ def chain_lookup(
     *,
     source: str = "source",
     destination: str = "destination",
-    small_input: int = SMALL_INPUT,
 ) -> DataFrame:
     """Adds ``final_source`` and ``final_destination`` to every request.
 
@@ -103,21 +101,20 @@ def chain_lookup(
             answers.select("node", found),
             [(asked, "node")],
             project=lambda joined: joined.select(*kept, answer),
-            small_input=small_input,
         )
 
     with_source = add(requests, source, "_origin", NO_SOURCE, "final_source")
     return add(with_source, destination, "_terminal", NO_DESTINATION, "final_destination")
 
 
-def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame:
+def _follow(pointers: DataFrame, work: Workspace) -> DataFrame:
     """(onward, n, p): the end of each pointer chain, NULL where it meets a cycle."""
     spark, folder = work.spark, work.path("rounds")
     plain = pointers.schema
     added = [T.StructField("round", T.IntegerType()), T.StructField("arrived", T.BooleanType())]
     stored = T.StructType([*plain.fields, *added])
 
-    def jump(rows: DataFrame, lookup: DataFrame, how: str, number: int) -> DataFrame:
+    def jump(rows: DataFrame, lookup: DataFrame, how: str) -> DataFrame:
         # Whoever points at a node without a pointer has arrived.
         return lookup_join(
             rows,
@@ -130,17 +127,18 @@ def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame
                 F.coalesce("source.p", "target.p").alias("p"),
                 F.coalesce("source.arrived", F.lit(True)).alias("arrived"),
             ),
-            small_input=small_input,
-            rows=number,
         )
 
     def store(state: DataFrame, number: int) -> tuple[DataFrame, DataFrame | None, int]:
         """Keep a round; gives all that later rounds look up, who moves, how many."""
         path = f"{folder}/round={number}"
-        state.write.partitionBy("arrived").parquet(path)
+        # Counted while it is written: no job of its own.
+        seen = Observation()
+        counted = state.observe(seen, F.count_if(~F.col("arrived")).alias("left"))
+        counted.write.partitionBy("arrived").parquet(path)
+        left = seen.get["left"]
         rounds = spark.read.schema(stored).parquet(folder)
         lookup = rounds.where(f"arrived OR round = {number}")
-        left = lookup.where("NOT arrived").count()
         # Read from its own folder, the moving part shows Spark its true size.
         moving = spark.read.schema(plain).parquet(f"{path}/arrived=false") if left else None
         return lookup, moving, left
@@ -148,7 +146,7 @@ def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame
     # The first round only finds who has arrived already.
     nowhere = F.lit(None).cast(plain["p"].dataType).alias("p")
     start = pointers.select("onward", "n", nowhere, F.lit(False).alias("arrived"))
-    lookup, moving, left = store(jump(pointers, start, "left", pointers.count()), 0)
+    lookup, moving, left = store(jump(pointers, start, "left"), 0)
     for number in count(1):
         if not left:
             break
@@ -156,7 +154,7 @@ def _follow(pointers: DataFrame, work: Workspace, small_input: int) -> DataFrame
         # all, and lets Spark broadcast the moving side once few are left, so
         # that late rounds shuffle nothing.
         before = left
-        lookup, moving, left = store(jump(moving, lookup, "inner", left), number)
+        lookup, moving, left = store(jump(moving, lookup, "inner"), number)
         if left == before:
             # Depths have no gaps, so a round that resolves none leaves only
             # nodes in a cycle or on the way into one.

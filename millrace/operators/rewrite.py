@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import DuplicateColumnError, UnknownColumnError
 from millrace.operators.guards import require_no_fan_out
-from millrace.operators.skew import SMALL_INPUT, lookup_join
+from millrace.operators.lookup import lookup_join
 
 
 @dataclass(frozen=True)
@@ -67,9 +67,6 @@ def update_from_join(
     source: DataFrame,
     on: Sequence[tuple[str, str]],
     rules: Sequence[Rule],
-    *,
-    small_input: int = SMALL_INPUT,
-    check: bool = True,
 ) -> DataFrame:
     """Rewrite ``target`` with values looked up in ``source``.
 
@@ -78,13 +75,6 @@ def update_from_join(
     match more than once is refused, since it would multiply rows.
     """
     rewritten_names(target.columns, rules)
-    if check:
-        require_no_fan_out(target, source, on)
+    require_no_fan_out(target, source, on)
     items = rewrite_expressions(target.schema, rules, "target")
-    return lookup_join(
-        target,
-        source,
-        on,
-        project=lambda joined: joined.selectExpr(*items),
-        small_input=small_input,
-    )
+    return lookup_join(target, source, on, project=lambda joined: joined.selectExpr(*items))

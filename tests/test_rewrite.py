@@ -4,7 +4,8 @@ from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from millrace.errors import DuplicateColumnError, FanOutError, UnknownColumnError
-from millrace.operators import guards, skew
+from millrace.operators import guards
+from millrace.operators.lookup import lookup_join
 from millrace.operators.rewrite import Rule, conditional_update, update_from_join
 
 
@@ -70,42 +71,46 @@ def test_matched_duplicate_is_refused(spark):
         )
 
 
-def test_hot_and_null_keys_give_the_plain_join(spark):
-    target = spark.range(30_000).selectExpr(
+def test_hot_and_null_keys_are_cut_by_adaptive_execution(spark):
+    """A third of the rows under one key and a third under NULL, spread over tasks."""
+    target = spark.range(0, 90_000, 1, 16).selectExpr(
         "case when id % 3 = 0 then 1 when id % 3 = 1 then null else cast(id as int) end as k",
         "cast(id as int) as v",
     )
     source = spark.range(0, 40_000, 1, 4).selectExpr("cast(id as int) as k", "cast(id * 2 as int) as w")
-    key = [target["k"]]
-    hot = skew.hot_hashes(target, key, small_input=0)
-    assert len(hot) == 2
-    assert skew.hot_hashes(target, key) == []
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rule = [Rule("v", "when source.w is not null then source.w")]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        rule = [Rule("v", "when source.w is not null then source.w")]
-        plain = update_from_join(target, source, [("k", "k")], rule)
-        split = update_from_join(target, source, [("k", "k")], rule, small_input=0)
-        plan = plan_of(split)
-        assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
-        assert "Union" not in plan_of(plain)
-        assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
-        assert split.count() == 30_000
+        out = update_from_join(target, source, [("k", "k")], rule)
+        rows = out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = [2 if n % 3 == 0 else n if n % 3 == 1 or n >= 40_000 else 2 * n for n in range(90_000)]
+    assert sorted(r.v for r in rows) == sorted(want)
 
 
-def test_broadcast_lookup_is_left_alone(spark):
+def test_small_lookup_is_broadcast(spark):
     target = spark.range(1000).selectExpr("id % 3 as k")
-    out = skew.lookup_join(target, spark.range(3).toDF("k"), [("k", "k")], small_input=0)
-    plan = plan_of(out)
-    assert "BroadcastHashJoin" in plan and "Union" not in plan
+    out = lookup_join(target, spark.range(3).toDF("k"), [("k", "k")])
+    assert "BroadcastHashJoin" in plan_of(out) and "Exchange hashpartitioning" not in plan_of(out)
 
 
 def test_keys_need_equal_types(spark):
     a = spark.range(10).selectExpr("id as k")
     b = spark.range(10).selectExpr("cast(id as int) as k")
     with pytest.raises(ValueError):
-        skew.lookup_join(a, b, [("k", "k")])
+        lookup_join(a, b, [("k", "k")])
 
 
 def test_count_guards(spark):
