@@ -35,3 +35,11 @@ class MissingFileError(MillraceError):
 
 class SchemaMismatchError(MillraceError):
     """Rows do not fit the table they should be written to by position."""
+
+
+class WrongPartitionError(MillraceError, ValueError):
+    """A partition is not spelled as one column and one value, or is not the table's."""
+
+
+class UnfinishedJobError(MillraceError):
+    """A stage holds checked rows that other rules made."""

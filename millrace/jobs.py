@@ -2,13 +2,15 @@
 
     spark-submit jobs.py update rules=db.update_definitions audit=db.audit
         [ledger=db.ledger] [mode=overwrite|rename|relocate] [files=10]
-        [table_name=db.t] [batch_number=3] [displayonly=true]
+        [table_name=db.t] [batch_number=3] [displayonly=true [out=/shown]]
     spark-submit jobs.py load list=/in/Indirect.txt base=/in/CSVFiles target=db.flat_file
         [audit=db.audit] [columns=field1:string,field2:long]
     spark-submit jobs.py publish path=/in/visit_details.csv servers=host:port
         [topic=name] [audit=db.audit]
     spark-submit jobs.py consume servers=host:port table=db.visits checkpoint=/ck/visits
         columns=visit_id:long,name:string [topic=name] [audit=db.audit]
+        [sink=table|batches] [trigger="2 seconds"|available] [rate=100000]
+        [min_partitions=64] [batches_per_partition=1000]
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from millrace.sources.messages import (
     message_stream,
 )
 from millrace.sources.schema import schema_of
-from millrace.streaming.decode import decode_to_table
+from millrace.streaming.decode import POLL_INTERVAL, decode_to_batches, decode_to_table
 
 
 def options_of(arguments: list[str]) -> dict[str, str]:
@@ -56,16 +58,21 @@ def only(options: dict[str, str]) -> Column | None:
 def run_update(spark: SparkSession, options: dict[str, str]) -> None:
     rules = spark.table(options["rules"])
     how = {
-        "mode": options.get("mode", update.OVERWRITE),
+        "mode": options.get("mode"),
         "files": int(options["files"]) if "files" in options else None,
         "ledger": options.get("ledger"),
+        "audit_table": options.get("audit"),
+        "only": only(options),
     }
-    if options.get("displayonly", "").lower() == "true":
-        update.dry_run(spark, rules, only=only(options), **how).show(1000, truncate=False)
+    if options.get("displayonly", "").lower() != "true":
+        update.run_updates(spark, rules, **how)
         return
-    update.run_updates(
-        spark, rules, only=only(options), audit_table=options.get("audit"), **how
-    )
+    shown = update.dry_run(spark, rules, **how)
+    if "out" in options:
+        shown.write.json(options["out"])
+        return
+    for row in shown.toLocalIterator():
+        print(*[f"{name}={value}" for name, value in row.asDict().items()], sep="  ")
 
 
 def run_load(spark: SparkSession, options: dict[str, str]) -> None:
@@ -85,17 +92,36 @@ def run_publish(spark: SparkSession, options: dict[str, str]) -> None:
     publish.publish_csv(spark, options["path"], sink, audit_table=options.get("audit"))
 
 
-def run_consume(spark: SparkSession, options: dict[str, str]) -> None:
-    source = kafka_source_options(options["servers"], options.get("topic", TOPIC))
+# What the source calls the options that bound and spread a batch.
+RATE_OPTIONS = {"rate": "maxOffsetsPerTrigger", "min_partitions": "minPartitions"}
+
+
+def run_consume(spark: SparkSession, options: dict[str, str], *, fmt: str = "kafka") -> None:
+    """Runs until it is stopped, or until the backlog is done with ``trigger=available``."""
+    if fmt == "kafka":
+        bounds = {name: options[key] for key, name in RATE_OPTIONS.items() if key in options}
+        source = kafka_source_options(options["servers"], options.get("topic", TOPIC), **bounds)
+    else:
+        source = {"path": options["path"]}
+    how = {"trigger": options.get("trigger", POLL_INTERVAL)}
+    sink = options.get("sink", "table")
+    if sink not in SINKS:
+        raise SystemExit(f"unknown sink: {sink}")
+    if sink == "batches" and "batches_per_partition" in options:
+        how["batches_per_partition"] = int(options["batches_per_partition"])
     with audited(spark, "message_consume", options.get("audit")):
-        decode_to_table(
-            message_stream(spark, source),
+        SINKS[sink](
+            message_stream(spark, source, fmt=fmt),
             schema_of(columns_of(options["columns"]), strict=True),
             options["table"],
             options["checkpoint"],
+            **how,
         ).awaitTermination()
 
 
+SINKS = {"table": decode_to_table, "batches": decode_to_batches}
+
+
 JOBS = {
     "update": run_update,
     "load": run_load,

@@ -9,14 +9,20 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.errors import SchemaMismatchError
+from millrace.errors import SchemaMismatchError, WrongPartitionError
 
 STAGE_FORMAT = "orc"
+# Files of these formats need no table to be read, so a partition can be pointed
+# at a folder of them.
+SELF_DESCRIBING = ("parquet", "orc")
+# Folder below the table's own that path listings skip.
+REWRITTEN = "_rewritten"
 BACKUP_SUFFIX = "_temp"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+ANSI = "spark.sql.ansi.enabled"
 # Fixed value: how a catalog names the partition of NULL.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -30,13 +36,17 @@ class PartitionSpec:
 
     @classmethod
     def parse(cls, text: str) -> PartitionSpec:
-        match = re.fullmatch(r"\s*`?(\w+)`?\s*=\s*(.*?)\s*", text, re.DOTALL)
+        """Reads ``column = 'literal'`` or ``column = token``, and nothing beside it.
+
+        A quote or backslash inside the literal follows a backslash.
+        """
+        match = re.fullmatch(
+            r"\s*`?(\w+)`?\s*=\s*(?:'((?:[^'\\]|\\.)*)'|([^\s'\"=<>()]+))\s*", text, re.DOTALL
+        )
         if match is None:
-            raise ValueError(f"not a single-column partition: {text!r}")
-        value = match[2]
-        if len(value) >= 2 and value[0] == value[-1] == "'":
-            value = value[1:-1]
-        return cls(match[1], value)
+            raise WrongPartitionError(f"not one column and one value: {text!r}")
+        literal = match[3] if match[2] is None else re.sub(r"\\(.)", r"\1", match[2])
+        return cls(match[1], literal)
 
     @property
     def sql(self) -> str:
@@ -102,6 +112,29 @@ def partition_exists(spark: SparkSession, table: str, spec: PartitionSpec) -> bo
     return bool(spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec.sql})").collect())
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def require_partition_column(spark: SparkSession, table: str, spec: PartitionSpec) -> None:
+    """Refuse a partition whose column is not the table's only partition column."""
+    columns = partition_columns(spark, table)
+    if [c.lower() for c in columns] != [spec.column.lower()]:
+        raise WrongPartitionError(
+            f"{table} is partitioned by {', '.join(columns) or 'nothing'}, not by {spec.column} alone"
+        )
+
+
+def require_partition(spark: SparkSession, table: str, spec: PartitionSpec) -> None:
+    if not partition_exists(spark, table, spec):
+        raise WrongPartitionError(f"{table} has no partition {spec.sql}")
+
+
+def new_folder(spark: SparkSession, table: str, label: str) -> str:
+    """A folder for rewritten rows; none is used twice, so a lost writer spoils nothing."""
+    return f"{table_location(spark, table)}/{REWRITTEN}/{label}-{uuid.uuid4().hex}"
+
+
 def _described(spark: SparkSession, statement: str, name: str) -> str | None:
     # Collecting a catalog command as it is runs no job.
     for row in spark.sql(statement).collect():
@@ -241,47 +274,64 @@ def _require_same_types(df: DataFrame, table: DataFrame) -> None:
 
 
 def overwrite_partition(
-    spark: SparkSession,
-    table: str,
-    df: DataFrame,
-    spec: PartitionSpec,
-    *,
-    staged: bool | None = None,
+    spark: SparkSession, table: str, df: DataFrame, spec: PartitionSpec
 ) -> None:
     """Replace exactly one partition, creating it if absent.
 
-    ``df`` must not carry the partition column. Spark refuses the write when
-    ``df`` reads ``table``; the rows are then staged first, so that the extra
-    copy is paid only where it is needed. ``staged`` forces either way.
+    ``df`` has the table's columns by position, without the partition column,
+    and may read the table. The rows are cast to the table's types and written
+    completely before anything changes; values that do not fit fail there.
+    Parquet and ORC partitions are then pointed at the new files, in one step
+    for readers. Other formats are overwritten from a stage table, during which
+    readers may find the partition missing; should that fail, the stage stays
+    and the error names it.
     """
+    require_partition_column(spark, table, spec)
     if spec.column.lower() in (c.lower() for c in df.columns):
         raise SchemaMismatchError(f"rows must not carry the partition column {spec.column}")
-    width = len(spark.table(table).columns) - 1
-    if len(df.columns) != width:
-        raise SchemaMismatchError(f"expected {width} columns, got {len(df.columns)}")
-
-    def write(rows: DataFrame) -> None:
-        # Only the static mode checks that rows do not come from the table.
+    fields = [f for f in spark.table(table).schema.fields if f.name.lower() != spec.column.lower()]
+    if len(df.columns) != len(fields):
+        raise SchemaMismatchError(f"expected {len(fields)} columns, got {len(df.columns)}")
+    plain = df.toDF(*[f"c{k}" for k in range(len(fields))])
+    with session_setting(spark, ANSI, "true"):
+        typed = plain.select(
+            *[F.col(f"c{k}").cast(f.dataType).alias(f.name) for k, f in enumerate(fields)]
+        )
+        provider = table_provider(spark, table)
+        if provider in SELF_DESCRIBING:
+            folder = new_folder(spark, table, "overwrite")
+            helper = f"{table}_purge_{uuid.uuid4().hex[:8]}"
+            try:
+                typed.write.format(provider).save(folder)
+            except Exception:
+                purge_location(spark, helper, folder)
+                raise
+            _point_at(spark, table, spec, folder, helper)
+            return
+        stage = f"{table}_stage_{uuid.uuid4().hex[:8]}"
+        try:
+            stage_table(typed, stage)
+        except Exception:
+            drop_table(spark, stage)
+            raise
+    try:
         with session_setting(spark, OVERWRITE_MODE, "static"):
             spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION ({spec.sql}) SELECT * FROM {{rows}}",
-                rows=rows,
+                f"INSERT OVERWRITE TABLE {table} PARTITION ({spec.sql}) SELECT * FROM {stage}"
             )
-
-    if not staged:
-        try:
-            write(df)
-            return
-        except AnalysisException as error:
-            if staged is False or not _reads_own_target(error):
-                raise
-    stage = f"{table}_stage_{uuid.uuid4().hex[:8]}"
-    try:
-        stage_table(df, stage)
-        write(spark.table(stage))
-    finally:
-        drop_table(spark, stage)
+    except Exception as error:
+        error.add_note(f"the new rows of {spec.sql} are kept in {stage}")
+        raise
+    drop_table(spark, stage)
 
 
-def _reads_own_target(error: AnalysisException) -> bool:
-    return (error.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE")
+def _point_at(
+    spark: SparkSession, table: str, spec: PartitionSpec, folder: str, helper: str
+) -> None:
+    """Let the partition be the files of ``folder``, and delete what it was before."""
+    if not partition_exists(spark, table, spec):
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec.sql}) LOCATION '{folder}'")
+        return
+    old = partition_location(spark, table, spec)
+    spark.sql(f"ALTER TABLE {table} PARTITION ({spec.sql}) SET LOCATION '{folder}'")
+    purge_location(spark, helper, old)

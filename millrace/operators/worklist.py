@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.text import equals_ignoring_quotes
-
 # Columns of the rule table, by name.
 RULE_SCHEMA = T.StructType(
     [
@@ -56,13 +54,3 @@ def _with_source(rules: DataFrame, more: list[Column]) -> DataFrame:
         *more,
     )
 
-
-def rules_of_job(rules: DataFrame, table: str, batch: int, partition: str) -> DataFrame:
-    """Enabled rules of one job; quotes around the partition value do not matter."""
-    return (
-        enabled_rules(rules)
-        .where(F.col("table_name") == table)
-        .where(F.col("batch_number").cast("bigint") == batch)
-        .where(equals_ignoring_quotes(F.col("partition_column"), F.lit(partition)))
-        .select(F.lower("update_column").alias("update_column"), "case_when")
-    )

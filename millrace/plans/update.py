@@ -6,22 +6,26 @@ and a dry run returns them, so what is shown is what would happen.
 
 Three ways to commit a rewritten partition:
 
+``relocate``   write the rewritten rows to a folder of their own, check them,
+               point the partition there and delete the old files. The rows
+               are written once and the switch is a single catalog operation:
+               readers see the old rows or the new ones. The default for
+               Parquet and ORC tables, and only for them.
 ``overwrite``  stage the rewritten rows, check them, replace the partition from
-               the stage. Readers never see it missing or twice, and an
-               interrupted commit can simply be repeated from the stage.
+               the stage. Spark deletes the old files before it writes the new
+               ones, so readers may find the partition missing or incomplete
+               until the write has ended. The default for other formats.
 ``rename``     stage, move the old partition aside under its recovery name,
                append the stage, drop the old rows. Used for rules that rewrite
                the partition column itself, since such rows change partition.
-``relocate``   write the rewritten rows to a folder of their own, check them,
-               point the partition there and delete the old files. The rows
-               are written once instead of twice and the switch is a single
-               catalog operation, at the price of partitions that do not sit
-               in the table's default folders. Parquet and ORC tables only.
+
+A stage that has been checked is kept until its rows are known to be in the
+table, with or without a ledger: the next run of the same job starts from it.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -29,19 +33,23 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from millrace.errors import ConflictingRulesError
+from millrace.errors import ConflictingRulesError, RowCountMismatchError, UnfinishedJobError
 from millrace.operators.guards import require_equal_counts
 from millrace.operators.rewrite import Rule, rewrite_expressions
 from millrace.operators.tables import (
+    SELF_DESCRIBING,
     STAGE_FORMAT,
     PartitionSpec,
     drop_partition_if_exists,
     drop_table,
+    new_folder,
     partition_exists,
     partition_location,
     purge_location,
     purge_statements,
     rename_partition,
+    require_partition,
+    require_partition_column,
     session_setting,
     table_location,
     table_provider,
@@ -63,17 +71,16 @@ OVERWRITE = "overwrite"
 RENAME = "rename"
 RELOCATE = "relocate"
 MODES = (OVERWRITE, RENAME, RELOCATE)
-SELF_DESCRIBING = ("parquet", "orc")
-# Folder below the table's own that path listings skip.
-RELOCATED = "_rewritten"
 
 NEEDED = [*JOB_KEY, "update_column", "case_when"]
 
 # States of a stage, kept as a property of the stage table itself.
 STATE_PROPERTY = "millrace.state"
 REPLACED_PROPERTY = "millrace.replaced_location"
+RULES_PROPERTY = "millrace.rules"
 CHECKED = "CHECKED"
 APPENDED = "APPENDED"
+COMMITTED = "COMMITTED"
 
 STEP_SCHEMA = (
     "table_name string, batch_number bigint, partition_column string, step_no int, "
@@ -118,12 +125,19 @@ class JobPlan:
     provider: str = STAGE_FORMAT
     location: str | None = None
     commit: list[tuple[str, str]] = field(default_factory=list)
+    # Query of the place of every target row a join gives, where one is joined.
+    places: str | None = None
 
     @property
     def moves_rows(self) -> bool:
         """Whether a rule rewrites the partition column itself."""
         return any(r.column.lower() == self.spec.column.lower() for r in self.job.rules)
 
+    @property
+    def mark(self) -> str:
+        """Tells the rules that made a stage from others."""
+        return hashlib.sha256(f"{self.mode}\n{self.select}".encode()).hexdigest()
+
     @property
     def stage_statement(self) -> str:
         place = f" LOCATION '{self.location}'" if self.location else ""
@@ -135,36 +149,50 @@ class JobPlan:
 
 
 def plan_job(
-    spark: SparkSession, job: UpdateJob, mode: str = OVERWRITE, files: int | None = None
+    spark: SparkSession,
+    job: UpdateJob,
+    mode: str | None = None,
+    files: int | None = None,
+    *,
+    must_exist: bool = True,
 ) -> JobPlan:
     """Turn a job into statements; nothing is read but the catalog.
 
     The stage has as many files as the rewrite has tasks, unless ``files`` asks
-    for a number at the price of a shuffle.
+    for a number at the price of a shuffle. Without a ``mode`` the table's
+    format decides. The partition must be one the table has, unless an earlier
+    job may make it.
     """
+    schema = spark.table(job.table).schema
+    provider = table_provider(spark, job.table)
+    if mode is None:
+        mode = RELOCATE if provider in SELF_DESCRIBING else OVERWRITE
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode!r}")
-    schema = spark.table(job.table).schema
     spec = PartitionSpec.parse(job.partition)
+    require_partition_column(spark, job.table, spec)
+    if must_exist:
+        require_partition(spark, job.table, spec)
     qualifier = _qualifier(spark, job, schema.names)
     items = rewrite_expressions(schema, job.rules, qualifier)
     where = f"{qualifier}.{spec.sql}" if qualifier else spec.sql
     hint = f"/*+ REPARTITION({files}) */ " if files else ""
     select = f"SELECT {hint}{', '.join(items)} FROM {job.from_clause} WHERE {where}"
     plan = JobPlan(job, mode, spec, select)
+    if job.from_clause != job.table:
+        plan.places = _places(spark, qualifier, f"FROM {job.from_clause} WHERE {where}")
     if plan.moves_rows:
         plan.mode = RENAME
     drop_stage = f"DROP TABLE {job.stage}"
     kept = ", ".join(f"`{c}`" for c in schema.names if c.lower() != spec.column.lower())
     if plan.mode == RELOCATE:
-        plan.provider = table_provider(spark, job.table)
+        plan.provider = provider
         if plan.provider not in SELF_DESCRIBING:
             raise ValueError(f"{job.title}: cannot relocate {plan.provider} partitions")
-        # A folder is never used twice, so a lost writer cannot spoil a later one.
-        root = table_location(spark, job.table)
-        plan.location = f"{root}/{RELOCATED}/{job.batch}-{uuid.uuid4().hex}"
+        plan.location = new_folder(spark, job.table, str(job.batch))
         plan.select = f"SELECT {kept} FROM ({select})"
-        old = partition_location(spark, job.table, spec)
+        exists = must_exist or partition_exists(spark, job.table, spec)
+        old = partition_location(spark, job.table, spec) if exists else "its location by then"
         plan.commit = [
             (
                 INSERTED,
@@ -219,19 +247,33 @@ def _qualifier(spark: SparkSession, job: UpdateJob, names: Sequence[str]) -> str
     return f"`{short}`"
 
 
+def _places(spark: SparkSession, qualifier: str | None, source: str) -> str | None:
+    """Query of file and position of the target's rows in a join.
+
+    Parquet files tell them, where the from-clause does not rename the target;
+    else only the number of rows is compared.
+    """
+    place = f"{qualifier}._metadata" if qualifier else "_metadata"
+    query = f"SELECT {place}.file_path AS file, {place}.row_index AS position {source}"
+    try:
+        spark.sql(query)
+    except AnalysisException:
+        return None
+    return query
+
+
 def pending_jobs(
     spark: SparkSession,
     rules: DataFrame,
     ledger: str | None = None,
     only: Column | None = None,
 ) -> list[UpdateJob]:
-    """Jobs in the order they apply, each with its rules.
+    """Jobs in the order they apply, each with its rules; nothing is written.
 
     The rules steer the driver's loop, one Spark write per job. They are control
     data, at most one row per table column and batch, and read in one go.
     """
-    if ledger is not None:
-        ledgers.create_ledger(spark, ledger)
+    if ledger is not None and spark.catalog.tableExists(ledger):
         rules = ledgers.pending(rules, spark.table(ledger))
     found: dict[tuple, list] = {}
     rows = job_rules(rules, only).collect()
@@ -269,34 +311,73 @@ def _checked_count(spark: SparkSession, plan: JobPlan, rewritten: DataFrame) ->
     return new
 
 
+def _require_each_row_once(spark: SparkSession, plan: JobPlan) -> None:
+    """Refuse a join that gives a target row more than once, whatever the totals are."""
+    if plan.places is None:
+        return
+    places = spark.sql(plan.places)
+    repeated = places.groupBy("file", "position").count().where("count > 1").limit(3).collect()
+    if repeated:
+        raise RowCountMismatchError(
+            f"{plan.job.title}: the join gives rows of the target more than once, "
+            f"{repeated[0]['count']} times row {repeated[0]['position']} of {repeated[0]['file']}"
+        )
+
+
+def _plans(
+    spark: SparkSession, jobs: list[UpdateJob], mode: str | None, files: int | None
+) -> list[JobPlan]:
+    """Plans of all jobs.
+
+    A partition may be absent if rows that an earlier job moves may make it, or
+    if an interrupted run of the job has moved it aside.
+    """
+    plans: list[JobPlan] = []
+    for job in jobs:
+        made = any(p.moves_rows and p.job.table == job.table for p in plans)
+        begun = _stage_state(spark, job.stage) is not None
+        plans.append(plan_job(spark, job, mode, files, must_exist=not (made or begun)))
+    return plans
+
+
 def dry_run(
     spark: SparkSession,
     rules: DataFrame,
     *,
-    mode: str = OVERWRITE,
+    mode: str | None = None,
     files: int | None = None,
     ledger: str | None = None,
+    audit_table: str | None = None,
     only: Column | None = None,
+    job_name: str = "table_update",
 ) -> DataFrame:
     """Ordered statements of all pending jobs, with the checked row count of each job.
 
-    Reads and rewrites for the counts but changes nothing. Every job is judged
-    on the tables as they are, not as earlier jobs would leave them.
+    Reads and rewrites for the counts but changes no table except the audit's,
+    which gets a row as for any run. Every job is judged on the tables as they
+    are, not as earlier jobs would leave them; one whose partition an earlier
+    job would make has no count.
     """
-    rows = []
-    for job in pending_jobs(spark, rules, ledger, only):
-        plan = plan_job(spark, job, mode, files)
-        n = _checked_count(spark, plan, spark.sql(plan.select))
-        for number, (step, statement) in enumerate(plan.statements, 1):
-            rows.append((job.table, job.batch, job.partition, number, step, statement, n))
-    return spark.createDataFrame(rows, STEP_SCHEMA)
+    with audited(spark, job_name, audit_table) as run:
+        rows = []
+        plans = _plans(spark, pending_jobs(spark, rules, ledger, only), mode, files)
+        for plan in plans:
+            job, n = plan.job, None
+            run.message = f"{job.title}: {CONFIGURED}, {COLUMNS_FOUND}"
+            if partition_exists(spark, job.table, plan.spec):
+                _require_each_row_once(spark, plan)
+                n = _checked_count(spark, plan, spark.sql(plan.select))
+            for number, (step, statement) in enumerate(plan.statements, 1):
+                rows.append((job.table, job.batch, job.partition, number, step, statement, n))
+        run.message = f"shown, not run: {len(plans)} jobs with {len(rows)} statements"
+        return spark.createDataFrame(rows, STEP_SCHEMA)
 
 
 def run_updates(
     spark: SparkSession,
     rules: DataFrame,
     *,
-    mode: str = OVERWRITE,
+    mode: str | None = None,
     files: int | None = None,
     ledger: str | None = None,
     audit_table: str | None = None,
@@ -312,7 +393,9 @@ def run_updates(
     with audited(spark, job_name, audit_table) as run:
         jobs = pending_jobs(spark, rules, ledger, only)
         # Planning all jobs first finds bad rules before anything has changed.
-        plans = [plan_job(spark, job, mode, files) for job in jobs]
+        plans = _plans(spark, jobs, mode, files)
+        if ledger is not None:
+            ledgers.create_ledger(spark, ledger)
         for plan in plans:
             run_job(spark, plan, run, ledger)
         return jobs
@@ -321,15 +404,17 @@ def run_updates(
 def run_job(spark: SparkSession, plan: JobPlan, run: Run, ledger: str | None = None) -> None:
     """Stage, check and commit one job.
 
-    With a ledger, a stage that an earlier, interrupted run has checked is
-    committed as it is. The stage goes last, since until the ledger knows the
-    job it is the way back.
+    A stage that an earlier, interrupted run has checked is committed as it is,
+    if the same rules made it; it may be the only copy of the rows. The stage
+    goes last.
     """
     job = plan.job
     run.message = f"{job.title}: {CONFIGURED}, {COLUMNS_FOUND}"
-    state = _stage_state(spark, job.stage) if ledger is not None else None
+    state = _stage_state(spark, job.stage)
     if state is None:
+        require_partition(spark, job.table, plan.spec)
         drop_table(spark, job.stage)
+        _require_each_row_once(spark, plan)
         spark.sql(plan.stage_statement)
         try:
             # Counted from the files that were written, not by evaluating again.
@@ -342,18 +427,26 @@ def run_job(spark: SparkSession, plan: JobPlan, run: Run, ledger: str | None = N
         if plan.mode == RELOCATE:
             old = partition_location(spark, job.table, plan.spec)
             _set_stage_property(spark, job.stage, REPLACED_PROPERTY, old)
+        _set_stage_property(spark, job.stage, RULES_PROPERTY, plan.mark)
         _set_stage_property(spark, job.stage, STATE_PROPERTY, CHECKED)
         run.message = f"{job.title}: {TRANSFORMED} ({rows:,} rows)"
     else:
+        if _stage_property(spark, job.stage, RULES_PROPERTY) != plan.mark:
+            raise UnfinishedJobError(
+                f"{job.title}: {job.stage} holds checked rows ({state}) that other rules or "
+                "another mode made; finish that run, or drop the stage if its rows are not needed"
+            )
         run.message = f"{job.title}: {TRANSFORMED} (in an earlier run)"
 
-    if plan.mode == OVERWRITE:
-        spark.sql(plan.commit[0][1])
-        run.message = f"{job.title}: {INSERTED}"
-    elif plan.mode == RELOCATE:
-        _commit_by_relocation(spark, plan, run)
-    else:
-        _commit_by_rename(spark, plan, run, state)
+    if state != COMMITTED:
+        if plan.mode == OVERWRITE:
+            spark.sql(plan.commit[0][1])
+            run.message = f"{job.title}: {INSERTED}"
+        elif plan.mode == RELOCATE:
+            _commit_by_relocation(spark, plan, run)
+        else:
+            _commit_by_rename(spark, plan, run, state)
+        _set_stage_property(spark, job.stage, STATE_PROPERTY, COMMITTED)
     if ledger is not None:
         ledgers.record_done(spark, ledger, job.table, job.batch, job.partition)
     spark.sql(plan.commit[-1][1])

@@ -8,15 +8,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.codec import decode_records
-from millrace.operators.tables import OVERWRITE_MODE, session_setting
+from millrace.operators.tables import PartitionSpec, overwrite_partition
 
 # Fixed value: how often the topic is polled.
 POLL_INTERVAL = "2 seconds"
+AVAILABLE = "available"
 BATCH_COLUMN = "batch_id"
+RANGE_COLUMN = "batch_range"
+# Batches that share a partition: at the poll interval some 43 partitions a day.
+BATCHES_PER_PARTITION = 1000
 
 
-def _trigger(available_now: bool) -> dict:
-    return {"availableNow": True} if available_now else {"processingTime": POLL_INTERVAL}
+def _trigger(trigger: str) -> dict:
+    """``available`` works the backlog off and ends; else an interval."""
+    return {"availableNow": True} if trigger == AVAILABLE else {"processingTime": trigger}
 
 
 def decode_to_table(
@@ -25,7 +30,7 @@ def decode_to_table(
     table: str,
     checkpoint: str,
     *,
-    available_now: bool = False,
+    trigger: str = POLL_INTERVAL,
     fmt: str = "parquet",
 ) -> StreamingQuery:
     """Append decoded messages to a table, each exactly once.
@@ -38,7 +43,7 @@ def decode_to_table(
         decode_records(messages, schema)
         .writeStream.format(fmt)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(available_now))
+        .trigger(**_trigger(trigger))
         .toTable(table)
     )
 
@@ -49,25 +54,48 @@ def decode_to_batches(
     table: str,
     checkpoint: str,
     *,
-    available_now: bool = False,
+    trigger: str = POLL_INTERVAL,
+    batches_per_partition: int = BATCHES_PER_PARTITION,
 ) -> StreamingQuery:
-    """Same into an existing table partitioned by ``batch_id``.
+    """Same into an existing table with the columns ``quarantined, batch_id, batch_range``.
 
-    Any engine can read such a table without the file sink's log. A replayed
-    batch overwrites its own partition, so repeating it changes nothing.
+    The table is partitioned by ``batch_range``, which so many successive
+    batches share. Any engine can read it without the file sink's log. A batch
+    is appended. Only the first batch of a query can be one that an earlier
+    query has begun to write: what there is of it is taken out of its partition
+    first, by a switch to files without it, so repeating it changes nothing.
     """
+    begun: list[int] = []
+    reader = messages.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with session_setting(spark, OVERWRITE_MODE, "dynamic"):
-            batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint")).write.mode(
-                "overwrite"
-            ).insertInto(table)
+        spark, part = batch.sparkSession, batch_id // batches_per_partition
+        if not begun:
+            _take_out(spark.table(table), table, batch_id, part)
+            begun.append(batch_id)
+        batch.select(
+            *batch.columns,
+            F.lit(batch_id).cast("bigint").alias(BATCH_COLUMN),
+            F.lit(part).cast("bigint").alias(RANGE_COLUMN),
+        ).write.mode("append").insertInto(table)
+        # Batches have a session of their own; the caller's shall see the files.
+        reader.catalog.refreshTable(table)
 
     return (
         decode_records(messages, schema)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(available_now))
+        .trigger(**_trigger(trigger))
         .start()
     )
+
+
+def _take_out(rows: DataFrame, table: str, batch_id: int, part: int) -> None:
+    """Remove the rows of one batch from its partition, if there are any."""
+    spark = rows.sparkSession
+    spark.catalog.refreshTable(table)
+    held = spark.table(table).where(F.col(RANGE_COLUMN) == part)
+    if held.where(F.col(BATCH_COLUMN) == batch_id).isEmpty():
+        return
+    others = held.where(F.col(BATCH_COLUMN) != batch_id).drop(RANGE_COLUMN)
+    overwrite_partition(spark, table, others, PartitionSpec(RANGE_COLUMN, str(part)))

@@ -35,20 +35,24 @@ def row_to_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id,
-       CASE WHEN lang = 'de' THEN '(invalid)' ELSE text END AS text,
-       CASE WHEN lang = 'de' THEN '(invalid)' ELSE text END AS text_by_sql,
-       lang <> 'de' AS is_valid
-FROM documents
+WITH tokens AS (
+  SELECT doc_id, text, lang = 'en' AND doc_id % 5 <> 0 AS is_valid FROM documents)
+SELECT doc_id, CASE WHEN is_valid THEN text ELSE '(invalid)' END AS text,
+       CASE WHEN is_valid THEN text ELSE '(invalid)' END AS text_by_sql, is_valid
+FROM tokens
 """)
 def base64_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts encoded and decoded; the tokens of one language are damaged."""
+    """Whole texts encoded and decoded; other languages' tokens, and some more, are damaged."""
     codec.register_converter(spark)
     token = codec.base64_token(F.col("text"))
-    damaged = F.concat(F.lit("#"), token)
-    tokens = load(spark, sf_dir, "documents").select(
-        "doc_id", F.when(F.col("lang") == "de", damaged).otherwise(token).alias("token")
+    damaged = (
+        F.when(F.col("lang") == "de", F.concat(F.lit("#"), token))
+        .when(F.col("lang") == "fr", F.concat(token, F.lit("\n")))
+        .when(F.col("lang") == "es", F.concat(token, F.lit("\r\n")))
+        .when(F.col("doc_id") % 5 == 0, F.concat(token, F.lit(" ")))
+        .otherwise(token)
     )
+    tokens = load(spark, sf_dir, "documents").select("doc_id", damaged.alias("token"))
     decoded = tokens.select(
         "doc_id",
         codec.base64_text(F.col("token")).alias("text"),
@@ -127,7 +131,7 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = message_stream(spark, {"path": work.path("topic")}, fmt="text")
     table = work.table("events")
     decode.decode_to_table(
-        stream, EVENT_SCHEMA, table, work.path("offsets"), available_now=True
+        stream, EVENT_SCHEMA, table, work.path("offsets"), trigger=decode.AVAILABLE
     ).awaitTermination()
     return spark.table(table).select(*EVENT_SCHEMA.names)
 
@@ -140,22 +144,28 @@ FROM events
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The type token of error events is damaged: their messages are kept as text.
 
-    Streamed in batches that overwrite their own partition.
+    Streamed in batches of a few files, which share partitions.
     """
     work = Workspace(spark, "stream_quarantine")
     token = codec.base64_token(F.col("event_type"))
     damaged = F.when(F.col("event_type") == "error", F.lit("err or")).otherwise(token)
-    rows = load(spark, sf_dir, "events").select(*event_tokens(damaged))
+    rows = load(spark, sf_dir, "events").select(*event_tokens(damaged)).repartition(5)
     publish_rows(rows, {"path": work.path("topic")}, fmt="text")
     table = work.table("events")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields)
     spark.sql(
-        f"CREATE TABLE {table} ({columns}, quarantined string, batch_id bigint) "
-        "USING parquet PARTITIONED BY (batch_id)"
+        f"CREATE TABLE {table} ({columns}, quarantined string, batch_id bigint, "
+        "batch_range bigint) USING parquet PARTITIONED BY (batch_range)"
     )
-    stream = message_stream(spark, {"path": work.path("topic")}, fmt="text")
+    options = {"path": work.path("topic"), "maxFilesPerTrigger": "1"}
+    stream = message_stream(spark, options, fmt="text")
     decode.decode_to_batches(
-        stream, EVENT_SCHEMA, table, work.path("offsets"), available_now=True
+        stream,
+        EVENT_SCHEMA,
+        table,
+        work.path("offsets"),
+        trigger=decode.AVAILABLE,
+        batches_per_partition=2,
     ).awaitTermination()
     fields = codec.split_fields(F.col("quarantined"))
     event_id = F.coalesce("event_id", codec.base64_text(fields[0]).cast("bigint"))

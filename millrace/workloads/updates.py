@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,23 +164,106 @@ def partition_update_from_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
-@query("""
+SHOWN_COLUMNS = (
+    "`l_orderkey`, `l_partkey`, `l_suppkey`, `l_linenumber`, `l_quantity`, `l_extendedprice`, "
+    "`l_discount`, {tax}, {rest}"
+)
+SHOWN_PLAIN = SHOWN_COLUMNS.format(tax="`l_tax`", rest="`l_linestatus`, `l_shipdate`")
+SHOWN_TAX = SHOWN_COLUMNS.format(
+    tax="cast(case when l_discount = 0 then 0.5 else `l_tax` end as double) as `l_tax`",
+    rest="`l_linestatus`, `l_shipdate`, `l_returnflag`",
+)
+SHOWN_MOVE = SHOWN_COLUMNS.format(
+    tax="`l_tax`",
+    rest="`l_linestatus`, `l_shipdate`, "
+    "cast(case when l_linestatus = 'F' then 'A' else `l_returnflag` end as string) as `l_returnflag`",
+)
+
+
+def _shown(step: str, statement: str) -> str:
+    return f"('{step}', '{statement.replace(chr(39), chr(39) * 2)}')"
+
+
+def _shown_steps(batch: int, stage: str, steps: list[tuple[str, str]]) -> str:
+    rows = [
+        f"({batch}, {number}, " + _shown(step, text.format(s=stage))[1:]
+        for number, (step, text) in enumerate(steps, 1)
+    ]
+    return ", ".join(rows)
+
+
+# The stage's name ends in a checksum of the partition.
+STAGE_MARK = f"{zlib.crc32(R_PART.replace(chr(39), '').encode()):08x}"
+R_SHOWN = "`l_returnflag`='R'"
+SHOWN = ", ".join(
+    [
+        _shown_steps(
+            1,
+            f"db.lineitem_tmp_1_{STAGE_MARK}",
+            [
+                (
+                    "COLUMN_TRANSFORMATION_COMPLETE",
+                    f"CREATE TABLE {{s}} USING parquet LOCATION 'folder' AS SELECT {SHOWN_PLAIN} "
+                    f"FROM (SELECT {SHOWN_TAX} FROM db.lineitem WHERE {R_SHOWN})",
+                ),
+                (
+                    "INSERT_TRANSFORMED_DATA_TO_SOURCE",
+                    f"ALTER TABLE db.lineitem PARTITION ({R_SHOWN}) SET LOCATION 'folder'",
+                ),
+                (
+                    "DROP_TEMP_PARTITION",
+                    "CREATE TABLE {s}_old (x int, p string) USING parquet PARTITIONED BY (p)",
+                ),
+                (
+                    "DROP_TEMP_PARTITION",
+                    "ALTER TABLE {s}_old ADD PARTITION (p='0') LOCATION 'folder'",
+                ),
+                ("DROP_TEMP_PARTITION", "ALTER TABLE {s}_old DROP PARTITION (p='0')"),
+                ("DROP_TEMP_PARTITION", "DROP TABLE {s}_old"),
+                ("DROP_TEMP_PARTITION", "DROP TABLE {s}"),
+            ],
+        ),
+        _shown_steps(
+            2,
+            f"db.lineitem_tmp_2_{STAGE_MARK}",
+            [
+                (
+                    "COLUMN_TRANSFORMATION_COMPLETE",
+                    f"CREATE TABLE {{s}} USING orc AS SELECT {SHOWN_MOVE} "
+                    f"FROM db.lineitem WHERE {R_SHOWN}",
+                ),
+                (
+                    "PARTITION_RENAMED",
+                    f"ALTER TABLE db.lineitem PARTITION ({R_SHOWN}) "
+                    "RENAME TO PARTITION (`l_returnflag`='R_old')",
+                ),
+                (
+                    "INSERT_TRANSFORMED_DATA_TO_SOURCE",
+                    "INSERT INTO db.lineitem SELECT * FROM {s}",
+                ),
+                (
+                    "DROP_TEMP_PARTITION",
+                    "ALTER TABLE db.lineitem DROP IF EXISTS PARTITION (`l_returnflag`='R_old')",
+                ),
+                ("DROP_TEMP_PARTITION", "DROP TABLE {s}"),
+            ],
+        ),
+    ]
+)
+
+
+@query(f"""
 WITH counts AS (SELECT count(*) AS n FROM lineitem WHERE l_returnflag = 'R'),
-steps(batch_number, step_no, step, statement) AS (VALUES
-  (1, 1, 'COLUMN_TRANSFORMATION_COMPLETE', 'CREATE TABLE'),
-  (1, 2, 'INSERT_TRANSFORMED_DATA_TO_SOURCE', 'INSERT OVERWRITE'),
-  (1, 3, 'INSERT_TRANSFORMED_DATA_TO_SOURCE', 'DROP TABLE'),
-  (2, 1, 'COLUMN_TRANSFORMATION_COMPLETE', 'CREATE TABLE'),
-  (2, 2, 'PARTITION_RENAMED', 'ALTER TABLE'),
-  (2, 3, 'INSERT_TRANSFORMED_DATA_TO_SOURCE', 'INSERT INTO'),
-  (2, 4, 'DROP_TEMP_PARTITION', 'ALTER TABLE'),
-  (2, 5, 'DROP_TEMP_PARTITION', 'DROP TABLE'))
+steps(batch_number, step_no, step, statement) AS (VALUES {SHOWN})
 SELECT CAST(batch_number AS BIGINT) AS batch_number, step_no, step, statement,
        n AS row_count
 FROM steps, counts
 """)
 def update_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Steps and row counts of two jobs; the second moves rows between partitions."""
+    """Statements and row counts of two jobs; the second moves rows between partitions.
+
+    Only the database's name and the folders, new in every run, are replaced.
+    """
     work = Workspace(spark, "dry_run")
     table = partitioned_lineitem(spark, sf_dir, work)
     move = "when l_linestatus = 'F' then 'A'"
@@ -189,9 +274,13 @@ def update_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             (table, 2, R_PART, R_OLD, None, "l_returnflag", move, "Y"),
         ],
     )
-    words = F.substring_index("statement", " ", 2)
-    return update.dry_run(spark, rules).select(
-        "batch_number", "step_no", "step", words.alias("statement"),
+    shown = update.dry_run(spark, rules, ledger=work.table("ledger"))
+    named = F.regexp_replace("statement", "LOCATION '[^']*'", "LOCATION 'folder'")
+    return shown.select(
+        "batch_number",
+        "step_no",
+        "step",
+        F.replace(named, F.lit(work.database), F.lit("db")).alias("statement"),
         "row_count",
     )
 

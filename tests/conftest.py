@@ -36,3 +36,15 @@ def work(spark):
 def plan_of(df) -> str:
     """Physical plan as text, before adaptive execution changes it."""
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def fail_in_a_task(monkeypatch, starts):
+    """Statements with this start fail in their first task, after they have begun."""
+    real = SparkSession.sql
+
+    def sql(self, text, *args, **kwargs):
+        if text.startswith(starts):
+            text += " WHERE raise_error('lost task') IS NULL"
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(SparkSession, "sql", sql)

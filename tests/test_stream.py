@@ -1,4 +1,5 @@
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,15 +19,15 @@ def publish(spark, path, start, end):
 
 def stream(spark, work, table, sink):
     messages = message_stream(spark, {"path": work.path("in")}, fmt="text")
-    query = sink(messages, SCHEMA, table, work.path("offsets"), available_now=True)
+    query = sink(messages, SCHEMA, table, work.path("offsets"), trigger=decode.AVAILABLE)
     query.awaitTermination()
     return query
 
 
 def make_batch_table(spark, table):
     spark.sql(
-        f"CREATE TABLE {table} (n bigint, s string, quarantined string, batch_id bigint) "
-        "USING parquet PARTITIONED BY (batch_id)"
+        f"CREATE TABLE {table} (n bigint, s string, quarantined string, batch_id bigint, "
+        "batch_range bigint) USING parquet PARTITIONED BY (batch_range)"
     )
 
 
@@ -57,12 +58,39 @@ def test_replayed_batch_changes_nothing(spark, work):
     publish(spark, work.path("in"), 0, 10)
     stream(spark, work, table, decode.decode_to_batches)
     first = sorted(spark.table(table).collect())
+    # Rows of another batch in the same partition stay as they are.
+    spark.sql(f"INSERT INTO {table} VALUES (99, 's99', null, 7, 0)")
     other = work.path("fresh_offsets")
     messages = message_stream(spark, {"path": work.path("in")}, fmt="text")
-    decode.decode_to_batches(messages, SCHEMA, table, other, available_now=True).awaitTermination()
+    decode.decode_to_batches(
+        messages, SCHEMA, table, other, trigger=decode.AVAILABLE
+    ).awaitTermination()
     spark.catalog.refreshTable(table)
-    assert sorted(spark.table(table).collect()) == first
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    assert sorted(spark.table(table).where("batch_id <> 7").collect()) == first
+    assert spark.table(table).where("batch_id = 7").count() == 1
+
+
+def test_many_batches_share_a_partition(spark, work):
+    table = work.table("out")
+    make_batch_table(spark, table)
+    for start in range(7):
+        publish(spark, work.path(f"in/{start}"), start, start + 1)
+    options = {"path": work.path("in/*"), "maxFilesPerTrigger": "1"}
+    decode.decode_to_batches(
+        message_stream(spark, options, fmt="text"), SCHEMA, table, work.path("offsets"),
+        trigger=decode.AVAILABLE, batches_per_partition=4,
+    ).awaitTermination()
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table).collect()
+    assert sorted(r.n for r in rows) == list(range(7))
+    assert all(r.batch_range == r.batch_id // 4 for r in rows)
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() < len({r.batch_id for r in rows})
+
+
+def test_decoding_needs_no_shuffle(spark, work):
+    publish(spark, work.path("in"), 0, 10)
+    plan = plan_of(codec.decode_records(spark.read.text(work.path("in")), SCHEMA))
+    assert "Exchange" not in plan and "Python" not in plan
 
 
 def test_kafka_options():

@@ -1,8 +1,11 @@
+from pathlib import Path
+
 import pytest
+from conftest import fail_in_a_task
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from millrace.errors import SchemaMismatchError
+from millrace.errors import SchemaMismatchError, WrongPartitionError
 from millrace.operators import tables
 from millrace.operators.tables import PartitionSpec
 
@@ -31,11 +34,6 @@ def test_partition_spec():
     assert PartitionSpec.parse(" `p` = 'it is' ") == PartitionSpec("p", "it is")
     assert PartitionSpec.parse("p=5") == PartitionSpec("p", "5")
     assert PartitionSpec("p", "o'x\\").sql == "`p`='o\\'x\\\\'"
-    for bad in ["p", "a='x', b='y'x", "a.b = 1"]:
-        if bad.startswith("a='x'"):
-            continue
-        with pytest.raises(ValueError):
-            PartitionSpec.parse(bad)
 
 
 def test_swap_twice_restores(spark, work):
@@ -78,16 +76,58 @@ def test_refresh_without_backup_and_failed_refresh(spark, work):
     assert (values(spark, table), values(spark, table + "_temp")) == ([(5,)], [(1,)])
 
 
+FORMATS = pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+
+
+def table_of(spark, work, fmt):
+    table = work.table(f"as_{fmt}")
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "x int, p string")
+    rows.write.format(fmt).partitionBy("p").saveAsTable(table)
+    return table
+
+
+@FORMATS
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
-@pytest.mark.parametrize("staged", [None, True])
-def test_overwrite_touches_one_partition(spark, parted, mode, staged):
+def test_overwrite_touches_one_partition(spark, work, mode, fmt):
+    table = table_of(spark, work, fmt)
     with tables.session_setting(spark, tables.OVERWRITE_MODE, mode):
-        rows = spark.table(parted).where("p = 'a'").selectExpr("x * 10 as x")
-        tables.overwrite_partition(spark, parted, rows, PartitionSpec("p", "a"), staged=staged)
-        new = spark.createDataFrame([(7,)], "y int")
-        tables.overwrite_partition(spark, parted, new, PartitionSpec("p", "c"), staged=staged)
+        for _ in range(2):
+            rows = spark.table(table).where("p = 'a'").selectExpr("x * 10L as y")
+            tables.overwrite_partition(spark, table, rows, PartitionSpec("p", "a"))
+        tables.overwrite_partition(
+            spark, table, spark.createDataFrame([(7,)], "y int"), PartitionSpec("P", "c")
+        )
+        tables.overwrite_partition(spark, table, spark.range(0), PartitionSpec("p", "b"))
         assert spark.conf.get(tables.OVERWRITE_MODE) == mode
-    assert values(spark, parted) == [(3, "b"), (7, "c"), (10, "a"), (20, "a")]
+    assert values(spark, table) == [(7, "c"), (100, "a"), (200, "a")]
+    assert [t.name for t in spark.catalog.listTables(work.database)] == [table.split(".")[1]]
+
+
+@FORMATS
+@pytest.mark.parametrize("source", ["other", "itself"])
+def test_failed_overwrite_leaves_the_old_rows(spark, work, fmt, source):
+    """Failures inside a task: a value that does not fit, and an error in the rows."""
+    table = table_of(spark, work, fmt)
+    before = values(spark, table)
+    rows = spark.table(table).where("p = 'a'") if source == "itself" else spark.range(1, 9).toDF("x")
+    for new in ("x + 3000000000L", "if(x = 2, raise_error('no'), x)"):
+        with pytest.raises(Exception, match="CAST_OVERFLOW|no"):
+            tables.overwrite_partition(spark, table, rows.selectExpr(f"{new} as x"), PartitionSpec("p", "a"))
+        assert values(spark, table) == before
+        assert len(spark.catalog.listTables(work.database)) == 1
+    rewritten = Path(tables.table_location(spark, table).removeprefix("file:")) / tables.REWRITTEN
+    assert not rewritten.exists() or list(rewritten.iterdir()) == []
+
+
+def test_overwrite_keeps_the_stage_when_the_last_write_fails(spark, work, monkeypatch):
+    table = table_of(spark, work, "json")
+    fail_in_a_task(monkeypatch, "INSERT OVERWRITE")
+    with pytest.raises(Exception, match="lost task") as failed:
+        tables.overwrite_partition(spark, table, spark.range(5, 7), PartitionSpec("p", "a"))
+    monkeypatch.undo()
+    assert values(spark, table) == [(3, "b")]
+    stage = failed.value.__notes__[-1].rsplit(" ", 1)[1]
+    assert values(spark, stage) == [(5,), (6,)]
 
 
 def test_overwrite_checks_columns(spark, parted):
@@ -96,12 +136,30 @@ def test_overwrite_checks_columns(spark, parted):
         tables.overwrite_partition(spark, parted, spark.table(parted), spec)
     with pytest.raises(SchemaMismatchError):
         tables.overwrite_partition(spark, parted, spark.range(1).selectExpr("1", "2"), spec)
-    with pytest.raises(AnalysisException):
-        rows = spark.table(parted).where("p = 'a'").select("x")
-        tables.overwrite_partition(spark, parted, rows, spec, staged=False)
+    with pytest.raises(WrongPartitionError):
+        tables.overwrite_partition(spark, parted, spark.range(1).toDF("p"), PartitionSpec("x", "1"))
     assert len(values(spark, parted)) == 3
 
 
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("p='a'", "a"), (" `p` = 'a b' ", "a b"), ("p=a", "a"), ("p = 2024-01-02", "2024-01-02"),
+        ("p=''", ""), (r"p='it\'s \\ here'", "it's \\ here"), ("p='x=1 and y'", "x=1 and y"),
+    ],
+)
+def test_partition_spelling(text, value):
+    assert PartitionSpec.parse(text) == PartitionSpec("p", value)
+
+
+@pytest.mark.parametrize(
+    "text", ["p='a' and x='1'", "p=a b", "p", "p=", "p='a", "p=a'", "p='a''b'", "p in (1)", "p<=3", "a.p=1", "p='a', q='b'"]
+)
+def test_wrong_partition_spelling(text):
+    with pytest.raises(WrongPartitionError):
+        PartitionSpec.parse(text)
+
+
 def test_rename_and_drop_partition(spark, parted):
     a, aside = PartitionSpec("p", "a"), PartitionSpec("p", "a_old")
     tables.rename_partition(spark, parted, a, aside)

@@ -1,6 +1,7 @@
 from pathlib import Path
 
 import pytest
+from conftest import fail_in_a_task
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -8,7 +9,9 @@ from millrace.errors import (
     ConflictingRulesError,
     DuplicateColumnError,
     RowCountMismatchError,
+    UnfinishedJobError,
     UnknownColumnError,
+    WrongPartitionError,
 )
 from millrace.operators import tables, worklist
 from millrace.plans import audit, update
@@ -52,7 +55,8 @@ def t(spark, work):
     return Setup(spark, work)
 
 
-MODES = pytest.mark.parametrize("mode", update.MODES)
+MODES = pytest.mark.parametrize("mode", [*update.MODES, None])
+LEDGER = pytest.mark.parametrize("noted", [True, False], ids=["ledger", "no ledger"])
 
 
 @MODES
@@ -155,19 +159,133 @@ def lose_append_mark(monkeypatch):
     "mode, commit",
     [(update.OVERWRITE, "INSERT OVERWRITE"), (update.RELOCATE, "ALTER TABLE {t} PARTITION")],
 )
-def test_failed_commit_leaves_target_and_resumes(t, monkeypatch, mode, commit):
+@LEDGER
+def test_failed_commit_leaves_target_and_resumes(t, monkeypatch, mode, commit, noted):
     before = t.rows()
     rule = t.rule("v", "when true then v + 1")
+    how = {"mode": mode, "ledger": t.ledger if noted else None}
     break_statement(monkeypatch, commit.format(t=t.table))
     with pytest.raises(RuntimeError):
-        t.run(rule, ledger=t.ledger, mode=mode)
+        t.run(rule, **how)
     assert t.rows() == before
     assert t.statuses() == ["FAILED"]
     message = t.spark.table(t.audit).first().message
     assert update.TRANSFORMED in message and "(2 rows)" in message and "lost" in message
-    t.run(rule, ledger=t.ledger, mode=mode)
+    t.run(rule, **how)
     assert (1, 2.0, "a") in t.rows() and len(t.rows()) == 4
-    assert t.tables() == {"t", "audit", "ledger"}
+    assert t.tables() == {"t", "audit"} | ({"ledger"} if noted else set())
+
+
+AFTER = [(1, 2.0, "a"), (2, 3.0, "a"), (3, 3.0, "b"), (4, None, "b")]
+
+
+@LEDGER
+@pytest.mark.parametrize("mode", [update.OVERWRITE, update.RENAME])
+def test_a_commit_that_fails_in_a_task_loses_nothing(t, monkeypatch, mode, noted):
+    """The overwrite has deleted the old files by then; the stage brings the rows back."""
+    rule = t.rule("v", "when true then v + 1")
+    how = {"mode": mode, "ledger": t.ledger if noted else None}
+    with monkeypatch.context() as broken:
+        fail_in_a_task(broken, ("INSERT OVERWRITE", "INSERT INTO " + t.table))
+        for _ in range(2):
+            with pytest.raises(Exception, match="lost task"):
+                t.run(rule, **how)
+            kept = {name for name in t.tables() if name.startswith("t_tmp_")}
+            assert len(kept) == 1
+            assert t.spark.table(f"{t.work.database}.{kept.pop()}").count() == 2
+    assert t.statuses() == ["FAILED"] * 2
+    t.run(rule, **how)
+    assert t.rows() == AFTER
+    assert sorted(t.statuses()) == ["FAILED", "FAILED", "SUCCESS"]
+    assert t.tables() == {"t", "audit"} | ({"ledger"} if noted else set())
+
+
+@LEDGER
+@pytest.mark.parametrize("mode", update.MODES)
+def test_a_stage_that_fails_in_a_task_changes_nothing(t, mode, noted):
+    before = t.rows()
+    how = {"mode": mode, "ledger": t.ledger if noted else None}
+    with pytest.raises(Exception, match="lost task|CAST_OVERFLOW"):
+        t.run(t.rule("id", "when id = 2 then 3000000000"), **how)
+    assert t.rows() == before
+    t.run(t.rule("v", "when true then v + 1"), **how)
+    assert t.rows() == AFTER
+
+
+@pytest.mark.parametrize("mode", update.MODES)
+def test_a_checked_stage_is_kept_from_other_rules(t, monkeypatch, mode):
+    starts = {update.OVERWRITE: "INSERT OVERWRITE", update.RENAME: "INSERT INTO"}
+    broken = starts.get(mode, f"ALTER TABLE {t.table} PARTITION")
+    break_statement(monkeypatch, broken)
+    with pytest.raises(RuntimeError):
+        t.run(t.rule("v", "when true then v + 1"), mode=mode)
+    before = t.rows()
+    with pytest.raises(UnfinishedJobError):
+        t.run(t.rule("v", "when true then v + 2"), mode=mode)
+    assert t.rows() == before and len(t.tables()) == 3
+    t.run(t.rule("v", "when true then v + 1"), mode=mode)
+    assert t.rows() == AFTER
+
+
+def test_default_mode_follows_the_format(t):
+    job = update.UpdateJob(t.table, 1, "p='a'", None, t.table, (update.Rule("v", "when true then 0"),))
+    assert update.plan_job(t.spark, job).mode == update.RELOCATE
+    other = t.work.table("lines")
+    t.spark.table(t.table).write.format("json").partitionBy("p").saveAsTable(other)
+    job = update.UpdateJob(other, 1, "p='a'", None, other, (update.Rule("v", "when true then 0"),))
+    assert update.plan_job(t.spark, job).mode == update.OVERWRITE
+    t.run(t.rule("v", "when true then v + 1", table=other))
+    assert sorted(r.v for r in t.spark.table(other).where("p = 'a'").collect()) == [2.0, 3.0]
+
+
+@MODES
+@pytest.mark.parametrize(
+    "part", ["p='zz'", "p='a' and x='1'", "v='1.0'", "id=1", "p='a', q='b'"]
+)
+def test_wrong_partitions_are_refused(t, part, mode):
+    before = t.rows()
+    good = t.rule("v", "when true then 0", batch=1)
+    with pytest.raises(WrongPartitionError):
+        t.run(good, t.rule("v", "when true then 0", batch=2, part=part), mode=mode, ledger=t.ledger)
+    assert t.rows() == before
+    names = [r.partition for r in t.spark.sql(f"SHOW PARTITIONS {t.table}").collect()]
+    assert names == ["p=a", "p=b"] and t.statuses() == ["FAILED"]
+    assert t.tables() == {"t", "audit"}
+
+
+def test_a_second_partition_column_is_refused(t):
+    table = t.work.table("two")
+    t.spark.sql(f"CREATE TABLE {table} (x int, p string, q string) USING parquet PARTITIONED BY (p, q)")
+    t.spark.sql(f"INSERT INTO {table} VALUES (1, 'a', 'b')")
+    with pytest.raises(WrongPartitionError, match="p, q"):
+        t.run(t.rule("x", "when true then 0", table=table))
+    assert t.spark.table(table).first().x == 1
+
+
+def test_a_partition_may_come_from_rows_that_move(t):
+    t.run(
+        t.rule("p", "when id = 1 then 'c'", batch=1),
+        t.rule("v", "when true then 9", batch=2, part="p='c'", aside="p='c_old'"),
+    )
+    assert t.rows() == [(1, 9.0, "c"), (2, 2.0, "a"), (3, 3.0, "b"), (4, None, "b")]
+    with pytest.raises(WrongPartitionError):
+        t.run(
+            t.rule("p", "when id = 3 then 'a'", batch=1, part="p='b'", aside="p='b_old'"),
+            t.rule("v", "when true then 9", batch=2, part="p='d'"),
+        )
+
+
+@MODES
+def test_a_join_that_trades_rows_is_refused(t, mode):
+    """One row twice and one not at all: the totals agree."""
+    before = t.rows()
+    t.spark.createDataFrame([(1, 5), (1, 6)], "k int, w int").write.saveAsTable(t.work.table("l"))
+    rule = t.rule("v", "when w > 0 then w", source=f"{t.table} join {t.work.table('l')} on id = k")
+    with pytest.raises(RowCountMismatchError, match="more than once"):
+        t.run(rule, mode=mode)
+    with pytest.raises(RowCountMismatchError, match="more than once"):
+        update.dry_run(t.spark, t.rules(rule), mode=mode)
+    assert t.rows() == before and t.tables() == {"t", "audit", "l"}
 
 
 @pytest.mark.parametrize("mode", [update.OVERWRITE, update.RELOCATE])
@@ -189,7 +307,7 @@ def test_relocation_deletes_what_it_replaces(t):
     for batch in (1, 2):
         t.run(t.rule("v", "when true then v + 1", batch=batch), mode=update.RELOCATE)
         now = tables.partition_location(t.spark, t.table, spec)
-        assert update.RELOCATED in now and now != first
+        assert tables.REWRITTEN in now and now != first
         assert not Path(first.removeprefix("file:")).exists()
         first = now
     assert (1, 3.0, "a") in t.rows() and (2, 4.0, "a") in t.rows()
@@ -206,7 +324,8 @@ def test_refused_relocation_leaves_no_files(t):
         t.run(t.rule("v", "when w > 0 then w", source=source), mode=update.RELOCATE)
     assert t.rows() == before
     root = Path(tables.table_location(t.spark, t.table).removeprefix("file:"))
-    assert list((root / update.RELOCATED).iterdir()) == []
+    rewritten = root / tables.REWRITTEN
+    assert not rewritten.exists() or list(rewritten.iterdir()) == []
 
 
 def test_rename_restores_when_the_insert_fails(t, monkeypatch):
@@ -273,12 +392,18 @@ def test_fan_out_is_refused_before_the_target_changes(t):
     before = t.rows()
     t.spark.createDataFrame([(1, 5), (1, 6)], "k int, w int").write.saveAsTable(t.work.table("s"))
     source = f"{t.table} left join {t.work.table('s')} on id = k"
+    rule = t.rule("v", "when w > 0 then w", source=source)
+    with pytest.raises(RowCountMismatchError, match="more than once"):
+        t.run(rule)
+    lines = t.work.table("lines")
+    t.spark.table(t.table).write.format("json").partitionBy("p").saveAsTable(lines)
+    source = f"{lines} left join {t.work.table('s')} on id = k"
     with pytest.raises(RowCountMismatchError, match="2 rows before the rewrite, 3 after"):
-        t.run(t.rule("v", "when w > 0 then w", source=source))
+        t.run(t.rule("v", "when w > 0 then w", source=source, table=lines))
     assert t.rows() == before
-    assert t.tables() == {"t", "audit", "s"}
+    assert t.tables() == {"t", "audit", "s", "lines"}
     with pytest.raises(RowCountMismatchError):
-        update.dry_run(t.spark, t.rules(t.rule("v", "when w > 0 then w", source=source)))
+        update.dry_run(t.spark, t.rules(rule))
 
 
 @pytest.mark.parametrize(
@@ -305,8 +430,12 @@ def test_bad_rules_change_nothing(t, rows, error):
 def test_dry_run_shows_what_runs(t, monkeypatch):
     before = t.rows()
     rows = [t.rule("v", "when true then 0"), t.rule("p", "when id=1 then 'b'", batch=2)]
-    steps = update.dry_run(t.spark, t.rules(*rows)).collect()
+    steps = update.dry_run(
+        t.spark, t.rules(*rows), mode=update.OVERWRITE, ledger=t.ledger, audit_table=t.audit
+    ).collect()
     assert t.rows() == before and t.tables() == {"t", "audit"}
+    trail = t.spark.table(t.audit).first()
+    assert trail.refresh_status == "SUCCESS" and "2 jobs with 8 statements" in trail.message
     assert [s.step for s in steps] == [
         update.TRANSFORMED, update.INSERTED, update.INSERTED,
         update.TRANSFORMED, update.RENAMED, update.INSERTED,
@@ -322,18 +451,14 @@ def test_dry_run_shows_what_runs(t, monkeypatch):
         return real(self, text, *args, **kwargs)
 
     monkeypatch.setattr(SparkSession, "sql", sql)
-    t.run(*rows)
+    t.run(*rows, mode=update.OVERWRITE)
     shown = [s.statement for s in steps]
     assert [x for x in ran if x in shown] == shown
 
 
-def test_rules_of_job_ignore_quotes(t):
-    rules = t.rules(
-        t.rule("V", "w1"), t.rule("id", "w2", part="p=a"), t.rule("v", "w3", part="p='b'"),
-        t.rule("v", "w4", batch=2), t.rule("v", "w5", flag="N"), t.rule("v", "w6", table="x"),
-    )
-    found = worklist.rules_of_job(rules, t.table, 1, "p='a'").collect()
-    assert sorted(tuple(r) for r in found) == [("id", "w2"), ("v", "w1")]
+def test_a_long_dry_run_is_shown_whole(t):
+    rows = [t.rule("v", "when true then 0", batch=n) for n in range(12)]
+    assert update.dry_run(t.spark, t.rules(*rows)).count() == 12 * 7
 
 
 def test_worklist(t):
