@@ -66,12 +66,14 @@ class Workspace:
     """A uniquely named database whose location lies in the shared folder.
 
     Tables and plain files of one run live under it; ``drop`` removes them all.
+    ``folder`` puts it elsewhere, for results that shall outlive the checkpoint
+    folder's clean-up; it must be one that all executors share.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, folder: str | None = None):
         self.spark = spark
         self.database = f"millrace_{label}_{uuid.uuid4().hex[:12]}"
-        self.location = f"{shared_dir(spark)}/{self.database}"
+        self.location = f"{(folder or shared_dir(spark)).rstrip('/')}/{self.database}"
         spark.sql(f"CREATE DATABASE {self.database} LOCATION '{self.location}'")
         _open.append(self)
 

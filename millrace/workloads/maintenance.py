@@ -12,6 +12,7 @@ from millrace.sources import catalog
 from millrace.workloads.data import load, query
 from millrace.workloads.updates import partitioned_lineitem
 
+
 @query("SELECT * FROM lineitem WHERE l_returnflag = 'A'")
 def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "partition_scan")
@@ -124,3 +125,17 @@ def sql_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, frame in catalog.named_frames_of(spark, texts).items()
     ]
     return tagged[0].unionAll(tagged[1]).unionAll(tagged[2])
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal < 0")
+def table_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table emptied and filled again keeps its columns and none of its rows."""
+    work = Workspace(spark, "table_truncate")
+    table = work.table("supplier")
+    rows = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    rows.write.saveAsTable(table)
+    tables.truncate_table(spark, table)
+    if spark.table(table).limit(1).count():
+        raise RuntimeError(f"{table} is not empty")
+    tables.append_by_position(rows.where("s_acctbal < 0"), table)
+    return spark.table(table)
