@@ -66,7 +66,8 @@ def mix(
         sizes = keep(rows.drop("row"), work, "sizes")
     else:
         rows = sizes = keep(docs.select(*columns), work, "sizes")
-    found = thresholds(sizes, targets(sizes, work, weights, most), work, most)
+    # Written, so that Spark sees how small it is and does not deal out documents.
+    found = keep(thresholds(sizes, targets(sizes, work, weights, most), work, most), work, "taken")
     extra = F.when(F.col("hash") <= F.col("last_hash"), 1).otherwise(0)
     return (
         rows.join(found.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
