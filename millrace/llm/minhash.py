@@ -178,10 +178,11 @@ def near_duplicates(
     ids = nodes.select("node", "least_id")
     reached = labels.join(ids, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))
     # Nodes without a link are components of their own.
-    components = (
-        ids.join(labels.join(reached, "root").select("node", "component_id"), "node", "left")
-        .select("node", F.coalesce("component_id", "least_id").alias("component_id"))
+    components = ids.join(labels.join(reached, "root").select("node", "component_id"), "node", "left").select(
+        "node", F.coalesce("component_id", "least_id").alias("component_id")
     )
+    # Written, so that adaptive execution can cut the partition of a node with many copies.
+    components = keep(components, work, "nodes_components")
     linked = linkable.select("doc_id", "n_shingles", "node").join(components, "node").drop("node")
     alone = found.where("doc_id IS NULL OR node IS NULL").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
