@@ -52,3 +52,21 @@ def with_position(df: DataFrame, order: Column, work: Workspace, name: str) -> D
         .withColumn("position", F.col("start") + F.col("inside"))
         .drop("range_no", "start", "inside")
     )
+
+
+def hashed_sample(rows: DataFrame, group: str, counts: dict, n: int, doc_id: str = "doc_id") -> DataFrame:
+    """The ``n`` rows of each group in ``counts`` with the smallest hashes of their ids.
+
+    ``counts`` tells the rows of each group. Hashes beyond what twice as many
+    rows need are left out where the rows lie, so what meets in a task does not
+    grow with the group.
+    """
+    known = {value: size for value, size in counts.items() if size}
+    if not known:
+        return rows.limit(0)
+    pairs = [F.lit(x) for value, size in known.items() for x in (value, min(1.0, 2.0 * n / size + 100 / size))]
+    share = F.element_at(F.create_map(*pairs), F.col(group))
+    place = hash63(F.col(doc_id))
+    order = Window.partitionBy(group).orderBy(place, doc_id)
+    near = rows.where(F.col(group).isin(list(known)) & (place / F.lit(2.0**63) <= share))
+    return near.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= n).drop("turn")

@@ -21,9 +21,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import hashed_sample
+
 ORDER = 4
 DISCOUNT = 0.75
 UNKNOWN = "und"
@@ -308,15 +310,8 @@ def train(
     ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.where(F.octet_length("text").between(1, TRAINING_BYTES))
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAINING_LANGUAGES)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        rows.select("doc_id", "lang")
-        .join(F.broadcast(sizes.select("lang")), "lang")
-        .withColumn("turn", F.row_number().over(by_hash))
-        .where(F.col("turn") <= TRAINING_DOCS)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    counts = {row["lang"]: row["count"] for row in sizes.collect()}
+    chosen = hashed_sample(rows.select("doc_id", "lang"), "lang", counts, TRAINING_DOCS).distinct()
     # At most TRAINING_DOCS * TRAINING_LANGUAGES ids; the words come back counted.
     sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
     texts: dict[str, list[str]] = {}

@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import hashed_sample
+
 # The bounded sample of labelled rows a model is fitted on: so many documents
 # of each label, by the hash of their id, none with more bytes than this.
 TRAINING_DOCS = 2000
@@ -148,11 +150,9 @@ def train(
         .agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .where(label == F.col("other"))
     )
-    good_share = known.agg(F.avg("label")).first()[0]
-    chosen = None
-    for value in (0, 1):
-        part = known.where(label == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs_per_label)
-        chosen = part if chosen is None else chosen.unionAll(part)
+    counts = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
+    good_share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
+    chosen = hashed_sample(known.select("doc_id", "label"), "label", counts, docs_per_label)
     text = F.col(f"`{text_col}`")
     sample = (
         docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
@@ -166,7 +166,7 @@ def train(
     by_label = {0: [], 1: []}
     for row in sample:
         by_label[row["label"]].append(row["text"].encode("utf-8", "replace"))
-    return fit(by_label[1], by_label[0], 0.5 if good_share is None else good_share)
+    return fit(by_label[1], by_label[0], good_share)
 
 
 def score(text: Column, model: Model) -> Column:

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import plan_of
-from millrace.llm import components, minhash, mixing, packing, sharding, tokenfiles, tokens
+from millrace.llm import common, components, minhash, mixing, packing, sharding, tokenfiles, tokens
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, source string, size int, shard int, component_id string, key binary"
@@ -293,3 +293,14 @@ def test_token_files_of_nothing(spark, work):
     path = work.path("tokens")
     tokenfiles.write_tokens(made(spark, []), path, definition("word_bpe_49k.json"), work)
     assert tokenfiles.read_tokens(spark, path).collect() == []
+
+
+def test_hashed_sample_is_the_head_of_the_hashes(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "if(id % 50 = 0, 'few', 'many') as name").repartition(7)
+    counts = {"few": 400, "many": 19_600, "none": 0}
+    hashed = rows.withColumn("hash", common.hash63(F.col("doc_id"))).collect()
+    for n in (3, 500):
+        got = common.hashed_sample(rows, "name", counts, n).collect()
+        want = [r for name in ("few", "many") for r in sorted((r for r in hashed if r["name"] == name), key=lambda r: r["hash"])[:n]]
+        assert {r["doc_id"] for r in got} == {r["doc_id"] for r in want} and len(got) == len(want)
+    assert common.hashed_sample(rows, "name", {}, 5).count() == 0
