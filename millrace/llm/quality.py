@@ -3,9 +3,9 @@
 Two zstandard dictionaries are built from good and from bad labelled texts.
 Every piece of a text is compressed with each; the difference of the two sizes
 over their sum says which kind of text it resembles. A logistic curve, fitted
-on labelled texts that built no dictionary, turns this difference, the two
-sizes for each byte (a text that repeats itself shrinks with either) and the
-length into a probability.
+on labelled texts that built no dictionary, turns this difference into a
+probability, together with the size a byte without a dictionary, which is small
+for texts that repeat themselves, and the length, as short texts say less.
 """
 
 from __future__ import annotations
@@ -61,8 +61,7 @@ class Model:
     def _sizes(self, texts: list[bytes]) -> np.ndarray:
         if not hasattr(self, "_compressors"):
             self._compressors = [_compressor(self.good), _compressor(self.bad)]
-        good, bad = self._compressors
-        return features(texts, good, bad)
+        return features(texts, *self._compressors)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_compressors"}
@@ -85,15 +84,15 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def features(texts: list[bytes], good, bad) -> np.ndarray:
-    """Normalised difference of the two sizes, each size a byte, and the shortness."""
-    out = np.zeros((len(texts), 4))
+    """Normalised difference of the two sizes, plain size a byte, and the shortness."""
+    plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+    out = np.zeros((len(texts), 3))
     for k, text in enumerate(texts):
         if not text:
             continue
         pieces = [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
-        a = sum(len(good.compress(p)) for p in pieces)
-        b = sum(len(bad.compress(p)) for p in pieces)
-        out[k] = (a - b) / (a + b), a / len(text), b / len(text), len(text) ** -0.5
+        a, b, c = (sum(len(by.compress(p)) for p in pieces) for by in (good, bad, plain))
+        out[k] = (a - b) / (a + b), c / len(text), len(text) ** -0.5
     return out
 
 
