@@ -17,6 +17,7 @@ import re
 import sys
 import zlib
 from array import array
+from collections.abc import Callable
 from types import ModuleType
 
 # The pre-tokenizer patterns of the two kinds, for texts of ASCII
@@ -25,9 +26,8 @@ LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 BYTE_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
 WORD_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+"
 SIMPLE = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-# Pieces kept, some 200 bytes each, and characters encoded at a time.
+# Pieces kept, some 200 bytes each.
 KEPT_PIECES = 800_000
-CHARS_TOGETHER = 1_000_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -50,11 +50,27 @@ def worker_encoder(definition: str) -> Encoder:
     return kept[key]
 
 
+class Known(dict):
+    """Ids of pieces, learnt when they are first asked for.
+
+    Limited in number and forgotten all at once, which costs time only.
+    """
+
+    def __init__(self, learn: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.learn, self.most = learn, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        ids = self[piece] = self.learn(piece)
+        return ids
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, without special tokens.
 
-    The special tokens' names in a text are ordinary text. The pieces kept are
-    limited in number and forgotten all at once, which costs time only.
+    The special tokens' names in a text are ordinary text.
     """
 
     def __init__(self, definition: str, kept_pieces: int = KEPT_PIECES):
@@ -64,10 +80,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.kept_pieces = kept_pieces
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.kind = _kind(json.loads(definition))
         self.pattern = re.compile(BYTE_LEVEL if self.kind == "byte" else WORD_LEVEL)
+        self.pieces = Known(self._merge, kept_pieces)
+        self.words = Known(self._whole, kept_pieces // 4)
         # How the model spells the bytes of a character, as the library has it.
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {ord(c): spell(c)[0][0] for c in map(chr, range(256)) if SIMPLE.fullmatch(c)}
@@ -75,47 +92,26 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        found, start, size = [], 0, 0
-        for at, text in enumerate(texts, 1):
-            size += len(text)
-            if size > CHARS_TOGETHER or at == len(texts):
-                found += self._encode(texts[start:at])
-                start, size = at, 0
-        return found
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [self._encode(text) for text in texts]
+
+    def _encode(self, text: str) -> bytes:
         if self.kind == "other":
-            return self._whole(texts)
-        if len(self.pieces) > self.kept_pieces:
-            self.pieces.clear()
-        simple = [SIMPLE.fullmatch(text) is not None for text in texts]
-        cut = [self._pieces(t) if s else self._words(t) for s, t in zip(simple, texts, strict=True)]
-        for which, learn in ((True, self._merge), (False, self._whole)):
-            own = [c for s, c in zip(simple, cut, strict=True) if s is which]
-            unseen = list(set().union(*own).difference(self.pieces))
-            self.pieces.update(zip(unseen, learn(unseen), strict=True))
-        found = self.pieces.__getitem__
-        return [b"".join(map(found, pieces)) for pieces in cut]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+            return self._whole(text)
+        if SIMPLE.fullmatch(text):
+            # The second kind puts texts in lower case before it cuts them.
+            pieces = self.pattern.findall(text if self.kind == "byte" else text.lower())
+            return b"".join(map(self.pieces.__getitem__, pieces))
+        return b"".join(map(self.words.__getitem__, self._words(text)))
+
+    def _whole(self, text: str) -> bytes:
         """Ids by all steps of the tokenizer."""
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in made]
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _merge(self, pieces: list[str]) -> list[bytes]:
+    def _merge(self, piece: str) -> bytes:
         """Ids by the tokenizer's model alone, for pieces its other steps leave whole."""
-        tokenize, spelling, space = self.tokenizer.model.tokenize, self.spelling, self.space
-        made = []
-        for piece in pieces:
-            plain = piece.isascii() and piece.isprintable()
-            spelt = piece.replace(" ", space) if plain else piece.translate(spelling)
-            made.append(array("I", [token.id for token in tokenize(spelt)]).tobytes())
-        return made
-
-    def _pieces(self, text: str) -> list[str]:
-        """The pre-tokenizer's pieces of a simple text."""
-        # The second kind puts texts in lower case before it cuts them.
-        return self.pattern.findall(text if self.kind == "byte" else text.lower())
+        plain = piece.isascii() and piece.isprintable()
+        spelt = piece.replace(" ", self.space) if plain else piece.translate(self.spelling)
+        return array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
 
     def _words(self, text: str) -> list[str]:
         """Words of any text, each with all that the cuts at spaces leave to it."""
