@@ -70,7 +70,9 @@ def mix(
     found = keep(thresholds(sizes, targets(sizes, work, weights, most), work, most), work, "taken")
     extra = F.when(F.col("hash") <= F.col("last_hash"), 1).otherwise(0)
     return (
-        rows.join(found.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source")))
+        rows.join(
+            found.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source"))
+        )
         .withColumn("copies", F.col("whole") + extra)
         .withColumn("taken", F.col("size") * F.col("copies"))
         .drop("of_source", "hash", "whole", "last_hash")

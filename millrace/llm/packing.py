@@ -48,10 +48,11 @@ def cut_documents(
 
     A document's ids are those of its text (NULL: empty) and ``end_id``. Pieces
     are full, then half and a quarter of a sequence as far as the ids go, and
-    the rest. Gives ``key`` (a hash of id and text, which
-    deals documents into groups), ``doc_id, start, length, ids_crc32,
-    doc_tokens`` and ``ids``, little-endian unsigned 32-bit, NULL unless
-    ``with_ids``. Repeated rows give pieces each; an empty table gives none.
+    the rest. Gives ``key`` (a hash of id and text, which deals documents into
+    groups; rows without an id are dealt by their place), ``doc_id, start,
+    length, ids_crc32, doc_tokens`` and ``ids``, little-endian unsigned 32-bit,
+    NULL unless ``with_ids``. Repeated rows give pieces each; an empty table
+    gives none.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -73,7 +74,9 @@ def cut_documents(
     names = [part.split()[0] for part in PIECES.split(", ")]
     kinds = [*[pa.int64()] * 6, pa.binary()]
     chosen = docs.select(
-        hash63(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"),
+        hash63(
+            F.coalesce(F.col(f"`{id_col}`").cast("long"), F.monotonically_increasing_id()), F.col(f"`{text_col}`")
+        ).alias("key"),
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
