@@ -38,8 +38,8 @@ TRAINING_BYTES = 16_384
 TRAINING_LANGUAGES = 64
 # Rejected is what no more than this share of held-back training texts would be.
 REJECTED_SHARE = 0.001
-KEPT_WORDS = 300_000
-CHARS_TOGETHER = 2_000_000
+KEPT_WORDS = 150_000
+CHARS_TOGETHER = 500_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 EDGE = 1

@@ -26,8 +26,8 @@ LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 BYTE_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
 WORD_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+"
 SIMPLE = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-# Pieces kept, some 200 bytes each.
-KEPT_PIECES = 800_000
+# Pieces kept, some 350 bytes each.
+KEPT_PIECES = 300_000
 
 
 def read_tokenizer(path: str) -> str:
