@@ -10,16 +10,16 @@ from pyspark.sql import types as T
 
 SEPARATOR = ","
 
-# What is not in the standard Base64 alphabet with its padding
-# sign, line ends included.
-NOT_BASE64 = "[^A-Za-z0-9+/=]"
+# The standard Base64 alphabet with its padding sign, to the very
+# end of the text: a dollar sign would let a line end pass.
+BASE64_TOKEN = r"^[A-Za-z0-9+/=]*\z"
 # Fixed value: how a missing field is spelled inside a message.
 NULL_TEXT = "null"
 
 # try_to_binary checks length and padding but skips whitespace, hence the
 # alphabet test. Bytes that are not UTF-8 become U+FFFD.
 _DECODE_SQL = (
-    "CASE WHEN NOT {x} RLIKE '" + NOT_BASE64 + "' "
+    "CASE WHEN {x} RLIKE '" + BASE64_TOKEN.replace("\\", "\\\\") + "' "
     "THEN make_valid_utf8(CAST(try_to_binary({x}, 'base64') AS STRING)) END"
 )
 
@@ -27,7 +27,7 @@ _DECODE_SQL = (
 def base64_text(token: Column) -> Column:
     """Text behind a Base64 token, or NULL when the token is not valid Base64."""
     decoded = F.make_valid_utf8(F.try_to_binary(token, F.lit("base64")).cast("string"))
-    return F.when(~token.rlike(NOT_BASE64), decoded)
+    return F.when(token.rlike(BASE64_TOKEN), decoded)
 
 
 def base64_token(text: Column) -> Column:
