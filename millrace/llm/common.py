@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,13 @@ def keep(df: DataFrame, work: Workspace, name: str) -> DataFrame:
     return work.spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows a few at a time: what a task makes of a batch is often far larger."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def hash63(*columns: Column) -> Column:
     """Non-negative 63-bit hash."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 1)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import slices
+
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
@@ -288,7 +290,7 @@ def extract(
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(page) for page in batch.column("html").to_pylist()]
             columns = [
                 batch.column("page_id"),

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep
+from millrace.llm.common import keep, slices
 from millrace.llm.components import connected_components
 from millrace.session import Workspace
 
@@ -107,7 +107,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per document; ``node`` names its set and is NULL for the empty set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 found = shingles(text)

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import hash63
+from millrace.llm.common import hash63, slices
 from millrace.llm.tokens import worker_encoder
 
 SEQUENCE = 1024
@@ -58,7 +58,7 @@ def cut_documents(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(definition)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             encoded = encoder.encode(batch.column("text").to_pylist())
             ids_of = zip(batch.column("key").to_pylist(), batch.column("doc_id").to_pylist(), encoded, strict=True)

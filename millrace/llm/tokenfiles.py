@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import keep
+from millrace.llm.common import keep, slices
 from millrace.llm.tokens import worker_encoder
 from millrace.session import Workspace
 
@@ -103,17 +103,15 @@ def _encoded(docs: DataFrame, definition: str, id_col: str, text_col: str, end_i
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, squeeze = worker_encoder(definition), zstandard.ZstdCompressor(level=1)
         counts = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                ids = [i + end for i in encoder.encode(some.column("text").to_pylist())]
-                found = np.bincount(np.frombuffer(b"".join(ids), dtype="<u4"), minlength=len(counts))
-                found[: len(counts)] += counts
-                counts = found
-                crcs = pa.array([zlib.crc32(i) for i in ids], pa.int64())
-                packed = pa.array([squeeze.compress(_by_place(i)) for i in ids], pa.binary())
-                columns = [some.column("doc_id"), some.column("row_no"), crcs, packed]
-                yield pa.record_batch([*columns, pa.nulls(len(ids), pa.binary())], names)
+        for some in slices(batches):
+            ids = [i + end for i in encoder.encode(some.column("text").to_pylist())]
+            found = np.bincount(np.frombuffer(b"".join(ids), dtype="<u4"), minlength=len(counts))
+            found[: len(counts)] += counts
+            counts = found
+            crcs = pa.array([zlib.crc32(i) for i in ids], pa.int64())
+            packed = pa.array([squeeze.compress(_by_place(i)) for i in ids], pa.binary())
+            columns = [some.column("doc_id"), some.column("row_no"), crcs, packed]
+            yield pa.record_batch([*columns, pa.nulls(len(ids), pa.binary())], names)
         whole = pa.array([squeeze.compress(counts.tobytes())], pa.binary())
         nothing = [pa.nulls(1, kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
         yield pa.record_batch([*nothing, whole], names)
