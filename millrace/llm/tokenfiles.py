@@ -31,6 +31,9 @@ from millrace.llm.tokens import worker_encoder
 from millrace.session import Workspace
 
 BLOCK_IDS = 262_144
+# Pieces of text a worker keeps the ids of, some 350 bytes each: more than where
+# encoding is one stage among others.
+KEPT_PIECES = 800_000
 # Fixed value: the lengths of the four numbers that a control byte describes.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 _PLACES = np.arange(4, dtype=np.uint8)
@@ -101,7 +104,7 @@ def _encoded(docs: DataFrame, definition: str, id_col: str, text_col: str, end_i
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, squeeze = worker_encoder(definition), zstandard.ZstdCompressor(level=1)
+        encoder, squeeze = worker_encoder(definition, KEPT_PIECES), zstandard.ZstdCompressor(level=1)
         counts = np.zeros(0, dtype=np.int64)
         for some in slices(batches):
             ids = [i + end for i in encoder.encode(some.column("text").to_pylist())]

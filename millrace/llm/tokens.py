@@ -36,17 +36,17 @@ def read_tokenizer(path: str) -> str:
         return file.read()
 
 
-def worker_encoder(definition: str) -> Encoder:
+def worker_encoder(definition: str, kept_pieces: int = KEPT_PIECES) -> Encoder:
     """The encoder of this Python worker, which lives on from task to task.
 
     What a task learnt is so of use to the next one; a new worker starts anew.
     """
     module = sys.modules.setdefault("millrace_worker", ModuleType("millrace_worker"))
     kept = module.__dict__.setdefault("encoders", {})
-    key = (len(definition), zlib.crc32(definition.encode()))
+    key = (len(definition), zlib.crc32(definition.encode()), kept_pieces)
     if key not in kept:
         kept.clear()  # of another tokenizer
-        kept[key] = Encoder(definition)
+        kept[key] = Encoder(definition, kept_pieces)
     return kept[key]
 
 
