@@ -8,8 +8,9 @@ what else on the page belongs to it.
 
 What a page's own markup says is heeded first: scripts, styles, navigation,
 forms and the like are no text, nor are elements whose class or id names an
-advert, a sidebar, a notice or comments. If the page marks its article, the
-article node is searched for among those.
+advert, a sidebar, a notice or comments. An element that the page marks as an
+article is taken whole if it holds more text than what the densities find
+outside of all articles; else articles are teasers or comments beside the text.
 """
 
 from __future__ import annotations
@@ -52,6 +53,8 @@ NOISE_WORDS = set(
     "search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets "
     "complementary contentinfo alert replies reply respond responses".split()
 )
+# Those that name what others wrote, or other articles, often marked as articles.
+BOX_WORDS = set("comment comments disqus related recommended replies reply respond responses".split())
 ARTICLE = {"article", "main"}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -135,7 +138,7 @@ def _make_room(open_nodes: list[Node], tag: str) -> None:
 
 
 def _noise(tag: str, attributes: str) -> str:
-    """Why the element is not text: ``tag``, ``header``, ``name``, or nothing."""
+    """Why the element is not text: ``tag``, ``header``, ``name``, ``box``, or nothing."""
     if tag in NOISE:
         return "tag"
     if tag == "header":
@@ -149,8 +152,9 @@ def _noise(tag: str, attributes: str) -> str:
         if name == "style" and HIDDEN.search(value):
             return "tag"
         if name in ("class", "id", "role") and tag not in ARTICLE:
-            if NOISE_WORDS.intersection(re.split(r"[^a-z]+", value)):
-                return "name"
+            words = NOISE_WORDS.intersection(re.split(r"[^a-z]+", value))
+            if words:
+                return "box" if words & BOX_WORDS else "name"
     return ""
 
 
@@ -163,28 +167,65 @@ def main_text(page: str | None) -> str:
     root = parse(page or "")
     _settle(root)
     body = next((n for n in _walk(root) if n.tag == "body"), root)
-    articles = [n for n in _walk(root) if n.tag in ARTICLE]
-    _measure(body if body is not root or not articles else root)
-    if articles:
-        # Of several the densest; an article inside it is a part of it.
-        best = max(articles, key=lambda n: (getattr(n, "total", 0.0), getattr(n, "chars", 0)))
-        chosen = {id(best)}
-    else:
-        chosen = _dense(body)
-    return " ".join(_text(root, chosen, False).split())
+    if _marks(root, ARTICLE) > _marks(body, ARTICLE):
+        body = root
+    _measure(body)
+    return " ".join(_text(root, _chosen(body), False).split())
+
+
+def _chosen(body: Node) -> set[int]:
+    """The article if it holds the most text, else what is dense outside of all articles."""
+    outer = _outermost(body, "article")
+    if outer:
+        # Of several that with the largest sum in it; an article inside it is a part of it.
+        article = max(outer, key=lambda n: (max(m.total for m in _walk(n)), n.chars))
+        own, other = _plain(article), _plain(body) - sum(map(_plain, outer))
+        if own < other:
+            for node in outer:
+                node.noise = "article"
+            _measure(body)
+            if own < sum(_plain(n) for n in _dense(body)):
+                outer = []
+        if outer:
+            for node in outer:
+                node.noise = ""
+            return {id(article)}
+    dense = _dense(body)
+    for main in _outermost(body, "main"):
+        below = {id(n) for n in _walk(main)}
+        if 2 * sum(_plain(n) for n in dense if id(n) in below) > sum(map(_plain, dense)):
+            return {id(main)}
+    return {id(n) for n in dense}
+
+
+def _plain(node: Node) -> int:
+    return node.chars - node.link_chars
+
+
+def _outermost(body: Node, tag: str) -> list[Node]:
+    """The elements of this tag that are inside no other."""
+    found, stack = [], [body]
+    while stack:
+        one = stack.pop()
+        if one.tag == tag:
+            found.append(one)
+        else:
+            stack += reversed(one.children())
+    return found
 
 
 def _settle(root: Node) -> None:
     """Takes back what a name or a place wrongly calls noise.
 
-    An element that holds all the page's articles, or all its main headings, is
-    the page's frame, whatever its name.
+    An element that holds all the page's main headings is the page's frame,
+    whatever its name; so is one that holds all its articles, unless it is named
+    as a box of comments or of other articles.
     """
-    marks = [_marks(root, ARTICLE), _marks(root, {"h1"})]
+    marks = [_marks(root, {"h1"}), _marks(root, ARTICLE)]
     for node in _walk(root, noise=True):
-        if node.noise == "name":
-            own = [_marks(node, ARTICLE), _marks(node, {"h1"})]
-            if any(n and n == all_of_it for n, all_of_it in zip(own, marks, strict=True)):
+        if node.noise in ("name", "box"):
+            own = [_marks(node, {"h1"}), _marks(node, ARTICLE)][: 1 if node.noise == "box" else 2]
+            if any(n and n == all_of_it for n, all_of_it in zip(own, marks, strict=False)):
                 node.noise = ""
         elif node.noise == "header":
             above = node.parent
@@ -237,23 +278,23 @@ def _density(node: Node, link_share: float) -> float:
     return node.chars / tags * math.log(value) / math.log(base) if base > 1 else node.chars / tags * math.log(value)
 
 
-def _dense(body: Node) -> set[int]:
+def _dense(body: Node) -> list[Node]:
     """The node with the largest sum, and what beside its path is as dense as the path."""
     order = list(_walk(body))
     best = max(order, key=lambda n: n.total)
     if not best.total:
-        return {id(body)}
+        return [body]
     path, node = [best], best
     while node is not body:
         node = node.parent
         path.append(node)
     threshold = min(n.density for n in path)
-    chosen = {id(best)}
+    chosen = [best]
     for above, on_path in zip(path[1:], path, strict=False):
         for child in above.children():
             if child is not on_path and child.chars and child.density >= threshold:
                 if child.link_chars * 2 <= child.chars:
-                    chosen.add(id(child))
+                    chosen.append(child)
     return chosen
 
 

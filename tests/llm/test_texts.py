@@ -40,6 +40,22 @@ def test_main_text(name):
     assert extraction.main_text(body if name in ("no markup", "cut", "open") else PAGE.format(body)) == text
 
 
+MARKED = {
+    "comments": f'<div class="story"><h1>Head</h1>{BODY * 2}</div><section id="comments">{"<article><p>One reader wrote this.</p></article>" * 9}</section>',
+    "thread": f'<div class="story"><h1>Head</h1>{BODY * 2}</div><div class="thread">{"<article><p>One reader wrote this.</p></article>" * 20}</div>',
+    "teasers": f'<div class="story"><h1>Head</h1>{BODY * 2}<article><p>Read this too, it is a teaser.</p></article></div>'
+               '<article class="teaser"><p>And this one, which is about as long as a paragraph of the story is.</p></article>',
+    "main": f'<main><h1>Head</h1><div>{BODY * 2}</div><article><p>Read this too, it is a teaser.</p></article></main>',
+    "other boxes": f'<div class="related">{"<article><p>Another story, which is quite long here.</p></article>" * 3}</div><h1>Head</h1><div>{BODY * 2}</div>',
+}
+
+
+@pytest.mark.parametrize("name", MARKED)
+def test_a_story_beside_articles(name):
+    got = extraction.main_text(PAGE.format(MARKED[name]))
+    assert f"{STORY} {STORY}" in got and got.removeprefix("Head ") == f"{STORY} {STORY}"
+
+
 def test_pages(spark):
     long = "<article>" + "<p>" + "word " * 100_000 + "</p></article>"
     nested = "<div>" * 5000 + "<p>deep text</p>"
