@@ -5,9 +5,10 @@ the model gives the probability of a character after up to ``ORDER - 1``
 others of its word: counts at the highest order, numbers of distinct
 predecessors below, each less a discount that goes to the next lower order.
 
-All models share one sorted array of n-gram hashes for each order, with a row
-of log probabilities, one for each language; a second array holds the weights
-with which a context falls back. A text's language is that of the lowest
+Some languages' models share one sorted array of n-gram hashes for each order,
+with a row of log probabilities, one for each language; a second array holds the
+weights with which a context falls back. So the arrays grow with the number of
+languages, not with its square. A text's language is that of the lowest
 cross-entropy for each character. A text that fits its language far worse than
 texts of that language do is rejected.
 """
@@ -30,14 +31,19 @@ ORDER = 4
 DISCOUNT = 0.75
 UNKNOWN = "und"
 HELD_OUT = 0
-# The bounded sample of labelled rows the models are fitted on: so many
-# documents of each language, by the hash of their id, of at most these bytes,
-# and of so many languages, the most frequent first.
+# The bounded sample of labelled rows the models are fitted on: so many documents
+# of each language, by the hash of their id, and the first words of a document up
+# to so many characters. All languages are learnt; many share the documents that
+# so many languages have, down to the least number.
 TRAINING_DOCS = 600
-TRAINING_BYTES = 16_384
-TRAINING_LANGUAGES = 64
+TRAINING_CHARS = 16_384
+FULL_LANGUAGES = 16
+LEAST_DOCS = 25
+# Languages that share arrays.
+TOGETHER = 8
 # Rejected is what no more than this share of held-back training texts would be.
 REJECTED_SHARE = 0.001
+# For up to FULL_LANGUAGES; fewer the more languages there are.
 KEPT_WORDS = 150_000
 CHARS_TOGETHER = 500_000
 
@@ -96,15 +102,22 @@ def _edge_hash() -> np.uint64:
         return mixed ^ (mixed >> np.uint64(29))
 
 
+@dataclass
+class Arrays:
+    """The models of a few languages, by order."""
+
+    keys: list[np.ndarray]
+    logs: list[np.ndarray]
+    context_keys: list[np.ndarray] = field(default_factory=list)
+    fallbacks: list[np.ndarray] = field(default_factory=list)
+
+
 @dataclass
 class Models:
     """The languages' models in arrays; see ``learn``."""
 
     languages: list[str]
-    keys: list[np.ndarray] = field(default_factory=list)
-    logs: list[np.ndarray] = field(default_factory=list)
-    context_keys: list[np.ndarray] = field(default_factory=list)
-    fallbacks: list[np.ndarray] = field(default_factory=list)
+    arrays: list[Arrays] = field(default_factory=list)
     floor: float = 0.0
     middle: np.ndarray | None = None
     spread: np.ndarray | None = None
@@ -114,21 +127,24 @@ class Models:
         """For each word its log probability in each language, and its characters."""
         made, starts = grams(words)
         before = contexts(words)
+        letters = np.array([any(c.isalpha() for c in w) for w in words])
+        sums = np.concatenate([self._sums(some, made, before, starts) for some in self.arrays], axis=1)
+        return np.where(letters[:, None], sums, 0), np.where(letters, [len(w) + 1 for w in words], 0)
+
+    def _sums(self, some: Arrays, made: list, before: list, starts: np.ndarray) -> np.ndarray:
         n = len(made[0])
-        total = np.zeros((n, len(self.languages)), dtype=np.float32)
+        total = np.zeros((n, some.logs[0].shape[1]), dtype=np.float32)
         rest = np.arange(n)
         for k in range(ORDER, 0, -1):
-            at, found = _find(self.keys[k], made[k][rest])
-            total[rest[found]] += self.logs[k][at[found]]
+            at, found = _find(some.keys[k], made[k][rest])
+            total[rest[found]] += some.logs[k][at[found]]
             rest = rest[~found]
             if not len(rest):
                 break
-            at, found = _find(self.context_keys[k - 1], before[k - 1][rest])
-            total[rest[found]] += self.fallbacks[k - 1][at[found]]
+            at, found = _find(some.context_keys[k - 1], before[k - 1][rest])
+            total[rest[found]] += some.fallbacks[k - 1][at[found]]
         total[rest] += self.floor
-        letters = np.array([any(c.isalpha() for c in w) for w in words])
-        sums = np.add.reduceat(total, starts, axis=0)
-        return np.where(letters[:, None], sums, 0), np.where(letters, [len(w) + 1 for w in words], 0)
+        return np.add.reduceat(total, starts, axis=0)
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,11 +157,19 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def learn(words_by_language: dict[str, Counter]) -> Models:
     """Kneser-Ney models of words with their counts, one for each language."""
     models = Models(sorted(words_by_language))
-    size = len(models.languages)
-    tables = [_counts(words_by_language[name]) for name in models.languages]
-    models.keys, models.logs = [np.empty(0, np.uint64)], [np.empty((0, size), np.float32)]
-    alphabet = len(np.unique(np.concatenate([t[1][0] for t in tables]))) + 1
+    # All languages have one alphabet, or their probabilities could not be compared.
+    alphabet = len(set().union(*(w for words in words_by_language.values() for w in words))) + 2
     models.floor = -np.log(alphabet)
+    for at in range(0, len(models.languages), TOGETHER):
+        tables = [_counts(words_by_language[name]) for name in models.languages[at : at + TOGETHER]]
+        models.arrays.append(_arrays(tables, alphabet))
+    return models
+
+
+def _arrays(tables: list[list[tuple]], alphabet: int) -> Arrays:
+    """The languages' counts as shared arrays of log probabilities."""
+    size = len(tables)
+    some = Arrays([np.empty(0, np.uint64)], [np.empty((0, size), np.float32)])
     lower: dict[int, np.ndarray] = {}
     for k in range(1, ORDER + 1):
         keys = np.unique(np.concatenate([t[k][0] for t in tables]))
@@ -168,15 +192,15 @@ def learn(words_by_language: dict[str, Counter]) -> Models:
         if k == 1:
             below = np.full((len(keys), size), 1 / alphabet)
         else:
-            at, _ = _find(models.keys[k - 1], shorter)
+            at, _ = _find(some.keys[k - 1], shorter)
             below = lower[k - 1][at]
         context_at, _ = _find(context_keys, context_of)
         lower[k] = own + fall[context_at] * below
-        models.keys.append(keys)
-        models.logs.append(np.log(lower[k]).astype(np.float32))
-        models.context_keys.append(context_keys)
-        models.fallbacks.append(np.log(fall).astype(np.float32))
-    return models
+        some.keys.append(keys)
+        some.logs.append(np.log(lower[k]).astype(np.float32))
+        some.context_keys.append(context_keys)
+        some.fallbacks.append(np.log(fall).astype(np.float32))
+    return some
 
 
 def _counts(words: Counter) -> list[tuple]:
@@ -214,13 +238,14 @@ class Reader:
         self.places: dict[str, int] = {}
         self.sums = np.empty((0, len(models.languages)), np.float32)
         self.lengths = np.empty(0, np.int64)
+        self.share = FULL_LANGUAGES / max(FULL_LANGUAGES, len(models.languages))
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """For each text the cross-entropy in each language, and its characters."""
         parts, start, size = [], 0, 0
         for at, text in enumerate(texts, 1):
             size += len(text or "")
-            if size > CHARS_TOGETHER or at == len(texts):
+            if size > CHARS_TOGETHER * self.share or at == len(texts):
                 parts.append(self._some(texts[start:at]))
                 start, size = at, 0
         if not parts:
@@ -229,7 +254,7 @@ class Reader:
 
     def _some(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         words = [LETTERS.findall((t or "").lower()) for t in texts]
-        if len(self.places) > KEPT_WORDS:
+        if len(self.places) > KEPT_WORDS * self.share:
             self.__init__(self.models)
         unseen = list(set().union(*words).difference(self.places))
         if unseen:
@@ -300,26 +325,46 @@ def train(
 ) -> Models:
     """Models from a bounded sample of the documents that are not held out.
 
-    Rows without id, text or language teach nothing. Four fifths of the sample
-    make the models, one fifth says what texts of a language look like.
+    Rows without id, language or a letter teach nothing, and every language of
+    the others is learnt. Four fifths of the sample make the models, one fifth
+    says what texts of a language look like.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"),
         F.col(f"`{text_col}`").alias("text"),
     ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.where(F.octet_length("text").between(1, TRAINING_BYTES))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAINING_LANGUAGES)
-    counts = {row["lang"]: row["count"] for row in sizes.collect()}
-    chosen = hashed_sample(rows.select("doc_id", "lang"), "lang", counts, TRAINING_DOCS).distinct()
-    # At most TRAINING_DOCS * TRAINING_LANGUAGES ids; the words come back counted.
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    counts = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    n = docs_of_each(len(counts))
+    # At most n ids of each language; what comes back is their first words.
+    chosen = hashed_sample(rows.select("doc_id", "lang"), "lang", counts, n).distinct()
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select(
+        "doc_id", "lang", first_words(F.col("text")).alias("text")
+    )
     texts: dict[str, list[str]] = {}
     for row in sample.orderBy("lang", "doc_id", "text").toLocalIterator():
         texts.setdefault(row["lang"], []).append(row["text"])
     return fit(texts)
 
 
+def docs_of_each(languages: int) -> int:
+    """How many documents of each of so many languages the models are fitted on."""
+    return min(TRAINING_DOCS, max(LEAST_DOCS, TRAINING_DOCS * FULL_LANGUAGES // max(1, languages)))
+
+
+def first_words(text: Column) -> Column:
+    """The text, of a longer one the first letters and what is between them.
+
+    What is no letter is one space then, so a text that begins with tables still
+    teaches; a word that does not end is left out unless it is the only one.
+    """
+    letters = F.trim(F.regexp_replace(text, r"[^\p{L}\p{Nl}\p{No}]+", " "))
+    first = F.substring(letters, 1, TRAINING_CHARS)
+    whole = F.when(F.length(letters) > TRAINING_CHARS, F.regexp_replace(first, r" [^ ]*$", "")).otherwise(first)
+    return F.when(F.length(text) <= TRAINING_CHARS, text).otherwise(whole)
+
+
 def fit(texts: dict[str, list[str]]) -> Models:
     """Models and their limits from texts of each language."""
     counted, rest = {}, {}

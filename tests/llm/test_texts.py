@@ -131,6 +131,35 @@ def test_language_of_odd_rows(spark):
     assert {r["lang_pred"] for r in langid.classify(odd, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark):
+    """Rare ones among many, and one that has only long texts, begun by a table."""
+    rng = random.Random(3)
+    words = {f"l{k:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40)] for k in range(70)}
+    rows = [(k * 100 + n, " ".join(rng.choices(own, k=30)), name) for k, (name, own) in enumerate(words.items()) for n in range(8 + (k < 64))]
+    long = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(6)) for _ in range(40)]
+    rows += [(10**6 + n, "12.5 | " * 5_000 + " ".join(rng.choices(long, k=5_000)), "long") for n in range(8)]
+    models = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert models.languages == ["l%02d" % k for k in range(70)] + ["long"]
+    asked = [(k, " ".join(rng.choices(own, k=30))) for k, own in enumerate([*words.values(), long])]
+    got = langid.classify(spark.createDataFrame(asked, "doc_id long, text string"), models).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in got] == models.languages
+
+
+def test_many_languages_share_a_bounded_sample():
+    assert [langid.docs_of_each(n) for n in (0, 4, 16, 32, 10**5)] == [600, 600, 600, 300, 25]
+
+
+def test_languages_in_several_arrays(monkeypatch):
+    rng = random.Random(8)
+    words = {f"l{k}": Counter("".join(rng.choice("abcdefgh"[k:]) for _ in range(4)) for _ in range(200)) for k in range(5)}
+    tried = [*words["l0"], "zzz", "abz"]
+    logs = []
+    for together in (8, 2):
+        monkeypatch.setattr(langid, "TOGETHER", together)
+        logs.append(langid.learn(words).log_probabilities(tried)[0])
+    assert logs[0] == pytest.approx(logs[1], rel=1e-5)
+
+
 def kneser_ney(words, alphabet):
     """The same model one gram at a time, with dictionaries."""
     order, raw, before = langid.ORDER, Counter(), defaultdict(set)
