@@ -7,8 +7,9 @@ article; the smallest density on its path to the body is the threshold for
 what else on the page belongs to it.
 
 What a page's own markup says is heeded first: scripts, styles, navigation,
-forms and the like are no text, nor are elements whose class or id names an
-advert, a sidebar, a notice or comments. An element that the page marks as an
+the like are no text. Forms, and elements whose class or id names an advert, a
+sidebar, a notice or comments, are none if their text is sparse or links; what
+holds most of the page's text is its frame, whatever its name. An element that the page marks as an
 article is taken whole if it holds more text than what the densities find
 outside of all articles; else articles are teasers or comments beside the text.
 """
@@ -29,7 +30,11 @@ from millrace.llm.common import slices
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
-NOISE = set("head nav footer aside form button select dialog menu object canvas audio video fieldset".split()) | RAW
+NOISE = set("head nav footer aside button select dialog menu object canvas audio video".split()) | RAW
+FORMS = {"form", "fieldset"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# Elements whose id is often made from a heading or an entry of the text.
+SLUGGED = {"section", "p", "li", "dt", "dd", "td", "th", "tr", "figure", "blockquote", "pre", "a"} | HEADINGS
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var".split()
@@ -55,6 +60,12 @@ NOISE_WORDS = set(
 )
 # Those that name what others wrote, or other articles, often marked as articles.
 BOX_WORDS = set("comment comments disqus related recommended replies reply respond responses".split())
+# Words that say of which form a box is, not what is in it.
+FORM_WORDS = set(
+    "area bar block body bottom box btn button buttons col column container content footer form group header holder "
+    "icon icons inner item items js left link links list main module outer panel posts right row section side slot "
+    "stories text title top unit wrap wrapper".split()
+)
 ARTICLE = {"article", "main"}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -138,13 +149,19 @@ def _make_room(open_nodes: list[Node], tag: str) -> None:
 
 
 def _noise(tag: str, attributes: str) -> str:
-    """Why the element is not text: ``tag``, ``header``, ``name``, ``box``, or nothing."""
+    """Why the element may be no text: ``tag``, ``header``, a suspicion that ``_settle`` looks into, or nothing.
+
+    Suspicions are ``form``, ``box`` (comments, other articles), ``name`` (named
+    as nothing but noise), ``part`` (a name with a word of noise) and ``slug``
+    (an id that may be made from the text).
+    """
     if tag in NOISE:
         return "tag"
     if tag == "header":
         return "header"
+    found = {"form"} if tag in FORMS else set()
     if not attributes.strip() or tag in ("html", "body"):
-        return ""
+        return "".join(found)
     for name, value, bare in ATTRIBUTE.findall(attributes):
         name, value = (name or bare).lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -152,10 +169,21 @@ def _noise(tag: str, attributes: str) -> str:
         if name == "style" and HIDDEN.search(value):
             return "tag"
         if name in ("class", "id", "role") and tag not in ARTICLE:
-            words = NOISE_WORDS.intersection(re.split(r"[^a-z]+", value))
-            if words:
-                return "box" if words & BOX_WORDS else "name"
-    return ""
+            found |= {_suspicion(tag, name, one) for one in value.split()}
+    return next((kind for kind in ("box", "name", "form", "part", "slug") if kind in found), "")
+
+
+def _suspicion(tag: str, attribute: str, name: str) -> str:
+    words = set(re.split(r"[^a-z]+", name)) - {""}
+    noise = words & NOISE_WORDS
+    if not noise or attribute == "id" and tag in HEADINGS:
+        return ""
+    if words <= NOISE_WORDS | FORM_WORDS:
+        if noise & BOX_WORDS:
+            return "box"
+        if attribute != "id" or tag not in SLUGGED:
+            return "name"
+    return "slug" if attribute == "id" and tag in SLUGGED else "part"
 
 
 def main_text(page: str | None) -> str:
@@ -215,24 +243,73 @@ def _outermost(body: Node, tag: str) -> list[Node]:
 
 
 def _settle(root: Node) -> None:
-    """Takes back what a name or a place wrongly calls noise.
-
-    An element that holds all the page's main headings is the page's frame,
-    whatever its name; so is one that holds all its articles, unless it is named
-    as a box of comments or of other articles.
+    """Takes back what a name, a form or a place wrongly calls noise.
+
+    An element that holds all the page's main headings is its frame. So is one
+    of several blocks with most of the page's text and all its articles, unless it is a
+    box of comments or of other articles; and if nothing else has text, these
+    are the text. Others are text
+    if they are not mostly links and as dense as the page, where the name alone
+    tells of noise in two paragraphs at least; half as dense where only a part of
+    the name does. What an id made from the text may name needs no density.
     """
-    marks = [_marks(root, {"h1"}), _marks(root, ARTICLE)]
-    for node in _walk(root, noise=True):
-        if node.noise in ("name", "box"):
-            own = [_marks(node, {"h1"}), _marks(node, ARTICLE)][: 1 if node.noise == "box" else 2]
-            if any(n and n == all_of_it for n, all_of_it in zip(own, marks, strict=False)):
-                node.noise = ""
-        elif node.noise == "header":
+    suspects, nodes = [], list(_walk(root, noise=True))
+    for node in nodes:
+        if node.noise == "header":
             above = node.parent
             while above and above.tag not in ARTICLE:
                 above = above.parent
             if above:
                 node.noise = ""
+        elif node.noise and node.noise != "tag":
+            suspects.append((node, node.noise))
+            node.noise = ""
+    if not suspects:
+        return
+    # Suspects count as text here, but are not text beside which others are sparse.
+    seen = list(_walk(root))
+    _measure(root)
+    headings = _held(nodes, [n.tag == "h1" for n in nodes])
+    articles = _held(nodes, [n.tag in ARTICLE for n in nodes])
+    whole, measured = root.chars, set(map(id, seen))
+    body = next((n for n in seen if n.tag == "body"), root)
+    density = _per_tag(body)
+    paragraphs = _held(seen, [n.tag == "p" and _per_tag(n) >= density for n in seen])
+    for node, kind in suspects:
+        if id(node) not in measured or headings[id(root)] and headings[id(node)] == headings[id(root)]:
+            continue
+        most = 2 * node.chars > whole and articles[id(node)] == articles[id(root)]
+        frame = most and any(n.tag not in INLINE for n in node.children())
+        if not _is_text(node, kind, frame, density, paragraphs[id(node)]):
+            node.noise = kind
+    if whole and not any(p.strip() for n in _walk(root) for p in n.parts if isinstance(p, str)):
+        for node, kind in suspects:
+            if kind == "box":
+                node.noise = ""
+
+
+def _held(nodes: list[Node], counted: list[bool]) -> dict[int, int]:
+    """How many of the counted nodes each holds, of a page's nodes in their order."""
+    held = {id(node): int(one) for node, one in zip(nodes, counted, strict=True)}
+    for node in reversed(nodes):
+        if node.parent:
+            held[id(node.parent)] += held[id(node)]
+    return held
+
+
+def _is_text(node: Node, kind: str, frame: bool, density: float, paragraphs: int) -> bool:
+    if kind == "box" or 2 * node.link_chars > node.chars:
+        return False
+    if kind == "slug" or frame:
+        return True
+    if kind == "part":
+        return 2 * _per_tag(node) >= density
+    return _per_tag(node) >= density and paragraphs >= 2
+
+
+def _per_tag(node: Node) -> float:
+    """Characters outside of links per tag; unlike the composite density, equal for a text and its parts."""
+    return _plain(node) / max(1, node.tags)
 
 
 def _marks(node: Node, tags: set[str]) -> int:

@@ -56,6 +56,28 @@ def test_a_story_beside_articles(name):
     assert f"{STORY} {STORY}" in got and got.removeprefix("Head ") == f"{STORY} {STORY}"
 
 
+WORK = "<p>Others have looked into this before, at some length.</p><p>None of them went as far as we do here, it seems.</p>"
+NAMED = {
+    "slugs": (f'<article><h1>Head</h1>{BODY}<section id="related-work"><h2 id="search-results">Work</h2>{WORK}</section>'
+              f'<div id="social-history">{WORK}</div><h2 id="comments">Last</h2><section id="search"><p>x</p></section></article>',
+              f"Head {STORY} Work {{0}} {{0}} Last x"),
+    "form": (f'<form id="aspnetForm" action="x"><input name=v><nav>menu</nav><h1>Head</h1>{BODY}</form>', f"Head {STORY}"),
+    "form in an article": (f"<article>{BODY}<form>Send us your mail address</form></article>", STORY),
+    "dense box": (f'<article>{BODY}<div class="notice">{WORK}</div></article>', f"{STORY} {{0}}"),
+    "boxes": (f'<div class="story">{BODY * 3}</div><div class="cookie-notice">We use cookies</div><div class="widget links"><a href=x>a link to follow</a></div>'
+              f'<section id="comments">{WORK}</section><div class="related-posts">{WORK}</div>', " ".join([STORY] * 3)),
+    "only comments": (f'<div class="comments">{WORK}</div><nav>menu</nav>', "{0}"),
+    "most of the page": (f'<div class="content sidebar-left"><div>{BODY}</div></div><footer>foot</footer>', STORY),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_names_alone_drop_nothing(name):
+    body, text = NAMED[name]
+    work = "Others have looked into this before, at some length. None of them went as far as we do here, it seems."
+    assert extraction.main_text(PAGE.format(body)) == text.format(work)
+
+
 def test_pages(spark):
     long = "<article>" + "<p>" + "word " * 100_000 + "</p></article>"
     nested = "<div>" * 5000 + "<p>deep text</p>"
