@@ -5,7 +5,7 @@ Every stage takes and, but for the last, returns the columns of ``documents``:
 1. ``language``: documents whose text no learnt language fits are left out.
 2. ``quality``: documents scored below the threshold are left out.
 3. ``near_duplicates``: of documents linked by a similarity of 0.8 or more one
-   stays, that with the smallest id.
+   stays, that with the smallest id; two texts of one id are two documents.
 4. ``mixture``: a source takes its documents as often as its target asks for; a
    document is repeated, or left out, as the mix says.
 5. ``sequences``: documents are packed into sequences of at most 1024 tokens.
@@ -44,9 +44,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    found = minhash.near_duplicates(docs, Workspace(spark, "stage3"), percent=80)
-    dropped = found.where("NOT kept").select("doc_id").distinct()
-    rest = docs.where("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti")
+    found = minhash.near_duplicates(docs, Workspace(spark, "stage3"), percent=80, by_row=True)
+    dropped = found.where("NOT kept").select("doc_id", "text_key").distinct()
+    keyed = docs.where("doc_id IS NOT NULL").withColumn("text_key", minhash.text_key(F.col("text")))
+    rest = keyed.join(dropped, ["doc_id", "text_key"], "left_anti")
     once = rest.dropDuplicates(["doc_id", "text"])
     return once.select(COLUMNS).unionAll(docs.where("doc_id IS NULL").select(COLUMNS))
 

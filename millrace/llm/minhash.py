@@ -103,31 +103,43 @@ def signature(least: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(fields << shifts, axis=1).view(np.int64)
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document; ``node`` names its set and is NULL for the empty set."""
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_row: bool = False) -> DataFrame:
+    """One row per document; ``node`` names its set and is NULL for the empty set.
+
+    ``text_key``, a hash of the text, tells texts of one id and one set apart;
+    it is there only if decisions are made ``by_row``.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for doc_id, text, *key in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 found = shingles(text)
                 if len(found):
                     least = minima(found)
                     node = xxhash.xxh3_128_digest(found.tobytes())
-                    rows.append((doc_id, len(found), node, band_keys(least), signature(least)))
+                    rows.append((doc_id, len(found), node, band_keys(least), signature(least), *key))
                 else:
-                    rows.append((doc_id, 0, None, None, None))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
+                    rows.append((doc_id, 0, None, None, None, *key))
+            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    names = [part.split()[0] for part in SKETCH.split(", ")]
+    schema = SKETCH + (", text_key string" if by_row else "")
+    names = [part.split()[0] for part in schema.split(", ")]
     longs = pa.list_(pa.int64())
-    kinds = [pa.int64(), pa.int64(), pa.binary(), longs, longs]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), longs, longs, *[pa.string()] * by_row]
+    text = F.col(f"`{text_col}`")
     chosen = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.col(f"`{text_col}`").cast("binary").alias("text"),
+        text.cast("binary").alias("text"),
+        *[text_key(text).alias("text_key")] * by_row,
     )
-    return chosen.mapInArrow(sketch, SKETCH)
+    return chosen.mapInArrow(sketch, schema)
+
+
+def text_key(text: Column) -> Column:
+    """A hash that tells texts apart; NULL is no text."""
+    return F.coalesce(F.md5(text.cast("binary")), F.lit(""))
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -152,6 +164,7 @@ def near_duplicates(
     percent: int = 85,
     id_col: str = "doc_id",
     text_col: str = "text",
+    by_row: bool = False,
 ) -> DataFrame:
     """Every row with its component of documents linked by similarity.
 
@@ -162,11 +175,15 @@ def near_duplicates(
     component is NULL and it is kept. Rows that share an id share the component
     of the smallest id their texts reach. An empty table gives no rows. Other
     columns of the input are not looked at, whatever their names.
+
+    ``by_row`` adds ``text_key`` and decides for each id and text: ``kept`` are the
+    rows of one id and text of each component, the smallest.
     """
-    found = keep(sketches(docs, id_col, text_col), work, "sketches")
+    found = keep(sketches(docs, id_col, text_col, by_row), work, "sketches")
     linkable = found.where("doc_id IS NOT NULL AND node IS NOT NULL")
     nodes = keep(
         linkable.groupBy("node").agg(
+            *[F.min(F.struct("doc_id", "text_key")).alias("least_row")] * by_row,
             F.min("doc_id").alias("least_id"),
             F.min_by(F.struct("bands", "signature", "n_shingles"), "doc_id").alias("kept"),
         ),
@@ -175,19 +192,25 @@ def near_duplicates(
     )
     buckets, hubs = _buckets(nodes, work)
     labels = _link(docs, nodes, buckets, hubs, work, percent, id_col, text_col)
-    ids = nodes.select("node", "least_id")
-    reached = labels.join(ids, "node").groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least, of_component = ("least_row", "component_row") if by_row else ("least_id", "component_id")
+    ids = nodes.select("node", least)
+    reached = labels.join(ids, "node").groupBy("root").agg(F.min(least).alias(of_component))
     # Nodes without a link are components of their own.
-    components = ids.join(labels.join(reached, "root").select("node", "component_id"), "node", "left").select(
-        "node", F.coalesce("component_id", "least_id").alias("component_id")
+    components = ids.join(labels.join(reached, "root").select("node", of_component), "node", "left").select(
+        "node", F.coalesce(of_component, least).alias(of_component)
     )
     # Written, so that adaptive execution can cut the partition of a node with many copies.
     components = keep(components, work, "nodes_components")
-    linked = linkable.select("doc_id", "n_shingles", "node").join(components, "node").drop("node")
-    alone = found.where("doc_id IS NULL OR node IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-    )
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = linkable.drop("bands", "signature").join(components, "node").drop("node")
+    alone = found.where("doc_id IS NULL OR node IS NULL").drop("node", "bands", "signature")
+    if by_row:
+        kept = F.struct("doc_id", "text_key").eqNullSafe(F.col(of_component))
+        linked = linked.withColumn("kept", kept).withColumn("component_id", F.col(f"{of_component}.doc_id"))
+        alone = alone.withColumn("kept", F.lit(True)).withColumn("component_id", F.col("doc_id"))
+        columns = ["doc_id", "n_shingles", "component_id", "kept", "text_key"]
+        return linked.select(columns).unionByName(alone.select(columns))
+    both = linked.unionByName(alone.withColumn("component_id", F.col("doc_id")))
+    return both.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _buckets(nodes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:

@@ -85,6 +85,17 @@ def test_one_of_each_group_stays(stages):
     assert {i for i in after if i is not None} == want and set(after.values()) == {1}
 
 
+def test_two_texts_under_one_id(spark):
+    """A text stays though its id also stands for a copy; near-equal texts of one id do not both."""
+    one, two, three = (" ".join(f"{w}{k}" for k in range(40)) for w in "abc")
+    rows = [(1, one), (2, one.upper()), (2, two), (3, three), (3, three + " end"), (3, three), (4, three + " end"), (5, ""), (5, "?")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = sorted((i, t) for i, t, _ in rows_of(corpus_pipeline.near_duplicates(spark, docs, SF_DIR)))
+    of_three = [t for i, t in left if i == 3]
+    assert [r for r in left if r[0] != 3] == [(1, one), (2, two), (5, ""), (5, "?")]
+    assert len(of_three) == 1 and of_three[0] in (three, three + " end")
+
+
 def test_mixture_repeats_documents(spark, stages):
     before, after = rows_of(stages[3]), Counter(rows_of(stages[4]))
     assert set(after) <= set(before) and max(after.values()) <= 3
