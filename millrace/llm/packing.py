@@ -12,12 +12,15 @@ is shuffled is lengths, not ids.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ SEQUENCE = 1024
 HALVINGS = 2
 GROUP_DOCS = 2048
 BINS_BITS = 32
+# Keys a task remembers to tell repeated rows by.
+KEPT_KEYS = 200_000
 
 PIECES = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
@@ -49,21 +54,28 @@ def cut_documents(
     A document's ids are those of its text (NULL: empty) and ``end_id``. Pieces
     are full, then half and a quarter of a sequence as far as the ids go, and
     the rest. Gives ``key`` (a hash of id and text, which deals documents into
-    groups; rows without an id are dealt by their place), ``doc_id, start,
-    length, ids_crc32, doc_tokens`` and ``ids``, little-endian unsigned 32-bit,
-    NULL unless ``with_ids``. Repeated rows give pieces each; an empty table
-    gives none.
+    groups; rows without an id are dealt by their place, and rows that repeat id
+    and text by their task and number there, so that many do not meet in one
+    group), ``doc_id, start, length, ids_crc32, doc_tokens`` and ``ids``,
+    little-endian unsigned 32-bit, NULL unless ``with_ids``. Repeated rows give
+    pieces each; an empty table gives none.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(definition)
+        task, seen = TaskContext.get().partitionId(), {}
         for batch in slices(batches):
             rows = []
+            if len(seen) > KEPT_KEYS:
+                seen.clear()
             encoded = encoder.encode(batch.column("text").to_pylist())
             ids_of = zip(batch.column("key").to_pylist(), batch.column("doc_id").to_pylist(), encoded, strict=True)
             for key, doc_id, ids in ids_of:
                 ids += end
+                repeat = seen[key] = seen.get(key, -1) + 1
+                if repeat:
+                    key = xxhash.xxh3_64_intdigest(struct.pack("<qqq", key, task, repeat)) >> 1
                 for start, length in cuts(len(ids) // 4, sequence):
                     piece = ids[4 * start : 4 * (start + length)]
                     kept = piece if with_ids else None

@@ -259,6 +259,16 @@ def test_packing(spark):
     assert Counter(map(tuple, again.select(key).collect())) == Counter(map(tuple, packed.select(key).collect()))
 
 
+def test_repeated_rows_do_not_meet_in_one_group(spark):
+    rows = [(7, "the same text", "en", "s", 13)] * 1000 + [(k, f"text {k}", "en", "s", 9) for k in range(100, 2100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    pieces = packing.cut_documents(docs, definition("byte_bpe_50k.json"), with_ids=False)
+    packed = packing.pack(pieces, groups=10).collect()
+    assert len(packed) == 3000 and sum(r["doc_id"] == 7 for r in packed) == 1000
+    held = Counter(r["sequence_id"] >> packing.BINS_BITS for r in packed)
+    assert len(held) == 10 and max(held.values()) < 450
+
+
 def test_packing_repeated_rows_and_missing_ids(spark):
     rows = [(2, "a b", "s"), (2, "a b", "s"), (None, None, "s"), (2**62, "x", "s")]
     pieces = packing.cut_documents(made(spark, rows), definition("byte_bpe_50k.json"), with_ids=False)
