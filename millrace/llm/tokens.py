@@ -26,6 +26,8 @@ LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 BYTE_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
 WORD_LEVEL = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+"
 SIMPLE = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+# Names of special tokens that a search for their first two characters finds.
+NAME = re.compile(r"[!-/:-@\[-`{-~]{2}")
 # Pieces kept, some 350 bytes each.
 KEPT_PIECES = 300_000
 
@@ -36,20 +38,28 @@ def read_tokenizer(path: str) -> str:
         return file.read()
 
 
-def worker_encoder(definition: str, kept_pieces: int = KEPT_PIECES) -> Encoder:
-    """The encoder of this Python worker, which lives on from task to task.
+def worker_kept(kind: str, definition: str | bytes, make: Callable[[], object], *options):
+    """What ``make`` gives, kept by this Python worker from task to task.
 
     What a task learnt is so of use to the next one; a new worker starts anew.
+    One thing of each kind is kept, so another tokenizer takes its place.
     """
     module = sys.modules.setdefault("millrace_worker", ModuleType("millrace_worker"))
-    kept = module.__dict__.setdefault("encoders", {})
-    key = (len(definition), zlib.crc32(definition.encode()), kept_pieces)
+    kept = module.__dict__.setdefault(kind, {})
+    content = definition.encode() if isinstance(definition, str) else definition
+    key = (len(content), zlib.crc32(content), *options)
     if key not in kept:
-        kept.clear()  # of another tokenizer
-        kept[key] = Encoder(definition, kept_pieces)
+        kept.clear()
+        kept[key] = make()
     return kept[key]
 
 
+def worker_encoder(definition: str, kept_pieces: int = KEPT_PIECES, special_names: bool = True) -> Encoder:
+    """The encoder of this Python worker."""
+    make = lambda: Encoder(definition, kept_pieces, special_names)
+    return worker_kept("encoders", definition, make, kept_pieces, special_names)
+
+
 class Known(dict):
     """Ids of pieces, learnt when they are first asked for.
 
@@ -68,20 +78,25 @@ class Known(dict):
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids, without special tokens.
+    """Encodes texts to little-endian unsigned 32-bit ids, without adding special tokens.
 
-    The special tokens' names in a text are ordinary text.
+    The name of a special token in a text is that token, as the library has it
+    by default, or with ``special_names=False`` ordinary text. Texts that may
+    hold such a name are given to the library whole.
     """
 
-    def __init__(self, definition: str, kept_pieces: int = KEPT_PIECES):
+    def __init__(self, definition: str, kept_pieces: int = KEPT_PIECES, special_names: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_names
         self.model = self.tokenizer.model
-        self.kind = _kind(json.loads(definition))
+        read = json.loads(definition)
+        self.kind = _kind(read)
+        # Signs that names begin with and that no step before the cuts can make or change.
+        self.signs = sorted({t["content"][:2] for t in read.get("added_tokens") or []}) if special_names else []
         self.pattern = re.compile(BYTE_LEVEL if self.kind == "byte" else WORD_LEVEL)
         self.pieces = Known(self._merge, kept_pieces)
         self.words = Known(self._whole, kept_pieces // 4)
@@ -95,7 +110,7 @@ class Encoder:
         return [self._encode(text) for text in texts]
 
     def _encode(self, text: str) -> bytes:
-        if self.kind == "other":
+        if self.kind == "other" or any(sign in text for sign in self.signs):
             return self._whole(text)
         if SIMPLE.fullmatch(text):
             # The second kind puts texts in lower case before it cuts them.
@@ -126,7 +141,7 @@ def _kind(definition: dict) -> str:
     """``byte``, ``word`` or ``other``: which rule for cutting texts holds."""
     if definition.get("truncation") or definition.get("padding"):
         return "other"
-    if any(not t["special"] for t in definition.get("added_tokens") or []):
+    if any(not t["special"] or not NAME.match(t["content"]) for t in definition.get("added_tokens") or []):
         return "other"
     before = definition.get("pre_tokenizer") or {}
     names = [n.get("type") for n in (definition.get("normalizer") or {}).get("normalizers", [])]

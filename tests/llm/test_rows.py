@@ -36,6 +36,7 @@ def corpus():
             chain[(step * 17 + k) % 200] = f"new{step}x{k}"
     rows += [rows[0]] * 80 + [rows[0].upper().replace(" ", "\t\n")]
     rows += [text(rng.choice([1, 3, 4, 5, 6, 40, 300])) for _ in range(80)]
+    rows += ["hello <|endoftext|> world", "<|startoftext|><|endoftext|>"]
     rows += ["one two", "one two", "ONE two", "two one", "", "  \n", None, None, "é É", "É é"]
     rows.append(text(20_000))
     rng.shuffle(rows)
@@ -224,7 +225,6 @@ def library_ids(name, text, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, end]
 
 

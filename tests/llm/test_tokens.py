@@ -6,20 +6,23 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from millrace.llm import packing, tokenfiles, tokens
+from tokenizers import Tokenizer
 
 FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
-ODD = ["'s", "'LL", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "É", "ß", "İ", "Σς", "́", "日本", "²", "7", "!?", "<|endoftext|>", "ab", "Zed", "🙂"]
+ODD = ["'s", "'LL", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "É", "ß", "İ", "Σς", "́", "日本", "²", "7", "!?", "<|endoftext|>", "<|startoftext|>", "<|", "ab", "Zed", "🙂"]
 
 
 @pytest.fixture(scope="module", params=sorted(FILES))
 def encoder(request):
-    made = tokens.Encoder(tokens.read_tokenizer(public_tokenizers.path(FILES[request.param])), kept_pieces=50)
+    path = public_tokenizers.path(FILES[request.param])
+    made = tokens.Encoder(tokens.read_tokenizer(path), kept_pieces=50)
     assert made.kind == request.param
+    made.untouched = Tokenizer.from_file(path)
     return made
 
 
 def library(encoder, text):
-    ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    ids = encoder.untouched.encode(text, add_special_tokens=False).ids
     return np.array(ids, dtype="<u4").tobytes()
 
 
@@ -35,6 +38,23 @@ def test_any_text(encoder, text):
     assert encoder.encode([text]) == [library(encoder, text)]
 
 
+def test_names_of_special_tokens(encoder):
+    texts = ["hello <|endoftext|> world", "<|startoftext|>a", "<|ENDOFTEXT|>", "x<|endoftext|><|endoftext|>"]
+    assert encoder.encode(texts) == [library(encoder, t) for t in texts]
+    last = 50256 if encoder.kind == "byte" else 49407
+    assert last in np.frombuffer(encoder.encode(texts)[0], dtype="<u4")
+
+
+def test_names_as_ordinary_text():
+    path = public_tokenizers.path(FILES["byte"])
+    plain, untouched = tokens.Encoder(tokens.read_tokenizer(path), special_names=False), Tokenizer.from_file(path)
+    untouched.encode_special_tokens = True
+    for text in ["hello <|endoftext|> world", " <|endoftext|>", "a <| b"]:
+        ids = untouched.encode(text, add_special_tokens=False).ids
+        assert 50256 not in ids
+        assert plain.encode([text]) == [np.array(ids, dtype="<u4").tobytes()]
+
+
 def test_other_tokenizers_get_whole_texts():
     assert tokens._kind({"pre_tokenizer": {"type": "Whitespace"}, "model": {}}) == "other"
     assert tokens._kind({"truncation": {}, "padding": {"x": 1}, "model": {}}) == "other"
