@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    alignment,
     collision,
     extraction,
     langid,
@@ -17,6 +18,8 @@ from millrace.llm import (
     oracles,
     packing,
     quality,
+    resampling,
+    rules,
     sharding,
     tokenfiles,
     tokens,
@@ -113,9 +116,34 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op11_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    judged = rules.apply_rules(docs, labels, Workspace(spark, "op11"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, target, Workspace(spark, "op12"))
+
+
+@query
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    definition = tokens.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    model = alignment.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align_tokens(docs, definition, model, Workspace(spark, "op13"))
+
+
 ORACLES |= {
     "op1_minhash_near_duplicates": oracles.NEAR_DUPLICATES,
     "op3_mix_sources": oracles.MIXTURE,
     "op6_extract_main_text": oracles.MAIN_TEXT,
     "op9_exact_top_k": oracles.EXACT_TOP_K,
+    "op11_risk_controlled_rules": oracles.RISK_RULES,
+    "op12_importance_resampling": oracles.RESAMPLING,
 }

@@ -1,0 +1,138 @@
+"""Alignment of two tokenizers against whole texts, offsets and plain counting."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from millrace.llm import alignment, tokens
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
+
+DEFINITION = tokens.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+MODEL = alignment.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+ODD = [" ", "  ", "     ", "a", "the", "ing", "\t", "\n", "\r\n", "é", "É", "▁", "日本", "🙂", "<s>", "<0x41>", "<|endoftext|>", "\xa0", "　", "\0", ".", "!!", "x" * 30]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """``(ids, bytes of each)`` of both tokenizers for a whole text, by the libraries alone."""
+    first, second = Tokenizer.from_str(DEFINITION), sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    first.encode_special_tokens = True
+    spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    back = {spell(chr(b))[0][0]: b for b in range(0x80)}
+    longer = [*range(0x80, 0x800), *range(0x800, 0xD800, 0x400), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x10000)]
+    for c in map(chr, longer):
+        back |= dict(zip(spell(c)[0][0], c.encode(), strict=True))
+
+    def piece(p):
+        if len(p) == 6 and p.startswith("<0x"):
+            return bytes([int(p[3:5], 16)])
+        return p.replace("▁", " ").encode()
+
+    def encode(text):
+        a = first.encode(" " + text, add_special_tokens=False)
+        b = second.encode(text)
+        return [(i, bytes(back[s] for s in t)) for i, t in zip(a.ids, a.tokens, strict=True)], [(i, piece(second.id_to_piece(i))) for i in b]
+
+    return encode
+
+
+def aligned(plain, text):
+    """Both token counts, the groups' text and the links of one document."""
+    if not text:
+        return 0, 0, "", []
+    a, b = plain(text)
+    if not b"".join(x for _, x in a) == b"".join(x for _, x in b) == (" " + text).encode():
+        return 0, 0, "", []
+    spans = []
+    for kind in (a, b):
+        at, ends = 0, {}
+        for number, spelt in kind:
+            at += len(spelt)
+            ends[at] = number
+        spans.append(ends)
+    cuts = sorted(spans[0].keys() & spans[1].keys())
+    parts, low = [], 0
+    for cut in cuts:
+        sides = [",".join(str(n) for e, n in ends.items() if low < e <= cut) for ends in spans]
+        parts.append("|".join(sides))
+        low = cut
+    return len(a), len(b), ";".join(parts), [(spans[0][c], spans[1][c]) for c in cuts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(ODD), max_size=12).map("".join), max_size=5))
+def test_groups_of_odd_texts(plain, texts):
+    aligner = ALIGNER
+    for text, (n_a, n_b, digest, pairs, times) in zip(texts, aligner.align(texts), strict=True):
+        want_a, want_b, spelt, links = aligned(plain, text)
+        assert (n_a, n_b) == (want_a, want_b)
+        assert digest == (hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
+        found = dict(zip(np.frombuffer(pairs, "<u8").tolist(), np.frombuffer(times, "<u4").tolist(), strict=True))
+        assert found == Counter(a * aligner.n_b + b for a, b in links)
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.text(max_size=40))
+def test_any_text(plain, text):
+    n_a, n_b, digest, _, _ = ALIGNER.align([text])[0]
+    want_a, want_b, spelt, _ = aligned(plain, text)
+    assert (n_a, n_b, digest) == (want_a, want_b, hashlib.sha256(spelt.encode()).hexdigest() if spelt else "")
+
+
+ALIGNER = alignment.Aligner(DEFINITION, MODEL)
+
+
+def test_pointers_reach_the_end_of_long_groups():
+    ends_a = np.array([*range(2, 2000, 2), 2001])
+    ends_b = np.array([*range(1, 2001, 2), 2001])
+    group_a, group_b, last_a, last_b = alignment.groups(ends_a, ends_b)
+    assert set(group_a) == set(group_b) == {0}
+    assert (last_a.tolist(), last_b.tolist()) == ([len(ends_a) - 1], [len(ends_b) - 1])
+
+
+def test_the_vocabularies_bound_the_pairs():
+    """Of two tokens that end together one is the end of the other."""
+    spelt = alignment.byte_level_vocabulary(DEFINITION), ALIGNER.b.bytes
+    by_bytes = [Counter(x) for x in spelt]
+    pairs = sum(by_bytes[1][x[k:]] for x in spelt[0] for k in range(len(x)))
+    pairs += sum(by_bytes[0][x[k:]] for x in spelt[1] for k in range(1, len(x)))
+    assert pairs < 500_000
+
+
+def corpus():
+    rng = random.Random(8)
+    rows = [(k, "".join(rng.choice([*ODD, "hello world ", "Straße "]) for _ in range(rng.randrange(40)))) for k in range(300)]
+    rows += [(7, "the same row")] * 200
+    rows += [(None, "no id"), (900, None), (901, ""), (902, "word " * 3_000), (903, "▁")]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_against_plain_counting(spark, work, plain, monkeypatch):
+    monkeypatch.setattr(alignment, "BATCH_BYTES", 2000)
+    rows = corpus()
+    docs = spark.createDataFrame([(*r, "x", b"y", 1) for r in rows], "doc_id long, text string, pairs string, times binary, n_a int")
+    found = alignment.align_tokens(docs.repartition(5), DEFINITION, MODEL, work).collect()
+    each = [(i, *aligned(plain, t)) for i, t in rows]
+    counts = Counter(link for *_, links in each for link in links)
+    best = Counter()
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    want = Counter()
+    for doc_id, n_a, n_b, spelt, links in each:
+        at_best = sum(counts[link] == best[link[1]] for link in links)
+        digest = hashlib.sha256(spelt.encode()).hexdigest() if spelt else ""
+        want[doc_id, n_a, n_b, len(links), len(links), at_best, sum(counts[link] for link in links), digest] += 1
+    assert Counter(map(tuple, found)) == want
+
+
+def test_empty_tables(spark, work):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert alignment.align_tokens(docs, DEFINITION, MODEL, work).collect() == []

@@ -1,0 +1,136 @@
+"""Risk-controlled rules against plain counting and exact fractions."""
+
+import random
+from collections import Counter
+from fractions import Fraction
+from math import comb
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from millrace.llm import rules
+
+WHITE = " \t\n\r\x0b\f"
+DOCS = "doc_id long, text string, lang string, stratum string, step int, label int"
+
+
+def plain_words(text):
+    words, word = [], ""
+    for c in text + " ":
+        if c in WHITE:
+            words += [word] * bool(word)
+            word = ""
+        else:
+            word += c
+    return words
+
+
+def plain_stats(text):
+    text = text or ""
+    words = plain_words(text)
+    windows = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+    inside = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(3)}
+    lines = [line for line in text.split("\n") if plain_words(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text),
+        sum(line in lines[:k] for k, line in enumerate(lines)),
+        len(inside),
+        len(lines),
+    )
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", " ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "é", "日本", "#", "a b a b a", "<>", "\r\n"]), max_size=40).map("".join))
+def test_statistics(text):
+    assert rules.text_stats(text) == plain_stats(text)
+
+
+def test_statistics_of_odd_texts():
+    assert rules.text_stats(None) == rules.text_stats("") == rules.text_stats(" \n ") == (0,) * 6
+    assert rules.text_stats("a b c a b c")[4] == 6
+    assert rules.text_stats("a a a a")[4] == 4
+    assert rules.text_stats("w " * 300_000)[:5] == (300_000, 300_000, 0, 0, 300_000)
+
+
+@pytest.mark.parametrize(("k", "n"), [(0, 1), (0, 59), (1, 90), (3, 400), (7, 1000), (2, 20)])
+def test_the_binomial_bound_is_exact(k, n):
+    p = Fraction(1, 20)
+    exact = sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    got = rules.lower_tail(k, n, 0.05)
+    assert got == pytest.approx(float(exact), rel=1e-9) or (k >= n * p and exact >= Fraction(1, 2) and got == 1)
+
+
+def test_no_texts_certify_nothing():
+    assert rules.chosen_step([0, 0], 0, [0, 0, 0], [5, 5, 5], 0.05, 0.05) is None
+    assert rules.chosen_step([0, 9], 200, [0, 0, 50], [3, 4, 5], 0.05, 0.05) == 0
+    assert rules.chosen_step([0, 0, 90], 200, [0, 0, 9, 50], [3, 4, 5, 5], 0.05, 0.05) == 1
+    # The first failure ends the path, though a later step would pass.
+    assert rules.chosen_step([90, 0], 200, [0, 0, 50], [3, 4, 5], 0.05, 0.05) is None
+
+
+def test_false_rejections_stay_below_the_limit():
+    """Over many draws the certified steps break the limit about as rarely as promised."""
+    rng, broken = random.Random(5), 0
+    rates = [0.01, 0.03, 0.045, 0.055, 0.08]
+    for _ in range(400):
+        false = [sum(rng.random() < r for _ in range(200)) for r in rates]
+        for k in range(1, len(false)):
+            false[k] = max(false[k], false[k - 1])
+        step = rules.chosen_step(false, 200, [0] * 6, [1, 2, 3, 4, 5, 5], 0.05, 0.05)
+        broken += step is not None and rates[step] > 0.05
+    assert broken <= 400 * 0.05 + 12
+
+
+def corpus(rng, n=900):
+    rows, labels = [], []
+    for k in range(n):
+        words = [rng.choice("abcdefghij") * rng.randrange(3, 8) + str(rng.randrange(50)) for _ in range(rng.choice([20, 60, 90]))]
+        bad = rng.random() < 0.3
+        if bad:
+            words = [w + "#$" * (rng.random() < 0.4) for w in words]
+        rows.append((k, " ".join(words), ["en", "de", None][k % 3]))
+        labels.append((k, int(not bad)))
+    rows += [(1000 + k, rows[0][1], "en") for k in range(200)]
+    labels += [(1000 + k, labels[0][1]) for k in range(200)]
+    rows += [(None, rows[1][1], "xx"), (2000, None, "en"), (2001, "", None), (2002, "a b c " * 40, "de"), (5, rows[5][1], "en")]
+    rows.append((2003, " ".join(f"w{k}" for k in range(60_000)), "xx"))
+    return rows, [*labels, (2, 0), (2, 1), (None, 1), (3, None), (7, 4)]
+
+
+def test_against_plain_python(spark, work):
+    rows, labels = corpus(random.Random(11))
+    docs = spark.createDataFrame([(*r, "x", 9, 9) for r in rows], DOCS)
+    marks = spark.createDataFrame([(*r, "x") for r in labels], "doc_id long, quality int, text string")
+    found = rules.apply_rules(docs, marks, work).collect()
+    got = Counter((r.doc_id, r.n_words, r.n_dup_lines, r.base_failed, r.kept) for r in found)
+
+    want = Counter()
+    verdicts = {r.doc_id: r.step for r in found}
+    for doc_id, text, lang in rows:
+        n, _, symbols, dup, repeated, _ = rules.text_stats(text)
+        failed = n < 50 or 100 * repeated > 50 * n
+        # In this corpus only symbols tell, and all three languages certify the first step.
+        out = lang != "xx" and symbols * 1000 // max(n, 1) > 100
+        want[doc_id, n, dup, failed, not failed and not out] += 1
+    assert got == want
+    assert verdicts[2003] is None and verdicts[0] == 0
+    certified = {r.stratum: r for r in rules.certify(rules.labelled_texts(rules.with_stats(docs), marks), work.__class__(spark, "again")).collect()}
+    assert set(certified) == {"en", "de", None}
+    for stratum, r in certified.items():
+        assert r.step == 0 and r.n_false == 0 and r.most_symbols == 100
+        # Copies count once, texts of disagreeing labels not at all.
+        of = {t for i, t, s in rows if s == stratum and dict(labels[:900]).get(i) == 1 and i not in (2, 3, 7)}
+        passed = [t for t in of if len(plain_words(t)) >= 50]
+        assert r.n_good < len(passed)
+
+
+def test_few_labels_and_empty_tables(spark, work):
+    rows, labels = corpus(random.Random(2), 30)
+    docs = spark.createDataFrame([(*r, "x", 9, 9) for r in rows], DOCS)
+    marks = spark.createDataFrame(labels[:30], "doc_id long, quality int")
+    for known in (marks, marks.limit(0)):
+        found = rules.apply_rules(docs, known, work.__class__(spark, "few")).collect()
+        assert len(found) == len(rows) and all(r.kept != r.base_failed and r.step is None for r in found)
+    assert rules.apply_rules(docs.limit(0), marks, work).collect() == []
