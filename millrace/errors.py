@@ -38,7 +38,11 @@ class SchemaMismatchError(MillraceError):
 
 
 class WrongPartitionError(MillraceError, ValueError):
-    """A partition is not spelled as one column and one value, or is not the table's."""
+    """A partition is not spelled as columns and their values, or is not the table's."""
+
+
+class ConcurrentChangeError(MillraceError):
+    """Another writer keeps changing a partition while a job rewrites it."""
 
 
 class UnfinishedJobError(MillraceError):

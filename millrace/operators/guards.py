@@ -63,6 +63,44 @@ def require_equal_counts(original: int, new: int, what: str) -> None:
         )
 
 
+def fingerprint(rows: DataFrame, columns: Sequence[str]) -> tuple[int, int, int]:
+    """Number of rows and two sums over their hashes: equal for equal multisets of rows.
+
+    The order of the rows does not matter, copies do. A hash is added in halves,
+    whose sums stay in range for billions of rows.
+    """
+    fields = {f.name: f.dataType.typeName() for f in rows.select(*_quoted(columns)).schema.fields}
+    # Maps have no hash; their entries in order have one.
+    parts = [
+        F.array_sort(F.map_entries(f"`{c}`")) if kind == "map" else F.col(f"`{c}`")
+        for c, kind in fields.items()
+    ]
+    whole = F.xxhash64(F.lit(0), *parts)
+    row = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.shiftrightunsigned(whole, 32)), F.lit(0)).alias("high"),
+        F.coalesce(F.sum(whole.bitwiseAND(0xFFFFFFFF)), F.lit(0)).alias("low"),
+    ).first()
+    return row["n"], row["high"], row["low"]
+
+
+def _quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def require_same_rows(
+    original: DataFrame, new: DataFrame, columns: Sequence[str], what: str
+) -> int:
+    """Refuse rows that are not, in ``columns``, the original ones; gives their number."""
+    before, after = fingerprint(original, columns), fingerprint(new, columns)
+    require_equal_counts(before[0], after[0], what)
+    if before != after:
+        raise RowCountMismatchError(
+            f"{what}: as many rows as before the rewrite, but not the same ones"
+        )
+    return after[0]
+
+
 def require_no_fan_out(
     target: DataFrame, source: DataFrame, on: Sequence[tuple[str, str]]
 ) -> None:

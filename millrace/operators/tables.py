@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -27,32 +27,87 @@ ANSI = "spark.sql.ansi.enabled"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+# One ``column = value``: the column, and a quoted literal or a bare token.
+LEVEL = re.compile(r"\s*`?(\w+)`?\s*=\s*(?:'((?:[^'\\]|\\.)*)'|([^\s'\"=<>(),]+))\s*", re.DOTALL)
+BETWEEN_LEVELS = re.compile(r",|and(?=[\s`])", re.IGNORECASE)
+
+
 @dataclass(frozen=True)
 class PartitionSpec:
-    """One ``column = value`` partition, written as in a WHERE clause."""
+    """A partition by its values, ``column = value`` for each of its levels.
+
+    One that names only the first of a table's partition columns stands for all
+    partitions below it.
+    """
 
     column: str
     value: str
+    further: tuple[tuple[str, str], ...] = ()
 
     @classmethod
     def parse(cls, text: str) -> PartitionSpec:
         """Reads ``column = 'literal'`` or ``column = token``, and nothing beside it.
 
-        A quote or backslash inside the literal follows a backslash.
+        Several levels have a comma or AND between them. A quote or backslash
+        inside a literal follows a backslash.
         """
-        match = re.fullmatch(
-            r"\s*`?(\w+)`?\s*=\s*(?:'((?:[^'\\]|\\.)*)'|([^\s'\"=<>()]+))\s*", text, re.DOTALL
-        )
-        if match is None:
-            raise WrongPartitionError(f"not one column and one value: {text!r}")
-        literal = match[3] if match[2] is None else re.sub(r"\\(.)", r"\1", match[2])
-        return cls(match[1], literal)
+        levels, at = [], 0
+        while True:
+            match = LEVEL.match(text, at)
+            if match is None:
+                raise WrongPartitionError(f"not columns and their values: {text!r}")
+            value = match[3] if match[2] is None else re.sub(r"\\(.)", r"\1", match[2])
+            levels.append((match[1], value))
+            if match.end() == len(text):
+                return cls.of(levels)
+            between = BETWEEN_LEVELS.match(text, match.end())
+            if between is None:
+                raise WrongPartitionError(f"not columns and their values: {text!r}")
+            at = between.end()
+
+    @classmethod
+    def of(cls, levels: Sequence[tuple[str, str]]) -> PartitionSpec:
+        names = [column.lower() for column, _ in levels]
+        if len(set(names)) < len(names):
+            raise WrongPartitionError(f"a partition column is named twice: {', '.join(names)}")
+        return cls(*levels[0], tuple(levels[1:]))
+
+    @property
+    def levels(self) -> list[tuple[str, str]]:
+        return [(self.column, self.value), *self.further]
+
+    @property
+    def columns(self) -> list[str]:
+        """Names of the columns, in lower case."""
+        return [column.lower() for column, _ in self.levels]
 
     @property
     def sql(self) -> str:
-        """Usable both as a predicate and inside PARTITION (...)."""
-        escaped = self.value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"`{self.column}`='{escaped}'"
+        """Text inside PARTITION (...)."""
+        return ", ".join(
+            f"`{c}`={'null' if v == NULL_PARTITION else _literal(v)}" for c, v in self.levels
+        )
+
+    @property
+    def predicate(self) -> str:
+        return self.predicate_of("")
+
+    def predicate_of(self, prefix: str) -> str:
+        """Condition on the columns of a table, named with this prefix."""
+        return " AND ".join(
+            f"{prefix}`{c}`" + (" IS NULL" if v == NULL_PARTITION else f"={_literal(v)}")
+            for c, v in self.levels
+        )
+
+    def replaced(self, other: PartitionSpec) -> PartitionSpec:
+        """These levels with the values of ``other`` where it names the column."""
+        values = {column.lower(): value for column, value in other.levels}
+        return PartitionSpec.of([(c, values.get(c.lower(), v)) for c, v in self.levels])
+
+
+def _literal(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 @contextmanager
@@ -97,11 +152,32 @@ def truncate_table(spark: SparkSession, table: str) -> None:
 def rename_partition(
     spark: SparkSession, table: str, old: PartitionSpec, new: PartitionSpec
 ) -> None:
-    spark.sql(f"ALTER TABLE {table} PARTITION ({old.sql}) RENAME TO PARTITION ({new.sql})")
+    """Rename a partition, or one after the other all that ``old`` stands for."""
+    if is_whole(spark, table, old):
+        pairs = [(old, old.replaced(new))]
+    else:
+        require_partition_column(spark, table, old)
+        pairs = [(below, below.replaced(new)) for below in partitions_below(spark, table, old)]
+    taken = [after.sql for _, after in pairs if partition_exists(spark, table, after)]
+    if taken:
+        raise WrongPartitionError(f"{table} already has {'; '.join(taken)}")
+    for before, after in pairs:
+        spark.sql(
+            f"ALTER TABLE {table} PARTITION ({before.sql}) RENAME TO PARTITION ({after.sql})"
+        )
 
 
 def drop_partition(spark: SparkSession, table: str, spec: PartitionSpec) -> None:
-    spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec.sql})")
+    """Drop a partition, or all that a specification of the first columns stands for."""
+    if is_whole(spark, table, spec):
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION ({spec.sql})")
+        return
+    require_partition_column(spark, table, spec)
+    found = partitions_below(spark, table, spec)
+    if not found:
+        raise WrongPartitionError(f"{table} has no partition {spec.sql}")
+    parts = ", ".join(f"PARTITION ({below.sql})" for below in found)
+    spark.sql(f"ALTER TABLE {table} DROP {parts}")
 
 
 def drop_partition_if_exists(spark: SparkSession, table: str, spec: PartitionSpec) -> None:
@@ -123,14 +199,26 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def require_partition_column(spark: SparkSession, table: str, spec: PartitionSpec) -> None:
-    """Refuse a partition whose column is not the table's only partition column."""
-    columns = partition_columns(spark, table)
-    if [c.lower() for c in columns] != [spec.column.lower()]:
+    """Refuse a partition that does not name the table's partition columns, from the first on."""
+    columns = [c.lower() for c in partition_columns(spark, table)]
+    if sorted(spec.columns) != sorted(columns[: len(spec.columns)]):
         raise WrongPartitionError(
-            f"{table} is partitioned by {', '.join(columns) or 'nothing'}, not by {spec.column} alone"
+            f"{table} is partitioned by {', '.join(columns) or 'nothing'}, "
+            f"not by {', '.join(spec.columns)}"
         )
 
 
+def is_whole(spark: SparkSession, table: str, spec: PartitionSpec) -> bool:
+    """Whether the partition has a value for each of the table's partition columns."""
+    return len(spec.levels) == len(partition_columns(spark, table))
+
+
+def partitions_below(spark: SparkSession, table: str, spec: PartitionSpec) -> list[PartitionSpec]:
+    """The table's partitions that a specification stands for, itself if it names all columns."""
+    shown = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec.sql})").collect()
+    return [_named(row.partition) for row in shown]
+
+
 def require_partition(spark: SparkSession, table: str, spec: PartitionSpec) -> None:
     if not partition_exists(spark, table, spec):
         raise WrongPartitionError(f"{table} has no partition {spec.sql}")
@@ -203,7 +291,8 @@ def _partition_places(spark: SparkSession, table: str) -> dict[str, str]:
     """Location of every partition, by its PARTITION (...) text."""
     if _described(spark, f"DESCRIBE TABLE EXTENDED {table}", "# Partition Information") is None:
         return {}
-    specs = [_spec_of(r.partition) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    names = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    specs = [_named(name).sql for name in names]
     return {
         spec: _described(
             spark, f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})", "Location"
@@ -212,16 +301,10 @@ def _partition_places(spark: SparkSession, table: str) -> dict[str, str]:
     }
 
 
-def _spec_of(name: str) -> str:
-    """PARTITION (...) text of a partition named ``a=x/b=y``."""
-    parts = []
-    for part in name.split("/"):
-        column, _, value = part.partition("=")
-        if value == NULL_PARTITION:
-            parts.append(f"`{unquote(column)}`=null")
-        else:
-            parts.append(PartitionSpec(unquote(column), unquote(value)).sql)
-    return ", ".join(parts)
+def _named(name: str) -> PartitionSpec:
+    """The partition that a catalog names ``a=x/b=y``."""
+    levels = [part.partition("=")[::2] for part in name.split("/")]
+    return PartitionSpec.of([(unquote(column), unquote(value)) for column, value in levels])
 
 
 def rename_chain(spark: SparkSession, renames: list[tuple[str, str]]) -> None:

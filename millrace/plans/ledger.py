@@ -20,17 +20,19 @@ def create_ledger(spark: SparkSession, table: str) -> None:
 
 
 def record_done(
-    spark: SparkSession, ledger: str, table: str, batch: int, partition: str
+    spark: SparkSession, ledger: str, table: str, batches: list[int], partition: str
 ) -> None:
-    one = spark.range(0, 1, 1, 1).select(
+    """Note batches of a partition as finished, all in one append."""
+    each = F.explode(F.array(*[F.lit(batch).cast("bigint") for batch in batches]))
+    done = spark.range(0, 1, 1, 1).select(each.alias("batch")).select(
         F.lit(table),
-        F.lit(batch).cast("bigint"),
+        "batch",
         without_quotes(F.lit(partition)),
         F.lit(DONE),
         F.lit(spark.sparkContext.applicationId),
         F.current_timestamp(),
     )
-    append_by_position(one, ledger)
+    append_by_position(done, ledger)
 
 
 def pending(rules: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -43,3 +45,11 @@ def pending(rules: DataFrame, ledger: DataFrame) -> DataFrame:
         & (without_quotes(F.col("r.partition_column")) == F.col("d.partition_key")),
         "left_anti",
     )
+
+
+def finished(ledger: DataFrame, table: str, batch: int) -> set[str]:
+    """Partitions, without quotes, in which a batch of a table has been finished."""
+    done = ledger.where(
+        (F.col("status") == DONE) & (F.col("table_name") == table) & (F.col("batch_number") == batch)
+    )
+    return {row.partition_key for row in done.select("partition_key").distinct().collect()}

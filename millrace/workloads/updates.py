@@ -229,7 +229,7 @@ SHOWN = ", ".join(
             [
                 (
                     "COLUMN_TRANSFORMATION_COMPLETE",
-                    f"CREATE TABLE {{s}} USING orc AS SELECT {SHOWN_MOVE} "
+                    f"CREATE TABLE {{s}} USING orc LOCATION 'folder' AS SELECT {SHOWN_MOVE} "
                     f"FROM db.lineitem WHERE {R_SHOWN}",
                 ),
                 (
