@@ -12,7 +12,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.errors import SchemaMismatchError, WrongPartitionError
+from millrace.errors import SchemaMismatchError, UnfinishedJobError, WrongPartitionError
 
 STAGE_FORMAT = "orc"
 # Files of these formats need no table to be read, so a partition can be pointed
@@ -20,7 +20,14 @@ STAGE_FORMAT = "orc"
 SELF_DESCRIBING = ("parquet", "orc")
 # Folder below the table's own that path listings skip.
 REWRITTEN = "_rewritten"
+# Suffixes of the tables that take part in swaps and refreshes.
 BACKUP_SUFFIX = "_temp"
+ASIDE_SUFFIX = "_temp2"
+INCOMING = "_incoming_"
+RETIRED = "_retired_"
+# Property of a table that is to be renamed: a mark, the number of tables that
+# bear it, and the new name.
+JOURNAL = "millrace.rename_to"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 ANSI = "spark.sql.ansi.enabled"
 # Fixed value: how a catalog names the partition of NULL.
@@ -307,45 +314,140 @@ def _named(name: str) -> PartitionSpec:
     return PartitionSpec.of([(unquote(column), unquote(value)) for column, value in levels])
 
 
-def rename_chain(spark: SparkSession, renames: list[tuple[str, str]]) -> None:
-    """Rename tables one after the other; a failure undoes the finished steps."""
+def rename_all(spark: SparkSession, moves: dict[str, str], aside: str) -> None:
+    """Give tables new names, which may be one another's.
+
+    Every table is first marked with the name it shall have. A failure undoes
+    what is done; a lost driver leaves the marks, and :func:`finish_renames`
+    carries out the rest. ``aside`` is a name to hold one table meanwhile.
+    """
+    mark = uuid.uuid4().hex
+    for old, new in moves.items():
+        _set_property(spark, old, JOURNAL, f"{mark} {len(moves)} {new}")
     done: list[tuple[str, str]] = []
     try:
-        for old, new in renames:
-            rename_table(spark, old, new)
-            done.append((old, new))
+        _carry_out(spark, moves, aside, done)
     except Exception:
         for old, new in reversed(done):
             rename_table(spark, new, old)
+        for old in moves:
+            _unset_property(spark, old, JOURNAL)
         raise
+    for new in moves.values():
+        _unset_property(spark, new, JOURNAL)
+
+
+def _carry_out(
+    spark: SparkSession, moves: dict[str, str], aside: str, done: list[tuple[str, str]]
+) -> None:
+    """Rename what has not its name yet, whatever has been done before."""
+    left = {old: new for old, new in moves.items() if old != new}
+    while left:
+        free = [old for old, new in left.items() if not spark.catalog.tableExists(new)]
+        if free:
+            old = free[0]
+            new = left.pop(old)
+        elif aside in left:
+            raise UnfinishedJobError(f"{left[aside]} is taken; {aside} shall have that name")
+        else:
+            # Only a ring is left: one table steps aside.
+            old, new = next(iter(left)), aside
+            left[aside] = left.pop(old)
+        rename_table(spark, old, new)
+        done.append((old, new))
+
+
+def finish_renames(spark: SparkSession, table: str) -> bool:
+    """Carry out renames of a table and its helpers that a lost driver has left.
+
+    True if there were any. Marks on some of the tables only mean that no
+    rename had begun or that all had ended; they are taken off.
+    """
+    marks: dict[str, dict[str, str]] = {}
+    sizes: dict[str, int] = {}
+    for name in [table, *_helpers(spark, table)]:
+        value = _property(spark, name, JOURNAL) if spark.catalog.tableExists(name) else None
+        if value:
+            mark, size, new = value.split(" ", 2)
+            marks.setdefault(mark, {})[name] = new
+            sizes[mark] = int(size)
+    found = False
+    for mark, moves in marks.items():
+        if len(moves) == sizes[mark]:
+            found = found or any(old != new for old, new in moves.items())
+            _carry_out(spark, moves, table + ASIDE_SUFFIX, [])
+            moves = {new: new for new in moves.values()}
+        for name in moves:
+            _unset_property(spark, name, JOURNAL)
+    return found
+
+
+def _helpers(spark: SparkSession, table: str) -> list[str]:
+    """Tables named like those that swaps and refreshes of a table use."""
+    database, _, short = table.rpartition(".")
+    place = f" IN {database}" if database else ""
+    rows = spark.sql(f"SHOW TABLES{place} LIKE '{short.strip('`')}_*'").collect()
+    known = re.compile(
+        re.escape(short.strip("`").lower())
+        + f"({BACKUP_SUFFIX}|{ASIDE_SUFFIX}|({INCOMING}|{RETIRED})[0-9a-f]{{8}})"
+    )
+    prefix = f"{database}." if database else ""
+    return [prefix + r.tableName for r in rows if not r.isTemporary and known.fullmatch(r.tableName)]
+
+
+def _property(spark: SparkSession, table: str, key: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {row.key: row.value for row in rows}.get(key)
+
+
+def _set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+def _unset_property(spark: SparkSession, table: str, key: str) -> None:
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{key}')")
 
 
 def swap_tables(spark: SparkSession, table: str) -> None:
-    """Exchange ``t`` and ``t_temp``; doing it twice restores the start."""
+    """Exchange ``t`` and ``t_temp``; doing it twice restores the start.
+
+    A call that finds renames a lost driver has left finishes them and does no
+    more: it is the other call run again.
+    """
+    if finish_renames(spark, table):
+        return
     backup = table + BACKUP_SUFFIX
-    aside = table + "_temp2"
-    rename_chain(spark, [(table, aside), (backup, table), (aside, backup)])
+    for name in (table, backup):
+        spark.table(name)  # both must exist before either is marked
+    rename_all(spark, {table: backup, backup: table}, table + ASIDE_SUFFIX)
 
 
 def refresh_by_swap(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Replace all rows of ``t`` and keep the previous ones in ``t_temp``.
 
     ``df`` is inserted by position into a fresh table, so it may read ``t`` and
-    ``t_temp``: the old backup goes only after the new rows are complete.
+    ``t_temp``: the old backup goes only after the new rows are complete. What a
+    lost driver has left of an earlier refresh is finished first: its renames
+    are carried out, or its rows dropped if these had not begun. One refresh of
+    a table runs at a time.
     """
+    finish_renames(spark, table)
+    for name in _helpers(spark, table):
+        if re.search(f"({INCOMING}|{RETIRED})[0-9a-f]+$", name):
+            drop_table(spark, name)
     backup = table + BACKUP_SUFFIX
     _require_same_types(df, spark.table(table))
     if spark.catalog.tableExists(backup):
         _require_same_types(spark.table(backup), spark.table(table))
-    incoming = f"{table}_incoming_{uuid.uuid4().hex[:8]}"
-    retired = f"{table}_retired_{uuid.uuid4().hex[:8]}"
+    incoming = f"{table}{INCOMING}{uuid.uuid4().hex[:8]}"
+    retired = f"{table}{RETIRED}{uuid.uuid4().hex[:8]}"
     try:
         spark.sql(f"CREATE TABLE {incoming} LIKE {table}")
         append_by_position(df, incoming)
-        renames = [(table, backup), (incoming, table)]
+        moves = {table: backup, incoming: table}
         if spark.catalog.tableExists(backup):
-            renames.insert(0, (backup, retired))
-        rename_chain(spark, renames)
+            moves[backup] = retired
+        rename_all(spark, moves, table + ASIDE_SUFFIX)
     except Exception:
         drop_table(spark, incoming)
         raise
@@ -367,51 +469,71 @@ def overwrite_partition(
 ) -> None:
     """Replace exactly one partition, creating it if absent.
 
-    ``df`` has the table's columns by position, without the partition column,
-    and may read the table. The rows are cast to the table's types and written
-    completely before anything changes; values that do not fit fail there.
-    Parquet and ORC partitions are then pointed at the new files, in one step
-    for readers. Other formats are overwritten from a stage table, during which
-    readers may find the partition missing; should that fail, the stage stays
-    and the error names it.
+    ``df`` has the table's columns by position, without the partition columns
+    the specification names, and may read the table. If it names only the first
+    ones, the rows carry the others and replace all partitions below it: those
+    without new rows are dropped. The rows are cast to the table's types and
+    written completely before anything changes; values that do not fit fail
+    there. Then each partition is pointed at its new files, in one step for
+    readers, whatever the table's format.
     """
     require_partition_column(spark, table, spec)
-    if spec.column.lower() in (c.lower() for c in df.columns):
-        raise SchemaMismatchError(f"rows must not carry the partition column {spec.column}")
-    fields = [f for f in spark.table(table).schema.fields if f.name.lower() != spec.column.lower()]
+    if set(spec.columns) & {c.lower() for c in df.columns}:
+        raise SchemaMismatchError(
+            f"rows must not carry the partition column {' or '.join(spec.columns)}"
+        )
+    fields = [f for f in spark.table(table).schema.fields if f.name.lower() not in spec.columns]
     if len(df.columns) != len(fields):
         raise SchemaMismatchError(f"expected {len(fields)} columns, got {len(df.columns)}")
     plain = df.toDF(*[f"c{k}" for k in range(len(fields))])
-    with session_setting(spark, ANSI, "true"):
-        typed = plain.select(
-            *[F.col(f"c{k}").cast(f.dataType).alias(f.name) for k, f in enumerate(fields)]
-        )
-        provider = table_provider(spark, table)
-        if provider in SELF_DESCRIBING:
-            folder = new_folder(spark, table, "overwrite")
-            helper = f"{table}_purge_{uuid.uuid4().hex[:8]}"
-            try:
-                typed.write.format(provider).save(folder)
-            except Exception:
-                purge_location(spark, helper, folder)
-                raise
-            _point_at(spark, table, spec, folder, helper)
-            return
-        stage = f"{table}_stage_{uuid.uuid4().hex[:8]}"
-        try:
-            stage_table(typed, stage)
-        except Exception:
-            drop_table(spark, stage)
-            raise
+    shadow = f"{table}_shadow_{uuid.uuid4().hex[:8]}"
+    view = f"rows_{uuid.uuid4().hex}"
+    folder = new_folder(spark, table, "overwrite")
+    order = partition_columns(spark, table)
+    # A table like the target, at folders of its own, writes any format with
+    # the target's options; dropping it leaves the files.
     try:
-        with session_setting(spark, OVERWRITE_MODE, "static"):
+        with (
+            session_setting(spark, ANSI, "true"),
+            session_setting(spark, OVERWRITE_MODE, "static"),
+            session_setting(spark, "hive.exec.dynamic.partition.mode", "nonstrict"),
+        ):
+            typed = plain.select(
+                *[F.col(f"c{k}").cast(f.dataType).alias(f.name) for k, f in enumerate(fields)]
+            )
+            spark.sql(f"CREATE TABLE {shadow} LIKE {table} LOCATION '{folder}'")
+            into = [f"`{c}`" + _value_in(spec, c) for c in order]
+            typed.createOrReplaceTempView(view)
+            if len(spec.levels) == len(order):
+                # Also there if no rows are.
+                spark.sql(f"ALTER TABLE {shadow} ADD PARTITION ({spec.sql})")
             spark.sql(
-                f"INSERT OVERWRITE TABLE {table} PARTITION ({spec.sql}) SELECT * FROM {stage}"
+                f"INSERT OVERWRITE TABLE {shadow} PARTITION ({', '.join(into)}) SELECT * FROM {view}"
             )
-    except Exception as error:
-        error.add_note(f"the new rows of {spec.sql} are kept in {stage}")
+        written = {
+            below.sql: (below, partition_location(spark, shadow, below))
+            for below in partitions_below(spark, shadow, spec)
+        }
+    except Exception:
+        drop_table(spark, shadow)
+        purge_location(spark, shadow, folder)
         raise
-    drop_table(spark, stage)
+    finally:
+        spark.catalog.dropTempView(view)
+    drop_table(spark, shadow)
+    gone = [p for p in partitions_below(spark, table, spec) if p.sql not in written]
+    for below, place in written.values():
+        _point_at(spark, table, below, place, shadow)
+    for below in gone:
+        drop_partition(spark, table, below)
+
+
+def _value_in(spec: PartitionSpec, column: str) -> str:
+    """``='value'`` of a column that a specification names, else nothing."""
+    for name, value in spec.levels:
+        if name.lower() == column.lower():
+            return "=null" if value == NULL_PARTITION else f"={_literal(value)}"
+    return ""
 
 
 def _point_at(
