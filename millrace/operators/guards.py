@@ -63,8 +63,8 @@ def require_equal_counts(original: int, new: int, what: str) -> None:
         )
 
 
-def fingerprint(rows: DataFrame, columns: Sequence[str]) -> tuple[int, int, int]:
-    """Number of rows and two sums over their hashes: equal for equal multisets of rows.
+def _sums(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: the number of rows and two sums over their hashes.
 
     The order of the rows does not matter, copies do. A hash is added in halves,
     whose sums stay in range for billions of rows.
@@ -76,12 +76,30 @@ def fingerprint(rows: DataFrame, columns: Sequence[str]) -> tuple[int, int, int]
         for c, kind in fields.items()
     ]
     whole = F.xxhash64(F.lit(0), *parts)
-    row = rows.agg(
+    return rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(F.shiftrightunsigned(whole, 32)), F.lit(0)).alias("high"),
         F.coalesce(F.sum(whole.bitwiseAND(0xFFFFFFFF)), F.lit(0)).alias("low"),
-    ).first()
-    return row["n"], row["high"], row["low"]
+    )
+
+
+def fingerprint(rows: DataFrame, columns: Sequence[str]) -> tuple[int, int, int]:
+    """Equal for equal multisets of rows, whatever their order."""
+    return tuple(_sums(rows, columns).first())
+
+
+def row_multiset_guard(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: both counts, and whether the rows are the same in ``columns``, copies counted."""
+    tagged = [
+        _sums(side, columns).withColumn("at", F.lit(at)) for at, side in enumerate((before, after))
+    ]
+    one = [F.max(F.when(F.col("at") == at, F.struct("n", "high", "low"))).alias(f"s{at}") for at in (0, 1)]
+    both = tagged[0].unionAll(tagged[1]).agg(*one)
+    return both.select(
+        F.col("s0.n").alias("original_count"),
+        F.col("s1.n").alias("new_count"),
+        (F.col("s0") == F.col("s1")).alias("same"),
+    )
 
 
 def _quoted(columns: Sequence[str]) -> list[str]:

@@ -314,6 +314,13 @@ def _named(name: str) -> PartitionSpec:
     return PartitionSpec.of([(unquote(column), unquote(value)) for column, value in levels])
 
 
+def mark_renames(spark: SparkSession, moves: dict[str, str]) -> None:
+    """Note on each table the name it shall have, so that any later call can see to it."""
+    mark = uuid.uuid4().hex
+    for old, new in moves.items():
+        _set_property(spark, old, JOURNAL, f"{mark} {len(moves)} {new}")
+
+
 def rename_all(spark: SparkSession, moves: dict[str, str], aside: str) -> None:
     """Give tables new names, which may be one another's.
 
@@ -321,9 +328,7 @@ def rename_all(spark: SparkSession, moves: dict[str, str], aside: str) -> None:
     what is done; a lost driver leaves the marks, and :func:`finish_renames`
     carries out the rest. ``aside`` is a name to hold one table meanwhile.
     """
-    mark = uuid.uuid4().hex
-    for old, new in moves.items():
-        _set_property(spark, old, JOURNAL, f"{mark} {len(moves)} {new}")
+    mark_renames(spark, moves)
     done: list[tuple[str, str]] = []
     try:
         _carry_out(spark, moves, aside, done)

@@ -754,6 +754,16 @@ def _stage(spark: SparkSession, plan: JobPlan, run: Run) -> int:
     return rows
 
 
+def stage_only(spark: SparkSession, job: UpdateJob, mode: str | None = None) -> str:
+    """Stage and check a job without committing it; the next run does, if nothing has changed.
+
+    Gives the name of the stage, for a look at the rows before they are used.
+    """
+    plan = plan_job(spark, job, mode)
+    _stage(spark, plan, Run(spark.sparkContext.applicationId, job.title))
+    return job.stage
+
+
 def _discard(spark: SparkSession, plan: JobPlan) -> None:
     """Drop a stage whose rows are not needed, with its folders."""
     folder = _folder(spark, plan.job)

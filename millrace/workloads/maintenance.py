@@ -102,6 +102,27 @@ def table_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.unionAll(other)
 
 
+@query("""
+SELECT 'orders' AS found_in, * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders
+UNION ALL
+SELECT 'orders_temp', * FROM orders
+""")
+def swap_after_lost_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A driver lost after the first of three renames has left no ``orders``; the next call has."""
+    work = Workspace(spark, "lost_swap")
+    table = work.table("orders")
+    rows = load(spark, sf_dir, "orders")
+    rows.write.saveAsTable(table)
+    rows.withColumn("o_totalprice", F.col("o_totalprice") + 1).write.saveAsTable(table + "_temp")
+    moves = {table: table + "_temp", table + "_temp": table}
+    tables.mark_renames(spark, moves)
+    tables.rename_table(spark, table, table + "_temp2")
+    tables.swap_tables(spark, table)
+    found = spark.table(table).withColumn("found_in", F.lit("orders"))
+    other = spark.table(table + "_temp").withColumn("found_in", F.lit("orders_temp"))
+    return found.unionAll(other)
+
+
 @query("""
 SELECT 'segments' AS name, c_mktsegment AS label, count(*) AS n FROM customer GROUP BY 2
 UNION ALL

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import equals_ignoring_quotes
-from millrace.operators import guards, rewrite, worklist
+from millrace.operators import guards, rewrite, tables, worklist
 from millrace.operators.rewrite import Rule
+from millrace.operators.tables import PartitionSpec
 from millrace.plans import update
 from millrace.session import Workspace
 from millrace.workloads.data import load, query
@@ -118,6 +119,89 @@ def partition_update_by_relocation(spark: SparkSession, sf_dir: str) -> DataFram
     return spark.table(table)
 
 
+@query("""
+SELECT * REPLACE (CASE WHEN l_returnflag = 'R' AND l_quantity < 25 THEN 0 ELSE l_tax END AS l_tax)
+FROM (SELECT * FROM lineitem
+      UNION ALL
+      SELECT * REPLACE (-l_orderkey AS l_orderkey) FROM lineitem
+      WHERE l_returnflag = 'R' AND l_linenumber = 1)
+""")
+def partition_update_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended after a run has staged and checked, and then been lost, are kept.
+
+    The rules apply to them too, since the next run stages them.
+    """
+    work = Workspace(spark, "late_rows")
+    table = partitioned_lineitem(spark, sf_dir, work)
+    rule = (table, 1, R_PART, R_OLD, None, "l_tax", "when l_quantity < 25 then 0", "Y")
+    rules = rule_rows(spark, [rule])
+    for job in update.pending_jobs(spark, rules):
+        update.stage_only(spark, job)
+    late = spark.table(table).where(f"{R_PART} and l_linenumber = 1")
+    tables.append_by_position(late.withColumn("l_orderkey", -F.col("l_orderkey")), table)
+    update.run_updates(spark, rules, ledger=work.table("ledger"))
+    return spark.table(table)
+
+
+MANY_BATCHES = [
+    ("l_quantity", "when l_quantity > 30 then l_quantity - 30"),
+    ("l_discount", "when l_quantity < 10 then 0.25"),
+    ("l_tax", "when l_discount = 0.25 then l_tax + l_discount"),
+    ("l_linestatus", "when l_tax > 0.3 then 'X' when l_quantity = 1 then 'Y'"),
+    ("l_quantity", "when l_linestatus = 'X' then 0"),
+]
+
+
+def nested_cases(batches: list[tuple[str, str]], source: str, where: str) -> str:
+    for column, rule in batches:
+        case = f"CASE WHEN {where} THEN CASE {rule} ELSE {column} END ELSE {column} END"
+        source = f"(SELECT * REPLACE ({case} AS {column}) FROM {source})"
+    return f"SELECT * FROM {source}"
+
+
+@query(nested_cases(MANY_BATCHES, "lineitem", "l_returnflag = 'R'"))
+def partition_update_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five batches that read one another's results, in one rewrite of the partition."""
+    work = Workspace(spark, "fused")
+    table = partitioned_lineitem(spark, sf_dir, work)
+    rules = rule_rows(
+        spark,
+        [(table, k, R_PART, R_OLD, None, *rule, "Y") for k, rule in enumerate(MANY_BATCHES, 1)],
+    )
+    update.run_updates(spark, rules, ledger=work.table("ledger"))
+    return spark.table(table)
+
+
+LEVEL_RULE = "when l_quantity > 40 then 0.5"
+
+
+@query(f"""
+SELECT * REPLACE (
+  CASE WHEN l_returnflag = 'N' THEN CASE {LEVEL_RULE} ELSE l_tax END
+       WHEN l_returnflag = 'A' THEN 0.0 ELSE l_tax END AS l_tax,
+  CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'R_old' ELSE l_returnflag END
+    AS l_returnflag)
+FROM lineitem
+WHERE l_returnflag <> 'A' OR l_linestatus = 'F' AND l_quantity > 10
+""")
+def partition_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two partition columns: an update and an overwrite below the first, a rename of both."""
+    work = Workspace(spark, "levels")
+    table = work.table("lineitem")
+    levels = ["l_returnflag", "l_linestatus"]
+    load(spark, sf_dir, "lineitem").write.partitionBy(*levels).saveAsTable(table)
+    part, aside = "l_returnflag='N'", "l_returnflag='N_old'"
+    rules = rule_rows(spark, [(table, 1, part, aside, None, "l_tax", LEVEL_RULE, "Y")])
+    update.run_updates(spark, rules, ledger=work.table("ledger"))
+    kept = spark.table(table).where("l_returnflag = 'A' AND l_linestatus = 'F' AND l_quantity > 10")
+    rows = kept.withColumn("l_tax", F.lit(0.0)).drop("l_returnflag")
+    tables.overwrite_partition(spark, table, rows, PartitionSpec("l_returnflag", "A"))
+    old = PartitionSpec.parse("l_returnflag='R' AND l_linestatus='O'")
+    if tables.partition_exists(spark, table, old):
+        tables.rename_partition(spark, table, old, PartitionSpec("l_returnflag", "R_old"))
+    return spark.table(table)
+
+
 @query("""
 SELECT * REPLACE (
   CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'A' ELSE l_returnflag END
@@ -389,3 +473,30 @@ def row_count_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     ]
     return tagged[0].unionAll(tagged[1]).unionAll(tagged[2])
+
+
+@query("""
+SELECT 'shuffled' AS rows_are, count(*) AS original_count, count(*) AS new_count, true AS same
+FROM lineitem
+UNION ALL
+SELECT 'traded', count(*), count(*), NOT EXISTS (
+  SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+  EXCEPT ALL
+  SELECT l_orderkey, l_linenumber,
+         l_quantity + CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN -1 ELSE 0 END FROM lineitem)
+FROM lineitem
+""")
+def row_multiset_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rows in another order, and as many of which some are others."""
+    columns = ["l_orderkey", "l_linenumber", "l_quantity"]
+    rows = load(spark, sf_dir, "lineitem").select(*columns)
+    change = F.when(F.col("l_linenumber") == 1, 1).when(F.col("l_linenumber") == 2, -1).otherwise(0)
+    found = [
+        ("shuffled", rows.repartition(7, "l_quantity")),
+        ("traded", rows.withColumn("l_quantity", F.col("l_quantity") + change)),
+    ]
+    guards_found = [
+        guards.row_multiset_guard(rows, other, columns).withColumn("rows_are", F.lit(name))
+        for name, other in found
+    ]
+    return guards_found[0].unionAll(guards_found[1])
