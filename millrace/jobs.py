@@ -2,15 +2,16 @@
 
     spark-submit jobs.py update rules=db.update_definitions audit=db.audit
         [ledger=db.ledger] [mode=overwrite|rename|relocate] [files=10]
-        [table_name=db.t] [batch_number=3] [displayonly=true [out=/shown]]
+        [table_name=db.t] [batch_number=3] [displayonly=true [out=/shown]] [fuse=false]
     spark-submit jobs.py load list=/in/Indirect.txt base=/in/CSVFiles target=db.flat_file
-        [audit=db.audit] [columns=field1:string,field2:long]
+        [audit=db.audit] [columns=field1:string,field2:long] [rejects=db.rejects]
     spark-submit jobs.py publish path=/in/visit_details.csv servers=host:port
         [topic=name] [audit=db.audit]
     spark-submit jobs.py consume servers=host:port table=db.visits checkpoint=/ck/visits
         columns=visit_id:long,name:string [topic=name] [audit=db.audit]
         [sink=table|batches] [trigger="2 seconds"|available] [rate=100000]
         [min_partitions=64] [batches_per_partition=1000]
+    spark-submit jobs.py merge table=db.visits [bytes=134217728] [audit=db.audit]
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import sys
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators import compact
 from millrace.plans import load, publish, update
 from millrace.plans.audit import audited
 from millrace.session import build_session
@@ -30,7 +32,12 @@ from millrace.sources.messages import (
     message_stream,
 )
 from millrace.sources.schema import schema_of
-from millrace.streaming.decode import POLL_INTERVAL, decode_to_batches, decode_to_table
+from millrace.streaming.decode import (
+    POLL_INTERVAL,
+    RANGE_COLUMN,
+    decode_to_batches,
+    decode_to_table,
+)
 
 
 def options_of(arguments: list[str]) -> dict[str, str]:
@@ -63,6 +70,7 @@ def run_update(spark: SparkSession, options: dict[str, str]) -> None:
         "ledger": options.get("ledger"),
         "audit_table": options.get("audit"),
         "only": only(options),
+        "fuse": options.get("fuse", "").lower() != "false",
     }
     if options.get("displayonly", "").lower() != "true":
         update.run_updates(spark, rules, **how)
@@ -83,6 +91,7 @@ def run_load(spark: SparkSession, options: dict[str, str]) -> None:
         options["base"],
         options["target"],
         spec=spec,
+        rejects=options.get("rejects"),
         audit_table=options.get("audit"),
     )
 
@@ -122,7 +131,17 @@ def run_consume(spark: SparkSession, options: dict[str, str], *, fmt: str = "kaf
 SINKS = {"table": decode_to_table, "batches": decode_to_batches}
 
 
+def run_merge(spark: SparkSession, options: dict[str, str]) -> None:
+    """Merges the files of the ranges that ``consume`` with the sink ``batches`` has done with."""
+    target = int(options.get("bytes", compact.TARGET_BYTES))
+    with audited(spark, "file_merge", options.get("audit")) as run:
+        found = compact.merge_finished(spark, options["table"], RANGE_COLUMN, target)
+        before, after = sum(m.files_before for m in found), sum(m.files_after for m in found)
+        run.message = f"{len(found)} partitions: {before:,} files before, {after:,} after"
+
+
 JOBS = {
+    "merge": run_merge,
     "update": run_update,
     "load": run_load,
     "publish": run_publish,

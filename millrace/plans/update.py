@@ -106,6 +106,8 @@ COMMITTED = "COMMITTED"
 NOTED = "-files"
 # How often a stage is made anew because the partition has changed meanwhile.
 ATTEMPTS = 5
+# Batches in one rewrite: beyond that the plan's size costs more than a rewrite.
+MOST_FUSED = 32
 # Rules with a query of their own may read what other jobs write.
 SUBQUERY = re.compile(r"\bselect\b|\bfrom\b|\btable\b", re.IGNORECASE)
 # Fixed value: words that may follow a table in a from-clause without renaming it.
@@ -254,7 +256,7 @@ def plan_job(
                 f"ALTER TABLE {job.table} PARTITION ({spec.sql}) "
                 f"RENAME TO PARTITION ({aside.sql})",
             ),
-            (INSERTED, f"INSERT INTO {job.table} SELECT * FROM {stage}"),
+            (INSERTED, f"INSERT INTO {job.table} SELECT {_spread(plan)}* FROM {stage}"),
             (TEMP_DROPPED, f"ALTER TABLE {job.table} DROP IF EXISTS PARTITION ({aside.sql})"),
             *drop_stage,
         ]
@@ -283,6 +285,13 @@ def plan_job(
     return plan
 
 
+def _spread(plan: JobPlan) -> str:
+    """Hint for rows that go to many partitions: one file each for small ones, more for a hot one."""
+    if not plan.moves_rows:
+        return ""
+    return f"/*+ REBALANCE({', '.join(f'`{c}`' for c, _ in plan.spec.levels)}) */ "
+
+
 def _select(
     schema: T.StructType,
     rules: Sequence[Rule],
@@ -422,7 +431,7 @@ def fuse_jobs(spark: SparkSession, jobs: list[UpdateJob]) -> list[UpdateJob]:
             found.append(job)
             continue
         key = (job.table.lower(), *sorted((c.lower(), v) for c, v in spec.levels))
-        if key in open_jobs:
+        if key in open_jobs and len(found[open_jobs[key]].steps) < MOST_FUSED:
             first = found[open_jobs[key]]
             fused = replace(first, also=(*first.also, job))
             if _composes(spark, fused):
@@ -513,14 +522,17 @@ def dry_run(
         jobs = expand_jobs(spark, pending_jobs(spark, rules, ledger, only), ledger)
         plans = _plans(spark, fuse_jobs(spark, jobs) if fuse else jobs, mode, files)
         states: dict[str, str] = {}
+        # Where no rule moves rows, every job finds as many as there are today.
+        moving = {plan.job.table.lower() for plan in plans if plan.moves_rows}
         for plan in plans:
             job = plan.job
             run.message = f"{job.title}: {CONFIGURED}, {COLUMNS_FOUND}"
             n = _count_on(spark, plan, states.get(job.table.lower()))
             for number, (step, statement) in enumerate(plan.statements, 1):
                 rows.append((job.table, job.batch, job.partition, number, step, statement, n))
-            before = states.get(job.table.lower(), job.table)
-            states[job.table.lower()] = _state_after(spark, plan, before)
+            if job.table.lower() in moving:
+                before = states.get(job.table.lower(), job.table)
+                states[job.table.lower()] = _state_after(spark, plan, before)
         run.message = f"shown, not run: {len(plans)} jobs with {len(rows)} statements"
         return spark.createDataFrame(rows, STEP_SCHEMA)
 

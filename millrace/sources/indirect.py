@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.csv import read_file_list, read_typed_csv
+from millrace.sources.csv import read_checked_csv, read_file_list, read_typed_csv
 
 FILE_NAME = "file_name"
+REJECTED = "struct<line: string, cause: string>"
 # Signs with a meaning of their own in a path that Spark reads.
 GLOB_SIGNS = re.compile(r"[\\*?\[\]{}]")
 
@@ -49,9 +50,12 @@ def read_listed(
     schema: T.StructType,
     *,
     header: bool = True,
+    checked: bool = False,
 ) -> DataFrame:
     """Rows of every listed file, with the listed name as last column.
 
+    With ``checked`` the column ``rejected`` follows, see :func:`read_checked_csv`.
+
     Names are taken literally: files that are not listed are never opened, a
     file listed twice counts twice, and a listed file that does not exist fails
     the read. One plan reads all files, so small ones share tasks and large ones
@@ -62,6 +66,9 @@ def read_listed(
     paths = [f"{root}/{literal_path(row.filename)}" for row in names.toLocalIterator()]
     if not paths:
         lineage = T.StructField(FILE_NAME, T.StringType(), True)
-        return spark.createDataFrame([], T.StructType([*schema.fields, lineage]))
-    rows = read_typed_csv(spark, paths, schema, header=header)
-    return rows.select(*[f"`{name}`" for name in schema.names], relative_name(spark, base).alias(FILE_NAME))
+        none = spark.createDataFrame([], T.StructType([*schema.fields, lineage]))
+        return none.withColumn("rejected", F.lit(None).cast(REJECTED)) if checked else none
+    rows = (read_checked_csv if checked else read_typed_csv)(spark, paths, schema, header=header)
+    more = ["rejected"] if checked else []
+    names = [f"`{name}`" for name in schema.names]
+    return rows.select(*names, relative_name(spark, base).alias(FILE_NAME), *more)

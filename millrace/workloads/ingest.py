@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.codec import base64_token
-from millrace.plans.load import load_listed_files
+from millrace.plans.load import create_rejects_table, load_listed_files
 from millrace.session import Workspace
 from millrace.sources import csv
 from millrace.sources.schema import schema_of
@@ -135,6 +135,56 @@ def indirect_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH lines AS (
+  SELECT *, CASE WHEN c_custkey % 7 = 3 THEN 'n/a' WHEN c_custkey % 11 = 5 THEN ''
+                 ELSE CAST(c_nationkey AS VARCHAR) END AS nation,
+         c_custkey % 13 = 1 AS longer, c_custkey % 17 = 2 AS shorter,
+         CASE WHEN c_custkey % 7 = 3 THEN 'c_nationkey is not of type int' END AS bad
+  FROM customer)
+SELECT 'c_mktsegment=' || c_mktsegment || '/customers.csv' AS file_name, c_custkey,
+       CASE WHEN bad IS NULL AND NOT longer THEN CAST(nullif(nation, '') AS INTEGER) END AS c_nationkey,
+       CASE WHEN bad IS NULL AND NOT longer AND NOT shorter THEN c_name END AS c_name,
+       nullif(concat_ws('; ', bad, CASE WHEN longer THEN 'more than 3 fields' END), '') AS cause
+FROM lines
+""")
+def indirect_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a bad number or a surplus field are set apart; short ones are padded."""
+    work = Workspace(spark, "load_rejects")
+    base = work.path("csv")
+    nation = (
+        "if(c_custkey % 7 = 3, 'n/a', if(c_custkey % 11 = 5, '', cast(c_nationkey as string)))"
+    )
+    line = (
+        f"concat(c_custkey, ',', {nation}, "
+        "if(c_custkey % 17 = 2 and c_custkey % 13 <> 1, '', concat(',', c_name)), "
+        "if(c_custkey % 13 = 1, ',more', ''))"
+    )
+    customer = load(spark, sf_dir, "customer").selectExpr(f"{line} as value", "c_mktsegment")
+    customer.repartition("c_mktsegment").write.partitionBy("c_mktsegment").text(base)
+    names = _rename_parts(spark, base, "customers.csv")
+    spark.createDataFrame([(n,) for n in names], "filename string").write.text(work.path("list"))
+    target, rejects = work.table("flat_file"), work.table("rejects")
+    spark.sql(
+        f"CREATE TABLE {target} (c_custkey bigint, c_nationkey int, c_name string, "
+        "file_name string) USING parquet"
+    )
+    create_rejects_table(spark, rejects)
+    spec = [("c_custkey", "long"), ("c_nationkey", "integer"), ("c_name", "string")]
+    load_listed_files(
+        spark, work.path("list"), base, target, spec=spec, rejects=rejects, header=False
+    )
+    good = spark.table(target).withColumn("cause", F.lit(None).cast("string"))
+    bad = spark.table(rejects).select(
+        F.split("line", ",")[0].cast("long").alias("c_custkey"),
+        F.lit(None).cast("int").alias("c_nationkey"),
+        F.lit(None).cast("string").alias("c_name"),
+        "file_name",
+        "cause",
+    )
+    return good.unionByName(bad)
+
+
 def _rename_parts(spark: SparkSession, base: str, name: str, folders: str = "c_mktsegment=") -> list[str]:
     """Give the one file in each folder below ``base`` a name; tells the names from ``base``."""
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import codec
 from millrace.functions.params import extract_params
+from millrace.operators import compact
 from millrace.plans.publish import publish_csv
 from millrace.session import Workspace
 from millrace.sources.messages import message_stream, publish_rows
@@ -179,6 +180,38 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT event_id, event_type, value, ts FROM events
+""")
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of one small file each; the finished ranges end as one file each."""
+    work = Workspace(spark, "stream_merge")
+    tokens = event_tokens(codec.base64_token(F.col("event_type")))
+    rows = load(spark, sf_dir, "events").select(*tokens).repartition(8)
+    publish_rows(rows, {"path": work.path("topic")}, fmt="text")
+    table = work.table("events")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}, quarantined string, batch_id bigint, "
+        "batch_range bigint) USING parquet PARTITIONED BY (batch_range)"
+    )
+    stream = message_stream(
+        spark, {"path": work.path("topic"), "maxFilesPerTrigger": "1"}, fmt="text"
+    )
+    decode.decode_to_batches(
+        stream,
+        EVENT_SCHEMA,
+        table,
+        work.path("offsets"),
+        trigger=decode.AVAILABLE,
+        batches_per_partition=4,
+    ).awaitTermination()
+    merged = compact.merge_finished(spark, table, decode.RANGE_COLUMN)
+    if not merged or any(m.files_after != 1 for m in merged):
+        raise RuntimeError(f"not merged: {merged}")
+    return spark.table(table).select("event_id", "event_type", "value", "ts")
+
+
 @query("""
 WITH tokens AS (
   SELECT page_id, pos, tokens[pos] AS token

@@ -323,7 +323,7 @@ SHOWN = ", ".join(
                 ),
                 (
                     "INSERT_TRANSFORMED_DATA_TO_SOURCE",
-                    "INSERT INTO db.lineitem SELECT * FROM {s}",
+                    "INSERT INTO db.lineitem SELECT /*+ REBALANCE(`l_returnflag`) */ * FROM {s}",
                 ),
                 (
                     "DROP_TEMP_PARTITION",

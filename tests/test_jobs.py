@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,7 +33,9 @@ def test_update_job(spark, work, capsys):
     assert spark.table(trail).count() == 1
     shown = work.path("shown")
     jobs.run_update(spark, {"rules": rules, "displayonly": "true", "out": shown})
-    assert spark.read.json(shown).count() == 14
+    assert spark.read.json(shown).count() == 7  # one rewrite for both batches
+    jobs.run_update(spark, {"rules": rules, "displayonly": "true", "out": shown + "2", "fuse": "false"})
+    assert spark.read.json(shown + "2").count() == 14
     assert sorted(spark.table(table).collect()) == [(1, "a"), (2, "b")]
     jobs.run_update(spark, options)
     assert sorted(spark.table(table).collect()) == [(2, "b"), (3, "a")]
@@ -39,7 +43,7 @@ def test_update_job(spark, work, capsys):
 
 
 def test_every_statement_is_shown(spark, work, capsys):
-    """More statements than a screen holds: 1,500 and some."""
+    """More statements than a screen holds: 4,500 and some."""
     table, rules = work.table("t"), work.table("rules")
     spark.createDataFrame([(1, "a")], "x int, p string").write.format("json").partitionBy(
         "p"
@@ -50,15 +54,15 @@ def test_every_statement_is_shown(spark, work, capsys):
 
     def known(spark, found, mode, files):  # one plan for all: only the printing is of interest
         first = plans(spark, found[:1], mode, files)[0]
-        return [update.JobPlan(j, first.mode, first.spec, first.select, commit=first.commit) for j in found]
+        return [replace(first, job=j) for j in found]
 
     update._plans, counted = known, update._checked_count
     update._checked_count = lambda *_: 1
     try:
-        jobs.run_update(spark, {"rules": rules, "displayonly": "true"})
+        jobs.run_update(spark, {"rules": rules, "displayonly": "true", "fuse": "false"})
     finally:
         update._plans, update._checked_count = plans, counted
-    assert capsys.readouterr().out.count("statement=") == 1503
+    assert capsys.readouterr().out.count("statement=") == 9 * 501
 
 
 @pytest.mark.parametrize("sink", ["table", "batches"])

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import UnknownTypeError
 from millrace.plans import audit
-from millrace.plans.load import load_listed_files
+from millrace.plans.load import create_rejects_table, load_listed_files
 from millrace.sources import catalog, csv
 from millrace.sources.indirect import read_listed
 from millrace.sources.schema import schema_of, type_named
@@ -154,3 +154,42 @@ def test_sql_batches_keep_order(spark):
     assert [f.first().x for f in frames] == [2, 1]
     named = catalog.named_frames_of(spark, {"b": "select 2 as x", "a": "select 1 as x"})
     assert list(named) == ["b", "a"]
+
+
+def test_rejected_lines_keep_text_and_cause(spark, tmp_path):
+    lines = [
+        "n,d,s", "1,2024-01-02,a", "x1,2024-01-02,b", " 2 , , c ", "3,yesterday,c,4,5", "4", '5,2024-02-30,"q,r"',
+        "", '6,,"a""b"', "99999999999,2024-01-02,z", '7,,"x,y",', ",,,w", ",,",
+    ]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    schema = schema_of([("n", "integer"), ("d", "date"), ("s", "string")])
+    found = csv.read_checked_csv(spark, str(tmp_path / "a.csv"), schema).collect()
+    assert len(found) == 11  # all but the header and the blank line
+    good = [(r.n, str(r.d) if r.d else None, r.s) for r in found if r.rejected is None]
+    assert sorted(good, key=str) == sorted(
+        [(1, "2024-01-02", "a"), (2, None, "c"), (4, None, None), (6, None, '"a""b"'), (7, None, "x,y"), (None, None, None)], key=str
+    )
+    assert {r.rejected.line: r.rejected.cause for r in found if r.rejected} == {
+        lines[2]: "n is not of type int",
+        lines[4]: "d is not of type date; more than 3 fields",
+        lines[6]: "d is not of type date",
+        lines[9]: "n is not of type int",
+        lines[11]: "more than 3 fields",
+    }
+
+
+def test_load_with_rejects_counts_every_line(spark, work, files):
+    base, names = files
+    Path(base, names[0]).write_text("x,y\n1,a\nno,b\n2,c,d\n")
+    target, rejects, trail = (work.table(n) for n in ("flat", "rejects", "audit"))
+    spark.sql(f"CREATE TABLE {target} (x int, y string, origin string) USING parquet")
+    create_rejects_table(spark, rejects)
+    audit.create_audit_table(spark, trail)
+    spec = [("x", "integer"), ("y", "string")]
+    load_listed_files(spark, listing(base, [names[0]] * 2), str(base), target, spec=spec, rejects=rejects, audit_table=trail)
+    assert [tuple(r) for r in spark.table(target).collect()] == [(1, "a", names[0])] * 2
+    found = sorted((r.file_name, r.line, r.cause) for r in spark.table(rejects).collect())
+    assert found == [(names[0], "2,c,d", "more than 2 fields")] * 2 + [(names[0], "no,b", "x is not of type int")] * 2
+    assert "2 rows, 4 rejected" in spark.table(trail).first().message
+    load_listed_files(spark, listing(base, []), str(base), target, spec=spec, rejects=rejects)
+    assert spark.table(target).count() == 2

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import codec
+from millrace.operators import compact, tables
 from millrace.sources.messages import kafka_sink_options, kafka_source_options, message_stream
 from millrace.streaming import decode
 
@@ -87,6 +88,67 @@ def test_many_batches_share_a_partition(spark, work):
     assert spark.sql(f"SHOW PARTITIONS {table}").count() < len({r.batch_id for r in rows})
 
 
+def many_files(spark, work, table, batches=12):
+    make_batch_table(spark, table)
+    for n in range(batches):
+        spark.sql(f"INSERT INTO {table} VALUES ({n}, 's{n}', null, {n}, {n // 4})")
+
+
+def files_of(spark, table):
+    spark.catalog.refreshTable(table)
+    found = spark.table(table).selectExpr("batch_range r", "_metadata.file_path f").distinct()
+    return {r.r: r["count"] for r in found.groupBy("r").count().collect()}
+
+
+def test_finished_ranges_are_merged(spark, work):
+    table = work.table("out")
+    many_files(spark, work, table)
+    before = sorted(spark.table(table).collect())
+    assert files_of(spark, table) == {0: 4, 1: 4, 2: 4}
+    found = compact.merge_finished(spark, table, decode.RANGE_COLUMN)
+    assert [(m.files_before, m.files_after) for m in found] == [(4, 1), (4, 1)]
+    assert files_of(spark, table) == {0: 1, 1: 1, 2: 4}
+    assert sorted(spark.table(table).collect()) == before
+    again = compact.merge_finished(spark, table, decode.RANGE_COLUMN)
+    assert {m.left_because for m in again} == {"few files"}
+    assert {t.name for t in spark.catalog.listTables(work.database)} == {"out"}
+
+
+def test_files_are_merged_to_a_size(spark, work):
+    table = work.table("out")
+    rows = spark.range(40_000, numPartitions=40).selectExpr("id", "sha2(cast(id as string), 256) s", "0 as r")
+    rows.write.partitionBy("r").saveAsTable(table)
+    size = compact.manifest.list_files(spark, tables.partition_location(spark, table, tables.PartitionSpec("r", "0"))).selectExpr("sum(length)").first()[0]
+    found = compact.merge_files(spark, table, tables.PartitionSpec("r", "0"), size // 4)
+    assert found.files_before == 40 and 4 <= found.files_after <= 6
+    assert spark.table(table).distinct().count() == 40_000
+
+
+@pytest.mark.parametrize("when", ["INSERT OVERWRITE", "ALTER TABLE {t} PARTITION (`batch_range`='0') SET LOCATION"])
+def test_a_batch_that_comes_meanwhile_is_kept(spark, work, monkeypatch, when):
+    table = work.table("out")
+    many_files(spark, work, table)
+    place = tables.partition_location(spark, table, tables.PartitionSpec("batch_range", "0"))
+    real, left = type(spark).sql, [1]
+
+    def sql(self, text, *args, **kwargs):
+        if text.startswith(when.format(t=table)) and left[0]:
+            left[0] = 0
+            row = self.createDataFrame([(77, "late", None, 3)], "n long, s string, quarantined string, batch_id long")
+            row.write.mode("append").parquet(place)
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    found = compact.merge_finished(spark, table, decode.RANGE_COLUMN)
+    monkeypatch.undo()
+    assert found[0].left_because == "changed meanwhile" and found[1].files_after == 1
+    assert files_of(spark, table)[0] == 5
+    assert sorted(r.n for r in spark.table(table).collect()) == [*range(12), 77]
+    assert compact.merge_finished(spark, table, decode.RANGE_COLUMN)[0].files_after == 1
+    spark.catalog.refreshTable(table)
+    assert sorted(r.n for r in spark.table(table).collect()) == [*range(12), 77]
+
+
 def test_decoding_needs_no_shuffle(spark, work):
     publish(spark, work.path("in"), 0, 10)
     plan = plan_of(codec.decode_records(spark.read.text(work.path("in")), SCHEMA))

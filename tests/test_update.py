@@ -403,6 +403,25 @@ def test_rows_move_between_partitions(t):
     assert t.rows() == [(1, 1.0, "b"), (2, 2.0, "c"), (3, 3.0, "b"), (4, None, "b")]
 
 
+def test_a_hot_value_gets_more_files_than_small_ones(t):
+    """Nine tenths of the rows move to one value, the rest to many, from many tasks."""
+    table = t.work.table("wide")
+    value = "if(id % 10 > 0, 'hot', concat('v', id % 70))"
+    rows = t.spark.range(200_000, numPartitions=8).selectExpr("id", "sha2(cast(id as string), 256) as s", f"{value} as q", "'x' as p")
+    rows.write.partitionBy("p").saveAsTable(table)
+    rule = t.rule("p", "when true then q", part="p='x'", aside="p='x_old'", table=table)
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    with tables.session_setting(t.spark, *list(settings.items())[0]), tables.session_setting(t.spark, *list(settings.items())[1]):
+        t.run(rule)
+    files = t.spark.table(table).selectExpr("p", "_metadata.file_name f", "_metadata.file_size n").distinct()
+    by_value = {r.p: (r.files, r.most) for r in files.groupBy("p").agg(F.count("f").alias("files"), F.max("n").alias("most")).collect()}
+    assert len(by_value) == 8 and by_value["hot"][0] > 4
+    assert max(most for _, most in by_value.values()) < 4_000_000
+    # Those that share the hot value's shuffle partition are split along with it.
+    assert sum(n <= 2 for n, _ in by_value.values()) >= 4
+    assert t.spark.table(table).where("p <> q").isEmpty() and t.spark.table(table).count() == 200_000
+
+
 def test_interrupted_move_is_not_guessed(t, monkeypatch):
     rule = t.rule("p", "when id = 1 then 'b'")
     lose_append_mark(monkeypatch)
