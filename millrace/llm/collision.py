@@ -23,12 +23,14 @@ from millrace.session import Workspace
 # Lines, the half width of the first windows, their growth, the share of the
 # lines on which a verified vector collides, and the share of a block, and the
 # number, that is verified before a query ends. They hold for vectors scaled to
-# length 1.
-LINES = 96
-FIRST_HALF = 0.5
-GROWTH = 1.25
+# length 1, whose distances are about 1: the first windows are somewhat narrower
+# than what near vectors need, and grow slowly, so that few more are verified
+# than asked for.
+LINES = 192
+FIRST_HALF = 0.75
+GROWTH = 1.04
 COLLISIONS = 0.6
-VERIFIED = 0.15
+VERIFIED = 0.1
 LEAST_VERIFIED = 250
 
 
@@ -68,7 +70,10 @@ def to_sphere(vectors: np.ndarray) -> np.ndarray:
 
 
 def collide(query_ids, queries, ids, vectors, k, **options):
-    """Positions of queries and rows, and scores, of what each query found in the block."""
+    """Positions of queries and rows, and scores, of what each query found in the block.
+
+    A list given as ``read`` gets the number of verified vectors of each query.
+    """
     lines = options.get("lines", LINES)
     half, growth = options.get("half", FIRST_HALF), options.get("growth", GROWTH)
     needed = max(1, round(options.get("collisions", COLLISIONS) * lines))
@@ -108,6 +113,7 @@ def collide(query_ids, queries, ids, vectors, k, **options):
     at_query, at_row, scores = [], [], []
     for q in range(len(queries)):
         candidates = np.flatnonzero(counts[q] >= needed)
+        options.get("read", []).append(len(candidates))
         exact = vectors[candidates] @ queries[q]
         best = best_of(exact, ids[candidates], query_ids[q], k)
         at_query.append(np.full(len(best), q))

@@ -53,7 +53,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**31, MINIMA, dtype=np.uint32) * 2 + 1)[:, None]
 _LOWEST_BITS = 0x1111111111111111
 
-SKETCH = "doc_id long, n_shingles long, node binary, bands array<long>, signature array<long>"
+SKETCH = "n_shingles long, node binary, bands array<long>, signature array<long>"
 
 
 def shingles(text: bytes | None, width: int = SHINGLE) -> np.ndarray:
@@ -106,31 +106,35 @@ def signature(least: np.ndarray) -> np.ndarray:
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_row: bool = False) -> DataFrame:
     """One row per document; ``node`` names its set and is NULL for the empty set.
 
-    ``text_key``, a hash of the text, tells texts of one id and one set apart;
+    ``row_no`` numbers the rows and ``text`` is kept beside the sketch, so that
+    one row of a node can be taken for all. ``text_key``, a hash of the text, tells texts of one id and one set apart;
     it is there only if decisions are made ``by_row``.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for doc_id, text, *key in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for text in batch.column("text").to_pylist():
                 found = shingles(text)
                 if len(found):
                     least = minima(found)
                     node = xxhash.xxh3_128_digest(found.tobytes())
-                    rows.append((doc_id, len(found), node, band_keys(least), signature(least), *key))
+                    rows.append((len(found), node, band_keys(least), signature(least)))
                 else:
-                    rows.append((doc_id, 0, None, None, None, *key))
-            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+                    rows.append((0, None, None, None))
+            columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+            made = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            yield pa.record_batch([*batch.columns, *made], names)
 
-    schema = SKETCH + (", text_key string" if by_row else "")
+    given = "doc_id long, row_no long, text binary" + (", text_key string" if by_row else "")
+    schema = f"{given}, {SKETCH}"
     names = [part.split()[0] for part in schema.split(", ")]
     longs = pa.list_(pa.int64())
-    kinds = [pa.int64(), pa.int64(), pa.binary(), longs, longs, *[pa.string()] * by_row]
+    kinds = [pa.int64(), pa.binary(), longs, longs]
     text = F.col(f"`{text_col}`")
     chosen = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row_no"),
         text.cast("binary").alias("text"),
         *[text_key(text).alias("text_key")] * by_row,
     )
@@ -179,10 +183,12 @@ def near_duplicates(
     ``by_row`` adds ``text_key`` and decides for each id and text: ``kept`` are the
     rows of one id and text of each component, the smallest.
     """
-    found = keep(sketches(docs, id_col, text_col, by_row), work, "sketches")
+    stored = keep(sketches(docs, id_col, text_col, by_row), work, "sketches")
+    found = stored.drop("row_no", "text")
     linkable = found.where("doc_id IS NOT NULL AND node IS NOT NULL")
     nodes = keep(
-        linkable.groupBy("node").agg(
+        stored.where("doc_id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(
+            F.min("row_no").alias("row_no"),
             *[F.min(F.struct("doc_id", "text_key")).alias("least_row")] * by_row,
             F.min("doc_id").alias("least_id"),
             F.min_by(F.struct("bands", "signature", "n_shingles"), "doc_id").alias("kept"),
@@ -191,7 +197,7 @@ def near_duplicates(
         "nodes",
     )
     buckets, hubs = _buckets(nodes, work)
-    labels = _link(docs, nodes, buckets, hubs, work, percent, id_col, text_col)
+    labels = _link(stored, nodes, buckets, hubs, work, percent)
     least, of_component = ("least_row", "component_row") if by_row else ("least_id", "component_id")
     ids = nodes.select("node", least)
     reached = labels.join(ids, "node").groupBy("root").agg(F.min(least).alias(of_component))
@@ -229,22 +235,14 @@ def _buckets(nodes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     return buckets, pairs
 
 
-def _link(docs, nodes, buckets, hubs, work, percent, id_col, text_col) -> DataFrame:
+def _link(stored, nodes, buckets, hubs, work, percent) -> DataFrame:
     """Components over all links between nodes that share a bucket."""
     floor = percent / 100 - SLACK
     signatures = nodes.select("node", F.col("kept.signature").alias("signature"))
     left = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     right = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
     near = hubs.join(left, "a").join(right, "b").where(estimate(F.col("sa"), F.col("sb")) >= floor)
-    # The text of one document of every node that may be compared.
-    active = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node")
-    texts = keep(
-        docs.select(F.col(f"`{id_col}`").cast("long").alias("least_id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-        .join(active, "least_id")
-        .select("node", "text"),
-        work,
-        "texts",
-    )
+    texts = keep(_texts(stored, nodes, buckets), work, "texts")
     links = keep(_confirm(near.select("a", "b"), texts, percent), work, "links")
     labels = connected_components(links, work, "components")
     open_members = keep(_across(buckets, labels, signatures, floor), work, "open_members")
@@ -254,6 +252,12 @@ def _link(docs, nodes, buckets, hubs, work, percent, id_col, text_col) -> DataFr
     return connected_components(links.unionAll(joining), work, "all_components")
 
 
+def _texts(stored: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The text of one row of every node that may be compared, however many rows it has."""
+    active = buckets.select("node").distinct().join(nodes.select("node", "row_no"), "node")
+    return stored.select("row_no", "text").join(active, "row_no").select("node", "text")
+
+
 PLACE = ["band", "i", "j"]
 
 
@@ -343,8 +347,6 @@ def _join_within(open_members: DataFrame, texts: DataFrame, percent: int) -> Dat
 def _joining_links(members: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
     """Links that join the components of members (node, root, text), no more than needed."""
     sets = [(node, root, shingles(text)) for node, root, text in members]
-    # An id may stand for several texts: only the node's own counts.
-    sets = [s for s in sets if xxhash.xxh3_128_digest(s[2].tobytes()) == s[0]]
     if len(sets) < 2:
         return []
     sizes = np.array([len(s[2]) for s in sets])
@@ -378,12 +380,12 @@ def _common(sets: list[tuple], sizes: np.ndarray) -> np.ndarray:
     owner, column = owner[used], place[number[used]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    common = np.zeros((len(sets), len(sets)), dtype=np.int64)
     for first in range(0, int(shared.sum()), 4096):
         a, b = np.searchsorted(column, [first, first + 4096])
         has = np.zeros((len(sets), 4096), dtype=np.float32)
         has[owner[a:b], column[a:b] - first] = 1
-        common += has @ has.T
+        common += (has @ has.T).astype(np.int64)
     return common
 
 
@@ -403,9 +405,6 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             linked = []
             for a, part, b, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 own = shingles(text)
-                # An id may stand for several texts: only the node's own counts.
-                if xxhash.xxh3_128_digest(own.tobytes()) != (b or a):
-                    continue
                 if b is None:
                     at, hub = (a, part), own
                 elif (a, part) == at:

@@ -5,7 +5,12 @@ Every piece of a text is compressed with each; the difference of the two sizes
 over their sum says which kind of text it resembles. A logistic curve, fitted
 on labelled texts that built no dictionary, turns this difference into a
 probability, together with the size a byte without a dictionary, which is small
-for texts that repeat themselves, and the length, as short texts say less.
+for texts that repeat themselves, and the shortness. All three are bounded.
+
+A few bytes say little, and a compressor's own bytes outweigh them. So the
+shorter a text, the closer its score to the share of good labelled documents:
+what speaks against it counts in proportion to its length, what speaks for it
+only beyond the length of a line.
 """
 
 from __future__ import annotations
@@ -29,6 +34,10 @@ DICTIONARY_BYTES = 112_640
 PIECE = 512
 LEVEL = 3
 THRESHOLD = 0.7
+# Bytes at which a text's own evidence counts half; below them nothing lifts its
+# score above the share of good documents, and from the second length on all does.
+LINE = 64
+SURE = 256
 HELD_OUT = 2
 
 
@@ -56,7 +65,8 @@ class Model:
             return np.where(empty, 0.0, self.prior)
         x = (self._sizes(encoded) - self.middle) / self.spread
         raised = np.clip(np.column_stack([x, np.ones(len(x))]) @ self.weights, -40, 40)
-        return np.where(empty, 0.0, 1 / (1 + np.exp(-raised)))
+        lengths = np.array([len(t) for t in encoded])
+        return np.where(empty, 0.0, settled(1 / (1 + np.exp(-raised)), lengths, self.prior))
 
     def _sizes(self, texts: list[bytes]) -> np.ndarray:
         if not hasattr(self, "_compressors"):
@@ -83,6 +93,13 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     )
 
 
+def settled(found: np.ndarray, lengths: np.ndarray, prior: float) -> np.ndarray:
+    """Scores drawn to the prior as far as the texts are short."""
+    down = lengths / (lengths + LINE)
+    up = np.clip((lengths - LINE) / (SURE - LINE), 0, 1)
+    return prior + (found - prior) * np.where(found < prior, down, up)
+
+
 def features(texts: list[bytes], good, bad) -> np.ndarray:
     """Normalised difference of the two sizes, plain size a byte, and the shortness."""
     plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
@@ -92,7 +109,7 @@ def features(texts: list[bytes], good, bad) -> np.ndarray:
             continue
         pieces = [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
         a, b, c = (sum(len(by.compress(p)) for p in pieces) for by in (good, bad, plain))
-        out[k] = (a - b) / (a + b), c / len(text), len(text) ** -0.5
+        out[k] = (a - b) / (a + b), min(1.0, c / len(text)), max(len(text), LINE) ** -0.5
     return out
 
 
@@ -187,6 +204,9 @@ def classify(
     NULL and empty texts have the score 0; a NULL id is not held out; repeated
     rows are rows like others; an empty table gives no rows. Without labels of
     both kinds all texts have the score of the labels' mean, 0.5 without any.
+    A text of less than a line never scores above that mean; a very long one is
+    compressed piece by piece. Other columns of the input are not looked at,
+    whatever their names.
     """
     doc_id = F.col(f"`{id_col}`")
     return docs.select(

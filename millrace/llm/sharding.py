@@ -184,9 +184,8 @@ def _with_slots(placed: DataFrame, shards: int) -> DataFrame:
     counts = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     sizes = _longs([max(1, counts.get(shard, 0) // SLOT_ROWS) for shard in range(shards)])
     parts = F.element_at(sizes, F.col("shard") + 1)
-    # Rows without an id are dealt by their place, so that many do not meet in one part.
-    own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), "row_no"))
-    dealt = placed.withColumn("part", F.pmod(hash63(F.col("key"), own), parts))
+    # Dealt by their place, so that rows that repeat id and text do not meet in one part.
+    dealt = placed.withColumn("part", F.pmod(hash63("row_no"), parts))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         dealt.groupBy("shard", "part")

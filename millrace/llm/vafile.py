@@ -17,6 +17,8 @@ from millrace.session import Workspace
 
 SCALE = 1024
 CELLS = 256
+# Components up to here leave sums of products in the range of doubles.
+LARGEST = 1e140
 # Exact vectors read at a time.
 READ = 64
 
@@ -38,10 +40,14 @@ def exact_top_k(
     that repeat an id count once; vectors meet only those of their own length.
     Ties go to the smaller id; fewer candidates than ``k`` give all of them. A
     score beyond a long is given as the nearest long. An empty table gives no
-    rows. Other columns are not looked at, whatever their names.
+    rows. Other columns are not looked at, whatever their names. Finite
+    components of any size are scored exactly; a block in which products leave
+    the range of doubles has no bounds and is read whole.
     """
 
     def search(query_ids, queries, ids, vectors):
+        if max(np.abs(queries).max(initial=0), np.abs(vectors).max(initial=0)) > LARGEST:
+            return read_all(query_ids, queries, ids, vectors, k)
         return top_k(query_ids, np.floor(queries * SCALE), ids, np.floor(vectors * SCALE), k)
 
     vectors = usable_vectors(table, id_col, vector_col, zero=True)
@@ -100,6 +106,24 @@ def top_k(query_ids, queries, ids, vectors, k):
     return np.array(at_query, dtype=np.int64), np.array(at_row, dtype=np.int64), scores
 
 
+def read_all(query_ids, queries, ids, vectors, k):
+    """The same as ``top_k`` by whole numbers alone, for components of any size."""
+    held, asked = _exactly(vectors), _exactly(queries)
+    at_query, at_row, scores = [], [], []
+    for q in range(len(asked)):
+        found = np.array([sum(a * b for a, b in zip(asked[q], row, strict=True)) for row in held], dtype=object)
+        best = best_of(found, ids, query_ids[q], k)
+        at_query += [q] * len(best)
+        at_row += best.tolist()
+        scores += [int(min(max(s, -(2**63)), 2**63 - 1)) for s in found[best]]
+    return np.array(at_query, dtype=np.int64), np.array(at_row, dtype=np.int64), scores
+
+
+def _exactly(matrix: np.ndarray) -> list[list[int]]:
+    """``floor(SCALE * x)`` of doubles as whole numbers of any size."""
+    return [[(n * SCALE) // d for n, d in (float(x).as_integer_ratio() for x in row)] for row in matrix]
+
+
 def _integers(matrix: np.ndarray, kind: type) -> np.ndarray:
     if kind is np.int64:
         return matrix.astype(np.int64)

@@ -77,6 +77,28 @@ def test_near_duplicates(spark, work, percent, monkeypatch):
     assert got == linked_components(rows, percent)
 
 
+def test_a_node_has_one_text_however_many_rows(spark, work):
+    """3,000 copies of one row, id and all, and 20 near copies."""
+    rng = random.Random(1)
+    base = [rng.choice(WORDS) for _ in range(120)]
+    near = [" ".join([*base[:k * 5], "changed", *base[k * 5 + 1 :]]) for k in range(20)]
+    rows = [(7, " ".join(base), "a")] * 3000 + [(100 + k, t, "a") for k, t in enumerate(near)]
+    stored = common.keep(minhash.sketches(made(spark, rows)), work, "stored")
+    nodes = stored.groupBy("node").agg(F.min("row_no").alias("row_no"), F.first(F.struct("bands", "signature", "n_shingles")).alias("kept"))
+    buckets, _ = minhash._buckets(nodes, work)
+    assert minhash._texts(stored, nodes, buckets).count() == 21
+    found = minhash.near_duplicates(made(spark, rows), work.__class__(spark, "whole")).collect()
+    assert len(found) == 3020 and {r["component_id"] for r in found} == {7}
+
+
+def test_slots_of_repeated_rows_are_given_in_parts(spark, work, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 500)
+    placed = spark.range(6000).selectExpr("0 as shard", "1L as key", "5L as doc_id", "id as row_no")
+    found = sharding._with_slots(placed, 1).collect()
+    assert sorted(r["slot"] for r in found) == list(range(6000))
+    assert max(Counter(r["part"] for r in found).values()) < 700
+
+
 def test_near_duplicates_without_ids_and_with_repeated_rows(spark, work):
     text = "a b c d e f g"
     rows = [(None, text, "s"), (5, text, "s"), (5, text, "s"), (3, text, "s"), (9, "z y x", "s"), (9, "other words", "s")]

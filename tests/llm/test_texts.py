@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from millrace.llm import extraction, langid, quality
 from millrace.llm.queries import QUERIES
 from pyspark.sql import functions as F
@@ -114,6 +115,43 @@ def test_quality_learns_nothing_from_held_out_labels(spark):
     assert scores[0] == scores[1]
 
 
+@pytest.fixture(scope="module")
+def quality_model():
+    rng = random.Random(9)
+    words = [rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice("nrst") + rng.choice(["", "ing", "ed"]) for _ in range(400)]
+    good = [" ".join(rng.choice(words) for _ in range(n)) + "." for n in [2, 5] + [rng.randrange(20, 300) for _ in range(200)]]
+    bad = [" ".join(rng.choice(words) + "!!!$$" for _ in range(rng.randrange(20, 300))) for _ in range(40)]
+    return quality.fit([g.encode() for g in good], [b.encode() for b in bad], 0.8), good, bad
+
+
+def test_quality_of_a_few_bytes_is_the_share_of_good_at_most(quality_model):
+    model, _, bad = quality_model
+    short = [b[:n] for b in bad for n in (1, 2, 5, 10, 20, 40)] + ["a", "!!!", "buy now", " ", "\n", "é", "日本", "0" * 40]
+    scores = model.score(short)
+    assert scores.max() <= 0.8 + 1e-12 and scores.min() > 0
+    # What speaks against a text counts more, the more of it there is.
+    means = [np.mean(model.score([b[:n] for b in bad])) for n in (1, 10, 40, 100, 400)]
+    assert means == sorted(means, reverse=True) and means[-1] < 0.2
+
+
+def test_quality_score_by_its_definition(quality_model):
+    model, good, bad = quality_model
+    for text in [*good[:20], *bad[:20], "a", "x" * 64, "y" * 100, "long " * 30_000]:
+        raw = text.encode()
+        pieces = [raw[k : k + 512] for k in range(0, len(raw), 512)]
+        sizes = []
+        for content in (model.good, model.bad, None):
+            options = {"dict_data": zstandard.ZstdCompressionDict(content), "write_dict_id": False} if content else {}
+            by = zstandard.ZstdCompressor(level=3, write_content_size=False, **options)
+            sizes.append(sum(len(by.compress(p)) for p in pieces))
+        a, b, c = sizes
+        x = [(a - b) / (a + b), min(1, c / len(raw)), max(len(raw), 64) ** -0.5]
+        raised = sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.middle, model.spread)) + model.weights[-1]
+        found = 1 / (1 + math.exp(-max(-40, min(40, raised))))
+        part = len(raw) / (len(raw) + 64) if found < 0.8 else max(0, min(1, (len(raw) - 64) / 192))
+        assert model.score([text])[0] == pytest.approx(0.8 + (found - 0.8) * part, abs=1e-9)
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, 1)], [(1, 1), (2, 1)], [(None, 1), (1, None), (2, 7)]])
 def test_quality_of_odd_rows_with_few_labels(spark, labelled):
     docs = spark.createDataFrame(

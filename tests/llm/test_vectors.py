@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -100,6 +101,45 @@ def test_few_verified_still_find_most():
     assert hits >= 0.9 * 20 * len(queries)
 
 
+@pytest.mark.parametrize("spread", ["clusters", "none"])
+def test_a_small_share_of_many_vectors_is_verified(spread):
+    """Recall and share over 24,576 vectors, in blocks as the search has them."""
+    rng = np.random.default_rng(11)
+    vectors = rng.standard_normal((3 * blocks.DATA_ROWS, 64))
+    if spread == "clusters":
+        vectors += rng.standard_normal((200, 64))[rng.integers(0, 200, len(vectors))]
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    ids, queries, read = np.arange(len(vectors)), np.arange(0, len(vectors), 1500), []
+    found = {q: [] for q in range(len(queries))}
+    for first in range(0, len(vectors), blocks.DATA_ROWS):
+        part = slice(first, first + blocks.DATA_ROWS)
+        at_query, at_row, scores = collision.collide(ids[queries], vectors[queries], ids[part], vectors[part], 20, read=read)
+        for q, row, score in zip(at_query, at_row, scores, strict=True):
+            found[q].append((-score, first + row))
+    hits = 0
+    for k, q in enumerate(queries):
+        exact = vectors @ vectors[q]
+        exact[q] = -np.inf
+        hits += len(set(np.argsort(-exact)[:20]) & {row for _, row in sorted(found[k])[:20]})
+    # Without any structure the nearest are hardly nearer than the rest.
+    assert hits >= (0.9 if spread == "clusters" else 0.8) * 20 * len(queries)
+    assert sum(read) < 0.2 * len(queries) * len(vectors)
+
+
+def test_exact_top_k_of_the_largest_doubles(spark, work):
+    rows = [(0, [1.7e308, 1.0]), (1, [1.7e308, -2.5]), (2, [-1.7e308, 0.0]), (3, [0.25, 1e300]), (4, [1e-3, 2.0])]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, score int")
+    found = vafile.exact_top_k(docs, work, every=1, k=10).collect()
+    whole = lambda v: [math.floor(1024 * Fraction(x)) for x in v]
+    clip = lambda n: max(-(2**63), min(2**63 - 1, n))
+    score = lambda a, b: sum(x * y for x, y in zip(whole(a), whole(b), strict=True))
+    want = {}
+    for q, v in rows:
+        ranked = sorted((-clip(score(v, w)), i) for i, w in rows if i != q)
+        want |= {(q, n): (i, -s) for n, (s, i) in enumerate(ranked, 1)}
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found} == want
+
+
 def test_no_vectors(spark, work):
     assert vafile.exact_top_k(made(spark, []), work).collect() == []
     assert collision.nearest(made(spark, []), work.__class__(spark, "none")).collect() == []
