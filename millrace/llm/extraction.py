@@ -202,27 +202,22 @@ def main_text(page: str | None) -> str:
 
 
 def _chosen(body: Node) -> set[int]:
-    """The article if it holds the most text, else what is dense outside of all articles."""
-    outer = _outermost(body, "article")
-    if outer:
-        # Of several that with the largest sum in it; an article inside it is a part of it.
-        article = max(outer, key=lambda n: (max(m.total for m in _walk(n)), n.chars))
-        own, other = _plain(article), _plain(body) - sum(map(_plain, outer))
-        if own < other:
-            for node in outer:
-                node.noise = "article"
-            _measure(body)
-            if own < sum(_plain(n) for n in _dense(body)):
-                outer = []
-        if outer:
-            for node in outer:
-                node.noise = ""
-            return {id(article)}
+    """What is dense; an element the page marks as the article bounds it if it holds most of that."""
     dense = _dense(body)
-    for main in _outermost(body, "main"):
-        below = {id(n) for n in _walk(main)}
-        if 2 * sum(_plain(n) for n in dense if id(n) in below) > sum(map(_plain, dense)):
-            return {id(main)}
+    articles = _outermost(body, "article")
+    whole = sum(map(_plain, dense))
+    for marked in [*articles, *_outermost(body, "main")]:
+        inside = {id(n) for n in _walk(marked)}
+        if 2 * sum(_plain(n) for n in dense if id(n) in inside) > whole:
+            dense = [marked]
+            break
+    if any(n.tag == "article" for n in dense) and len(dense) == 1:
+        return {id(dense[0])}
+    # Beside or within a text that is no marked article, articles are other texts.
+    held = {id(n) for node in dense for n in _walk(node)}
+    for article in articles:
+        if id(article) in held and 2 * _plain(article) < sum(map(_plain, dense)):
+            article.noise = "article"
     return {id(n) for n in dense}
 
 
@@ -339,8 +334,11 @@ def _measure(body: Node) -> None:
     share = body.link_chars / max(1, body.chars)
     for node in reversed(order):
         node.density = _density(node, share)
-        # Text formatting is no part of the page's structure.
-        node.total = sum(c.density for c in node.children() if c.tag not in INLINE)
+        # Text formatting is no part of the page's structure. Articles side by
+        # side are several texts, of which one counts.
+        densities = [c.density for c in node.children() if c.tag not in INLINE and c.tag != "article"]
+        articles = [c.density for c in node.children() if c.tag == "article"]
+        node.total = sum(densities) + max(articles, default=0.0)
 
 
 def _density(node: Node, link_share: float) -> float:
@@ -366,12 +364,22 @@ def _dense(body: Node) -> list[Node]:
         node = node.parent
         path.append(node)
     threshold = min(n.density for n in path)
+    # Composite densities grow with a text's length; short blocks in one box with
+    # the best are compared by characters per tag.
+    alike = _per_tag(best)
     chosen = [best]
     for above, on_path in zip(path[1:], path, strict=False):
-        for child in above.children():
-            if child is not on_path and child.chars and child.density >= threshold:
-                if child.link_chars * 2 <= child.chars:
-                    chosen.append(child)
+        taken = None
+        # From the last to the first: a heading belongs to what it stands before.
+        for child in reversed([c for c in above.children() if c.chars]):
+            if child is on_path:
+                taken = child
+                continue
+            heads = child.tag in HEADINGS and taken is not None
+            dense = child.density >= threshold or above is not body and 2 * _per_tag(child) >= alike
+            taken = child if (dense or heads) and child.link_chars * 2 <= child.chars else None
+            if taken is not None:
+                chosen.append(child)
     return chosen
 
 

@@ -28,15 +28,20 @@ from millrace.llm.common import hash63, slices
 from millrace.llm.tokens import worker_encoder
 
 SEQUENCE = 1024
-# A document's tail is cut at the sequence's half and quarter: pieces of up to
-# a quarter find room where larger ones, all of one size perhaps, would not.
+# Where a group's sequences would stay emptier than this share, tails are cut at
+# the sequence's half and quarter: pieces of up to a quarter find room where
+# larger ones, all of one size perhaps, do not.
+MOST_PADDING = 0.01
 HALVINGS = 2
 GROUP_DOCS = 2048
 BINS_BITS = 32
 # Keys a task remembers to tell repeated rows by.
 KEPT_KEYS = 200_000
 
-PIECES = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+PIECES = (
+    "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, "
+    "parts array<struct<length:long,ids_crc32:long>>"
+)
 
 
 def cut_documents(
@@ -52,13 +57,14 @@ def cut_documents(
     """Pieces of at most ``sequence`` ids of every whole document.
 
     A document's ids are those of its text (NULL: empty) and ``end_id``. Pieces
-    are full, then half and a quarter of a sequence as far as the ids go, and
-    the rest. Gives ``key`` (a hash of id and text, which deals documents into
+    are full, but for the last; ``parts`` says how that one may be cut further:
+    half and a quarter of a sequence as far as the ids go, and the rest. Gives ``key`` (a hash of id and text, which deals documents into
     groups; rows without an id are dealt by their place, and rows that repeat id
     and text by their task and number there, so that many do not meet in one
     group), ``doc_id, start, length, ids_crc32, doc_tokens`` and ``ids``,
     little-endian unsigned 32-bit, NULL unless ``with_ids``. Repeated rows give
-    pieces each; an empty table gives none.
+    pieces each; an empty table gives none. Other columns of the input are not
+    looked at, whatever their names.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -76,15 +82,20 @@ def cut_documents(
                 repeat = seen[key] = seen.get(key, -1) + 1
                 if repeat:
                     key = xxhash.xxh3_64_intdigest(struct.pack("<qqq", key, task, repeat)) >> 1
-                for start, length in cuts(len(ids) // 4, sequence):
+                for start, length in cuts(len(ids) // 4, sequence, 0):
                     piece = ids[4 * start : 4 * (start + length)]
                     kept = piece if with_ids else None
-                    rows.append((key, doc_id, start, length, zlib.crc32(piece), len(ids) // 4, kept))
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
+                    parts = [
+                        {"length": n, "ids_crc32": zlib.crc32(piece[4 * at : 4 * (at + n)])}
+                        for at, n in (cuts(length, sequence) if length < sequence else [])
+                    ]
+                    rows.append((key, doc_id, start, length, zlib.crc32(piece), len(ids) // 4, kept, parts))
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     names = [part.split()[0] for part in PIECES.split(", ")]
-    kinds = [*[pa.int64()] * 6, pa.binary()]
+    part_type = pa.struct([("length", pa.int64()), ("ids_crc32", pa.int64())])
+    kinds = [*[pa.int64()] * 6, pa.binary(), pa.list_(part_type)]
     chosen = docs.select(
         hash63(
             F.coalesce(F.col(f"`{id_col}`").cast("long"), F.monotonically_increasing_id()), F.col(f"`{text_col}`")
@@ -121,11 +132,14 @@ def pack(
     room. Pieces with one key go into one group, and ``seed`` chooses the
     groups. Equal lengths are taken by ``order_cols``, so reruns agree. Columns
     of the input are kept; they must not be named like the two new ones.
+
+    Documents stay whole where a group's sequences are full so. Where they are
+    not, pieces with ``parts`` are cut into these, as ``cut_documents`` gives
+    them; the column itself does not stay.
     """
-    schema = pieces.schema
     number = F.pmod(hash63(F.lit(seed), F.col(f"`{key_col}`")), F.lit(groups))
     into = _packer(length_col, list(order_cols), capacity)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name != "parts")
     dealt = pieces.withColumn("sequence_id", number)
     return dealt.groupBy("sequence_id").applyInArrow(into, f"{fields}, sequence_id long, offset long")
 
@@ -139,8 +153,19 @@ def _packer(length_col: str, order_cols: list[str], capacity: int) -> Callable[[
     order = [(length_col, "descending"), *[(c, "ascending") for c in order_cols]]
 
     def into(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pc.sort_indices(rows, sort_keys=order))
-        bins, offsets = first_fit(rows[length_col].to_pylist(), capacity)
+        cuttable = "parts" in rows.column_names
+        whole = rows.drop_columns(["parts"]) if cuttable else rows
+        whole = whole.take(pc.sort_indices(whole, sort_keys=order))
+        bins, offsets = first_fit(whole[length_col].to_pylist(), capacity)
+        if cuttable:
+            used = (max(bins) + 1) * capacity
+            if used - pc.sum(whole[length_col]).as_py() > MOST_PADDING * used:
+                pieces = _cut_further(rows)
+                pieces = pieces.take(pc.sort_indices(pieces, sort_keys=order))
+                finer = first_fit(pieces[length_col].to_pylist(), capacity)
+                if max(finer[0]) < max(bins):
+                    whole, (bins, offsets) = pieces, finer
+        rows = whole
         group = rows["sequence_id"][0].as_py() << BINS_BITS
         rows = rows.drop_columns(["sequence_id"])
         numbers = pa.array(np.array(bins, dtype=np.int64) + group)
@@ -149,6 +174,18 @@ def _packer(length_col: str, order_cols: list[str], capacity: int) -> Callable[[
     return into
 
 
+def _cut_further(rows: pa.Table) -> pa.Table:
+    """Pieces with ``parts`` as these."""
+    found = []
+    for row in rows.to_pylist():
+        parts, at = row.pop("parts"), 0
+        for part in parts or [row]:
+            ids = row["ids"] and row["ids"][4 * at : 4 * (at + part["length"])]
+            found.append(row | {"start": row["start"] + at, "length": part["length"], "ids_crc32": part["ids_crc32"], "ids": ids})
+            at += part["length"]
+    return pa.Table.from_pylist(found, rows.drop_columns(["parts"]).schema)
+
+
 def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
     """For each length in turn, the first bin with room for it and its place there."""
     leaves = 1 << max(0, len(lengths) - 1).bit_length()

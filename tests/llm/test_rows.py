@@ -281,6 +281,26 @@ def test_packing(spark):
     assert Counter(map(tuple, again.select(key).collect())) == Counter(map(tuple, packed.select(key).collect()))
 
 
+@pytest.mark.parametrize("with_ids", [True, False])
+def test_documents_are_cut_only_where_it_saves_sequences(spark, with_ids):
+    rng = random.Random(3)
+    mixed = [(k, "a b " * rng.randrange(2, 250), "s") for k in range(400)]
+    pieces = packing.cut_documents(made(spark, mixed), definition("byte_bpe_50k.json"), with_ids=with_ids)
+    found = packing.pack(pieces).collect()
+    assert len(found) == 400 and "parts" not in found[0].asDict()
+    # 601 ids each: whole, two of them never share a sequence.
+    alike = [(k, "a b " * 300, "s") for k in range(100)]
+    pieces = packing.cut_documents(made(spark, alike), definition("byte_bpe_50k.json"), with_ids=with_ids)
+    found = packing.pack(pieces).collect()
+    total = sum(r["length"] for r in found)
+    assert total == 100 * found[0]["doc_tokens"]
+    assert len({r["sequence_id"] for r in found}) <= -(-total // 1024) + 1
+    for r in found:
+        assert r["length"] in (512, 256, 601, 89, 345, found[0]["doc_tokens"] - 512, found[0]["doc_tokens"])
+        if with_ids:
+            assert r["ids_crc32"] == zlib.crc32(r["ids"]) and len(r["ids"]) == 4 * r["length"]
+
+
 def test_repeated_rows_do_not_meet_in_one_group(spark):
     rows = [(7, "the same text", "en", "s", 13)] * 1000 + [(k, f"text {k}", "en", "s", 9) for k in range(100, 2100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)

@@ -57,6 +57,22 @@ def test_a_story_beside_articles(name):
     assert f"{STORY} {STORY}" in got and got.removeprefix("Head ") == f"{STORY} {STORY}"
 
 
+@pytest.mark.parametrize("name", [*CASES, *MARKED])
+def test_densities_choose_on_every_page(name, monkeypatch):
+    ran, real = [], extraction._dense
+    monkeypatch.setattr(extraction, "_dense", lambda body: ran.append(1) or real(body))
+    extraction.main_text(PAGE.format((CASES | {k: (v, "") for k, v in MARKED.items()})[name][0]))
+    assert ran == [1]
+
+
+@pytest.mark.parametrize("tag", ["article", "div", "td", "section"])
+def test_headlines_stay_where_paragraphs_are_divs(tag):
+    paragraphs = BODY.replace("<p>", "<div>").replace("</p>", "</div>")
+    page = f"<nav><a href=x>menu</a></nav><{tag}><h1>Head</h1><div>{paragraphs * 4}</div><h2>Sub</h2>{paragraphs}</{tag}><div class=ad>buy</div>"
+    want = "Head " + " ".join([STORY] * 4) + f" Sub {STORY}"
+    assert extraction.main_text(PAGE.format(page)) == want
+
+
 WORK = "<p>Others have looked into this before, at some length.</p><p>None of them went as far as we do here, it seems.</p>"
 NAMED = {
     "slugs": (f'<article><h1>Head</h1>{BODY}<section id="related-work"><h2 id="search-results">Work</h2>{WORK}</section>'
