@@ -48,7 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     dropped = found.where("NOT kept").select("doc_id", "text_key").distinct()
     keyed = docs.where("doc_id IS NOT NULL").withColumn("text_key", minhash.text_key(F.col("text")))
     rest = keyed.join(dropped, ["doc_id", "text_key"], "left_anti")
-    once = rest.dropDuplicates(["doc_id", "text"])
+    once = rest.dropDuplicates(["doc_id", "text_key"])
     return once.select(COLUMNS).unionAll(docs.where("doc_id IS NULL").select(COLUMNS))
 
 
