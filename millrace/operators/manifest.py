@@ -48,13 +48,14 @@ def changes(spark: SparkSession, folder: str, noted: str) -> Changes:
     The lists are compared in Spark; names of late files come to the driver,
     which are those written between two steps of a job.
     """
-    now = list_files(spark, folder).withColumnRenamed("name", "now")
-    then = spark.read.schema(FILES).parquet(noted).toDF("name", "old_length", "old_modified")
-    both = now.join(then, F.col("now") == F.col("name"), "full")
-    same = F.col("name").isNotNull() & F.col("now").isNotNull()
-    same &= (F.col("length") == F.col("old_length")) & (F.col("modified") == F.col("old_modified"))
-    row = both.agg(
-        F.array_sort(F.collect_list(F.when(F.col("name").isNull(), F.col("now")))).alias("late"),
-        F.count_if(F.col("name").isNotNull() & ~F.coalesce(same, F.lit(False))).alias("gone"),
+    now = list_files(spark, folder).withColumn("held", F.lit(True))
+    then = spark.read.schema(FILES).parquet(noted).withColumn("held", F.lit(False))
+    same = (F.min("length") == F.max("length")) & (F.min("modified") == F.max("modified"))
+    files = now.unionAll(then).groupBy("name").agg(
+        F.bool_or("held").alias("is_there"), F.bool_and("held").alias("is_late"), same.alias("same")
+    )
+    row = files.agg(
+        F.array_sort(F.collect_list(F.when(F.col("is_late"), F.col("name")))).alias("late"),
+        F.count_if(~F.col("is_there") | ~F.col("is_late") & ~F.col("same")).alias("gone"),
     ).first()
     return Changes(tuple(row["late"]), row["gone"])
