@@ -56,7 +56,7 @@ def chain_endpoints(
     pointers = onward.select(F.lit(True).alias("onward"), "n", "p").unionAll(
         back.select(F.lit(False).alias("onward"), "n", "p")
     )
-    found = _follow(keep(pointers, work, "pointers"), work)
+    found = follow(keep(pointers, work, "pointers"), work)
 
     last = found.where("onward").alias("last")
     first = found.where("NOT onward").alias("first")
@@ -107,9 +107,12 @@ def chain_lookup(
     return add(with_source, destination, "_terminal", NO_DESTINATION, "final_destination")
 
 
-def _follow(pointers: DataFrame, work: Workspace) -> DataFrame:
-    """(onward, n, p): the end of each pointer chain, NULL where it meets a cycle."""
-    spark, folder = work.spark, work.path("rounds")
+def follow(pointers: DataFrame, work: Workspace, name: str = "rounds") -> DataFrame:
+    """(onward, n, p): the end of each pointer chain, NULL where it meets a cycle.
+
+    ``name`` is the folder of the rounds in ``work``, one for each call.
+    """
+    spark, folder = work.spark, work.path(name)
     plain = pointers.schema
     added = [T.StructField("round", T.IntegerType()), T.StructField("arrived", T.BooleanType())]
     stored = T.StructType([*plain.fields, *added])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import chains
+from millrace.operators import chain_state, chains
 from millrace.session import Workspace
 from millrace.workloads.data import load, query
 
@@ -87,3 +87,29 @@ def chain_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id as request_id", "event_id * 2 as source", "event_id + user_id as destination"
     )
     return chains.chain_lookup(requests, endpoints)
+
+
+# Some edges go and some of the errors lead on after all.
+CHANGED_EDGES = """
+edges AS (SELECT event_id AS src, event_id + 1 AS dst FROM events
+          WHERE CASE WHEN event_type = 'error' THEN event_id % 31 = 0 ELSE event_id % 499 <> 0 END)
+"""
+
+
+@query(f"WITH RECURSIVE {CHANGED_EDGES}, {ENDPOINTS} SELECT * FROM endpoints")
+def chain_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of all chains, brought up to date with a batch of edges that come and go."""
+    work = Workspace(spark, "chain_update")
+    edges = event_edges(spark, sf_dir)
+    state = chains.keep(chain_state.build(edges, work), work, "state")
+    events = load(spark, sf_dir, "events")
+    added = events.where("event_type = 'error' AND event_id % 31 = 0")
+    changed = chain_state.changes(
+        state,
+        edges,
+        work,
+        added=added.selectExpr("event_id AS src", "event_id + 1 AS dst"),
+        removed=edges.where("src % 499 = 0"),
+    )
+    changed = chains.keep(changed, work, "changed")
+    return chain_state.apply(state, changed).select("node", "origin", "terminal")
