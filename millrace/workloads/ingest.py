@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.codec import base64_token
 from millrace.plans.load import create_rejects_table, load_listed_files
 from millrace.session import Workspace
-from millrace.sources import csv
+from millrace.sources import csv, infer
 from millrace.sources.schema import schema_of
 from millrace.workloads.data import load, query
 
@@ -70,6 +70,58 @@ def schema_from_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
+@query("""
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS code,
+       CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS VARCHAR) AS price, o_orderdate::DATE AS day,
+       o_orderkey % 10 || 'e' || o_custkey % 7 AS lookalike, o_orderkey % 2 = 0 AS even,
+       'int,string,decimal,date,string,boolean' AS kinds
+FROM orders
+""")
+def csv_lossless_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types are found, but codes with leading zeros and tokens like ``1e5`` stay as they are."""
+    work = Workspace(spark, "csv_lossless")
+    rows = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "lpad(cast(o_orderkey as string), 12, '0') as code",
+        "cast(o_totalprice as decimal(15, 2)) as price",
+        "cast(o_orderdate as date) as day",
+        "concat(o_orderkey % 10, 'e', o_custkey % 7) as lookalike",
+        "o_orderkey % 2 = 0 as even",
+    )
+    write_csv(rows, work.path("orders"))
+    found = infer.read_lossless(spark, work.path("orders"))
+    kinds = ",".join(kind.partition("(")[0] for _, kind in found.dtypes)
+    return found.withColumn("price", F.col("price").cast("string")).withColumn("kinds", F.lit(kinds))
+
+
+@query("""
+WITH rows AS (
+  SELECT c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS c_custkey,
+         CASE WHEN c_mktsegment = 'MACHINERY' THEN '0' ELSE '' END || c_custkey AS code,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_nationkey % 2 = 0 END AS even
+  FROM customer)
+SELECT segment, 'c_custkey' AS "column", count(*) AS filled, 'int' AS type FROM rows GROUP BY segment
+UNION ALL SELECT segment, 'code', count(*), CASE WHEN segment = 'MACHINERY' THEN 'string' ELSE 'int' END
+FROM rows GROUP BY segment
+UNION ALL SELECT segment, 'even', count(even), CASE WHEN segment = 'BUILDING' THEN 'string' ELSE 'boolean' END
+FROM rows GROUP BY segment
+""")
+def csv_types_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each file says of its columns: one has padded codes, one an empty column."""
+    work = Workspace(spark, "csv_types")
+    rows = load(spark, sf_dir, "customer").selectExpr(
+        "c_mktsegment",
+        "c_custkey",
+        "concat(if(c_mktsegment = 'MACHINERY', '0', ''), c_custkey) as code",
+        "if(c_mktsegment = 'BUILDING', null, c_nationkey % 2 = 0) as even",
+    )
+    base = work.path("csv")
+    rows.repartition("c_mktsegment").write.partitionBy("c_mktsegment").csv(base, header=True)
+    found = infer.types_by_file(spark, [f"{base}/*"])
+    segment = F.url_decode(F.regexp_extract("file_path", "c_mktsegment=([^/]*)/", 1))
+    return found.select(segment.alias("segment"), "column", "filled", "type")
+
+
 NAMES_FROM_PAGES = """
   'page_' || page_id || CASE WHEN url LIKE '%.html' THEN '.xml' WHEN url LIKE '%#top' THEN '_xls'
                              WHEN url LIKE '%ref=x' THEN '.XLS' ELSE '.csv' END"""

@@ -1,0 +1,123 @@
+import random
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from millrace.sources import infer
+
+
+def types_of(spark, values, name="v"):
+    rows = spark.createDataFrame([(v,) for v in values], f"`{name}` string")
+    (found,) = infer.typed(infer.facts(rows)).collect()
+    return found["type"]
+
+
+@pytest.mark.parametrize(
+    "values, kind",
+    [
+        (["1", "-7", None, "0"], "int"),
+        (["1", "2147483648"], "bigint"),
+        (["1", "9223372036854775808"], "decimal(19,0)"),
+        (["1" * 39], "string"),
+        (["0012"], "string"),
+        (["1", "0012"], "string"),
+        (["+5"], "string"),
+        (["-0"], "string"),
+        (["-0.00"], "string"),
+        (["1.50", "-12.25"], "decimal(4,2)"),
+        (["1.5", "2.25"], "double"),
+        (["1.50", "2.5"], "string"),
+        (["1", "2.5"], "string"),
+        (["1e3"], "string"),
+        (["1.0E10", "2.5"], "double"),
+        (["1d", "2f"], "string"),
+        (["NaN"], "string"),
+        ([" 1"], "string"),
+        ([""], "string"),
+        ([None, None], "string"),
+        ([], "string"),
+        (["2024-02-29", None], "date"),
+        (["2024-02-30"], "string"),
+        (["2024-2-3"], "string"),
+        (["2024-03-31 02:30:00"], "timestamp_ntz"),
+        (["2024-03-31T02:30:00"], "string"),
+        (["2024-03-31", "2024-03-31 02:30:00"], "string"),
+        (["true", "false"], "boolean"),
+        (["true", "True"], "string"),
+        (["true", "1"], "string"),
+        (["١٢"], "string"),
+        (["1\n"], "string"),
+    ],
+)
+def test_types(spark, values, kind):
+    assert types_of(spark, values) == kind
+
+
+def test_random_values_keep_their_spelling(spark, tmp_path):
+    pick = random.Random(3)
+    pools = [
+        ["1", "22", "-3", "2147483647"],
+        ["1", "99999999999"],
+        ["0.10", "5.25", "-1.00"],
+        ["1.5", "2.25", "1.0E-5"],
+        ["007", "12"],
+        ["2024-01-01", "1999-12-31"],
+        ["2024-01-01 00:00:00", "2024-01-01 00:00:00.5"],
+        ["true", "false"],
+        ["MTIz", "1e5", "0x1F", "1L", "Infinity"],
+        ["", "1"],
+    ]
+    rows = [tuple(pick.choice(p) for p in pools) for _ in range(200)]
+    names = [f"c.{k}`" for k in range(len(pools))]
+    path = str(tmp_path / "files")
+    spark.createDataFrame(rows, names).repartition(3).write.csv(path, header=True, emptyValue="")
+    got = infer.read_lossless(spark, path)
+    assert [t for _, t in got.dtypes[:8]] == [
+        "int", "bigint", "decimal(3,2)", "double", "string", "date", "timestamp_ntz", "boolean",
+    ]
+    texts = got.toDF(*[f"x{k}" for k in range(len(pools))])
+    back = texts.select([F.col(c).cast("string") for c in texts.columns]).collect()
+    assert sorted(tuple(v or "" for v in r) for r in back) == sorted(rows)
+
+
+def test_facts_of_files_merge_to_facts_of_all(spark, tmp_path):
+    files = {"a": ["1", "2"], "b": ["3.25"], "c": ["0012", None], "d": [None]}
+    for name, values in files.items():
+        (tmp_path / f"{name}.csv").write_text("v,w\n" + "".join(f"{v or ''},x\n" for v in values))
+    path = str(tmp_path)
+    found = infer.types_by_file(spark, path).where("column = 'v'")
+    kinds = {r.file_path[-5]: (r.type, r.filled) for r in found.collect()}
+    assert kinds == {"a": ("int", 2), "b": ("decimal(3,2)", 1), "c": ("string", 1), "d": ("string", 0)}
+    every = infer.facts(infer.read_texts(spark, path))
+    assert infer.merge(found.drop("file_path", "type")).collect()[0].asDict() == {
+        **every.where("column = 'v'").collect()[0].asDict()
+    }
+    first = infer.facts(infer.read_texts(spark, f"{path}/a.csv"))
+    second = infer.facts(infer.read_texts(spark, f"{path}/b.csv"))
+    (both,) = infer.typed(infer.merge(first, second)).where("column = 'v'").collect()
+    assert both.type == "string"  # 1 would become 1.00
+
+
+def test_headers_that_differ_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v,w\n1,2\n")
+    (tmp_path / "b.csv").write_text("w,v\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        infer.read_lossless(spark, str(tmp_path)).collect()
+
+
+def test_one_pass_without_a_shuffle_of_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v,w\n1,2\n3,x\n")
+    plan = plan_of(infer.facts(infer.read_texts(spark, str(tmp_path))))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    assert "Python" not in plan
+
+
+def test_an_empty_file_and_stale_facts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v,w\n")
+    assert infer.read_lossless(spark, str(tmp_path)).dtypes == [("v", "string"), ("w", "string")]
+    (tmp_path / "b.csv").write_text("v,w\n1,1\n")
+    known = infer.facts(infer.read_texts(spark, str(tmp_path)))
+    (tmp_path / "c.csv").write_text("v,w\n0012,1.5\n")
+    with pytest.raises(Exception, match="1.5"):
+        infer.read_lossless(spark, str(tmp_path), known).collect()
