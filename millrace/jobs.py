@@ -20,6 +20,7 @@ import sys
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import compact
 from millrace.plans import load, publish, update
@@ -32,7 +33,9 @@ from millrace.sources.messages import (
     message_stream,
 )
 from millrace.sources.schema import schema_of
+from millrace.streaming.audit import run_audited
 from millrace.streaming.decode import (
+    CONSUME_JOB,
     POLL_INTERVAL,
     RANGE_COLUMN,
     decode_to_batches,
@@ -106,7 +109,10 @@ RATE_OPTIONS = {"rate": "maxOffsetsPerTrigger", "min_partitions": "minPartitions
 
 
 def run_consume(spark: SparkSession, options: dict[str, str], *, fmt: str = "kafka") -> None:
-    """Runs until it is stopped, or until the backlog is done with ``trigger=available``."""
+    """Runs until it is stopped, or until the backlog is done with ``trigger=available``.
+
+    With an audit table every batch has a row in it, and the whole run one.
+    """
     if fmt == "kafka":
         bounds = {name: options[key] for key, name in RATE_OPTIONS.items() if key in options}
         source = kafka_source_options(options["servers"], options.get("topic", TOPIC), **bounds)
@@ -118,14 +124,24 @@ def run_consume(spark: SparkSession, options: dict[str, str], *, fmt: str = "kaf
         raise SystemExit(f"unknown sink: {sink}")
     if sink == "batches" and "batches_per_partition" in options:
         how["batches_per_partition"] = int(options["batches_per_partition"])
-    with audited(spark, "message_consume", options.get("audit")):
-        SINKS[sink](
+    table, audit_table = options["table"], options.get("audit")
+    if sink == "batches":
+        how["audit_table"] = audit_table
+
+    def start() -> StreamingQuery:
+        return SINKS[sink](
             message_stream(spark, source, fmt=fmt),
             schema_of(columns_of(options["columns"]), strict=True),
-            options["table"],
+            table,
             options["checkpoint"],
             **how,
-        ).awaitTermination()
+        )
+
+    with audited(spark, CONSUME_JOB, audit_table):
+        if sink == "table" and audit_table is not None:
+            run_audited(spark, start, table, audit_table, CONSUME_JOB)
+        else:
+            start().awaitTermination()
 
 
 SINKS = {"table": decode_to_table, "batches": decode_to_batches}

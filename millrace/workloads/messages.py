@@ -9,10 +9,12 @@ from pyspark.sql import types as T
 from millrace.functions import codec
 from millrace.functions.params import extract_params
 from millrace.operators import compact
+from millrace.plans import audit
 from millrace.plans.publish import publish_csv
 from millrace.session import Workspace
 from millrace.sources.messages import message_stream, publish_rows
 from millrace.streaming import decode
+from millrace.streaming.audit import run_audited
 from millrace.workloads.data import load, query
 
 
@@ -212,6 +214,58 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("event_id", "event_type", "value", "ts")
 
 
+@query("""
+SELECT event_id, true AS counted, count(*) OVER () AS read,
+       count(*) FILTER (event_type <> 'error') OVER () AS decoded,
+       count(*) FILTER (event_type = 'error') OVER () AS quarantined
+FROM events
+""")
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sinks audited over a restart; each row of the one has its batch's counts."""
+    work = Workspace(spark, "stream_audit")
+    token = codec.base64_token(F.col("event_type"))
+    damaged = F.when(F.col("event_type") == "error", F.lit("err or")).otherwise(token)
+    rows = load(spark, sf_dir, "events").select(*event_tokens(damaged)).repartition(4)
+    table, sunk, audits = work.table("events"), work.table("sunk"), work.table("audit")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT_SCHEMA.fields)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}, quarantined string, batch_id bigint, "
+        "batch_range bigint) USING parquet PARTITIONED BY (batch_range)"
+    )
+    audit.create_audit_table(spark, audits)
+    options = {"path": work.path("topic"), "maxFilesPerTrigger": "1"}
+
+    def sink(how, target: str, **more):
+        stream = message_stream(spark, options, fmt="text")
+        offsets = work.path(f"offsets_{target}")
+        return how(stream, EVENT_SCHEMA, target, offsets, trigger=decode.AVAILABLE, **more)
+
+    early = F.unbase64(F.split("value", ",")[0]).cast("string").cast("bigint") % 2 == 0
+    messages = codec.rows_to_messages(rows)
+    for half in (messages.where(early), messages.where(~early)):
+        half.write.mode("append").text(work.path("topic"))
+        sink(decode.decode_to_batches, table, audit_table=audits).awaitTermination()
+        run_audited(
+            spark, lambda: sink(decode.decode_to_table, sunk), sunk, audits, decode.CONSUME_JOB
+        )
+    known = audit.recorded_counts(spark, audits, decode.CONSUME_JOB, sunk)
+    batches = audit.batch_counts(spark, audits, decode.CONSUME_JOB, table)
+    each = spark.table(table).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("quarantined").alias("bad")
+    )
+    agrees = (F.col("n") == F.col("read")) & (F.col("bad") == F.col("quarantined"))
+    agrees = agrees & (F.col("n") - F.col("bad") == F.col("decoded"))
+    counted = batches.join(each, F.col("batch_number") == F.col("batch_id").cast("string"))
+    first = F.split("quarantined", ",")[0]
+    event_id = F.coalesce("event_id", codec.base64_text(first).cast("bigint"))
+    return (
+        spark.table(table)
+        .select(event_id.alias("event_id"), "batch_id")
+        .join(counted.select("batch_id", agrees.alias("counted")), "batch_id")
+        .select("event_id", "counted", *[F.lit(known[c]).cast("bigint").alias(c) for c in known])
+    )
+
+
 @query("""
 WITH tokens AS (
   SELECT page_id, pos, tokens[pos] AS token

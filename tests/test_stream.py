@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
@@ -5,8 +7,10 @@ from pyspark.sql import types as T
 
 from millrace.functions import codec
 from millrace.operators import compact, tables
+from millrace.plans import audit
 from millrace.sources.messages import kafka_sink_options, kafka_source_options, message_stream
 from millrace.streaming import decode
+from millrace.streaming import audit as stream_audit
 
 SCHEMA = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.StringType())])
 
@@ -149,6 +153,90 @@ def test_a_batch_that_comes_meanwhile_is_kept(spark, work, monkeypatch, when):
     assert sorted(r.n for r in spark.table(table).collect()) == [*range(12), 77]
 
 
+def totals(spark, table):
+    spark.catalog.refreshTable(table)
+    return spark.table(table).agg(*stream_audit.counts()).first().asDict()
+
+
+def add(spark, work, start, end, bad=0):
+    publish(spark, work.path("in"), start, end)
+    if bad:
+        spark.createDataFrame([("damaged#",)] * bad, "value string").write.mode("append").text(work.path("in"))
+
+
+def to_batches(spark, work, table, audits):
+    options = {"path": work.path("in"), "maxFilesPerTrigger": "2"}
+    return decode.decode_to_batches(
+        message_stream(spark, options, fmt="text"), SCHEMA, table, work.path("offsets"),
+        trigger=decode.AVAILABLE, audit_table=audits,
+    )
+
+
+def test_batches_are_audited_once_each(spark, work, monkeypatch):
+    """Over restarts, a driver lost before the audit row, and one lost after it."""
+    table, audits = work.table("out"), work.table("audit")
+    make_batch_table(spark, table)
+    audit.create_audit_table(spark, audits)
+
+    def known():
+        return audit.recorded_counts(spark, audits, decode.CONSUME_JOB, table)
+
+    add(spark, work, 0, 100, bad=3)
+    to_batches(spark, work, table, audits).awaitTermination()
+    assert known() == totals(spark, table) == {"read": 103, "decoded": 100, "quarantined": 3}
+    to_batches(spark, work, table, audits).awaitTermination()
+    assert known()["read"] == 103
+
+    add(spark, work, 100, 150, bad=1)
+    def lost(*args):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(audit, "record_batch", lost)
+    with pytest.raises(Exception, match="lost"):
+        to_batches(spark, work, table, audits).awaitTermination()
+    monkeypatch.undo()
+    assert known()["read"] == 103
+    to_batches(spark, work, table, audits).awaitTermination()
+    assert known() == totals(spark, table) == {"read": 154, "decoded": 150, "quarantined": 4}
+
+    commits = Path(work.path("offsets"), "commits")
+    last = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+    for file in (f"{last}", f".{last}.crc"):
+        (commits / file).unlink(missing_ok=True)
+    to_batches(spark, work, table, audits).awaitTermination()
+    assert known() == totals(spark, table) == {"read": 154, "decoded": 150, "quarantined": 4}
+    rows = audit.batch_counts(spark, audits, decode.CONSUME_JOB, table)
+    assert rows.count() == rows.select("batch_number").distinct().count()
+    row = spark.table(audits).where("refresh_mode = 'STREAM'").first()
+    assert row.source_tbl_name == "message_consume" and row.des_tbl_name == table
+    assert row.message.startswith(f"read={row.refresh_rec_count} ")
+
+
+def test_the_audit_of_a_table_is_settled(spark, work):
+    """Batches are reported one by one; what no report told is recorded by the next run."""
+    table, audits = work.table("out"), work.table("audit")
+    audit.create_audit_table(spark, audits)
+    options = {"path": work.path("in"), "maxFilesPerTrigger": "2"}
+
+    def start():
+        messages = message_stream(spark, options, fmt="text")
+        return decode.decode_to_table(
+            messages, SCHEMA, table, work.path("offsets"), trigger=decode.AVAILABLE
+        )
+
+    def run():
+        stream_audit.run_audited(spark, start, table, audits, "job")
+        assert audit.recorded_counts(spark, audits, "job", table) == totals(spark, table)
+        return {r.batch_number: r.read for r in audit.batch_counts(spark, audits, "job", table).collect()}
+
+    add(spark, work, 0, 100, bad=3)
+    first = run()
+    assert sum(first.values()) == 103 and audit.SETTLED not in first and len(first) > 1
+    assert run() == first
+    add(spark, work, 100, 150)
+    start().awaitTermination()
+    assert run() == {**first, audit.SETTLED: 50}
+
+
 def test_decoding_needs_no_shuffle(spark, work):
     publish(spark, work.path("in"), 0, 10)
     plan = plan_of(codec.decode_records(spark.read.text(work.path("in")), SCHEMA))
