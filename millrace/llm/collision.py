@@ -54,11 +54,12 @@ def nearest(
     are not looked at, whatever their names.
     """
 
-    def search(query_ids, queries, ids, vectors):
-        return collide(query_ids, queries, ids, vectors, k)
+    def index(ids, vectors):
+        made = sorted_arrays(vectors, LINES)
+        return lambda query_ids, queries: collide(query_ids, queries, ids, vectors, k, made=made)
 
     vectors = usable_vectors(table, id_col, vector_col, zero=False)
-    return search_in_blocks(vectors, every, k, search, "double", work)
+    return search_in_blocks(vectors, every, k, index, "double", work)
 
 
 def to_sphere(vectors: np.ndarray) -> np.ndarray:
@@ -69,24 +70,30 @@ def to_sphere(vectors: np.ndarray) -> np.ndarray:
     return np.column_stack([scaled, rest]) / np.sqrt(square.max())
 
 
+def sorted_arrays(vectors: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The index of a block: directions, and each line's rows and projections in order."""
+    directions = np.random.default_rng(5).standard_normal((vectors.shape[1] + 1, lines))
+    projected = to_sphere(vectors) @ directions
+    orders = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
+    return directions, orders, np.take_along_axis(projected.T, orders, axis=1)
+
+
 def collide(query_ids, queries, ids, vectors, k, **options):
     """Positions of queries and rows, and scores, of what each query found in the block.
 
-    A list given as ``read`` gets the number of verified vectors of each query.
+    A list given as ``read`` gets the number of verified vectors of each query;
+    ``made`` are the block's sorted arrays, if there are any yet.
     """
     lines = options.get("lines", LINES)
     half, growth = options.get("half", FIRST_HALF), options.get("growth", GROWTH)
     needed = max(1, round(options.get("collisions", COLLISIONS) * lines))
-    n, dims = vectors.shape
+    n = len(vectors)
     enough = min(n, k + 1 + max(LEAST_VERIFIED, int(options.get("verified", VERIFIED) * n)))
-    directions = np.random.default_rng(5).standard_normal((dims + 1, lines))
-    projected = to_sphere(vectors) @ directions
+    directions, orders, arrays = options.get("made") or sorted_arrays(vectors, lines)
     lengths = np.abs(queries).max(axis=1, keepdims=True)
     unit = queries / lengths
     unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
     centres = unit @ directions[:-1]
-    orders = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
-    arrays = np.take_along_axis(projected.T, orders, axis=1)
 
     counts = np.zeros((len(queries), n), dtype=np.uint8 if lines < 256 else np.uint16)
     left = np.empty((lines, len(queries)), dtype=np.int64)

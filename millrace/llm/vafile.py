@@ -45,13 +45,36 @@ def exact_top_k(
     the range of doubles has no bounds and is read whole.
     """
 
-    def search(query_ids, queries, ids, vectors):
-        if max(np.abs(queries).max(initial=0), np.abs(vectors).max(initial=0)) > LARGEST:
-            return read_all(query_ids, queries, ids, vectors, k)
-        return top_k(query_ids, np.floor(queries * SCALE), ids, np.floor(vectors * SCALE), k)
+    def index(ids, vectors):
+        bounded = np.abs(vectors).max(initial=0) <= LARGEST
+        file = CellFile(np.floor(vectors * SCALE)) if bounded else None
+
+        def search(query_ids, queries):
+            if file is None or np.abs(queries).max(initial=0) > LARGEST:
+                return read_all(query_ids, queries, ids, vectors, k)
+            return top_k(query_ids, np.floor(queries * SCALE), ids, file, k)
+
+        return search
 
     vectors = usable_vectors(table, id_col, vector_col, zero=True)
-    return search_in_blocks(vectors, every, k, search, "long", work)
+    return search_in_blocks(vectors, every, k, index, "long", work)
+
+
+class CellFile:
+    """A block's cells and edges, made once, and its exact vectors."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
+        self.largest = float(np.abs(vectors).max(initial=0))
+        empty = np.zeros(vectors.shape, np.uint8), np.zeros((CELLS + 1, 0))
+        self.cells, self.edges = quantise(vectors) if vectors.shape[1] else empty
+        self._exact: dict[type, np.ndarray] = {}
+
+    def exact(self, kind: type) -> np.ndarray:
+        """The vectors as whole numbers, of 64 bits or of any size."""
+        if kind not in self._exact:
+            self._exact[kind] = _integers(self.vectors, kind)
+        return self._exact[kind]
 
 
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,18 +98,14 @@ def upper_bounds(queries: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> n
     return bounds + size * 1e-12 + 1
 
 
-def top_k(query_ids, queries, ids, vectors, k):
+def top_k(query_ids, queries, ids, file: CellFile, k):
     """Positions of queries and rows, and scores, of each query's best ``k`` in the block."""
-    dims = vectors.shape[1]
-    if not dims:
-        cells, edges = np.zeros(vectors.shape, np.uint8), np.zeros((CELLS + 1, 0))
-    else:
-        cells, edges = quantise(vectors)
-    reach = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, dims)
+    dims = file.vectors.shape[1]
+    reach = float(np.abs(queries).max(initial=0)) * file.largest * max(1, dims)
     exact = np.int64 if reach < 2**62 else object
-    whole = _integers(vectors, exact)
+    whole = file.exact(exact)
     asked = _integers(queries, exact)
-    bounds = upper_bounds(queries, cells, edges)
+    bounds = upper_bounds(queries, file.cells, file.edges)
     at_query, at_row, scores = [], [], []
     for q in range(len(queries)):
         order = np.argsort(-bounds[q], kind="stable")

@@ -51,6 +51,7 @@ def exact(vectors, every, k, score):
 def test_exact_top_k(spark, work, data_rows, monkeypatch):
     monkeypatch.setattr(blocks, "DATA_ROWS", data_rows)
     monkeypatch.setattr(blocks, "QUERY_ROWS", 7)
+    monkeypatch.setattr(blocks, "QUERY_GROUP", 10)
     rows = table()
     found = vafile.exact_top_k(made(spark, rows), work, every=20, k=10).collect()
     whole = lambda v: [math.floor(1024 * x) for x in v]
@@ -74,6 +75,8 @@ def test_bounds_hold():
 @pytest.mark.parametrize("data_rows", [100, 8192])
 def test_nearest(spark, work, data_rows, monkeypatch):
     monkeypatch.setattr(blocks, "DATA_ROWS", data_rows)
+    monkeypatch.setattr(blocks, "QUERY_ROWS", 5)
+    monkeypatch.setattr(blocks, "QUERY_GROUP", 12)
     rows = table()
     found = collision.nearest(made(spark, rows), work, every=20, k=20).collect()
     vectors = usable(rows, False)
@@ -140,6 +143,25 @@ def test_exact_top_k_of_the_largest_doubles(spark, work):
     assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found} == want
 
 
+def test_an_index_serves_all_queries_of_a_group(spark, work, monkeypatch):
+    """However many parts the queries come in, a block's index is made once for them."""
+    for name, value in [("DATA_ROWS", 150), ("QUERY_ROWS", 2)]:
+        monkeypatch.setattr(blocks, name, value)
+    made_indexes = spark.sparkContext.accumulator(0)
+
+    def index(ids, vectors):
+        made_indexes.add(1)
+        assert (np.diff(ids) > 0).all()
+        return lambda query_ids, queries: vafile.top_k(query_ids, queries, ids, vafile.CellFile(vectors), 3)
+
+    rows = [(k, [float(k % 7), float(k % 5)]) for k in range(600)]
+    vectors = blocks.usable_vectors(made(spark, rows), "vec_id", "embedding", zero=True)
+    found = blocks.search_in_blocks(vectors, 10, 3, index, "long", work).collect()
+    want = exact(dict(rows), 10, 3, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found} == want
+    assert made_indexes.value == 4
+
+
 def test_no_vectors(spark, work):
     assert vafile.exact_top_k(made(spark, []), work).collect() == []
     assert collision.nearest(made(spark, []), work.__class__(spark, "none")).collect() == []
