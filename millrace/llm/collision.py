@@ -2,10 +2,12 @@
 
 Each block's vectors are projected on random lines, and the projections on one
 line are kept as a sorted array. A query opens a window around its own
-projection in every array. A vector in the window of a line collides there;
-vectors that collide on enough lines are verified with the exact measure.
-While too few good ones are found, all windows grow by one factor (virtual
-rehashing), and only what the growth adds is counted.
+projection in every array. A vector whose place lies in the window of a line
+collides there; vectors that collide on enough lines are verified with the
+exact measure. All windows of a query have one width, from a row in which each
+is the last by one factor (virtual rehashing): the first at which enough vectors
+are found. As wider windows find no fewer, it is searched for from where other
+queries have found theirs, and not always from the first width.
 
 Largest inner product is nearest distance once every vector gets one more
 component that brings it to the block's greatest length, and the query a 0
@@ -32,6 +34,8 @@ GROWTH = 1.04
 COLLISIONS = 0.6
 VERIFIED = 0.1
 LEAST_VERIFIED = 250
+# Queries of a part that tell the others which width to try first.
+SCOUTS = 16
 
 
 def nearest(
@@ -71,11 +75,21 @@ def to_sphere(vectors: np.ndarray) -> np.ndarray:
 
 
 def sorted_arrays(vectors: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The index of a block: directions, and each line's rows and projections in order."""
+    """The index of a block: directions, each line's sorted projections, rows' places there."""
     directions = np.random.default_rng(5).standard_normal((vectors.shape[1] + 1, lines))
-    projected = to_sphere(vectors) @ directions
-    orders = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
-    return directions, orders, np.take_along_axis(projected.T, orders, axis=1)
+    projected = (to_sphere(vectors) @ directions).T
+    orders = np.argsort(projected, axis=1, kind="stable")
+    kind = np.uint16 if len(vectors) < 2**16 else np.uint32
+    places = np.empty(orders.shape, dtype=kind)
+    np.put_along_axis(places, orders, np.arange(len(vectors), dtype=kind)[None, :], axis=1)
+    return directions, np.take_along_axis(projected, orders, axis=1), places
+
+
+def collisions(places: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """On how many lines a row's place is in the window from ``left`` to before ``right``."""
+    # Places before the window wrap around to large numbers.
+    inside = (places - left[:, None]) < (right - left)[:, None]
+    return inside.view(np.uint8).sum(axis=0, dtype=np.uint8 if len(places) < 256 else np.uint16)
 
 
 def collide(query_ids, queries, ids, vectors, k, **options):
@@ -89,37 +103,52 @@ def collide(query_ids, queries, ids, vectors, k, **options):
     needed = max(1, round(options.get("collisions", COLLISIONS) * lines))
     n = len(vectors)
     enough = min(n, k + 1 + max(LEAST_VERIFIED, int(options.get("verified", VERIFIED) * n)))
-    directions, orders, arrays = options.get("made") or sorted_arrays(vectors, lines)
+    directions, arrays, places = options.get("made") or sorted_arrays(vectors, lines)
     lengths = np.abs(queries).max(axis=1, keepdims=True)
     unit = queries / lengths
     unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
     centres = unit @ directions[:-1]
 
-    counts = np.zeros((len(queries), n), dtype=np.uint8 if lines < 256 else np.uint16)
-    left = np.empty((lines, len(queries)), dtype=np.int64)
-    for i in range(lines):
-        left[i] = np.searchsorted(arrays[i], centres[:, i])
-    right = left.copy()
-    open_queries = np.arange(len(queries))
-    while len(open_queries):
-        new_left, new_right = left.copy(), right.copy()
+    def colliding(asked: np.ndarray, widths: np.ndarray) -> list[np.ndarray]:
+        """For each query the rows that collide on enough lines in windows of its width."""
+        reach = half * growth**widths
+        left = np.empty((lines, len(asked)), dtype=places.dtype)
+        right = left.copy()
         for i in range(lines):
-            centre = centres[open_queries, i]
-            new_left[i, open_queries] = np.searchsorted(arrays[i], centre - half)
-            new_right[i, open_queries] = np.searchsorted(arrays[i], centre + half, side="right")
-        still = []
-        for q in open_queries:
-            added = [orders[i, new_left[i, q] : left[i, q]] for i in range(lines)]
-            added += [orders[i, right[i, q] : new_right[i, q]] for i in range(lines)]
-            counts[q] += np.bincount(np.concatenate(added), minlength=n).astype(counts.dtype)
-            if np.count_nonzero(counts[q] >= needed) < enough:
-                still.append(q)
-        left, right = new_left, new_right
-        open_queries = np.array(still, dtype=np.int64)
-        half *= growth
+            centre = centres[asked, i]
+            # Neighbours are looked up after one another.
+            order = np.argsort(centre)
+            centre, near = centre[order], reach[order]
+            left[i, order] = np.searchsorted(arrays[i], centre - near)
+            right[i, order] = np.searchsorted(arrays[i], centre + near, side="right")
+        counts = (collisions(places, left[:, j], right[:, j]) for j in range(len(asked)))
+        return [np.flatnonzero(count >= needed) for count in counts]
+
+    found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
+    width, start = np.zeros(len(queries), dtype=np.int64), 0
+    # A few queries tell the others where to look first.
+    for first, end in [(0, SCOUTS), (SCOUTS, len(queries))]:
+        asked = np.arange(first, min(end, len(queries)))
+        # The widest too narrow, the narrowest wide enough (-1: none yet).
+        narrow, wide = np.full(len(queries), -1), np.full(len(queries), -1)
+        width[asked], tries = start, 0
+        while len(asked):
+            for q, rows in zip(asked, colliding(asked, width[asked]), strict=True):
+                if len(rows) >= enough:
+                    wide[q], found[q] = width[q], rows
+                else:
+                    narrow[q] = width[q]
+            asked = asked[(wide[asked] < 0) | (wide[asked] - narrow[asked] > 1)]
+            below, above, stride = narrow[asked], wide[asked], 2 ** max(0, tries - 2)
+            up, down = below + stride, np.maximum(above - stride, 0)
+            between = np.where(below >= 0, (below + above) // 2, down)
+            width[asked] = np.where(above < 0, up, between)
+            tries += 1
+        if end == SCOUTS and len(queries):
+            start = int(np.median(wide[: min(end, len(queries))]))
     at_query, at_row, scores = [], [], []
     for q in range(len(queries)):
-        candidates = np.flatnonzero(counts[q] >= needed)
+        candidates = found[q]
         options.get("read", []).append(len(candidates))
         exact = vectors[candidates] @ queries[q]
         best = best_of(exact, ids[candidates], query_ids[q], k)

@@ -59,6 +59,25 @@ def test_exact_top_k(spark, work, data_rows, monkeypatch):
     assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found} == exact(usable(rows, True), 20, 10, score)
 
 
+def test_every_pair_of_blocks_meets(spark, work, monkeypatch):
+    """Also where each of many groups has a partition of its own, as on a cluster."""
+    for name, value in [("DATA_ROWS", 40), ("QUERY_ROWS", 8)]:
+        monkeypatch.setattr(blocks, name, value)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    old = {name: spark.conf.get(name) for name in settings}
+    rows = table()
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = vafile.exact_top_k(made(spark, rows), work, every=20, k=10).collect()
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    whole = lambda v: [math.floor(1024 * x) for x in v]
+    score = lambda a, b: sum(x * y for x, y in zip(whole(a), whole(b), strict=True))
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found} == exact(usable(rows, True), 20, 10, score)
+
+
 def test_exact_top_k_of_huge_components(spark, work):
     rows = [(0, [3e38, 1.0]), (1, [3e38, 2.0]), (2, [-3e38, 0.0]), (3, [1e-3, 0.0])]
     found = vafile.exact_top_k(made(spark, rows), work, every=100, k=10).collect()
