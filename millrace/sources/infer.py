@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 MAX_DIGITS = 38
 WHOLE = r"^-?(0|[1-9][0-9]*)([.][0-9]+)?\z"
 MINUS_ZERO = r"^-0([.]0+)?\z"
+INT, BIGINT = r"^-?[0-9]{1,10}\z", r"^-?[0-9]{1,19}\z"
 DOUBLE = r"^-?[0-9]+[.][0-9]+(E-?[0-9]+)?\z"
 FLAGS = ["is_number", "is_int", "is_bigint", "is_double", "is_date", "is_timestamp", "is_boolean"]
 BOUNDS = {"digits": F.max, "least_places": F.min, "most_places": F.max}
@@ -41,9 +42,9 @@ def _facts_of(value: Column, name: str, position: int) -> Column:
     digits = F.when(number, F.length(F.ltrim(F.split_part(value, F.lit("."), F.lit(1)), F.lit("-"))))
     tests = {
         "is_number": number,
-        "is_int": number & again("int"),
-        "is_bigint": number & again("bigint"),
-        # Only what is written like a double is parsed: a failed parse is slow.
+        # Only what is written like a number of a kind is parsed: a failed parse is slow.
+        "is_int": F.when(number & value.rlike(INT), again("int")),
+        "is_bigint": F.when(number & value.rlike(BIGINT), again("bigint")),
         "is_double": F.when(value.rlike(DOUBLE), again("double")),
         "is_date": again("date"),
         "is_timestamp": again("timestamp_ntz"),
